@@ -25,13 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from secdata.llm.partenum import Bands, set_hash, shingles, signatures
-from secdata.llm.shared import connected, reducers, settle
-from secdata.llm.text import SPACED_BYTES, Words, pieces
+from secdata.llm.shared import connected, only_ids, reducers, settle, star_links
+from secdata.llm.text import SPACED_BYTES, Words, mix, pieces, ranges
 
 SKETCH_WORDS = 16
 _SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
 _PACKED = "part int, what int, ids binary, data binary, marks binary"
-_FOUND = "sig long, class long, up boolean, doc long, n int, sketch binary"
+_FOUND = "sig long, class long, up boolean, leader long, c int, doc long, n int, sketch binary"
+_NAMES = [x.split()[0] for x in _FOUND.split(", ")]
 #: Documents of one task that share a signature, before further ones leave the packed arrays.
 _MANY = 8
 
@@ -97,19 +98,25 @@ def _packer(n: int, num: int, den: int, parts: int):
             ends = np.searchsorted(part, np.arange(parts + 1))
             for p in np.flatnonzero(np.diff(ends)):
                 a, b = ends[p], ends[p + 1]
-                used, local = np.unique(who[a:b], return_inverse=True)
-                rows.append((int(p), 0, classes[used].tobytes(), sig[a:b].astype(np.uint32).tobytes(), local.astype(np.uint32).tobytes() + marks[a:b].tobytes()))
+                used, many_of = np.unique(who[a:b], return_counts=True)
+                bits = np.packbits(marks[a:b] & 1).tobytes() + (np.packbits(marks[a:b] >> 1).tobytes() if (marks[a:b] & 2).any() else b"")
+                rows.append((int(p), 0, classes[used].tobytes() + many_of.astype(np.uint32).tobytes(), sig[a:b].astype(np.uint32).tobytes(), bits))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["part", "what", "ids", "data", "marks"])
 
     return run
 
 
 def _finder(parts: int):
-    """Packed rows to the rows of documents, and to (sig, class, up) for signatures that more than one class has."""
+    """Packed rows to the rows of documents, and to posts: (sig, class, up, leader, c) for signatures that c > 1 classes have.
 
-    def posted(sig, kind, up):
-        n = len(sig)
-        return pa.RecordBatch.from_arrays([pa.array(sig.astype(np.int64)), pa.array(kind.view(np.int64)), pa.array(up), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=["sig", "class", "up", "doc", "n", "sketch"])
+    Of a signature with two classes only the pair (class, leader) is returned, without sig; of signatures with the same classes only one. leader and c are
+    null for signatures of many, whose classes come from several tasks.
+    """
+
+    def posted(sig, kind, up, leader, c):
+        n = len(kind)
+        made = [pa.nulls(n, pa.int64()) if sig is None else pa.array(sig.astype(np.int64)), pa.array(kind.view(np.int64)), pa.array(up), pa.nulls(n, pa.int64()) if leader is None else pa.array(leader.view(np.int64)), pa.nulls(n, pa.int32()) if c is None else pa.array(c.astype(np.int32))]
+        return pa.RecordBatch.from_arrays([*made, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sigs, classes, marks = [], [], []
@@ -119,15 +126,22 @@ def _finder(parts: int):
                     table = np.frombuffer(ids, np.uint64).reshape(-1, 3)
                     n = len(table)
                     sketch = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * SKETCH_WORDS * 8).astype(np.int32)), pa.py_buffer(data)])
-                    yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array(table[:, 1].copy().view(np.int64)), pa.nulls(n, pa.bool_()), pa.array(table[:, 0].copy().view(np.int64)), pa.array(table[:, 2].astype(np.int32)), sketch], names=["sig", "class", "up", "doc", "n", "sketch"])
+                    made = [pa.nulls(n, pa.int64()), pa.array(table[:, 1].copy().view(np.int64)), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())]
+                    yield pa.RecordBatch.from_arrays([*made, pa.array(table[:, 0].copy().view(np.int64)), pa.array(table[:, 2].astype(np.int32)), sketch], names=_NAMES)
                 elif what == 1:
                     sig, kind = np.frombuffer(data, np.uint64), np.frombuffer(ids, np.uint64)
-                    yield posted((((sig >> np.uint64(32)) % np.uint64(parts)) << np.uint64(32)) | (sig & np.uint64(0xFFFFFFFF)), kind, np.frombuffer(more, np.uint8) & 1 == 1)
+                    yield posted((((sig >> np.uint64(32)) % np.uint64(parts)) << np.uint64(32)) | (sig & np.uint64(0xFFFFFFFF)), kind, np.frombuffer(more, np.uint8) & 1 == 1, None, None)
                 else:
                     sig = np.frombuffer(data, np.uint32)
-                    local, mark = np.frombuffer(more[: 4 * len(sig)], np.uint32), np.frombuffer(more[4 * len(sig) :], np.uint8)
+                    used = len(ids) // 12
+                    counts = np.frombuffer(ids[8 * used :], np.uint32)
+                    bits = np.frombuffer(more, np.uint8)
+                    width = -(-len(sig) // 8)
+                    mark = np.unpackbits(bits[:width], count=len(sig))
+                    if len(bits) > width:
+                        mark |= np.unpackbits(bits[width:], count=len(sig)) << 1
                     sigs.append((np.uint64(part) << np.uint64(32)) | sig.astype(np.uint64))
-                    classes.append(np.frombuffer(ids, np.uint64)[local])
+                    classes.append(np.repeat(np.frombuffer(ids[: 8 * used], np.uint64), counts))
                     marks.append(mark)
         if not sigs:
             return
@@ -135,16 +149,32 @@ def _finder(parts: int):
         del sigs, classes, marks
         order = np.lexsort((kind, sig))
         sig, kind, mark = sig[order], kind[order], mark[order]
-        new = np.concatenate(([True], (sig[1:] != sig[:-1]) | (kind[1:] != kind[:-1])))
-        at = np.flatnonzero(new)
+        at = np.flatnonzero(np.concatenate(([True], (sig[1:] != sig[:-1]) | (kind[1:] != kind[:-1]))))
         sig, kind, mark = sig[at], kind[at], np.bitwise_or.reduceat(mark, at)
         at = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
         count = np.diff(np.append(at, len(sig)))
-        any_mark = np.bitwise_or.reduceat(mark, at)
-        shared = np.repeat(((count > 1) & (any_mark & 1 > 0)) | (any_mark & 2 > 0), count)
-        sig, kind, mark = sig[shared], kind[shared], mark[shared]
-        for a in range(0, len(sig), 50_000):
-            yield posted(sig[a : a + 50_000], kind[a : a + 50_000], mark[a : a + 50_000] & 1 == 1)
+        seen = np.bitwise_or.reduceat(mark, at)
+        far = np.uint64(0xFFFFFFFFFFFFFFFF)
+        shifted = kind ^ np.uint64(1 << 63)  # the order of signed numbers
+        leader = np.minimum.reduceat(np.where(mark & 1 > 0, shifted, far), at) ^ np.uint64(1 << 63)
+        same = mix(np.add.reduceat(mix(kind + (mark & 1)), at))
+        several = (seen & 2 == 0) & (seen & 1 > 0) & (count > 1)
+        _, once = np.unique(same[several], return_index=True)
+        chosen = np.zeros(len(at), bool)
+        chosen[np.flatnonzero(several)[once]] = True
+
+        def rows(groups):
+            return ranges(at[groups], count[groups])
+
+        two = chosen & (count == 2)
+        r, lead = rows(two), np.repeat(leader[two], 2)
+        r, lead = r[kind[r] != lead], lead[kind[r] != lead]
+        yield posted(None, kind[r], mark[r] & 1 == 1, lead, np.full(len(r), 2))
+        for groups in np.array_split(np.flatnonzero(chosen & (count > 2)), max(1, int(count[chosen].sum()) // 100_000)):
+            r = rows(groups)
+            yield posted(sig[r], kind[r], mark[r] & 1 == 1, np.repeat(leader[groups], count[groups]), np.repeat(count[groups], count[groups]))
+        r = rows(seen & 2 > 0)
+        yield posted(sig[r], kind[r], mark[r] & 1 == 1, None, None)
 
     return run
 
@@ -195,38 +225,31 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     packed = source.mapInArrow(_packer(words, num, den, ranges_), _PACKED).repartition(reducers(spark), "part")
     found = settle(packed.mapInArrow(_finder(ranges_), _FOUND))
     members = found.where("doc IS NOT NULL").select("doc", "class", "n")
-    posts = found.where("doc IS NULL").groupBy("sig", "class").agg(F.max("up").alias("up"))
+    posts = found.where("doc IS NULL").select("sig", "class", "up", "leader", "c")
+    many = posts.where("leader IS NULL").groupBy("sig", "class").agg(F.max("up").alias("up"))
+    heads = many.groupBy("sig").agg(F.min(F.when(F.col("up"), F.col("class"))).alias("leader"), F.count("*").cast("int").alias("c"))
+    posts = posts.where("leader IS NOT NULL").unionByName(settle(many.join(heads, "sig").where("leader IS NOT NULL")))
 
     as_long = [F.conv(F.hex(F.substring("sketch", 8 * i + 1, 8)), 16, -10).cast("long").alias(s) for i, s in enumerate(_SKETCH)]
-    sketched = found.where("doc IS NOT NULL AND n > 0").groupBy("class").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch")).select("class", "doc", "n", *as_long)
-    known = settle(sketched.join(posts.select("class").distinct(), "class"))
-    leaders = posts.where("up").groupBy("sig").agg(F.min("class").alias("leader"))
-    stars = posts.join(leaders, "sig").where("class <> leader").select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")).distinct()
-    x, y = known.select(F.col("class").alias("a"), F.struct("n", *_SKETCH).alias("x")), known.select(F.col("class").alias("b"), F.struct("n", *_SKETCH).alias("y"))
-    stars = settle(stars.join(x, "a").join(y, "b").where(_near("x", "y", num, den)).select("a", "b"))
-
-    # Signatures of three classes or more may hold further pairs.
-    wide = posts.join(posts.groupBy("sig").agg(F.count("*").alias("c")).where("c > 2").select("sig"), "sig").join(known, "class")
-    wide = settle(wide.select("sig", "class", "up", "n", *_SKETCH))
-    semi = wide.alias("x").join(wide.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.class") != F.col("y.class")) & (F.col("x.up") | F.col("y.up")) & _near("x", "y", num, den), "left_semi")
-    needed = semi.select("class").union(stars.select(F.explode(F.array("a", "b")).alias("class"))).distinct()
-    texts = known.join(needed, "class").select("class", F.col("doc").alias("id")).join(source, "id")
-    sets = settle(texts.select("class", "text").mapInArrow(_setter(words), "class long, features binary"))
-
-    def similar(pairs: DataFrame) -> DataFrame:
-        with_x = pairs.join(sets.select(F.col("class").alias("a"), F.col("features").alias("x")), "a")
-        with_y = with_x.join(sets.select(F.col("class").alias("b"), F.col("features").alias("y")), "b")
-        return settle(with_y.select("a", "b", "x", "y").mapInArrow(_tester(num, den), "a long, b long"))
-
-    links = similar(stars)
-    roots = connected(links)
-    placed = wide.join(needed, "class").join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    sizes = placed.groupBy("sig", "root").agg(F.count("*").alias("c"))
-    split = sizes.groupBy("sig").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    placed = settle(placed.join(split.select("sig", "main"), "sig"))
-    condition = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.up") | F.col("y.up")) & _near("x", "y", num, den)
-    rest = placed.alias("x").join(placed.where("root <> main").alias("y"), condition).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
-    return members, links.union(similar(rest.join(stars, ["a", "b"], "left_anti")))
+    documents = found.where("doc IS NOT NULL AND n > 0").groupBy("class").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    known = documents.select("class", "doc", "n", *as_long)
+
+    def near(x: str, y: str) -> F.Column:
+        return _near(x, y, num, den)
+
+    def tests(needed: DataFrame):
+        wanted = settle(documents.join(needed, "class").select("class", F.col("doc").alias("id")))
+        texts = wanted.join(only_ids(source, "id", wanted), "id")
+        sets = settle(texts.select("class", "text").mapInArrow(_setter(words), "class long, features binary"))
+
+        def similar(pairs: DataFrame) -> DataFrame:
+            with_x = pairs.join(sets.select(F.col("class").alias("a"), F.col("features").alias("x")), "a")
+            with_y = with_x.join(sets.select(F.col("class").alias("b"), F.col("features").alias("y")), "b")
+            return with_y.select("a", "b", "x", "y").mapInArrow(_tester(num, den), "a long, b long")
+
+        return similar
+
+    return members, star_links(posts, known, ["n", *_SKETCH], near, tests)
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 3, den: int = 4) -> DataFrame:

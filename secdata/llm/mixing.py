@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from secdata.llm.shared import settle
 
-SECTIONS, ROUNDS, MOST_BLOCKS, BLOCK_ROWS = 16, 6, 1024, 256
+SECTIONS, ROUNDS, MOST_BLOCKS, BLOCK_ROWS, MOST_SOURCES = 16, 6, 1024, 256, 50_000
 
 
 def token_count(text: F.Column) -> F.Column:
@@ -81,14 +81,15 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
         F.least(F.lit(MOST_BLOCKS), F.ceil(F.col("rows") / BLOCK_ROWS)).cast("int").alias("blocks"),
     ).select("__s", F.expr("goal div all").cast("int").alias("whole"), F.expr("goal % all").alias("rest"), "blocks")
 
-    # A source's plan is one row, and sources are few or many: the planner picks the join by size.
-    epochs = rows.join(plan, "__s").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole"))))
+    # A join by source would bring a large source's rows to one task. The plan is broadcast unless there are very many sources, none of which can be large then.
+    few = sources.count() <= MOST_SOURCES
+    epochs = rows.join(F.broadcast(plan) if few else plan, "__s").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole"))))
     epochs = epochs.where("epoch < whole OR rest > 0").withColumn("block", F.pmod(dealt(F.lit(seed), F.col(id_col), F.col("epoch")), F.col("blocks")).cast("int"))
     last = F.col("epoch") == F.col("whole")
     sums = epochs.where(last).groupBy("__s", "block").agg(F.sum("tokens").alias("n"), F.first("rest").alias("rest"))
     order = Window.partitionBy("__s").orderBy(dealt(F.lit(seed), F.lit("block"), F.col("block")), "block")  # at most MOST_BLOCKS rows a source
     sums = sums.withColumn("end", F.sum("n").over(order)).where("end - n < rest").select("__s", "block", (F.col("rest") - F.col("end") + F.col("n")).alias("room"), F.col("n").alias("__n"))
-    taken = epochs.where(last).drop("rest", "whole", "blocks").join(sums, ["__s", "block"])
+    taken = epochs.where(last).drop("rest", "whole", "blocks").join(F.broadcast(sums) if few and sources.count() * MOST_BLOCKS <= 100_000 else sums, ["__s", "block"])
     inside = Window.partitionBy("__s", "block").orderBy(dealt(F.lit(seed), F.lit("row"), F.col(id_col)), id_col).rowsBetween(Window.unboundedPreceding, 0)
     names = [*docs.columns, "tokens", "epoch", "block"]
     border = taken.where("__n > room").withColumn("__end", F.sum("tokens").over(inside)).where("__end <= room").select(*names)

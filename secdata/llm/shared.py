@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +48,59 @@ def connected(edges: DataFrame) -> DataFrame:
     return edges.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root").unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
+
+
+def star_links(posts: DataFrame, known: DataFrame, traits: list[str], near: Callable[[str, str], F.Column], tests: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """Similar pairs (a, b) of classes that share a signature, enough of them to connect what all similar pairs connect.
+
+    posts: (sig, class, up, leader, c), where leader is the signature's smallest upper class, c its number of classes, and a pair counts if at least one side is
+    up; for c = 2 the row of the leader may be left out. known: (class, *traits, ...) of all classes in posts; near(x, y): a condition on the
+    traits of two aliased rows that holds for all similar pairs; tests(classes) prepares an exact test pairs -> similar pairs for those classes.
+
+    The leader of a signature is compared with its other classes. Then pairs of one signature whose classes are still in different components are compared: all
+    against those outside the signature's largest component. A group of n similar classes costs n comparisons and is never expanded into its pairs.
+    """
+    known = known.select("class", *traits)
+    stars = posts.where("class <> leader").select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")).distinct()
+    x, y = known.select(F.col("class").alias("a"), F.struct(*traits).alias("x")), known.select(F.col("class").alias("b"), F.struct(*traits).alias("y"))
+    stars = settle(stars.join(x, "a").join(y, "b").where(near("x", "y")).select("a", "b"))
+
+    # Signatures of three classes or more may hold further pairs.
+    wide = posts.where("c > 2").select("sig", "class", "up")
+    x, y = wide.join(known, "class").alias("x"), wide.join(known, "class").alias("y")
+    semi = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.class") != F.col("y.class")) & (F.col("x.up") | F.col("y.up")) & near("x", "y"), "left_semi")
+    needed = settle(semi.select("class").union(stars.select(F.explode(F.array("a", "b")).alias("class"))).distinct())
+    similar = tests(needed)
+
+    links = settle(similar(stars))
+    placed = settle(wide.join(needed, "class").join(connected(links).withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class")))
+    sizes = placed.groupBy("sig", "root").agg(F.count("*").alias("c"))
+    split = sizes.groupBy("sig").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
+    placed = settle(placed.join(split.select("sig", "main"), "sig")).join(known, "class")
+    condition = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.up") | F.col("y.up")) & near("x", "y")
+    rest = placed.alias("x").join(placed.where("root <> main").alias("y"), condition).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
+    return links.union(settle(similar(rest.join(stars, ["a", "b"], "left_anti"))))
+
+
+def only_ids(rows: DataFrame, id_col: str, wanted: DataFrame, bits: int = 1 << 23) -> DataFrame:
+    """The rows whose id may be one of ``wanted``, to be joined with it: a bitmap of hashed ids, of ``bits`` bits at most however many ids there are,
+    saves the other rows the way through the shuffle. The more ids, the less it saves; it never loses one.
+    """
+    place = F.pmod(F.xxhash64(id_col), F.lit(bits))
+    parts = wanted.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")).collect()
+    size = 4096
+    held = bytearray((max([r["k"] for r in parts], default=0) + 1) * size)
+    for r in parts:
+        held[r["k"] * size : r["k"] * size + size] = r["m"]
+    shared = rows.sparkSession.sparkContext.broadcast(bytes(held))
+    names = rows.columns
+
+    def run(batches):
+        # Bucket k covers the places 32768 * (k - 1) + 1 to 32768 * k.
+        table = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little")
+        for batch in batches:
+            p = batch.column("__place").to_numpy(zero_copy_only=False)
+            at = np.where(p > 0, (1 + (p - 1) // 32768) * 32768 + (p - 1) % 32768, 0)
+            yield batch.select(names).filter(pa.array((at < len(table)) & table[np.minimum(at, len(table) - 1)].astype(bool) | (p == 0)))
+
+    return rows.withColumn("__place", place).mapInArrow(run, rows.schema)
