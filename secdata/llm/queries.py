@@ -29,8 +29,8 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=8)
-    return placed.select("doc_id", "size", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
+    return sharding.assign(docs, shards=8).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

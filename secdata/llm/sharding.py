@@ -36,7 +36,7 @@ def place(units: list[tuple[str, int, int, int]], shards: int, room: float = 1.0
     return out
 
 
-def assign(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", bundles: int = 4096, rows_per_run: int = 4096) -> DataFrame:
+def assign(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", bundles: int = 4096, rows_per_run: int = 1024) -> DataFrame:
     """All rows and columns of ``docs`` plus size, shard (0 .. shards - 1) and slot (0, 1 .. within the shard); columns of these names are replaced.
 
     A row's size is its text's UTF-8 bytes plus 1. Rows without text belong to no group. Rows with equal ids are told apart by their text; slots of
