@@ -1,8 +1,12 @@
 """All queries of the library, by name, with their SQL twins."""
 
-QUERIES = {}
-SQL = {}
+from __future__ import annotations
 
+from secdata.plans import recovery
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+_PARTS = (recovery,)
+
+QUERIES = {k: v for p in _PARTS for k, v in p.QUERIES.items()}
+SQL = {k: v for p in _PARTS for k, v in p.SQL.items()}
+
+flagship = recovery.a5_label_stats
