@@ -12,7 +12,8 @@ Steps (``link_classes``), none of which gathers a group or emits all pairs of on
    They are tested too (all classes against those outside the signature's largest component), so no link is lost.
 
 Before sets are compared exactly, a parity sketch refutes most pairs without loss: the sketches of two sets differ in
-no more bits than the sets differ in features. Sets are read again only for classes that have an unrefuted partner.
+no more bits than the sets differ in features. Texts are read again only for classes
+that have an unrefuted partner; a second sketch, as wide as the set is large, and only then the sets themselves decide.
 """
 
 from __future__ import annotations
@@ -98,9 +99,11 @@ def _packer(n: int, num: int, den: int, parts: int):
             ends = np.searchsorted(part, np.arange(parts + 1))
             for p in np.flatnonzero(np.diff(ends)):
                 a, b = ends[p], ends[p + 1]
-                used, many_of = np.unique(who[a:b], return_counts=True)
+                used, many_of = np.unique(who[a:b], return_counts=True)  # a set has fewer than 65536 signatures in a range, or repeats itself
+                if many_of.max() > 65535:
+                    used, many_of = np.repeat(used, -(-many_of // 65535)), np.concatenate([np.diff(np.append(np.arange(0, m, 65535), m)) for m in many_of])
                 bits = np.packbits(marks[a:b] & 1).tobytes() + (np.packbits(marks[a:b] >> 1).tobytes() if (marks[a:b] & 2).any() else b"")
-                rows.append((int(p), 0, classes[used].tobytes() + many_of.astype(np.uint32).tobytes(), sig[a:b].astype(np.uint32).tobytes(), bits))
+                rows.append((int(p), 0, classes[used].tobytes() + many_of.astype(np.uint16).tobytes(), sig[a:b].astype(np.uint32).tobytes(), bits))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["part", "what", "ids", "data", "marks"])
 
     return run
@@ -133,8 +136,8 @@ def _finder(parts: int):
                     yield posted((((sig >> np.uint64(32)) % np.uint64(parts)) << np.uint64(32)) | (sig & np.uint64(0xFFFFFFFF)), kind, np.frombuffer(more, np.uint8) & 1 == 1, None, None)
                 else:
                     sig = np.frombuffer(data, np.uint32)
-                    used = len(ids) // 12
-                    counts = np.frombuffer(ids[8 * used :], np.uint32)
+                    used = len(ids) // 10
+                    counts = np.frombuffer(ids[8 * used :], np.uint16)
                     bits = np.frombuffer(more, np.uint8)
                     width = -(-len(sig) // 8)
                     mark = np.unpackbits(bits[:width], count=len(sig))
@@ -179,6 +182,45 @@ def _finder(parts: int):
     return run
 
 
+def _wide_sketch(features: np.ndarray) -> bytes:
+    """A parity sketch of at least 1.5 bits a feature; two of different sizes are compared by folding the larger."""
+    bits = 1 << max(9, int(len(features) * 3 // 2).bit_length())
+    return np.packbits((np.bincount((features & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(x: np.ndarray, size: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(x.reshape(-1, size), 0)
+
+
+def _sketcher(n: int):
+    """(class, text) to (class, text, n, wide sketch)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text"):
+            owner, features = shingles(Words(piece.column("text"), SPACED_BYTES), n)
+            sizes = np.bincount(owner, minlength=piece.num_rows)
+            sketches = [_wide_sketch(f) for f in np.split(features, np.cumsum(sizes)[:-1])]
+            yield pa.RecordBatch.from_arrays([piece.column("class"), piece.column("text"), pa.array(sizes), pa.array(sketches, pa.binary())], names=["class", "text", "n", "wide"])
+
+    return run
+
+
+def _refuter(num: int, den: int):
+    """(a, b, x, y) with n and the wide sketches of a and b, to the pairs that those don't refute."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for n, m, x, y in zip(batch.column("xn").to_pylist(), batch.column("yn").to_pylist(), batch.column("x"), batch.column("y"), strict=True):
+                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                size = min(len(p), len(q))
+                apart = int(np.bitwise_count(_folded(p, size) ^ _folded(q, size)).sum())
+                good.append(apart * (den + num) <= (n + m) * (den - num))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
 def _setter(n: int):
     """(class, text) to (class, the sorted shingle hashes as bytes)."""
 
@@ -220,9 +262,9 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     classes that connect exactly what the full join connects. Class 0 holds documents without words.
     """
     spark = docs.sparkSession
-    ranges_ = 4 * reducers(spark)
+    ranges_ = reducers(spark)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL")
-    packed = source.mapInArrow(_packer(words, num, den, ranges_), _PACKED).repartition(reducers(spark), "part")
+    packed = source.mapInArrow(_packer(words, num, den, ranges_), _PACKED).repartitionById(ranges_, F.col("part"))
     found = settle(packed.mapInArrow(_finder(ranges_), _FOUND))
     members = found.where("doc IS NOT NULL").select("doc", "class", "n")
     posts = found.where("doc IS NULL").select("sig", "class", "up", "leader", "c")
@@ -240,12 +282,19 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def tests(needed: DataFrame):
         wanted = settle(documents.join(needed, "class").select("class", F.col("doc").alias("id")))
         texts = wanted.join(only_ids(source, "id", wanted), "id")
-        sets = settle(texts.select("class", "text").mapInArrow(_setter(words), "class long, features binary"))
+        texts = settle(texts.select("class", "text").mapInArrow(_sketcher(words), "class long, text string, n long, wide binary"))
+
+        def both(pairs: DataFrame, table: DataFrame, of: dict[str, str]) -> DataFrame:
+            for side, other in (("a", "x"), ("b", "y")):
+                pairs = pairs.join(table.select(F.col("class").alias(side), *[F.col(c).alias(other + suffix) for c, suffix in of.items()]), side)
+            return pairs
 
         def similar(pairs: DataFrame) -> DataFrame:
-            with_x = pairs.join(sets.select(F.col("class").alias("a"), F.col("features").alias("x")), "a")
-            with_y = with_x.join(sets.select(F.col("class").alias("b"), F.col("features").alias("y")), "b")
-            return with_y.select("a", "b", "x", "y").mapInArrow(_tester(num, den), "a long, b long")
+            left = both(pairs, texts, {"wide": "", "n": "n"}).select("a", "b", "x", "y", "xn", "yn").mapInArrow(_refuter(num, den), "a long, b long")
+            left = settle(left)
+            used = left.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+            sets = texts.select("class", "text").join(used, "class").mapInArrow(_setter(words), "class long, features binary")
+            return both(left, sets, {"features": ""}).select("a", "b", "x", "y").mapInArrow(_tester(num, den), "a long, b long")
 
         return similar
 

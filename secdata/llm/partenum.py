@@ -29,6 +29,7 @@ class Bands:
             hi = max(lo, lo * den // num)
             his.append(hi)
         hi = (hi + 1) * den // num
+        self.num, self.den = num, den
         self.hi = np.array([*his, hi], np.int64)  # of band 0 (empty sets), 1, 2 ...
         self.differ = (2 * self.hi * (den - num)) // (den + num)
         self.parts = np.maximum(self.hi // 2, 4 * self.differ // 3) + 1
@@ -37,6 +38,11 @@ class Bands:
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.hi, sizes)
 
+    def needed(self, sizes: np.ndarray, band: np.ndarray) -> np.ndarray:
+        """How many signatures a set of each size must have in an instance: one more than it may differ from its largest possible partner there."""
+        partner = np.minimum(self.hi[band], sizes * self.den // self.num)
+        return (sizes + partner) * (self.den - self.num) // (self.den + self.num) + 1
+
 
 def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct n-word shingles of every value as (owner, hash), sorted by both; fewer words make one shingle."""
@@ -81,7 +87,7 @@ def signatures(owner: np.ndarray, features: np.ndarray, n: int, bands: Bands) ->
     found = []
     for up in (True, False):
         at = band + (0 if up else 1)
-        parts, need = bands.parts[at], bands.differ[at] + 1
+        parts, need = bands.parts[at], bands.needed(sizes, at)
         where = np.concatenate(([0], np.cumsum(parts)))
         # A multiplication deals the feature to a part; the band is mixed in, so that the parts of two bands are unrelated.
         spread = mix(features + _B * at[owner].astype(np.uint64))
