@@ -7,8 +7,6 @@ Classification runs once per distinct CWE, by frontier joins over the catalog; s
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,11 +59,17 @@ def _table(spark: SparkSession, mapping: dict[str, str], key: str, value: str) -
 def closure(roots: DataFrame, edges: DataFrame, start: str, end: str, depth: int) -> DataFrame:
     """(root, node, depth): what ``roots`` (root) reach over edges start -> end in 1 .. ``depth`` steps, with the least depth."""
     step = edges.select(F.col(start).alias("node"), F.col(end).alias("next")).distinct()
-    front, found = roots.select("root", F.col("root").alias("node")), []
-    for d in range(1, depth + 1):
-        front = front.join(step, "node").select("root", F.col("next").alias("node")).distinct()
-        found.append(front.withColumn("depth", F.lit(d)))
-    return reduce(DataFrame.unionByName, found).where("root <> node").groupBy("root", "node").agg(F.min("depth").alias("depth"))
+    return reached(roots, step.withColumn("open", F.lit(True)), depth)
+
+
+def reached(roots: DataFrame, step: DataFrame, depth: int) -> DataFrame:
+    """(root, node, depth) along step (node, next, open), where a node that isn't open is passed only by its own root."""
+    walk = f"""
+        WITH RECURSIVE walk(root, node, depth) AS (
+          SELECT root, root, 0 FROM {{roots}}
+          UNION ALL SELECT walk.root, s.next, walk.depth + 1 FROM walk JOIN {{step}} s ON walk.node = s.node WHERE walk.depth < {depth} AND (walk.depth = 0 OR s.open))
+        SELECT root, node, min(depth) AS depth FROM walk WHERE root <> node GROUP BY root, node"""
+    return roots.sparkSession.sql(walk, roots=roots.select("root").distinct(), step=step)
 
 
 def ancestors(cwes: DataFrame, parent: DataFrame, depth: int = 12) -> DataFrame:
@@ -110,14 +114,9 @@ def classify(cwes: DataFrame, catalog: dict[str, DataFrame], scheme: Scheme, max
     last = level2.withColumn("rule", F.lit(FAR_LEVEL2)).unionByName(pillar.join(level2, "node", "left_anti").withColumn("rule", F.lit(FAR_PILLAR)))
     topped = up.join(last, "node").groupBy("root").agg(F.min_by(F.struct("classes", "rule"), place).alias("c"))
 
-    step = catalog["child"].select(F.col("parent").alias("node"), F.col("child").alias("next")).distinct()
-    front, seen, votes = roots.withColumn("node", F.col("root")), roots.withColumn("node", F.col("root")), []
-    for _ in range(max_depth):
-        front = front.join(step, "node").select("root", F.col("next").alias("node")).distinct().join(seen, ["root", "node"], "left_anti")
-        seen = seen.unionByName(front)
-        votes.append(front.join(direct, "node").select("root", F.explode("classes").alias("class")))
-        front = front.join(direct.select("node"), "node", "left_anti").select("root", "node")
-    tally = reduce(DataFrame.unionByName, votes).groupBy("root", "class").agg(F.count("*").alias("n"))
+    shut = direct.select("node", F.lit(True).alias("shut"))
+    step = catalog["child"].select(F.col("parent").alias("node"), F.col("child").alias("next")).distinct().join(shut, "node", "left").select("node", "next", F.col("shut").isNull().alias("open"))
+    tally = reached(roots, step, max_depth).join(direct, "node").select("root", F.explode("classes").alias("class")).groupBy("root", "class").agg(F.count("*").alias("n"))
     most = tally.groupBy("root").agg(F.max("n").alias("n"))
     voted = tally.join(most, ["root", "n"]).groupBy("root").agg(F.array_sort(F.collect_set("class")).alias("classes"))
     caught = catalog["cat699"].where(F.col("category").isin(scheme.catch_all)).groupBy(F.col("member").alias("root")).agg(F.min("category").alias("category")).join(F.broadcast(_table(spark, scheme.category, "category", "class")), "category").select("root", F.array("class").alias("classes"))
@@ -169,12 +168,12 @@ def classify_many(rows: DataFrame, column: str, dim: DataFrame, prefix: str) ->
 
 def prune_ancestors(rows: DataFrame, column: str, parent: DataFrame) -> DataFrame:
     """Adds cwe_pruned: the CWEs of a list that aren't ancestors of another one in it, in order, joined by ';'. Works on distinct lists."""
-    lists = rows.select(column).distinct().withColumn("cwes", rules.split_cwes(F.col(column)))
-    items = lists.select(column, F.posexplode("cwes").alias("pos", "cwe")).withColumn("id", F.replace("cwe", F.lit("CWE-"), F.lit("")))
+    lists = rows.select(F.col(column).alias("__list")).distinct()
+    items = lists.select("__list", F.posexplode(rules.split_cwes(F.col("__list"))).alias("pos", "cwe")).withColumn("id", F.replace("cwe", F.lit("CWE-"), F.lit("")))
     up = ancestors(items.select(F.col("id").alias("root")).distinct(), parent)
-    covered = items.select(column, F.col("id").alias("root")).join(F.broadcast(up), "root").select(column, F.col("node").alias("id")).distinct()
-    kept = items.join(covered, [column, "id"], "left_anti").groupBy(column).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "cwe"))), lambda s: s["cwe"]), ";").alias("cwe_pruned"))
-    return rows.join(kept.withColumnRenamed(column, "__v"), rows[column] == F.col("__v"), "left").drop("__v").withColumn("cwe_pruned", F.coalesce("cwe_pruned", F.lit("")))
+    covered = items.select("__list", F.col("id").alias("root")).join(F.broadcast(up), "root").select("__list", F.col("node").alias("id")).distinct()
+    kept = items.join(covered, ["__list", "id"], "left_anti").groupBy("__list").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "cwe"))), lambda s: s["cwe"]), ";").alias("cwe_pruned"))
+    return rows.join(kept, rows[column] == F.col("__list"), "left").drop("__list").withColumn("cwe_pruned", F.coalesce("cwe_pruned", F.lit("")))
 
 
 def assign_group(rows: DataFrame, code: str = "func_before", lines: str = "vul_lines_text") -> DataFrame:

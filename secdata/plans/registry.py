@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from secdata.plans import recovery
+from secdata.plans import curation, recovery
 
-_PARTS = (recovery,)
+_PARTS = (recovery, curation)
 
 QUERIES = {k: v for p in _PARTS for k, v in p.QUERIES.items()}
 SQL = {k: v for p in _PARTS for k, v in p.SQL.items()}
