@@ -392,3 +392,62 @@ def s11_s12_enrichment(spark, sf_dir):
 
 QUERIES = {k: v for k, v in list(globals().items()) if callable(v) and getattr(v, "__module__", "") == __name__ and k[0] in "najpulgvskw" and k[1:2].isdigit()}
 SQL: dict[str, str] = {}
+
+# ---------------------------------------------------------------- SQL twins
+
+_LISTS = f"lists AS ({X.text(LISTS)})"
+_E = _values(_EDGES, "child", "parent")
+_ITEMS = "items AS (SELECT sample_id, cwes, unnest(string_split(cwes, ';')) AS cwe FROM lists)"
+_UP = f"up AS (SELECT DISTINCT replace(cwe, 'CWE-', '') AS root, replace(cwe, 'CWE-', '') AS node, 0 AS depth FROM items UNION SELECT up.root, e.parent, up.depth + 1 FROM up JOIN {_E} e ON e.child = up.node WHERE up.depth < 12), upm AS (SELECT root, node, min(depth) AS depth FROM up WHERE root <> node GROUP BY 1, 2)"
+_PAIR = f"p AS (SELECT *, CAST(doc_id AS VARCHAR) AS key, CASE WHEN doc_id % 19 = 0 THEN NULL ELSE 'lua' END AS lang FROM (SELECT *, string_split(text, chr(10)) AS l FROM ({X.text(PAIRS)})) WHERE len(list_distinct(l)) = len(l))"
+_UNION = f"""{_PAIR}, u0 AS (SELECT key, doc_id, n, k, kind, lang, l, CAST(unnest(range(1, n + 1 + CASE WHEN kind = 1 THEN 1 ELSE 0 END)) AS INT) AS i FROM p),
+u AS (SELECT *, kind = 1 AND i = k + 1 AS is_added, kind < 2 AND i = k AS is_removed, i - CASE WHEN kind = 1 AND i > k THEN 1 ELSE 0 END AS bl, i - CASE WHEN kind < 2 AND i > k THEN 1 ELSE 0 END AS al FROM u0)"""
+_MARK = f"""{_UNION}, m AS (SELECT *, is_removed AS r, kind = 1 AND doc_id % 4 <> 0 AND i - k IN (0, 2, 4, -2) AS d FROM u WHERE lang IS NOT NULL AND kind < 2 AND NOT is_added),
+lab AS (SELECT key, i AS union_line, r AS from_removed, d AS from_depadd FROM m WHERE (r OR d) AND trim(l[bl]) <> ''),
+st AS (SELECT p.key, p.lang, p.kind, n + CASE WHEN kind = 1 THEN 1 ELSE 0 END AS n_lines, CASE WHEN kind < 2 THEN 1 ELSE 0 END AS n_removed, CASE WHEN kind = 1 THEN 1 ELSE 0 END AS n_added, doc_id % 4 <> 0 AS g, coalesce(c, 0) AS n_vul FROM p LEFT JOIN (SELECT key, count(*) AS c FROM lab GROUP BY 1) x ON x.key = p.key),
+status AS (SELECT key, lang, CASE WHEN lang IS NULL THEN 'unsupported_language' WHEN kind = 2 THEN 'no_change' WHEN g AND n_vul > 0 THEN CASE WHEN kind = 0 THEN 'joern_delete_only' ELSE 'joern_ok' END WHEN kind = 0 THEN 'ok_delete_only' ELSE 'no_pdg_signal' END AS status, CASE WHEN lang IS NULL OR kind = 2 THEN 'none' WHEN (g AND n_vul > 0) OR kind = 0 THEN 'high' ELSE 'low' END AS confidence, n_lines, n_removed, n_added, CASE WHEN g THEN n_lines ELSE 0 END AS n_cdg, CASE WHEN g THEN n_lines ELSE 0 END AS n_ddg, n_vul FROM st)"""
+_R = f"refs AS ({X.text(X.REFS)})"
+_RAW = f"raw AS ({X.text(X.SAMPLES)}), pk AS (SELECT *, CAST(project % 40 AS VARCHAR) AS pj, sha1(CAST(project AS VARCHAR)) AS sha FROM raw)"
+_PROJECT = "CASE project % 8 WHEN 0 THEN NULL WHEN 3 THEN substr(sha, 1, 12) WHEN 6 THEN sha ELSE 'proj' || pj END"
+
+
+def _fam(c: str) -> str:
+    return f"CASE WHEN {c} IN ('C', 'C++') THEN 'C/C++' ELSE {c} END"
+
+
+def _conf(s: str, m: str, agreed: bool) -> str:
+    a, b, c, d = (0.55, 0.15, 0.30, 0.08) if agreed else (0.70, 0.20, 0.50, 0.12)
+    return f"CASE WHEN {s} >= {a}::DOUBLE AND {m} >= {b}::DOUBLE THEN 'high' WHEN {s} >= {c}::DOUBLE AND {m} >= {d}::DOUBLE THEN 'medium' ELSE 'low' END"
+
+
+_WIT = f"w AS (SELECT *, CAST(before_score AS DOUBLE) AS bs, CAST(before_margin AS DOUBLE) AS bm, CAST(after_score AS DOUBLE) AS s2, CAST(after_margin AS DOUBLE) AS m2 FROM ({X.text(WITNESSES).replace('10.0D', '10.0::DOUBLE').replace('8.0D', '8.0::DOUBLE')}))"
+_CASES = f"""{_WIT}, c AS (SELECT *, CASE WHEN before_language IS NULL AND after_language IS NULL THEN 'no_prediction' WHEN after_language IS NULL THEN 'before_only' WHEN before_language IS NULL THEN 'after_only' WHEN before_language = after_language THEN 'before_after_exact_agree'
+ WHEN {_fam('before_language')} = {_fam('after_language')} THEN 'before_after_family_agree_choose_' || CASE WHEN bs + bm >= s2 + m2 THEN 'before' ELSE 'after' END ELSE 'disagree_choose_' || CASE WHEN bs + bm >= s2 + m2 THEN 'before' ELSE 'after' END END AS decision FROM w),
+c2 AS (SELECT *, decision LIKE '%agree%' AND decision NOT LIKE 'disagree%' AS agree, CASE WHEN decision = 'no_prediction' THEN 'Unknown' WHEN decision LIKE '%after' AND decision LIKE '%choose%' OR decision = 'after_only' THEN after_language ELSE before_language END AS language FROM c),
+c3 AS (SELECT *, CASE WHEN decision = 'no_prediction' THEN 0.0 WHEN agree THEN (bs + s2) / 2 WHEN decision IN ('after_only', 'disagree_choose_after') THEN s2 ELSE bs END AS sc, CASE WHEN decision = 'no_prediction' THEN 0.0 WHEN agree THEN (bm + m2) / 2 WHEN decision IN ('after_only', 'disagree_choose_after') THEN m2 ELSE bm END AS ma FROM c2),
+c4 AS (SELECT *, CASE WHEN agree THEN {_conf('sc', 'ma', True)} WHEN decision LIKE 'disagree%' AND {_conf('sc', 'ma', False)} = 'high' THEN 'medium' ELSE {_conf('sc', 'ma', False)} END AS confidence FROM c3)"""
+
+SQL |= {
+    "g1_ancestors": f"WITH RECURSIVE {_LISTS}, {_ITEMS}, {_UP} SELECT * FROM upm",
+    "g2_pruned": f"WITH RECURSIVE {_LISTS}, {_ITEMS}, {_UP}, keep AS (SELECT i.sample_id, string_agg(i.cwe, ';' ORDER BY list_position(string_split(i.cwes, ';'), i.cwe)) AS k FROM items i WHERE NOT EXISTS (SELECT 1 FROM items o JOIN upm ON upm.root = replace(o.cwe, 'CWE-', '') WHERE o.sample_id = i.sample_id AND upm.node = replace(i.cwe, 'CWE-', '')) GROUP BY 1) SELECT l.sample_id, coalesce(k, '') AS cwe_pruned FROM lists l LEFT JOIN keep ON keep.sample_id = l.sample_id",
+    "n28_n30_repo_keys": f"WITH {_RAW} SELECT sample_id, CASE project % 8 WHEN 0 THEN NULL WHEN 2 THEN 'git.example.org/cgit/proj' || pj WHEN 3 THEN 'android.googlesource.com/platform/proj' || pj || '/+/' || substr(sha, 1, 12) WHEN 4 THEN 'git.example.net/proj' || pj || '.git' WHEN 6 THEN 'example.com/archive/' || sha WHEN 7 THEN 'gitlab.com/org' || pj || '/proj' || pj ELSE 'github.com/org' || pj || '/proj' || pj END AS repo_key, {_PROJECT} AS project_key, CASE project % 8 WHEN 0 THEN NULL WHEN 4 THEN NULL WHEN 2 THEN 'cgit/proj' || pj || '.git' WHEN 3 THEN 'platform/proj' || pj WHEN 6 THEN 'archive/' || sha ELSE 'org' || pj || '/proj' || pj END AS owner_repo FROM pk",
+    "v11_split": f"WITH {_RAW} SELECT sample_id, {_PROJECT} AS project_key, CASE WHEN CAST('0x' || substr(md5({_PROJECT}), 1, 8) AS BIGINT) % 10000 < 2000 THEN 'test' ELSE 'train' END AS split FROM pk",
+    "l1_n26_n27_cascade": "WITH f AS (SELECT p_partkey AS sample_id, CASE p_partkey % 6 WHEN 0 THEN 'C' WHEN 1 THEN 'C++' WHEN 4 THEN 'Python' END AS e, CASE p_partkey % 4 WHEN 0 THEN 'Rust' WHEN 3 THEN 'TypeScript' END AS f, CASE p_partkey % 3 WHEN 0 THEN 'C' WHEN 1 THEN 'Go' END AS c FROM part) SELECT sample_id, coalesce(e, f, c) AS language, CASE WHEN e IS NOT NULL THEN 'extension' WHEN f IS NOT NULL THEN 'file_name' WHEN c IS NOT NULL THEN 'commit_link_path' END AS language_source, CASE WHEN coalesce(e, f, c) IS NOT NULL THEN 'high' END AS language_confidence FROM f",
+    "n31_message_family": "SELECT p_partkey AS sample_id, CASE p_partkey % 5 WHEN 0 THEN 'C/C++' WHEN 4 THEN 'Java' END AS family FROM part",
+    "n36_n37_predictions": f"WITH {_CASES} SELECT sample_id, language, {_fam('language')} AS language_family, round(sc, 9) AS score, round(ma, 9) AS margin, confidence, agree, decision = 'before_after_exact_agree' AS exact_agree, decision, decision LIKE 'disagree%' OR confidence = 'low' OR language = 'Unknown' AS review FROM c4",
+    "a8_language_prior": f"WITH {_WIT}, n AS (SELECT repo_key, true_language AS l, count(*) AS c FROM w WHERE language_source = 'extension' GROUP BY 1, 2) SELECT repo_key, arg_min(l, (-c, l)) AS prior, round(max(c) / sum(c), 9) AS purity, max(c) AS support FROM n GROUP BY 1 HAVING max(c) / sum(c) >= 0.5",
+    "v1_w3_alignment": f"WITH {_UNION} SELECT key, i AS union_line, NOT is_added AS in_before, NOT is_removed AS in_after, is_added, is_removed, CASE WHEN NOT is_added THEN bl END AS before_line, CASE WHEN NOT is_removed THEN al END AS after_line FROM u",
+    "v2_gates": f"WITH {_PAIR}, g AS (SELECT key, lang, kind, n + CASE WHEN kind = 1 THEN 1 ELSE 0 END AS n_lines, CASE WHEN kind < 2 THEN 1 ELSE 0 END AS n_removed, CASE WHEN kind = 1 THEN 1 ELSE 0 END AS n_added FROM p) SELECT key, CASE WHEN lang IS NULL THEN 'unsupported_language' WHEN kind = 2 THEN 'no_change' WHEN (n_removed + n_added) / n_lines > 0.4 AND n_removed + n_added >= 2 THEN 'diff_too_large' END AS gate, n_lines, n_removed, n_added FROM g",
+    "s10_graph_sizes": f"WITH {_PAIR} SELECT key, n + CASE WHEN kind = 1 THEN 1 ELSE 0 END AS n_graph_lines, n + CASE WHEN kind = 1 THEN 1 ELSE 0 END AS n_cdg, n + CASE WHEN kind = 1 THEN 1 ELSE 0 END AS n_ddg FROM p WHERE doc_id % 4 <> 0",
+    "j14_u4_vul_lines": f"WITH {_MARK} SELECT * FROM lab",
+    "v3_v5_status": f"WITH {_MARK} SELECT * EXCLUDE (lang) FROM status",
+    "a12_a13_status_report": f"WITH {_MARK} SELECT status, count(*) AS n, count(*) FILTER (n_vul > 0) AS usable FROM status GROUP BY 1",
+    "a14_failure_reasons": f"WITH {_MARK} SELECT lang, count(*) FILTER (status = 'unsupported_language') AS unsupported_language, count(*) FILTER (status = 'no_change') AS no_change, count(*) FILTER (status = 'diff_too_large') AS diff_too_large FROM status GROUP BY 1",
+    "u3_w2_incremental": "SELECT md5(text) AS sample_key, coalesce(max(doc_id) FILTER (doc_id % 3 = 0), -1) AS load FROM documents GROUP BY 1",
+    "s2_n12_n13_osv": f"WITH {_R} SELECT cve, cwe AS cwes, url, kind FROM refs WHERE ref_id % 17 <> 0 AND ref_id % 10 <> 0",
+    "s4_s5_n16_cvelist": f"WITH {_R} SELECT cve, c AS container, array_to_string(list_sort([cwe, 'CWE-5']), ';') AS cwes, cwe AS primary_cwes, 1 AS n_refs FROM refs, (VALUES ('cna'), ('adp0')) t(c) WHERE ref_id % 7 <> 0 AND ref_id % 13 <> 0",
+    "a22_scan_counters": f"WITH {_R}, k AS (SELECT * FROM refs WHERE ref_id % 17 <> 0 AND ref_id % 10 <> 0) SELECT (SELECT count(*) FROM refs) AS scanned, count(*) AS kept, count(*) AS refs, count(*) FILTER (kind = 'FIX') AS patch_refs FROM k",
+    "s11_s12_enrichment": f"WITH {_R} SELECT cve, cwe AS cwes FROM refs",
+    "a20_sizes": f"WITH {X.LABELLED}, n AS (SELECT cve_id, count(*) AS n FROM keyed WHERE cve_id IS NOT NULL GROUP BY 1) SELECT count(*) AS n_classes, count(*) FILTER (n < 10) AS n_small, max(n) AS largest FROM n",
+    "a20_gap": f"WITH {X.LABELLED} SELECT coalesce(cve_source, 'none') AS source, count(*) AS n, count(*) FILTER (length(trim(cve_description)) > 0) AS with_description FROM keyed WHERE cve_id IS NOT NULL AND cwe_id IS NULL GROUP BY 1",
+}
