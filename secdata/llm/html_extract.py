@@ -146,8 +146,13 @@ def main_text(page: str | None) -> str:
     marks = _smooth([s[1] / s[2] for s in paths.values()])
     fused = [a * (1 + b) for a, b in zip(length, marks, strict=True)]
     least = 0.2 * max(fused)
-    chosen = {path[: next((i + 1 for i, t in enumerate(path) if t in BODY), len(path) - 1)] for path, f in zip(paths, fused, strict=True) if f >= least}
-    return "\n".join(text for path, text in nodes if any(path[: len(c)] == c for c in chosen))
+    picked = {path for path, f in zip(paths, fused, strict=True) if f >= least}
+    roots = {path[: next((i + 1 for i, t in enumerate(path) if t in BODY), len(path) - 1)] for path in picked}
+
+    def kept(path: tuple[str, ...]) -> bool:
+        return path in picked or any(path[: len(r)] == r and (len(path) > len(r) or path[-1:] and path[-1] in BODY) for r in roots)
+
+    return "\n".join(text for path, text in nodes if kept(path))
 
 
 def extract(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:

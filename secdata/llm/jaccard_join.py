@@ -258,7 +258,7 @@ def _near(x: str, y: str, num: int, den: int) -> F.Column:
 
 
 def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 3, den: int = 4) -> tuple[DataFrame, DataFrame]:
-    """Returns (members, links): members has (doc, class, n), one row per row of ``docs``; links has pairs (a, b) of similar
+    """Returns (members, links): members has (doc, class, n), one row per row of ``docs``; links has pairs (a, b) of
     classes that connect exactly what the full join connects. Class 0 holds documents without words.
     """
     spark = docs.sparkSession

@@ -51,7 +51,7 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def star_links(posts: DataFrame, known: DataFrame, traits: list[str], near: Callable[[str, str], F.Column], tests: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]) -> DataFrame:
-    """Similar pairs (a, b) of classes that share a signature, enough of them to connect what all similar pairs connect.
+    """Pairs (a, b) of classes that connect what all similar pairs with a shared signature connect: each class with the root of its first component, and further links.
 
     posts: (sig, class, up, leader, c), where leader is the signature's smallest upper class, c its number of classes, and a pair counts if at least one side is
     up; for c = 2 the row of the leader may be left out. known: (class, *traits, ...) of all classes in posts; near(x, y): a condition on the
@@ -73,13 +73,14 @@ def star_links(posts: DataFrame, known: DataFrame, traits: list[str], near: Call
     similar = tests(needed)
 
     links = settle(similar(stars))
-    placed = settle(wide.join(needed, "class").join(connected(links).withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class")))
+    roots = settle(connected(links))
+    placed = settle(wide.join(needed, "class").join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class")))
     sizes = placed.groupBy("sig", "root").agg(F.count("*").alias("c"))
     split = sizes.groupBy("sig").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
     placed = settle(placed.join(split.select("sig", "main"), "sig")).join(known, "class")
     condition = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.up") | F.col("y.up")) & near("x", "y")
     rest = placed.alias("x").join(placed.where("root <> main").alias("y"), condition).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
-    return links.union(settle(similar(rest.join(stars, ["a", "b"], "left_anti"))))
+    return roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).union(settle(similar(rest.join(stars, ["a", "b"], "left_anti"))))
 
 
 def only_ids(rows: DataFrame, id_col: str, wanted: DataFrame, bits: int = 1 << 23) -> DataFrame:
