@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from secdata.llm import decontaminate, html_extract, jaccard_join, langid, mixing, quality, sharding, toxicity
 from secdata.llm.line_dedup import op5_line_dedup
+from secdata.llm.search import op10_topk_search
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,5 +127,5 @@ def _op8_sql(entropy: float = 0.95, repeats: float = 2.0, budget_part: float = 1
     return "WITH " + ",\n".join(ctes) + f"\nSELECT {cols} FROM ep WHERE epoch < whole UNION ALL SELECT {cols} FROM tk WHERE n <= room UNION ALL SELECT {cols} FROM bd WHERE upto <= room"
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_jaccard_join, op3_sharding, op4_language_id, op5_line_dedup, op6_html_extraction, op7_quality, op8_source_mixing, op9_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_jaccard_join, op3_sharding, op4_language_id, op5_line_dedup, op6_html_extraction, op7_quality, op8_source_mixing, op9_toxicity, op10_topk_search)}
 SQL = {"op1_decontamination": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op8_source_mixing": _op8_sql()}
