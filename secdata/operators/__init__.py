@@ -1,0 +1 @@
+"""Jobs from DataFrames to DataFrames."""

@@ -1,0 +1 @@
+"""Queries and their SQL twins."""

@@ -1,0 +1 @@
+"""Empty: no job of this library is a stream; incremental runs use operators.lines.pending and keep_last."""
