@@ -1,11 +1,14 @@
-"""Exact top-k search: BM25 over an inverted index with block-max WAND pruning, per shard, merged exactly.
+"""Exact top-k search: BM25 over an inverted index per shard, merged exactly; block-max WAND for short queries.
 
-Queries are taken in blocks of bounded size, whose terms and weights are broadcast. A pass over all documents keeps the postings of the block's terms, with
-document lengths; document frequencies, the number of documents and their mean length are global. Postings are dealt to shards by a hash of the document. A shard's task
-builds the postings lists of its documents, with the largest score of every ``BLOCK`` postings, and answers all queries of the block; the shards' top k are merged
-by score. As weights are global, the merged top k are those of one index.
+Queries are taken in blocks of a bounded number of terms, which are broadcast. A pass over all documents packs, for each, the counts of the block's terms
+into one row with the document's length; rows are dealt to shards by a hash of the document, of about ``SHARD_WORDS`` words each. Document frequencies, the number of
+documents and their mean length are global. A shard's task builds the postings lists of its documents and answers all queries of the block; the shards' top k are merged by
+score. As weights are global, the merged top k are those of one index.
 
-A query made from a document's whole text is its ``n_terms`` longest distinct words (ties: alphabetical order).
+A query of at most ``WAND_TERMS`` terms is answered by block-max WAND. The bounds of longer ones prune nothing, so all their postings are added up: terms that many of the
+shard's documents have by a matrix product, the others by their lists; documents that may be among the best are then summed again in one order of terms.
+
+A query made from a document's text is all its distinct words, or its ``n_terms`` longest (ties: alphabetical order).
 """
 
 from __future__ import annotations
@@ -18,14 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from secdata.llm.shared import reducers, settle
-from secdata.llm.text import WORD_BYTES, Words, pieces
+from secdata.llm.shared import settle
+from secdata.llm.text import WORD_BYTES, Words, pieces, ranges
 
 K1, B, BLOCK = 1.2, 0.75, 64
+WAND_TERMS, SHARD_WORDS, LEAST_SHARDS, BLOCK_TERMS, DENSE_CELLS = 12, 4_000_000, 8, 4_000_000, 4_000_000
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
-def query_terms(text: str | None, n: int) -> list[bytes]:
+def query_terms(text: str | None, n: int | None = None) -> list[bytes]:
     return sorted(set(_WORD.findall((text or "").encode().lower())), key=lambda w: (-len(w), w))[:n]
 
 
@@ -95,19 +99,113 @@ class Shard:
                         at[i] = int(np.searchsorted(lists[i][0], target))
 
 
-def _answerer(plan, k: int):
-    """A shard's postings (term, doc, score) to the shard's k best documents of each query in the broadcast ``plan``."""
+class Packed:
+    """A shard's documents from their packed rows, in the order of their ids; rows with equal ids are one document. term and tf by document, ``first`` the offsets."""
+
+    def __init__(self, table: pa.Table):
+        ids = table.column("doc").to_numpy()
+        codes, tfs = table.column("codes").to_pylist(), table.column("tfs").to_pylist()
+        term, tf = np.frombuffer(b"".join(codes), np.int32), np.frombuffer(b"".join(tfs), np.int32)
+        self.ids, at = np.unique(ids, return_inverse=True)
+        self.dl = np.bincount(at, table.column("dl").to_numpy(), len(self.ids))
+        owner = np.repeat(at, np.fromiter((len(c) // 4 for c in codes), np.int64, len(codes)))
+        key, back = np.unique((owner << 32) | term, return_inverse=True)
+        self.tf = np.bincount(back, tf, len(key))
+        self.owner, self.term = key >> 32, key & 0xFFFFFFFF
+        self.first = np.searchsorted(self.owner, np.arange(len(self.ids) + 1))
+
+
+def _frequencies(table):
+    terms, df = np.unique(Packed(table).term, return_counts=True)
+    return pa.table({"term": pa.array(terms, pa.int32()), "df": pa.array(df, pa.int64())})
+
+
+class Adder:
+    """Answers long queries over a shard's postings by adding up all of them."""
+
+    def __init__(self, docs: Packed, score: np.ndarray, n_terms: int):
+        self.docs, self.score, self.n = docs, score, len(docs.ids)
+        order = np.argsort(docs.term, kind="stable")
+        self.doc, self.by_term = docs.owner[order], score[order]
+        self.begin = np.searchsorted(docs.term[order], np.arange(n_terms + 1))
+        df = np.diff(self.begin)
+        most = min(int((df >= max(8, self.n / 50)).sum()), DENSE_CELLS // max(1, self.n))
+        often = np.sort(np.argsort(-df, kind="stable")[:most])
+        self.column = np.full(n_terms, -1)
+        self.column[often] = np.arange(most)
+        self.dense = np.zeros((most, self.n))
+        at = ranges(self.begin[often], df[often])
+        self.dense[np.repeat(np.arange(most), df[often]), self.doc[at]] = self.by_term[at]
+        self.asked = np.zeros(n_terms, bool)
+
+    def top(self, queries: list[np.ndarray], k: int):
+        """For each query (its terms), the k best (score, document), best first; equal scores by the smaller document."""
+        step = max(1, DENSE_CELLS // 2 // max(1, self.n))
+        for i in range(0, len(queries), step):
+            some = queries[i : i + step]
+            chosen = np.zeros((len(some), len(self.dense)))
+            for r, terms in enumerate(some):
+                columns = self.column[terms]
+                chosen[r, columns[columns >= 0]] = 1
+            sums = chosen @ self.dense
+            for r, terms in enumerate(some):
+                rare = terms[self.column[terms] < 0]
+                at = ranges(self.begin[rare], self.begin[rare + 1] - self.begin[rare])
+                yield self._best(terms, sums[r] + np.bincount(self.doc[at], self.by_term[at], self.n), k)
+
+    def _best(self, terms: np.ndarray, sums: np.ndarray, k: int) -> list[tuple[float, int]]:
+        least = np.partition(sums, self.n - k)[self.n - k] * (1 - 1e-9) if self.n > k else 0.0
+        near = np.flatnonzero((sums >= least) & (sums > 0))
+        self.asked[terms] = True
+        count = self.docs.first[near + 1] - self.docs.first[near]
+        at = ranges(self.docs.first[near], count)
+        exact = np.bincount(np.repeat(np.arange(len(near)), count), self.score[at] * self.asked[self.docs.term[at]], len(near))  # one order of terms for all documents
+        self.asked[terms] = False
+        order = np.lexsort((near, -exact))[:k]
+        return [(float(exact[o]), int(self.docs.ids[near[o]])) for o in order]
+
+
+def _answerer(plan, total: int, mean: float, k: int):
+    """A shard's packed rows to the shard's k best documents of each query in the broadcast ``plan``: document frequencies by term, and (query, terms)."""
 
     def answer(table):
-        index = Shard(table.column("term").to_numpy().view(np.uint64), table.column("doc").to_numpy(), table.column("score").to_numpy())
-        out = [(q, d, s) for q, ts in plan.value for s, d in index.top(ts, k)]
+        df, wanted = plan.value
+        docs = Packed(table)
+        idf = np.log(1 + (total - df + 0.5) / (df + 0.5))
+        score = idf[docs.term] * docs.tf * (K1 + 1) / (docs.tf + K1 * (1 - B + B * docs.dl[docs.owner] / (mean or 1.0)))
+        short, long = [w for w in wanted if len(w[1]) <= WAND_TERMS], [w for w in wanted if len(w[1]) > WAND_TERMS]
+        out = []
+        if short:
+            index = Shard(docs.term, docs.ids[docs.owner], score)
+            out += [(q, d, s) for q, ts in short for s, d in index.top(ts.tolist(), k)]
+        if long:
+            found = Adder(docs, score, len(df)).top([ts for _, ts in long], k)
+            out += [(q, d, s) for (q, _), best in zip(long, found, strict=True) for s, d in best]
         return pa.table({"query_id": pa.array([o[0] for o in out], pa.int64()), "doc_id": pa.array([o[1] for o in out], pa.int64()), "score": pa.array([o[2] for o in out], pa.float64())})
 
     return answer
 
 
-def search(docs: DataFrame, queries: DataFrame, k: int = 10, n_terms: int = 8, id_col: str = "doc_id", text_col: str = "text", block_queries: int = 20_000) -> DataFrame:
-    """(query_id, rank, doc_id, score): the k best documents of each query; queries has the same two columns.
+def _pack(terms):
+    """(doc, text) to one row a document: its length, and the places in ``terms`` of the terms that it has, with their counts."""
+
+    def pack(batches):
+        for piece in pieces(batches, "text"):
+            words = Words(piece.column("text"), WORD_BYTES)
+            hashes, owner = words.hashes(), words.owners()
+            code = np.searchsorted(terms.value, hashes)
+            keep = code < len(terms.value)
+            keep[keep] = terms.value[code[keep]] == hashes[keep]
+            key, tf = np.unique((owner[keep] << 32) | code[keep], return_counts=True)
+            offsets = pa.py_buffer((np.searchsorted(key >> 32, np.arange(piece.num_rows + 1)) * 4).astype(np.int64))
+            codes, tfs = (pa.LargeBinaryArray.from_buffers(pa.large_binary(), piece.num_rows, [None, offsets, pa.py_buffer(x.astype(np.int32))]).cast(pa.binary()) for x in (key & 0xFFFFFFFF, tf))
+            yield pa.RecordBatch.from_arrays([piece.column("doc"), pa.array(words.counts.astype(np.int64)), codes, tfs], names=["doc", "dl", "codes", "tfs"])
+
+    return pack
+
+
+def search(docs: DataFrame, queries: DataFrame, k: int = 10, n_terms: int | None = 8, id_col: str = "doc_id", text_col: str = "text", block_queries: int = 20_000) -> DataFrame:
+    """(query_id, rank, doc_id, score): the k best documents of each query; queries has the same two columns. n_terms None: a query is every distinct word of its text.
 
     Null ids are left out; null, empty and wordless texts match nothing; a document with no query term isn't returned, so a query may have fewer than k rows. Ids should be
     unique: rows with equal ids count as one document made of the rows' postings. Other columns aren't read.
@@ -120,43 +218,35 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, n_terms: int = 8, i
         for piece in pieces(batches, "text"):
             yield pa.RecordBatch.from_arrays([pa.array(Words(piece.column("text"), WORD_BYTES).counts)], names=["n"])
 
+    def terms_of(batches):
+        for piece in pieces(batches, "text"):
+            if n_terms is None:
+                words = Words(piece.column("text"), WORD_BYTES)
+                hashes = words.hashes()
+                made = [np.unique(hashes[a:b]) for a, b in zip(words.first, words.first[1:], strict=False)]
+            else:
+                made = [np.sort(word_hashes(query_terms(t, n_terms)).astype(np.uint64)) for t in piece.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([piece.column("q"), pa.array([len(m) for m in made], pa.int64()), pa.array([m.tobytes() for m in made], pa.binary())], names=["q", "n", "terms"])
+
     total, mean = source.select("text").mapInArrow(lengths, "n long").agg(F.count("*"), F.coalesce(F.avg("n"), F.lit(0.0))).first()
-    n_blocks = max(1, -(-asked.count() // block_queries))
+    shards = max(LEAST_SHARDS, -(-int(total * mean) // SHARD_WORDS))
+    asked = settle(asked.mapInArrow(terms_of, "q long, n long, terms binary"))
+    n_queries, n_asked = asked.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    n_blocks = max(1, -(-n_queries // block_queries), -(-n_asked // BLOCK_TERMS))
     found = None
     for block in range(n_blocks):
-        wanted = []
-        rows = asked.where(F.pmod(F.xxhash64("q"), F.lit(n_blocks)) == block)
-
-        def terms_of(batches):
-            for batch in batches:
-                made = [(q, word_hashes(query_terms(t, n_terms)).astype(np.uint64).tobytes()) for q, t in zip(batch.column("q").to_pylist(), batch.column("text").to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.binary())], names=["q", "terms"])
-
-        wanted = [(r.q, [int(x) for x in np.frombuffer(r.terms, np.uint64)]) for r in rows.mapInArrow(terms_of, "q long, terms binary").orderBy("q").collect()]
-        terms = spark.sparkContext.broadcast(np.unique(np.array([t for _, ts in wanted for t in ts], np.uint64)))
-
-        def post(batches, terms=terms):
-            for piece in pieces(batches, "text"):
-                words = Words(piece.column("text"), WORD_BYTES)
-                hashes, owner = words.hashes(), words.owners()
-                keep = np.isin(hashes, terms.value)
-                hashes, owner = hashes[keep], owner[keep]
-                order = np.lexsort((hashes, owner))
-                hashes, owner = hashes[order], owner[order]
-                new = np.flatnonzero(np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1]))[: len(hashes)] if len(hashes) else []))
-                tf = np.diff(np.append(new, len(hashes))).astype(np.int64)
-                ids = piece.column("doc").to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[new].view(np.int64)), pa.array(ids[owner[new]].astype(np.int64)), pa.array(tf), pa.array(words.counts[owner[new]])], names=["term", "doc", "tf", "dl"])
-
-        postings = settle(source.mapInArrow(post, "term long, doc long, tf long, dl long").groupBy("term", "doc").agg(F.sum("tf").alias("tf"), F.sum("dl").alias("dl")))
-        df = postings.groupBy("term").agg(F.count("*").alias("df"))
-        idf = F.ln(1 + (F.lit(total) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-        score = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.lit(mean or 1.0)))
-        shards = reducers(spark)
-        scored = postings.join(df, "term").select(F.pmod(F.xxhash64("doc"), F.lit(shards)).cast("int").alias("shard"), "term", "doc", score.alias("score"))
-        plan = spark.sparkContext.broadcast(wanted)
-
-        local = scored.groupBy("shard").applyInArrow(_answerer(plan, k), "query_id long, doc_id long, score double")
+        rows = asked.where(F.pmod(F.xxhash64("q"), F.lit(n_blocks)) == block).orderBy("q").select("q", "terms").collect()
+        hashed = [(r.q, np.frombuffer(r.terms, np.uint64)) for r in rows]
+        distinct = np.unique(np.concatenate([np.zeros(0, np.uint64), *(ts for _, ts in hashed)]))
+        wanted = [(q, np.searchsorted(distinct, ts).astype(np.int64)) for q, ts in hashed]
+        terms = spark.sparkContext.broadcast(distinct)
+        packed = source.mapInArrow(_pack(terms), "doc long, dl long, codes binary, tfs binary").withColumn("shard", F.pmod(F.xxhash64("doc"), F.lit(shards)).cast("int"))
+        packed = settle(packed.repartition(shards, "shard"))
+        held = packed.groupBy("shard").applyInArrow(_frequencies, "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+        df = np.zeros(len(distinct))
+        df[held.column("term").to_numpy()] = held.column("df").to_numpy()
+        plan = spark.sparkContext.broadcast((df, wanted))
+        local = packed.groupBy("shard").applyInArrow(_answerer(plan, total, mean, k), "query_id long, doc_id long, score double")
         found = local if found is None else found.unionByName(local)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")  # k rows a shard
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
@@ -164,4 +254,4 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, n_terms: int = 8, i
 
 def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return search(docs, docs.where("doc_id % 100 = 0"), k=10)
+    return search(docs, docs.where("doc_id % 100 = 0"), k=10, n_terms=None)

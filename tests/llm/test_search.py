@@ -54,3 +54,40 @@ def test_pruning_loses_nothing(monkeypatch):
                 total[d] += s
         expected = sorted(((-s, d) for d, s in total.items()))[:7]
         assert [(-s, d) for s, d in shard.top(asked, 7)] == expected
+
+
+def test_whole_queries(spark, monkeypatch):
+    """Every distinct word of a query's whole text counts, also that of a long one; copies and rows with equal ids included."""
+    monkeypatch.setattr(S, "SHARD_WORDS", 900)
+    monkeypatch.setattr(S, "BLOCK_TERMS", 700)
+    monkeypatch.setattr(S, "DENSE_CELLS", 200)
+    r = random.Random(11)
+    vocab = [f"w{'x' * (i % 9)}{i}" for i in range(400)]
+    rows = [(i, " ".join(r.choices(vocab, weights=range(1, 401), k=r.choice([1, 5, 30, 90])))) for i in range(150)]
+    rows += [(500 + i, rows[3][1]) for i in range(15)] + [(40, "Twice W1 w1"), (700, " ".join(vocab * 3)), (900, None), (901, "..."), (None, "w1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    named = [(i, t) for i, t in rows if i is not None]
+    words = {}
+    for i, t in named:
+        words.setdefault(i, []).extend(S._WORD.findall((t or "").lower().encode()))
+    n, mean = len(named), sum(map(len, words.values())) / len(named)
+    tf = {d: Counter(ws) for d, ws in words.items()}
+    freq = Counter(w for c in tf.values() for w in c)
+    asked = [(i, t) for i, t in named if i != 40 and (i % 10 == 0 or i > 499)]
+    got = {}
+    for x in S.search(df, spark.createDataFrame(asked, "doc_id long, text string"), k=7, n_terms=None).collect():
+        got.setdefault(x.query_id, []).append((x.rank, x.doc_id, round(x.score, 6)))
+    for q, t in asked:
+        scored = []
+        for d, ws in words.items():
+            s = sum(math.log(1 + (n - freq[w] + 0.5) / (freq[w] + 0.5)) * tf[d][w] * (S.K1 + 1) / (tf[d][w] + S.K1 * (1 - S.B + S.B * len(ws) / mean)) for w in sorted(set(S._WORD.findall((t or "").lower().encode()))) if tf[d][w])
+            if s:
+                scored.append((-round(s, 9), d))
+        expected = [(k, d, round(-s, 6)) for k, (s, d) in enumerate(sorted(scored)[:7], 1)]
+        assert sorted(got.get(q, [])) == expected
+
+
+def test_registered_query_is_whole(spark, tmp_path):
+    long = " ".join(f"{c * 9}" for c in "abcdefgh")
+    spark.createDataFrame([(0, f"{long} cat"), (1, "a cat")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert [(r.query_id, r.rank, r.doc_id) for r in S.op10_topk_search(spark, str(tmp_path)).orderBy("rank").collect()] == [(0, 1, 0), (0, 2, 1)]
