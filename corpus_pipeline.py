@@ -34,7 +34,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Flattens the sources to nine tenths of the largest entropy, or leaves them if they are flatter, with the largest budget that repeats no document."""
+    """Flattens the sources to nine tenths of the largest entropy, or leaves them if they are flatter. No document is repeated: smaller sources are used up whole, and up to a tenth of the mix comes from others instead."""
     return mixing.mix(docs, entropy=0.9, repeats=1.0, budget_part=None).select(*docs.columns)
 
 

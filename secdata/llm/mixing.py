@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from secdata.llm.shared import settle
 
 SECTIONS, ROUNDS, MOST_BLOCKS, BLOCK_ROWS, MOST_SOURCES = 16, 6, 1024, 256, 50_000
+#: With no budget given, sources may be used up until this part of the mix has to come from others, or further until this part of the tokens is kept.
+SHORT, LEAST_PART = 0.1, 0.5
 
 
 def token_count(text: F.Column) -> F.Column:
@@ -59,11 +61,39 @@ def exponent(sources: DataFrame, entropy: float, repeats: float, budget: float |
     return max(largest(True), largest(False)) if budget else largest(True)
 
 
+def largest_scale(weighed: DataFrame, repeats: float) -> float:
+    """What the weights ``m`` (tokens, m) are multiplied by if no budget is given. A source gives its tokens ``repeats`` times at most, so a small one is used up whole and
+    the others make up for it. The scale is the largest at which such sources lack ``SHORT`` of the mix, or the smallest that keeps ``LEAST_PART`` of the tokens if that is larger."""
+    most = F.col("tokens") * F.lit(repeats)
+    total, z, low, high = weighed.agg(F.sum("tokens"), F.sum("m"), F.min(most / F.col("m")), F.max(most / F.col("m"))).first()
+    if not total or high <= low * (1 + 1e-12):
+        return high or 0.0
+
+    def given(points: list[float]) -> list[float]:
+        grid = weighed.select("m", most.alias("most"), F.explode(F.array(*map(F.lit, dict.fromkeys(points)))).alias("scale"))
+        got = dict(grid.groupBy("scale").agg(F.sum(F.least("most", F.col("m") * F.col("scale")))).collect())
+        return [got[p] for p in points]
+
+    def border(met) -> tuple[float, float]:
+        """The neighbours between which ``met`` (scale, tokens), true up to a scale, turns false; the highest twice if it never does."""
+        a, b = low, high
+        for _ in range(ROUNDS):
+            points = [a, *(a * (b / a) ** (i / SECTIONS) for i in range(1, SECTIONS)), b]
+            at = max((i for i, g in enumerate(given(points)) if met(points[i], g)), default=0)
+            a, b = points[at], points[min(SECTIONS, at + 1)]
+            if b <= a:
+                break
+        return a, b
+
+    enough = LEAST_PART * min(1.0, repeats) * total
+    return max(border(lambda scale, g: g >= (1 - SHORT) * scale * z * (1 - 1e-9))[0], border(lambda _, g: g < enough)[1])
+
+
 def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", entropy: float = 0.95, repeats: float = 2.0, budget_part: float | None = 1.0, seed: str = "mix") -> DataFrame:
     """The mixed rows, all columns of ``docs`` plus tokens, epoch (0, 1 ..) and block; columns of these names are replaced.
 
-    budget_part is the budget as a part of all tokens (at most ``repeats``), None the largest that repeats no source more than ``repeats`` times. Sources whose share the
-    limit doesn't touch get floor(weight * budget) tokens, missed by less than the last row that doesn't fit. Rows without tokens or id are left
+    budget_part is the budget as a part of all tokens (at most ``repeats``). None: sources smaller than their share are used up, ``repeats`` times, and the budget is
+    as large as ``largest_scale`` says, so no small source sets it. Sources whose share the limit doesn't touch get floor(weight * budget) tokens, missed by less than the last row that doesn't fit. Rows without tokens or id are left
     out; a null source is a source of its own. Ties in the permutation go by id. An empty table gives an empty result.
     """
     docs = docs.drop("tokens", "epoch", "block")
@@ -72,8 +102,8 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
     total = sources.agg(F.sum("tokens")).first()[0] or 0
     a = exponent(sources, entropy, repeats, None if budget_part is None else float(total) * budget_part)
     weighed = sources.withColumn("m", F.pow(F.col("tokens") / F.lit(max(1, total)), F.lit(a)))
-    z, most = weighed.agg(F.sum("m"), F.max(F.col("m") / F.col("tokens"))).first()
-    budget = total * budget_part if budget_part is not None else (repeats * z / most if z else 0)
+    z = weighed.agg(F.sum("m")).first()[0]
+    budget = total * budget_part if budget_part is not None else largest_scale(weighed, repeats) * (z or 0)
     plan = weighed.select(
         "__s",
         F.least(F.floor(F.col("m") / F.lit(z or 1.0) * F.lit(float(budget)) + F.lit(1e-6)).cast("long"), F.floor(F.col("tokens") * F.lit(repeats)).cast("long")).alias("goal"),

@@ -137,6 +137,22 @@ def test_mixing(spark):
     assert max(Counter(r.doc_id for r in once).values()) == 1
 
 
+def test_small_sources_do_not_set_the_budget(spark):
+    rows = [(i, "big" if i < 500 else f"s{i % 20}", "a b c d") for i in range(1000)]
+    kept = {}
+    for name, more in (("without", []), ("null", [(5000, None, "x")]), ("tiny", [(5000, "tiny", "x"), (5001, None, "y")])):
+        got = mixing.mix(spark.createDataFrame(rows + more, "doc_id long, source string, text string"), entropy=0.9, repeats=1.0, budget_part=None).collect()
+        assert max(Counter(r.doc_id for r in got).values()) == 1
+        assert {r.doc_id for r in got} >= {i for i, _, _ in more}
+        kept[name] = sum(r.tokens for r in got) / 4000
+        share = Counter(r.source for r in got)
+        assert share["big"] / len(got) < 0.45 and min(share[f"s{i}"] for i in range(20)) >= 24
+    assert min(kept.values()) >= 0.69, kept
+    many = rows + [(5000 + i, f"t{i}", "x") for i in range(300)]
+    got = mixing.mix(spark.createDataFrame(many, "doc_id long, source string, text string"), entropy=0.9, repeats=1.0, budget_part=None).collect()
+    assert sum(r.tokens for r in got) >= mixing.LEAST_PART * 4300 - 25 * 4
+
+
 def test_language_id(spark):
     r = random.Random(3)
     langs = {"en": ["the", "and", "with", "house", "thing"], "de": ["der", "und", "mit", "straße", "ding"], "fr": ["le", "et", "avec", "maison", "garçon"]}
