@@ -4,8 +4,9 @@ Every text node has a path, the tags from the root down to it. For each path of
 marks are summed and divided by the path's node count; the two ratios are smoothed over paths in page order, fused by their
 product, and a threshold on the fused ratio selects the content paths. A page's
 content is what lies below the containers of the selected paths, so that a short paragraph or heading beside long ones stays.
-Subtrees that markup itself declares to be something else (navigation, footers, forms, adverts, comments ...) are left out before
-ratios are taken, and paths through ``article`` or ``main`` win over paths outside of them.
+Paths through ``article`` or ``main`` weigh more, up to ``BODY_WEIGHT`` times as much if these hold all of the text. Subtrees that markup itself declares to be something else (navigation,
+footers, forms, adverts, comments ...) have paths of their own, marked with an asterisk; these are content only if their ratios clearly
+say so: ``CLEAR`` times the best of the other paths, with more text than all of them and ``CLEAR_TEXT`` characters. What isn't shown or isn't text is left out.
 """
 
 from __future__ import annotations
@@ -23,60 +24,72 @@ from secdata.llm.text import pieces
 # Element names of HTML by role, and words in class, id and role attributes.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img"}
-NO_CONTENT = {"aside", "audio", "button", "canvas", "dialog", "embed", "footer", "form", "head", "iframe", "map", "math", "menu", "nav", "noscript", "object", "option", "select", "svg", "template", "textarea", "video"}
+NO_CONTENT = {"audio", "button", "canvas", "embed", "head", "iframe", "map", "math", "object", "option", "select", "svg", "template", "textarea", "video"}
+SIDE_TAGS = {"aside", "dialog", "footer", "form", "menu", "nav", "noscript"}
 RAW = {"script", "style", "textarea", "title", "xmp", "noembed", "noframes", "iframe"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th", "tbody"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
 SCOPE = {"ul", "ol", "dl", "table", "div", "article", "section", "main", "body", "blockquote", "td", "th"}
 SIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disclaimer", "disqus", "footer", "gdpr", "login", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "overlay", "pagination", "pager", "popup", "promo", "promotion", "recommended", "related", "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "subscription", "teaser", "toolbar", "widget", "widgets"}
 SIDE_ROLES = {"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation", "search", "toolbar"}
 BODY = {"article", "main"}
+LEAST, BODY_WEIGHT, CLEAR, CLEAR_TEXT = 0.2, 3.0, 2.0, 400
+SHOWN, SIDE, OUT = 0, 1, 2
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*'|["'])*?)>""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_SPLIT = re.compile(r"[^a-z]+")
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_SPLIT = re.compile(r"[^a-z]+")  # parts of a class name
 _PUNCTUATION = re.compile(r"[.,;:!?…、。，！？]")
 
 
-def _side(tag: str, attributes: str, inside_body: bool) -> bool:
-    """Does the markup say that this element isn't main content?"""
-    if tag in NO_CONTENT or tag == "header" and not inside_body:
-        return True
-    if not attributes or tag in BODY or tag in {"html", "body"}:
-        return False
+def _declared(tag: str, attributes: str, inside_body: bool) -> int:
+    """What the markup says of an element: SHOWN, SIDE (shown, but something else than main content) or OUT (not shown, or no text)."""
+    if tag in NO_CONTENT:
+        return OUT
+    said = SIDE if tag in SIDE_TAGS or tag == "header" and not inside_body else SHOWN
+    if not attributes or tag in {"html", "body"}:
+        return said
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next((v for v in values if v), "").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in SIDE_ROLES:
-            return True
-        if name in {"class", "id"}:
-            words = set(_SPLIT.split(value))
-            if words & SIDE_WORDS or "header" in words and not inside_body:
-                return True
-    return False
+        if name == "hidden" or name == "aria-hidden" and value == "true":
+            return OUT
+        if tag in BODY:
+            continue
+        if name == "role" and value.strip() in SIDE_ROLES:
+            said = SIDE
+        if name in {"class", "id"}:  # whole names: each part of one must be a word for something else
+            for one in value.split():
+                words = set(filter(None, _SPLIT.split(one)))
+                if words and words <= (SIDE_WORDS if inside_body else SIDE_WORDS | {"header"}):
+                    said = SIDE
+    return said
 
 
-def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str]]:
-    """(path, raw text) of the blocks of a page outside of what markup declares to be something else.
+def blocks(page: str) -> Iterator[tuple[tuple[str, ...], tuple[int, ...], str]]:
+    """(path, numbers of its elements, raw text) of the blocks of a page. The tags of elements declared to be something else, and of what is in them, end with an asterisk in paths.
 
     A block ends where an element that isn't inline begins or ends, and at ``br``. A block's path is that of its first text.
     """
-    stack: list[tuple[str, bool]] = []  # (tag, left out?)
-    path, text = None, []
+    stack: list[tuple[str, int, int]] = []  # (tag, SHOWN, SIDE or OUT, number)
+    number = 0
+    path: list[tuple[tuple[str, ...], tuple[int, ...]] | None] = [None, None]  # of what is shown, and of what is declared to be something else inside of the same block
+    text: list[list[str]] = [[], []]
     at, size = 0, len(page)
 
     def flush():
-        nonlocal path, text
-        made = (path, "".join(text)) if text else None
-        path, text = None, []
+        made = [(*(p or ((), ())), "".join(t)) for p, t in zip(path, text, strict=True) if t]
+        path[:], text[:] = [None, None], [[], []]
         return made
 
     while at < size:
         found = _TOKEN.search(page, at)
         end = found.start() if found else size
-        if end > at and not (stack and stack[-1][1]):
+        if end > at and not (stack and stack[-1][1] == OUT):
             piece = page[at:end]
-            if path is None and piece.strip():
-                path = tuple(t for t, _ in stack if t not in INLINE)
-            text.append(piece)
+            which = int(bool(stack) and stack[-1][1] == SIDE)
+            if path[which] is None and piece.strip():
+                held = [(f"{t}*" if x else t, n) for t, x, n in stack if t not in INLINE or x]
+                path[which] = tuple(t for t, _ in held), tuple(n for _, n in held)
+            text[which].append(piece)
         if not found:
             break
         at = found.end()
@@ -84,11 +97,11 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str]]:
         if not tag:
             continue
         tag = tag.lower()
-        if tag not in INLINE and (made := flush()):
-            yield made
+        if tag not in INLINE:
+            yield from flush()
         if closing:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if depth is not None and (tag not in INLINE or all(t in INLINE for t, _ in stack[depth:])):
+            if depth is not None and (tag not in INLINE or all(e[0] in INLINE for e in stack[depth:])):
                 del stack[depth:]
             continue
         if tag in VOID:
@@ -114,10 +127,10 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], str]]:
                         break
         if attributes.endswith("/") and tag not in INLINE:
             continue
-        out = bool(stack and stack[-1][1])
-        stack.append((tag, out or _side(tag, attributes, any(t in BODY for t, _ in stack))))
-    if made := flush():
-        yield made
+        above = stack[-1][1] if stack else SHOWN
+        number += 1
+        stack.append((tag, above if above == OUT else max(above, _declared(tag, attributes, any(e[0] in BODY for e in stack))), number))
+    yield from flush()
 
 
 def _smooth(values: list[float]) -> list[float]:
@@ -128,31 +141,45 @@ def _smooth(values: list[float]) -> list[float]:
 def main_text(page: str | None) -> str:
     """The content blocks of a page, one a line; empty if there are none."""
     nodes = []
-    for path, raw in blocks(page or ""):
+    for path, numbers, raw in blocks(page or ""):
         text = " ".join(entities.unescape(raw).split())
         if text:
-            nodes.append((path, text))
-    within = [n for n in nodes if n[0] and any(t in BODY for t in n[0])]
-    nodes = within or nodes
-    if not nodes:
-        return ""
-    paths: dict[tuple[str, ...], list[int]] = {}
-    for path, text in nodes:
-        s = paths.setdefault(path, [0, 0, 0])
-        s[0] += len(text)
-        s[1] += len(_PUNCTUATION.findall(text))
-        s[2] += 1
-    length = _smooth([s[0] / s[2] for s in paths.values()])
-    marks = _smooth([s[1] / s[2] for s in paths.values()])
-    fused = [a * (1 + b) for a, b in zip(length, marks, strict=True)]
-    least = 0.2 * max(fused)
-    picked = {path for path, f in zip(paths, fused, strict=True) if f >= least}
-    roots = {path[: next((i + 1 for i, t in enumerate(path) if t in BODY), len(path) - 1)] for path in picked}
-
-    def kept(path: tuple[str, ...]) -> bool:
-        return path in picked or any(path[: len(r)] == r and (len(path) > len(r) or path[-1:] and path[-1] in BODY) for r in roots)
-
-    return "\n".join(text for path, text in nodes if kept(path))
+            nodes.append((path, numbers, text))
+    ratio: dict[tuple[str, ...], float] = {}
+    best = shown = 0.0
+    for side in (False, True):
+        paths: dict[tuple[str, ...], list[int]] = {}
+        for path, _, text in nodes:
+            if any(t[-1] == "*" for t in path) == side:
+                s = paths.setdefault(path, [0, 0, 0])
+                s[0] += len(text)
+                s[1] += len(_PUNCTUATION.findall(text))
+                s[2] += 1
+        if not paths:
+            continue
+        length = _smooth([s[0] / s[2] for s in paths.values()])
+        marks = _smooth([s[1] / s[2] for s in paths.values()])
+        size = sum(s[0] for s in paths.values())
+        body = {path for path in paths if any(t.rstrip("*") in BODY for t in path)}
+        weight = 1 + (BODY_WEIGHT - 1) * sum(paths[path][0] for path in body) / size
+        fused = {path: a * (1 + b) * (weight if path in body else 1.0) for path, a, b in zip(paths, length, marks, strict=True)}
+        if side and (max(fused.values()) < CLEAR * best or size <= shown or size < CLEAR_TEXT):
+            continue
+        best, shown = max(fused.values()), size
+        ratio |= fused
+    picked = {path for path, f in ratio.items() if f >= LEAST * best}
+    roots = {numbers[-2] for path, numbers, _ in nodes if path in picked and len(path) > 1}
+    sided = any(t[-1] == "*" for path in picked for t in path)
+
+    def kept(path: tuple[str, ...], numbers: tuple[int, ...]) -> bool:
+        """Picked, or below the container of a picked block; below the body, only what stands in it directly."""
+        if path in picked:
+            return True
+        if not sided and any(t[-1] == "*" for t in path):
+            return False
+        return any(n in roots and (t not in ("html", "body") or i >= len(path) - 2) for i, (t, n) in enumerate(zip(path, numbers, strict=True)))
+
+    return "\n".join(text for path, numbers, text in nodes if kept(path, numbers))
 
 
 def extract(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:

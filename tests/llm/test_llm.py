@@ -197,6 +197,19 @@ def test_html(spark):
     assert got[5] == "unclosed text"
 
 
+def test_html_ratios_decide():
+    story = "A long paragraph, with several marks; and many words, so that nobody takes it for a card. " * 3
+    menu = "<nav><a>Home</a></nav><footer>Copyright, all rights reserved.</footer>"
+    cards = "".join(f"<article><p>Card {i}</p></article>" for i in range(4))
+    got = html_extract.main_text(f"<body>{menu}<div><p>{story}</p><p>{story}</p></div><div>{cards}</div></body>")
+    assert got.splitlines() == [story.strip()] * 2
+    for attribute in ('style="overflow:hidden"', 'data-id="search"', 'class="content widget-free"', 'title="hidden id=search"'):
+        assert html_extract.main_text(f"<body>{menu}<article><div {attribute}><p>{story}</p></div></article></body>") == story.strip(), attribute
+    for tag in ("form", 'div class="search widget"'):  # declared to be something else, but clearly content
+        assert html_extract.main_text(f"<body><div>Home</div><{tag}><p>{story}</p><p>{story}</p></{tag.split()[0]}></body>").splitlines() == [story.strip()] * 2
+    assert html_extract.main_text(f'<body><p>{story}<span class="ad">Buy now!</span> End.</p><p hidden>{story * 9}</p></body>') == f"{story}End."
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
