@@ -1,8 +1,9 @@
-"""What several operators need: cutting lineage, the number of reducers, and connected components."""
+"""What several operators need: tables that cut lineage, joins that stand hot keys, the number of reducers, and connected components."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -11,49 +12,88 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """``df`` written to the session's checkpoint folder and read from there; its lineage ends.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see: ``spark.checkpoint.dir``, or the one given to ``setCheckpointDir``.
 
-    The folder is the one in ``spark.checkpoint.dir``. Only where that is unset (local tests) a temporary one is made.
+    Only a local session may do without, as in tests: it gets a temporary folder. On a cluster that would be each machine's own disk, so it is an error.
     """
-    sc = df.sparkSession.sparkContext
-    if not sc.getConf().get("spark.checkpoint.dir") and not sc.getCheckpointDir():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+    sc = spark.sparkContext
+    folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: a folder that all executors share is needed")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc.getCheckpointDir().rstrip("/")
+
+
+def settle(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read from there; its lineage ends. ``by``: columns that become folders, so that filters on them skip the rest."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/settled-{uuid.uuid4()}"
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made.settled_at = path
+    return made
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes settled tables. What was made from them must have been settled before."""
+    for table in tables:
+        sc = table.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(table.settled_at)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def reducers(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def join_hot(rows: DataFrame, table: DataFrame, key: str, how: str = "inner", parts: int = 1000) -> DataFrame:
+    """``rows`` joined with ``table``, which has one row for each ``key``. Keys with more than a ``parts``-th of the rows (there are fewer than ``parts``) get their
+    row of ``table`` by broadcast, so that no task reads more than that part for one key. ``rows`` is read three times: settle it before.
+    """
+    least = max(64, rows.count() // parts)
+    hot = settle(rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > least).select(key))
+    if hot.isEmpty():
+        return rows.join(table, key, how)
+    mine = F.broadcast(table.join(F.broadcast(hot), key, "left_semi"))
+    return rows.join(F.broadcast(hot), key, "left_anti").join(table, key, how).unionByName(rows.join(F.broadcast(hot), key, "left_semi").join(mine, key, how))
+
+
 def connected(edges: DataFrame) -> DataFrame:
-    """Connected components of the undirected edges (a, b): one row (node, root) per node with an edge; root is the smallest node.
+    """Connected components of the undirected edges (a, b): one settled row (node, root) per node with an edge; root is the smallest node.
 
     Alternates the large-star and small-star steps, whose rounds grow with the logarithm of the longest path. A round only
-    takes minima per node and joins them back, so no neighbourhood is ever gathered in one place.
+    takes minima per node and joins them back, so no neighbourhood is ever gathered in one place; the few nodes with more than a thousandth of the edges get their minimum by broadcast.
+    A round's table is deleted when the next one is written.
     """
     edges = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    state = None
+    mark = [F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))]
+    state = edges.agg(*mark).first()
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("n"))
+        hot = settle(low.where(F.col("n") > max(64, state[0] // 500)).drop("n"))
+        up = both.where("b > a")
+        large = up.join(F.broadcast(hot), "a", "left_anti").join(low.drop("n"), "a").unionByName(up.join(F.broadcast(hot), "a"))
+        large = large.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # Here a node only meets its smaller neighbours, which the step before has cut to a few: a window holds them in one shuffle.
         small = large.withColumn("m", F.min("b").over(Window.partitionBy("a"))).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
-        edges = settle(small.where("a <> b").distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
+        after = settle(small.where("a <> b").distinct())
+        release(edges, hot)
+        edges, old, state = after, state, after.agg(*mark).first()
+        if state == old:
             break
-        state = now
-    return edges.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root").unionByName(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    )
+    roots = settle(edges.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root").unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()))
+    release(edges)
+    return roots
 
 
 def star_links(posts: DataFrame, known: DataFrame, traits: list[str], near: Callable[[str, str], F.Column], tests: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]) -> DataFrame:
     """Pairs (a, b) of classes that connect what all similar pairs with a shared signature connect: each class with the root of its first component, and further links.
 
-    posts: (sig, class, up, leader, c), where leader is the signature's smallest upper class, c its number of classes, and a pair counts if at least one side is
+    posts: settled (sig, class, up, leader, c), where leader is the signature's smallest upper class, c its number of classes, and a pair counts if at least one side is
     up; for c = 2 the row of the leader may be left out. known: (class, *traits, ...) of all classes in posts; near(x, y): a condition on the
     traits of two aliased rows that holds for all similar pairs; tests(classes) prepares an exact test pairs -> similar pairs for those classes.
 
@@ -61,26 +101,34 @@ def star_links(posts: DataFrame, known: DataFrame, traits: list[str], near: Call
     against those outside the signature's largest component. A group of n similar classes costs n comparisons and is never expanded into its pairs.
     """
     known = known.select("class", *traits)
-    stars = posts.where("class <> leader").select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")).distinct()
+    all_stars = settle(posts.where("class <> leader").select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")).distinct())
     x, y = known.select(F.col("class").alias("a"), F.struct(*traits).alias("x")), known.select(F.col("class").alias("b"), F.struct(*traits).alias("y"))
-    stars = settle(stars.join(x, "a").join(y, "b").where(near("x", "y")).select("a", "b"))
+    stars = settle(join_hot(all_stars, x, "a").join(y, "b").where(near("x", "y")).select("a", "b"))
+    release(all_stars)
 
     # Signatures of three classes or more may hold further pairs.
-    wide = posts.where("c > 2").select("sig", "class", "up")
-    x, y = wide.join(known, "class").alias("x"), wide.join(known, "class").alias("y")
+    wide = settle(posts.where("c > 2").select("sig", "class", "up").join(known, "class"))
+    x, y = wide.alias("x"), wide.alias("y")
     semi = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.class") != F.col("y.class")) & (F.col("x.up") | F.col("y.up")) & near("x", "y"), "left_semi")
     needed = settle(semi.select("class").union(stars.select(F.explode(F.array("a", "b")).alias("class"))).distinct())
     similar = tests(needed)
 
     links = settle(similar(stars))
-    roots = settle(connected(links))
-    placed = settle(wide.join(needed, "class").join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class")))
+    roots = connected(links)
+    release(links)
+    placed = wide.join(needed, "class", "left_semi").join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    placed = settle(placed)
+    release(wide)
     sizes = placed.groupBy("sig", "root").agg(F.count("*").alias("c"))
     split = sizes.groupBy("sig").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    placed = settle(placed.join(split.select("sig", "main"), "sig")).join(known, "class")
+    open_ = settle(placed.join(split.select("sig", "main"), "sig"))
     condition = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.up") | F.col("y.up")) & near("x", "y")
-    rest = placed.alias("x").join(placed.where("root <> main").alias("y"), condition).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
-    return roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).union(settle(similar(rest.join(stars, ["a", "b"], "left_anti"))))
+    rest = open_.alias("x").join(open_.where("root <> main").alias("y"), condition).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
+    rest = settle(rest.join(stars, ["a", "b"], "left_anti"))
+    release(placed, open_, stars)
+    more = settle(similar(rest))
+    release(rest, needed)
+    return roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
 
 
 def only_ids(rows: DataFrame, id_col: str, wanted: DataFrame, bits: int = 1 << 23) -> DataFrame:

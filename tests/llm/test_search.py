@@ -4,87 +4,97 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
+import pytest
+
 from secdata.llm import search as S
 
 
-def test_search(spark, monkeypatch):
-    monkeypatch.setattr(S, "BLOCK", 4)
-    r = random.Random(9)
-    vocab = [f"w{'x' * (i % 9)}{i}" for i in range(60)]
-    rows = [(i, " ".join(r.choices(vocab, weights=range(1, 61), k=r.choice([3, 10, 40])))) for i in range(150)]
-    rows += [(500 + i, rows[3][1]) for i in range(15)] + [(900, None), (901, ""), (902, "...")]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    words = {i: S._WORD.findall((t or "").encode()) for i, t in rows}
-    n, mean = len(rows), sum(map(len, words.values())) / len(rows)
-    freq = Counter(w for ws in words.values() for w in set(ws))
-    asked = df.where("doc_id % 10 = 0 OR doc_id > 899")
-    for block in (20_000, 7):
-        got = {}
-        for x in S.search(df, asked, k=5, block_queries=block).collect():
-            got.setdefault(x.query_id, []).append((x.rank, x.doc_id, round(x.score, 9)))
-        for q, t in rows:
-            if q % 10 and q < 900:
-                continue
-            scored = []
-            for d, ws in words.items():
-                tf, s = Counter(ws), 0.0
-                for w in S.query_terms(t, 8):
-                    if tf[w]:
-                        s += math.log(1 + (n - freq[w] + 0.5) / (freq[w] + 0.5)) * tf[w] * (S.K1 + 1) / (tf[w] + S.K1 * (1 - S.B + S.B * len(ws) / mean))
-                if s:
-                    scored.append((-round(s, 9), d))
-            expected = [(k, d, -s) for k, (s, d) in enumerate(sorted(scored)[:5], 1)]
-            assert [(k, round(s, 6)) for k, _, s in sorted(got.get(q, []))] == [(k, round(s, 6)) for k, _, s in expected]
-            assert [d for _, d, _ in sorted(got.get(q, []))] == [d for _, d, _ in expected]
-
-
-def test_pruning_loses_nothing(monkeypatch):
-    import numpy as np
+def words_of(text):
+    return S._WORD.findall((text or "").lower().encode())
 
-    for seed in range(60):
-        r = np.random.default_rng(seed)
-        monkeypatch.setattr(S, "BLOCK", int(r.integers(1, 9)))
-        pairs = np.unique(np.stack([r.integers(0, 6, 400), r.integers(0, 200, 400)], 1), axis=0)
-        score = r.integers(1, 9, len(pairs)) * r.choice([0.25, 1.0, 4.0], len(pairs))
-        shard = S.Shard(pairs[:, 0].astype(np.uint64), pairs[:, 1], score)
-        asked = [0, 2, 3, 5, 77]
-        total = Counter()
-        for (t, d), s in zip(pairs.tolist(), score.tolist(), strict=True):
-            if t in asked:
-                total[d] += s
-        expected = sorted(((-s, d) for d, s in total.items()))[:7]
-        assert [(-s, d) for s, d in shard.top(asked, 7)] == expected
-
-
-def test_whole_queries(spark, monkeypatch):
-    """Every distinct word of a query's whole text counts, also that of a long one; copies and rows with equal ids included."""
-    monkeypatch.setattr(S, "SHARD_WORDS", 900)
-    monkeypatch.setattr(S, "BLOCK_TERMS", 700)
-    monkeypatch.setattr(S, "DENSE_CELLS", 200)
-    r = random.Random(11)
-    vocab = [f"w{'x' * (i % 9)}{i}" for i in range(400)]
-    rows = [(i, " ".join(r.choices(vocab, weights=range(1, 401), k=r.choice([1, 5, 30, 90])))) for i in range(150)]
-    rows += [(500 + i, rows[3][1]) for i in range(15)] + [(40, "Twice W1 w1"), (700, " ".join(vocab * 3)), (900, None), (901, "..."), (None, "w1")]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    named = [(i, t) for i, t in rows if i is not None]
+
+def brute(rows, asked, k, n_terms=None):
+    """For each query the (rank, doc, score) of its k best by plain BM25; rows with equal ids are one document."""
     words = {}
-    for i, t in named:
-        words.setdefault(i, []).extend(S._WORD.findall((t or "").lower().encode()))
-    n, mean = len(named), sum(map(len, words.values())) / len(named)
+    for i, t in rows:
+        words.setdefault(i, []).extend(words_of(t))
+    n, mean = len(words), sum(map(len, words.values())) / len(words)
     tf = {d: Counter(ws) for d, ws in words.items()}
     freq = Counter(w for c in tf.values() for w in c)
-    asked = [(i, t) for i, t in named if i != 40 and (i % 10 == 0 or i > 499)]
-    got = {}
-    for x in S.search(df, spark.createDataFrame(asked, "doc_id long, text string"), k=7, n_terms=None).collect():
-        got.setdefault(x.query_id, []).append((x.rank, x.doc_id, round(x.score, 6)))
+    out = {}
     for q, t in asked:
+        terms = S.query_terms(t, n_terms)
         scored = []
         for d, ws in words.items():
-            s = sum(math.log(1 + (n - freq[w] + 0.5) / (freq[w] + 0.5)) * tf[d][w] * (S.K1 + 1) / (tf[d][w] + S.K1 * (1 - S.B + S.B * len(ws) / mean)) for w in sorted(set(S._WORD.findall((t or "").lower().encode()))) if tf[d][w])
+            s = sum(math.log(1 + (n - freq[w] + 0.5) / (freq[w] + 0.5)) * tf[d][w] * (S.K1 + 1) / (tf[d][w] + S.K1 * (1 - S.B + S.B * len(ws) / mean)) for w in terms if tf[d][w])
             if s:
                 scored.append((-round(s, 9), d))
-        expected = [(k, d, round(-s, 6)) for k, (s, d) in enumerate(sorted(scored)[:7], 1)]
-        assert sorted(got.get(q, [])) == expected
+        out[q] = [(r, d, round(-s, 6)) for r, (s, d) in enumerate(sorted(scored)[:k], 1)]
+    return {q: x for q, x in out.items() if x}
+
+
+def found(df):
+    got = {}
+    for x in df.collect():
+        got.setdefault(x.query_id, []).append((x.rank, x.doc_id, round(x.score, 6)))
+    return {q: sorted(x) for q, x in got.items()}
+
+
+@pytest.mark.parametrize(("n_terms", "block"), [(None, 20_000), (None, 7), (5, 20_000)])
+def test_search(spark, monkeypatch, n_terms, block):
+    """Whole queries and short ones, in one block of queries and in several, over many shards and search rounds."""
+    for name, value in (("SHARD_WORDS", 60), ("LEAST_SHARDS", 3), ("BLOCK_TERMS", 5000), ("BATCH_CELLS", 200), ("LONG_CELLS", 60)):
+        monkeypatch.setattr(S, name, value)
+    r = random.Random(11)
+    vocab = [f"w{'x' * (i % 9)}{i}" for i in range(400)]
+    rows = [(i, " ".join(r.choices(vocab, weights=range(1, 401), k=r.choice([1, 5, 30, 90])))) for i in range(150)]
+    rows += [(500 + i, rows[3][1]) for i in range(15)] + [(40, "Twice W1 w1"), (700, " ".join(vocab * 3)), (900, None), (901, "..."), (902, ""), (None, "w1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    named = [(i, t) for i, t in rows if i is not None]
+    asked = [(i, t) for i, t in named if i != 40 and (i % 10 == 0 or i > 499)]
+    clashing = spark.createDataFrame([(i, t, "x", 1.0) for i, t in asked], "doc_id long, text string, doc string, score double")
+    assert found(S.search(df, clashing, k=7, n_terms=n_terms, block_queries=block)) == brute(named, asked, 7, n_terms)
+
+
+def test_empty_tables(spark):
+    df = spark.createDataFrame([(1, "one two")], "doc_id long, text string")
+    assert S.search(df.limit(0), df).collect() == [] and S.search(df, df.limit(0)).collect() == []
+    assert [(r.query_id, r.doc_id) for r in S.search(df, df).collect()] == [(1, 1)]
+
+
+def test_pruning_loses_nothing_and_skips(monkeypatch):
+    """One shard against sums over all documents: with and without a threshold, and documents are skipped."""
+    monkeypatch.setattr(S, "LONG_CELLS", 400)
+    scored = []
+    plain = S.Shard._scored
+    monkeypatch.setattr(S.Shard, "_scored", lambda self, docs: scored.append(len(docs)) or plain(self, docs))
+    skipped = 0
+    for seed in range(60):
+        r = np.random.default_rng(seed)
+        monkeypatch.setattr(S, "BLOCK", int(r.integers(1, 9)))
+        n, terms = 200, np.sort(r.choice(1 << 40, 40, replace=False)).astype(np.uint64)
+        per_doc = [np.sort(r.choice(40, int(r.integers(1, 12)), replace=False, p=np.arange(1, 41) / 820)) for _ in range(n)]
+        tf = [r.integers(1, 9, len(t)) for t in per_doc]
+        dl = np.array([int(t.sum()) for t in tf])
+        ids = r.permutation(1000)[:n]
+        row = S._index(3, ids, dl, [terms[t].tobytes() for t in per_doc], [t.astype(np.uint8).tobytes() for t in tf])
+        df = np.bincount(np.concatenate(per_doc), minlength=40)
+        shard = S.Shard(row[2:], terms, df.astype(float), n, dl.mean())
+        query = np.array([0, 20, 33, 38, 39])
+        sums = Counter()
+        for d, (t, c) in enumerate(zip(per_doc, tf, strict=True)):
+            for x, f in zip(t, c, strict=True):
+                if x in query:
+                    sums[int(ids[d])] += math.log(1 + (n - df[x] + 0.5) / (df[x] + 0.5)) * f * (S.K1 + 1) / (f + S.K1 * (1 - S.B + S.B * dl[d] / dl.mean()))
+        expected = sorted((-round(s, 9), d) for d, s in sums.items())[:7]
+        for least in (0.0, -expected[-1][0] * (1 - 1e-9), -expected[3][0] * (1 - 1e-9)):
+            scored.clear()
+            (docs, scores), = shard.top([query], np.array([least]), 7)
+            got = list(zip((-scores).round(9).tolist(), docs.tolist(), strict=True))
+            assert got == [x for x in expected if -x[0] >= least]
+            skipped += sum(scored) < len(sums)
+    assert skipped > 120
 
 
 def test_registered_query_is_whole(spark, tmp_path):
