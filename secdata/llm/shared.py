@@ -45,15 +45,21 @@ def release(*tables: DataFrame) -> None:
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: So many narrow rows may meet in one task.
+HOT_ROWS = 100_000
+
+
 def reducers(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def join_hot(rows: DataFrame, table: DataFrame, key: str, how: str = "inner", parts: int = 1000) -> DataFrame:
     """``rows`` joined with ``table``, which has one row for each ``key``. Keys with more than a ``parts``-th of the rows (there are fewer than ``parts``) get their
-    row of ``table`` by broadcast, so that no task reads more than that part for one key. ``rows`` is read three times: settle it before.
+    row of ``table`` by broadcast, so that no task reads more than that part for one key. Up to ``HOT_ROWS`` rows one task may have whole. ``rows`` is read three times: settle it before.
     """
-    least = max(64, rows.count() // parts)
+    least = rows.count() // parts
+    if least * parts < HOT_ROWS:
+        return rows.join(table, key, how)
     hot = settle(rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > least).select(key))
     if hot.isEmpty():
         return rows.join(table, key, how)
@@ -74,14 +80,17 @@ def connected(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("n"))
-        hot = settle(low.where(F.col("n") > max(64, state[0] // 500)).drop("n"))
         up = both.where("b > a")
-        large = up.join(F.broadcast(hot), "a", "left_anti").join(low.drop("n"), "a").unionByName(up.join(F.broadcast(hot), "a"))
+        hot = settle(low.where(F.col("n") > state[0] // 500).drop("n")) if state[0] > HOT_ROWS else None
+        if hot is None:
+            large = up.join(low.drop("n"), "a")
+        else:
+            large = up.join(F.broadcast(hot), "a", "left_anti").join(low.drop("n"), "a").unionByName(up.join(F.broadcast(hot), "a"))
         large = large.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # Here a node only meets its smaller neighbours, which the step before has cut to a few: a window holds them in one shuffle.
         small = large.withColumn("m", F.min("b").over(Window.partitionBy("a"))).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
         after = settle(small.where("a <> b").distinct())
-        release(edges, hot)
+        release(edges, *([hot] if hot is not None else []))
         edges, old, state = after, state, after.agg(*mark).first()
         if state == old:
             break
