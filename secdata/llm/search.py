@@ -11,7 +11,7 @@ score is known and is the threshold of the next, so later shards return only wha
 In a shard, a list's documents are cut into blocks of ``BLOCK`` neighbours with the largest score in each. A document is scored only if the sum of its upper bounds exceeds
 the query's threshold (WAND's pivot test): a term of a short list contributes its score in that document, a term of a long list the maximum of the
 document's block, whether the document has it or not. All tests of a batch of queries are one sparse sum and one matrix product. If a query has no threshold yet, the k documents with the
-highest bounds are scored first. Scores are summed in one order of terms, so equal texts tie exactly; ties go to the smaller id.
+highest bounds are scored first. Blocks with a document that passes are then added up exactly, for all queries of the batch that need them at once. Scores are summed in one order of terms, so equal texts tie exactly; ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from secdata.llm.shared import release, settle
 from secdata.llm.text import WORD_BYTES, Words, pieces, ranges
 
-K1, B, BLOCK = 1.2, 0.75, 32
+K1, B, BLOCK = 1.2, 0.75, 64
 SHARD_WORDS, LEAST_SHARDS, FIRST_ROUND = 4_000_000, 8, 8
-BLOCK_TERMS, BLOCK_QUERIES, BATCH_CELLS, LONG_CELLS = 4_000_000, 20_000, 2_000_000, 1_000_000
+BLOCK_TERMS, BLOCK_QUERIES, BATCH_CELLS, LONG_CELLS = 4_000_000, 20_000, 2_000_000, 4_000_000
 _BYTES_PER_WORD = 6
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _INDEX = "shard int, round int, docs int, ids binary, dl binary, term binary, first binary, owner binary, tf binary"
@@ -141,20 +141,18 @@ class Shard:
         order = np.argsort(self.doc, kind="stable")  # document by document, terms ascending
         self.own_list, self.own_score = list_of[order], self.score[order]
         self.own = np.searchsorted(self.doc[order], np.arange(n + 1))
-        # Long lists: the maxima of their blocks.
+        # Long lists: by block of documents, the scores and their maxima.
         self.blocks = -(-n // BLOCK)
-        most = min(int((count >= max(8, n / 100)).sum()), LONG_CELLS // max(1, self.blocks))
+        most = min(int((count >= max(8, n / 50)).sum()), LONG_CELLS // max(1, self.blocks * BLOCK))
         long = np.sort(np.argsort(-count, kind="stable")[:most])
         self.column = np.full(len(code) + 1, -1)
         self.column[long] = np.arange(most)
         at = ranges(self.begin[long], count[long])
-        cell = np.repeat(np.arange(most), count[long]) * self.blocks + self.doc[at] // BLOCK
-        new = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else np.zeros(0, np.int64)
-        self.maxima = np.zeros(most * self.blocks)
-        if len(new):
-            self.maxima[cell[new]] = np.maximum.reduceat(self.score[at], new)
-        self.maxima = self.maxima.reshape(most, self.blocks)
+        self.long = np.zeros((self.blocks, most, BLOCK))
+        self.long[self.doc[at] // BLOCK, np.repeat(np.arange(most), count[long]), self.doc[at] % BLOCK] = self.score[at]
+        self.maxima = self.long.max(2).T if self.blocks else np.zeros((most, 0))
         self.asked = np.zeros(len(code), bool)
+        self.added = 0  # blocks added up, by query
 
     def _scored(self, docs: np.ndarray) -> np.ndarray:
         """The documents' sums over the asked lists, in one order of terms."""
@@ -175,33 +173,32 @@ class Shard:
             short, whose = lists[column < 0], owner[column < 0]
             at = ranges(self.begin[short], self.count[short])
             cell = np.repeat(whose * self.n, self.count[short]) + self.doc[at]
-            bound = np.bincount(cell, self.score[at], len(some) * self.n).astype(float).reshape(len(some), self.n)
-            bound += np.repeat(chosen @ self.maxima, BLOCK, axis=1)[:, : self.n]
+            sums = np.zeros((len(some), self.blocks * BLOCK))
+            sums[:, : self.n] = np.bincount(cell, self.score[at], len(some) * self.n).reshape(len(some), self.n)
+            bound = (sums.reshape(len(some), self.blocks, BLOCK) + (chosen @ self.maxima)[:, :, None]).reshape(sums.shape)
+            floor = least[i : i + step].copy()
+            for r in np.flatnonzero(floor <= 0) if self.n > k else ():  # no threshold yet: the most promising documents give one
+                self.asked[some[r]] = True
+                floor[r] = self._scored(np.argpartition(bound[r, : self.n], self.n - k)[self.n - k :]).min()
+                self.asked[some[r]] = False
+            near = (bound >= floor[:, None] * (1 - 1e-9)) & (bound > 0)
+            wanted = near.reshape(len(some), self.blocks, BLOCK).any(2)
+            for b in np.flatnonzero(wanted.any(0)):
+                rows = np.flatnonzero(wanted[:, b])
+                self.added += len(rows)
+                sums[rows, b * BLOCK : (b + 1) * BLOCK] += chosen[rows] @ self.long[b]
+            near &= sums >= floor[:, None] * (1 - 1e-9)
             for r, mine in enumerate(some):
                 self.asked[mine] = True
-                yield self._best(bound[r], least[i + r], k)
+                yield self._best(np.flatnonzero(near[r]), sums[r], floor[r], k)
                 self.asked[mine] = False
 
-    def _best(self, bound: np.ndarray, least: float, k: int) -> tuple[np.ndarray, np.ndarray]:
-        done = score = None
-        if least <= 0 and self.n > k:  # no threshold yet: the most promising documents give one
-            done = np.argpartition(bound, self.n - k)[self.n - k :]
-            score = self._scored(done)
-            least = float(score.min())
-        near = bound >= least * (1 - 1e-9) if least > 0 else bound > 0
-        if done is not None:
-            near[done] = False
-        found = np.flatnonzero(near)
-        if len(found) > 4 * k:  # the highest bounds first: they raise the threshold for the others
-            first = found[np.argpartition(bound[found], len(found) - k)[len(found) - k :]]
-            held = self._scored(first)
-            done, score = (first, held) if done is None else (np.concatenate((done, first)), np.concatenate((score, held)))
-            least = max(least, float(np.partition(score, len(score) - k)[len(score) - k]))
-            near[first] = False
-            found = found[near[found] & (bound[found] >= least * (1 - 1e-9))]
+    def _best(self, found: np.ndarray, sums: np.ndarray, least: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of the documents found, the best: those near the k-th sum are summed again in one order of terms."""
+        if len(found) > k:
+            held = sums[found]
+            found = found[held >= np.partition(held, len(held) - k)[len(held) - k] * (1 - 1e-9)]
         held = self._scored(found)
-        if done is not None:
-            found, held = np.concatenate((done, found)), np.concatenate((score, held))
         good = (held > 0) & (held >= least)
         found, held = self.ids[found[good]], held[good]
         order = np.lexsort((found, -held))[:k]
