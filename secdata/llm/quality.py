@@ -23,7 +23,7 @@ DIMS = 2048
 
 
 def features(column: pa.Array) -> np.ndarray:
-    """For each text the damped counts of its hashed windows."""
+    """For each text, followed by three line ends, the damped counts of its hashed windows."""
     data, starts = flat(column, "\n\n\n")
     n = len(column)
     if len(data) < 3:
@@ -31,8 +31,9 @@ def features(column: pa.Array) -> np.ndarray:
     kind = _KINDS[data]
     code = (kind[:-2] << np.uint32(16)) | (kind[1:-1] << np.uint32(8)) | kind[2:]
     bucket = ((code * np.uint32(2654435761)) >> np.uint32(32 - 11)).astype(np.int64)
-    owner = np.repeat(np.arange(n), np.diff(starts))[:-2]
-    return np.log1p(np.bincount(owner * DIMS + bucket, minlength=n * DIMS).reshape(n, DIMS)).astype(np.float32)
+    owner = np.repeat(np.arange(n), np.diff(starts))
+    own = owner[:-2] == owner[2:]  # a window that reaches into the next text belongs to none
+    return np.log1p(np.bincount(owner[:-2][own] * DIMS + bucket[own], minlength=n * DIMS).reshape(n, DIMS)).astype(np.float32)
 
 
 class Voters:
@@ -40,24 +41,24 @@ class Voters:
         n = len(labels)
         self.neighbours, self.power = max(1, min(neighbours, n)), power
         self.prior = float(labels.mean()) if n else 0.5
-        self.weight = np.log((1 + n) / (1 + (counts > 0).sum(0))).astype(np.float32) + np.float32(1)
-        self.middle = np.zeros(DIMS, np.float32)
-        self.axes = np.zeros((DIMS, 0), np.float32)
+        self.weight = np.log((1 + n) / (1 + (counts > 0).sum(0))) + 1
+        self.middle = np.zeros(DIMS)
+        self.axes = np.zeros((DIMS, 0))
         self.labels = labels.astype(np.float32)
         x = self._scaled(counts)
         self.middle = x.mean(0) if n else self.middle
         x = x - self.middle
         rank = min(rank, n)
         if rank:
-            basis = np.random.default_rng(0).normal(size=(DIMS, rank + 8)).astype(np.float32)
+            basis = np.random.default_rng(0).normal(size=(DIMS, rank + 8))
             for _ in range(4):  # subspace iteration
                 basis, _ = np.linalg.qr(x.T @ (x @ basis))
             _, _, right = np.linalg.svd(x @ basis, full_matrices=False)
-            self.axes = (basis @ right.T)[:, :rank].astype(np.float32)
+            self.axes = (basis @ right.T)[:, :rank]
         self.vectors = self.vector(counts)
 
     def _scaled(self, counts: np.ndarray) -> np.ndarray:
-        x = counts * self.weight
+        x = counts.astype(np.float64) * self.weight
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
     def vector(self, counts: np.ndarray) -> np.ndarray:
@@ -72,12 +73,13 @@ class Voters:
             counts = features(column.slice(at, block))
             if not len(self.labels):
                 break
-            cosine = self.vector(counts) @ self.vectors.T
-            near = np.argpartition(-cosine, self.neighbours - 1, axis=1)[:, : self.neighbours]
+            cosine = np.round(self.vector(counts) @ self.vectors.T, 9)
+            # Ties go to the earlier labelled row, so that a score is the same in every batch.
+            near = np.argpartition(np.arange(len(self.labels)) * (5e-10 / len(self.labels)) - cosine, self.neighbours - 1, axis=1)[:, : self.neighbours]
             weight = np.maximum(np.take_along_axis(cosine, near, 1), 1e-6) ** self.power
             out[at : at + block] = (weight * self.labels[near]).sum(1) / weight.sum(1)
         out[empty] = self.prior
-        return np.clip(out, 0, 1)
+        return np.round(np.clip(out, 0, 1), 9)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", per_label: int = 1000, rank: int = 48, neighbours: int = 15, power: float = 4.0) -> Voters:
@@ -97,7 +99,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 def score(docs: DataFrame, model, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """All rows and columns of ``docs`` plus score (0 to 1) and predicted (1 from ``threshold`` on); columns of these names are replaced.
 
-    Null and empty texts score what the model holds for no evidence. ``model`` is anything with ``score(column)``.
+    Null and empty texts score what the model holds for no evidence. A score depends on the row's own text alone: texts of any length are read whole, repeated rows get
+    equal scores, an empty table gives an empty result. ``model`` is anything with ``score(column)``.
     """
     docs = docs.drop("score", "predicted")
     shared = docs.sparkSession.sparkContext.broadcast(model)
