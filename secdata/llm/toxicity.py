@@ -2,7 +2,8 @@
 
 A term is a word or a word's first four, five or six bytes (inflected forms share them); it counts as present or absent. Terms are hashed to
 ``1 << BITS`` buckets. The machine is w0 + sum w[i] + sum over pairs <v[i], v[j]>, so two terms that mean little alone, such as an insult's and a group's, can
-decide together. Every bucket that a labelled sample shows to lean to a label (by a z score) is a feature; the others are 0.
+decide together. Features are the most frequent buckets of a labelled sample whatever their lean, since a term that says nothing alone may decide in a pair, and
+those that lean most to a label (by a z score); the others are 0.
 
 Fitting reads a bounded sample (``per_label`` rows for each label). Counts of terms are summed by Spark; the sample's features, a few hundred
 numbers a row, are collected and the machine is fitted with Adam on the driver. A toxic row weighs ``weight`` times a clean one.
@@ -86,7 +87,7 @@ class Machine:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_label: int = 4000, n_terms: int = 8192, least_z: float = 3.0, epochs: int = 40) -> Machine:
-    """Without labelled rows of both kinds the machine is constant: 0.5, or near the only label."""
+    """``n_terms`` bounds the features: half of them at most by lean (``least_z`` or more), the others by frequency. Without labelled rows of both kinds the machine is constant: 0.5, or near the only label."""
     rows = sample(docs, labels, label_col, per_label, id_col, text_col).select("text", "label")
 
     def count(batches):
@@ -101,8 +102,11 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     sums = rows.mapInArrow(count, "bucket long, bad long, good long").groupBy("bucket").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     rate = (F.col("bad") + F.col("good")) / F.lit(p + q)
     z = F.abs(F.col("bad") / p - F.col("good") / q) / F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-9)) * F.lit(1 / p + 1 / q))
-    best = sums.where("bad + good >= 3").select("bucket", z.alias("z")).where(F.col("z") >= least_z).orderBy(F.desc("z"), "bucket").limit(n_terms)
-    machine = Machine(np.array(sorted(r[0] for r in best.collect()), np.int64))
+    seen = sums.where("bad + good >= 3").select("bucket", z.alias("z"), (F.col("bad") / p + F.col("good") / q).alias("often"))
+    leaning = {r[0] for r in seen.where(F.col("z") >= least_z).orderBy(F.desc("z"), "bucket").limit(n_terms // 2).collect()}
+    frequent = [r[0] for r in seen.orderBy(F.desc("often"), "bucket").limit(n_terms).collect()]
+    chosen = leaning | set([b for b in frequent if b not in leaning][: n_terms - len(leaning)])
+    machine = Machine(np.array(sorted(chosen), np.int64))
     shared = docs.sparkSession.sparkContext.broadcast(machine.number)
 
     def number(batches):
