@@ -152,17 +152,18 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     return Filters({r["lang"]: np.array([g["gram"] for g in r["best"]], np.uint32) for r in ranked.collect()}, langs[0][0])
 
 
-def predict(docs: DataFrame, model: Filters, text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` plus lang_pred and score (columns of these names are replaced).
+def predict(docs: DataFrame, model: Filters, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
+    """All rows and columns of ``docs`` plus the language and its score in two more columns (columns of these names are replaced).
 
-    A null text, or one without letters, is ``und`` with score 0. Ties go to the first language in alphabetical order.
+    A null text, or one without letters, is ``und`` with score 0; so is every text if no row was labelled. Ties go to the first language in alphabetical order. Texts of any
+    length are read whole; repeated rows get equal results; an empty table gives an empty result.
     """
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop(lang_out, score_out)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for piece in pieces(batches, text_col):
             names, score = shared.value.decide(piece.column(text_col))
-            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(names, pa.string()), pa.array(score)], names=[*piece.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(names, pa.string()), pa.array(score)], names=[*piece.schema.names, lang_out, score_out])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType())]))
