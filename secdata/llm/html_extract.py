@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,11 +33,14 @@ SCOPE = {"ul", "ol", "dl", "table", "div", "article", "section", "main", "body",
 SIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disclaimer", "disqus", "footer", "gdpr", "login", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "overlay", "pagination", "pager", "popup", "promo", "promotion", "recommended", "related", "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "subscription", "teaser", "toolbar", "widget", "widgets"}
 SIDE_ROLES = {"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation", "search", "toolbar"}
 BODY = {"article", "main"}
-LEAST, BODY_WEIGHT, CLEAR, CLEAR_TEXT = 0.2, 3.0, 2.0, 400
+LEAST, BLUR, BODY_WEIGHT, CLEAR, CLEAR_TEXT = 0.2, 0.1, 3.0, 2.0, 400
 SHOWN, SIDE, OUT = 0, 1, 2
+#: Paths name the outermost elements of deeper nesting.
+DEEPEST = 256
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*'|["'])*?)>""", re.S)
-_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_OPEN = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*+))")
+_REST = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+>""")  # no part can be given back, so one pass decides
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
 _SPLIT = re.compile(r"[^a-z]+")  # parts of a class name
 _PUNCTUATION = re.compile(r"[.,;:!?…、。，！？]")
 
@@ -74,35 +78,52 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], tuple[int, ...], str]]:
     path: list[tuple[tuple[str, ...], tuple[int, ...]] | None] = [None, None]  # of what is shown, and of what is declared to be something else inside of the same block
     text: list[list[str]] = [[], []]
     at, size = 0, len(page)
+    opened: Counter[str] = Counter()
+    quotes = True  # until a tag is found that ends only if its quotes are ignored
 
     def flush():
         made = [(*(p or ((), ())), "".join(t)) for p, t in zip(path, text, strict=True) if t]
         path[:], text[:] = [None, None], [[], []]
         return made
 
+    def cut(depth):
+        opened.subtract(e[0] for e in stack[depth:])
+        del stack[depth:]
+
     while at < size:
-        found = _TOKEN.search(page, at)
+        found = _OPEN.search(page, at)
         end = found.start() if found else size
         if end > at and not (stack and stack[-1][1] == OUT):
             piece = page[at:end]
             which = int(bool(stack) and stack[-1][1] == SIDE)
             if path[which] is None and piece.strip():
-                held = [(f"{t}*" if x else t, n) for t, x, n in stack if t not in INLINE or x]
+                held = [(f"{t}*" if x else t, n) for t, x, n in stack[:DEEPEST] if t not in INLINE or x]
                 path[which] = tuple(t for t, _ in held), tuple(n for _, n in held)
             text[which].append(piece)
         if not found:
             break
-        at = found.end()
-        closing, tag, attributes = found.group(1), found.group(2), found.group(3)
-        if not tag:
+        closing, tag = found.group(1), found.group(2)
+        if not tag:  # a comment, or a declaration
+            comment = found.group().endswith("--")
+            at = page.find("-->" if comment else ">", found.end())
+            at = size if at < 0 else at + (3 if comment else 1)
             continue
+        rest = _REST.match(page, found.end()) if quotes else None
+        if rest is None:
+            quotes = False
+            at = page.find(">", found.end()) + 1
+            if not at:  # no tag ends any more
+                break
+            attributes = page[found.end() : at - 1]
+        else:
+            at, attributes = rest.end(), rest.group()[:-1]
         tag = tag.lower()
         if tag not in INLINE:
             yield from flush()
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None) if opened[tag] else None
             if depth is not None and (tag not in INLINE or all(e[0] in INLINE for e in stack[depth:])):
-                del stack[depth:]
+                cut(depth)
             continue
         if tag in VOID:
             continue
@@ -113,7 +134,7 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], tuple[int, ...], str]]:
         if tag not in INLINE:  # a new block ends an open paragraph, with the inline elements in it
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == "p":
-                    del stack[i:]
+                    cut(i)
                     break
                 if stack[i][0] not in INLINE:
                     break
@@ -121,7 +142,7 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], tuple[int, ...], str]]:
             if ends:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] in ends:
-                        del stack[i:]
+                        cut(i)
                         break
                     if stack[i][0] in SCOPE:
                         break
@@ -129,13 +150,15 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], tuple[int, ...], str]]:
             continue
         above = stack[-1][1] if stack else SHOWN
         number += 1
-        stack.append((tag, above if above == OUT else max(above, _declared(tag, attributes, any(e[0] in BODY for e in stack))), number))
+        stack.append((tag, above if above == OUT else max(above, _declared(tag, attributes, opened["article"] + opened["main"] > 0)), number))
+        opened[tag] += 1
     yield from flush()
 
 
 def _smooth(values: list[float]) -> list[float]:
+    """Each value with a part of its neighbours', a part so small that a neighbour of content doesn't pass for content itself."""
     n = len(values)
-    return [0.5 * values[i] + 0.25 * values[max(0, i - 1)] + 0.25 * values[min(n - 1, i + 1)] for i in range(n)]
+    return [(1 - 2 * BLUR) * values[i] + BLUR * (values[max(0, i - 1)] + values[min(n - 1, i + 1)]) for i in range(n)]
 
 
 def main_text(page: str | None) -> str:
@@ -183,7 +206,10 @@ def main_text(page: str | None) -> str:
 
 
 def extract(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:
-    """All rows and columns of ``pages`` but the markup, plus the main text (a column of that name is replaced). Null markup gives an empty text."""
+    """All rows and columns of ``pages`` but the markup, plus the main text (a column of that name is replaced). Null and empty markup gives an empty text.
+
+    Pages of any length are read whole, in time that grows with their length also where tags or quotes never end; an empty table gives an empty result.
+    """
     kept = [f for f in pages.schema.fields if f.name not in (html_col, out_col)]
     pages = pages.select(*[f.name for f in kept], html_col)
 
