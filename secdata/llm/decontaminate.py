@@ -12,7 +12,7 @@ ones. For a set of windows of m words and blocks of B = min(2, m) words:
 All positions of a piece of input are searched together: each run of 64 positions has a cursor, and a step moves all cursors.
 
 The benchmark reaches the tasks as broadcast tables of at most ``block_bytes`` of text; a larger benchmark is split by item
-into as many blocks, each searched in a pass of its own over rows that carry what was found so far.
+into as many blocks, each searched in a pass of its own over rows that carry what was found so far; between passes these are written to the shared folder, so a task holds one block.
 """
 
 from __future__ import annotations
@@ -25,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from secdata.llm.shared import release, settle
 from secdata.llm.text import WORD_BYTES, Words, mix, pieces, ranges
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _RUN = 64
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-FOUND = "n_words long, n_hit long, items array<long>, spans array<struct<begin:long,end:long>>"
 
 
 class WindowSet:
@@ -150,18 +150,29 @@ def _blocks(bench: DataFrame, id_col: str, text_col: str, block_bytes: int) -> I
         yield [tuple(r) for r in bench.where(F.pmod(F.xxhash64("i"), F.lit(n)) == k).collect()]
 
 
+def _next(table: DataFrame, before: DataFrame | None) -> DataFrame:
+    """``table`` settled for another pass; what it was made from is deleted."""
+    made = settle(table)
+    if before is not None:
+        release(before)
+    return made
+
+
 def find_windows(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", n: int = 10, block_bytes: int = 8 << 20) -> DataFrame:
     """One row per row of ``docs``: its id, n_words, n_hit (words inside any occurrence), items (sorted ids of the items with an
     occurring window) and spans (hit runs as word offsets, end exclusive).
 
     Null and empty texts have no words; items without words or id are ignored; repeated items and rows are treated one by one. Other columns
-    of the inputs aren't read, whatever their names.
+    of the inputs aren't read, whatever their names. Texts of any length are searched whole. No documents give an empty result, no items leave every text clean. Item ids must be numbers.
     """
     sc = docs.sparkSession.sparkContext
     state = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.lit(None).cast("array<long>").alias("items"), F.lit(None).cast("array<struct<begin:long,end:long>>").alias("spans"), F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"))
     schema = state.schema
     out = pa.schema([("items", pa.list_(pa.int64())), ("spans", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))])
-    for items in _blocks(bench, item_col, item_text, block_bytes):
+    held = None
+    for k, items in enumerate(_blocks(bench, item_col, item_text, block_bytes)):
+        if k:
+            state = held = _next(state, held)
         sets = sc.broadcast(window_sets(items, n))
 
         def run(batches, sets=sets):
@@ -180,9 +191,12 @@ def find_windows(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text
 
 
 def remove_contaminated(docs: DataFrame, bench: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", n: int = 10, block_bytes: int = 8 << 20) -> DataFrame:
-    """The rows of ``docs``, with all their columns, in whose text no window of any item occurs. Null texts stay."""
+    """The rows of ``docs``, with all their columns, in whose text no window of any item occurs. Null texts stay. Other cases as in ``find_windows``."""
     sc = docs.sparkSession.sparkContext
-    for items in _blocks(bench, item_col, item_text, block_bytes):
+    held = None
+    for k, items in enumerate(_blocks(bench, item_col, item_text, block_bytes)):
+        if k:
+            docs = held = _next(docs, held)
         sets = sc.broadcast(window_sets(items, n))
 
         def run(batches, sets=sets):
