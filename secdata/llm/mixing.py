@@ -5,7 +5,7 @@ The exponent is the largest in [0, 1] whose weights reach a target entropy, rais
 so an interval is narrowed: each round weighs the ends of its ``SECTIONS`` parts in one aggregation over the sources.
 
 Weights become rows by budgeted block permutations. A source's part of the budget is a number of whole epochs and a rest. In the epoch with the rest,
-the source's rows are dealt by hash into at most ``MOST_BLOCKS`` blocks, the blocks are permuted, and whole blocks are taken as long as the budget lasts; the
+the source's rows are dealt by hash into a block for each ``BLOCK_ROWS`` (at most ``MOST_BLOCKS``), the blocks are permuted, and whole blocks are taken as long as the budget lasts; the
 block at the border is permuted by rows and taken in part. Only sums per block are ever put in order, so no source's rows meet in one task.
 """
 
@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from secdata.llm.shared import settle
 
-SECTIONS, ROUNDS, MOST_BLOCKS, BLOCK_ROWS, MOST_SOURCES = 16, 6, 1024, 256, 50_000
+SECTIONS, ROUNDS, MOST_BLOCKS, BLOCK_ROWS = 16, 6, 65_536, 256
+#: Rows of a plan that are broadcast at most.
+BROADCAST_ROWS = 50_000
 #: With no budget given, sources may be used up until this part of the mix has to come from others, or further until this part of the tokens is kept.
 SHORT, LEAST_PART = 0.1, 0.5
 
@@ -111,15 +113,20 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
         F.least(F.lit(MOST_BLOCKS), F.ceil(F.col("rows") / BLOCK_ROWS)).cast("int").alias("blocks"),
     ).select("__s", F.expr("goal div all").cast("int").alias("whole"), F.expr("goal % all").alias("rest"), "blocks")
 
-    # A join by source would bring a large source's rows to one task. The plan is broadcast unless there are very many sources, none of which can be large then.
-    few = sources.count() <= MOST_SOURCES
-    epochs = rows.join(F.broadcast(plan) if few else plan, "__s").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole"))))
+    # A join by source would bring a large source's rows to one task. So the plan is broadcast, or, of very many sources, the plan of those with more than a thousandth of the rows.
+    n_sources, n_rows, n_blocks = sources.join(plan.select("__s", "blocks"), "__s").agg(F.count("*"), F.sum("rows"), F.sum("blocks")).first()
+    if n_sources <= BROADCAST_ROWS:
+        epochs = rows.join(F.broadcast(plan), "__s")
+    else:
+        large = F.broadcast(plan.join(sources.where(F.col("rows") > n_rows // 1000).select("__s"), "__s", "left_semi"))
+        epochs = rows.join(large, "__s").unionByName(rows.join(large.select("__s"), "__s", "left_anti").join(plan, "__s"))
+    epochs = epochs.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole"))))
     epochs = epochs.where("epoch < whole OR rest > 0").withColumn("block", F.pmod(dealt(F.lit(seed), F.col(id_col), F.col("epoch")), F.col("blocks")).cast("int"))
     last = F.col("epoch") == F.col("whole")
     sums = epochs.where(last).groupBy("__s", "block").agg(F.sum("tokens").alias("n"), F.first("rest").alias("rest"))
     order = Window.partitionBy("__s").orderBy(dealt(F.lit(seed), F.lit("block"), F.col("block")), "block")  # at most MOST_BLOCKS rows a source
     sums = sums.withColumn("end", F.sum("n").over(order)).where("end - n < rest").select("__s", "block", (F.col("rest") - F.col("end") + F.col("n")).alias("room"), F.col("n").alias("__n"))
-    taken = epochs.where(last).drop("rest", "whole", "blocks").join(F.broadcast(sums) if few and sources.count() * MOST_BLOCKS <= 100_000 else sums, ["__s", "block"])
+    taken = epochs.where(last).drop("rest", "whole", "blocks").join(F.broadcast(sums) if (n_blocks or 0) <= BROADCAST_ROWS else sums, ["__s", "block"])
     inside = Window.partitionBy("__s", "block").orderBy(dealt(F.lit(seed), F.lit("row"), F.col(id_col)), id_col).rowsBetween(Window.unboundedPreceding, 0)
     names = [*docs.columns, "tokens", "epoch", "block"]
     border = taken.where("__n > room").withColumn("__end", F.sum("tokens").over(inside)).where("__end <= room").select(*names)
