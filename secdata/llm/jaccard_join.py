@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from secdata.llm.partenum import Bands, set_hash, shingles, signatures
-from secdata.llm.shared import connected, only_ids, reducers, settle, star_links
+from secdata.llm.shared import connected, join_hot, only_ids, reducers, release, settle, star_links
 from secdata.llm.text import SPACED_BYTES, Words, mix, pieces, ranges
 
 SKETCH_WORDS = 16
@@ -270,11 +270,13 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     posts = found.where("doc IS NULL").select("sig", "class", "up", "leader", "c")
     many = posts.where("leader IS NULL").groupBy("sig", "class").agg(F.max("up").alias("up"))
     heads = many.groupBy("sig").agg(F.min(F.when(F.col("up"), F.col("class"))).alias("leader"), F.count("*").cast("int").alias("c"))
-    posts = posts.where("leader IS NOT NULL").unionByName(settle(many.join(heads, "sig").where("leader IS NOT NULL")))
+    posts = settle(posts.where("leader IS NOT NULL").unionByName(many.join(heads, "sig").where("leader IS NOT NULL")))
 
     as_long = [F.conv(F.hex(F.substring("sketch", 8 * i + 1, 8)), 16, -10).cast("long").alias(s) for i, s in enumerate(_SKETCH)]
     documents = found.where("doc IS NOT NULL AND n > 0").groupBy("class").agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    known = documents.select("class", "doc", "n", *as_long)
+    known = documents.join(posts.select("class").unionByName(posts.select(F.col("leader").alias("class"))).distinct(), "class", "left_semi").select("class", "doc", "n", *as_long)
+    known = settle(known)
+    held: list[DataFrame] = []
 
     def near(x: str, y: str) -> F.Column:
         return _near(x, y, num, den)
@@ -283,11 +285,11 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         wanted = settle(documents.join(needed, "class").select("class", F.col("doc").alias("id")))
         texts = wanted.join(only_ids(source, "id", wanted), "id")
         texts = settle(texts.select("class", "text").mapInArrow(_sketcher(words), "class long, text string, n long, wide binary"))
+        held.extend((wanted, texts))
 
         def both(pairs: DataFrame, table: DataFrame, of: dict[str, str]) -> DataFrame:
-            for side, other in (("a", "x"), ("b", "y")):
-                pairs = pairs.join(table.select(F.col("class").alias(side), *[F.col(c).alias(other + suffix) for c, suffix in of.items()]), side)
-            return pairs
+            x, y = (table.select(F.col("class").alias(side), *[F.col(c).alias(other + suffix) for c, suffix in of.items()]) for side, other in (("a", "x"), ("b", "y")))
+            return join_hot(pairs, x, "a").join(y, "b")
 
         def similar(pairs: DataFrame) -> DataFrame:
             left = both(pairs, texts, {"wide": "", "n": "n"}).select("a", "b", "x", "y", "xn", "yn").mapInArrow(_refuter(num, den), "a long, b long")
@@ -298,7 +300,9 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         return similar
 
-    return members, star_links(posts, known, ["n", *_SKETCH], near, tests)
+    links = settle(star_links(posts, known, ["n", *_SKETCH], near, tests))
+    release(posts, known, *held)
+    return members, links
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 3, den: int = 4) -> DataFrame:
@@ -315,6 +319,6 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 3, den: int = 4) -> DataFrame:
-    """``docs`` without the documents that are not the smallest of their component; all columns stay. Rows without id stay."""
+    """``docs`` without the documents that are not the smallest of their component; all columns stay. Rows without id stay; repeated rows with one id all stay or go together."""
     gone = components(docs, id_col, text_col, words, num, den).where("doc <> component").select(F.col("doc").alias("__gone")).distinct()
     return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
