@@ -5,41 +5,59 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from secdata.llm import decontaminate, jaccard_join, langid, mixing, sharding
+from secdata.llm.shared import shared_folder
 
 #: A document whose best language holds a smaller share of the evidence than this has no clear language.
 LEAST_SHARE = 0.45
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters and those without a clear language. The filters are fitted on the stage's own input."""
-    judged = langid.predict(docs.withColumnRenamed("score", "__score") if "score" in docs.columns else docs, langid.fit(docs))
-    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
+    """Drops documents without letters and those without a clear language. The filters are fitted on the stage's own input.
+
+    Null and empty texts have no letters, so they go. If no row has a language, nothing can be learned and all documents stay. Long texts are judged whole, copies alike; an empty table stays empty;
+    extra columns are kept as they are, whatever their names but ``__lang`` and ``__share``.
+    """
+    model = langid.fit(docs)
+    if not model.langs:
+        return docs
+    judged = langid.predict(docs, model, lang_out="__lang", score_out="__share")
+    return judged.where((F.col("__lang") != "und") & (F.col("__share") >= LEAST_SHARE)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies (five-word shingles, Jaccard 0.75 or more)."""
+    """Keeps the document with the smallest id of each group of near copies (five-word shingles, Jaccard 0.75 or more).
+
+    Texts without words, and rows without an id, are linked with nothing and stay; rows with one id count as one document, so all of them stay or go. Long texts are compared whole; an empty table
+    stays empty; extra columns aren't touched.
+    """
     return jaccard_join.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which ten consecutive words of a benchmark item occur."""
+    """Drops documents in which ten consecutive words of a benchmark item occur.
+
+    Null and empty texts contain none and stay. Long texts are searched whole, repeated rows alike; an empty table stays empty, an empty benchmark drops nothing; extra columns aren't touched.
+    """
     return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Flattens the sources to nine tenths of the largest entropy, or leaves them if they are flatter. No document is repeated: smaller sources are used up whole, and up to a tenth of the mix comes from others instead."""
+    """Flattens the sources to nine tenths of the largest entropy, or leaves them if they are flatter. No document is repeated: smaller sources are used up whole, and up to a tenth of the mix comes from others instead.
+
+    Rows without text or id have no tokens and go; a null source is one of its own; a very long text that doesn't fit what is left of its source's part goes. Ties in the permutation go by id. An empty table stays
+    empty; columns named tokens, epoch or block are replaced inside the stage and would be lost.
+    """
     return mixing.mix(docs, entropy=0.9, repeats=1.0, budget_part=None).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deals the documents to eight shards: adds size, shard and slot."""
+    """Deals the documents to eight shards: adds size, shard and slot (columns of these names are replaced). Null texts have size 1; equal texts share a shard; an empty table stays empty."""
     return sharding.assign(docs, shards=8)
 
 
@@ -56,7 +74,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="pipeline-")
+    folder = shared_folder(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = f"{folder}/corpus-pipeline-{uuid.uuid4()}/{name}"
