@@ -27,8 +27,8 @@ from secdata.llm.shared import release, settle
 from secdata.llm.text import WORD_BYTES, Words, pieces, ranges
 
 K1, B, BLOCK = 1.2, 0.75, 64
-SHARD_WORDS, LEAST_SHARDS, FIRST_ROUND = 4_000_000, 8, 8
-BLOCK_TERMS, BLOCK_QUERIES, BATCH_CELLS, LONG_CELLS = 4_000_000, 20_000, 2_000_000, 4_000_000
+SHARD_WORDS, LEAST_SHARDS, FIRST_ROUND = 2_000_000, 8, 8
+BLOCK_TERMS, BLOCK_QUERIES, BATCH_CELLS, LONG_CELLS = 4_000_000, 20_000, 500_000, 2_000_000
 _BYTES_PER_WORD = 6
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _INDEX = "shard int, round int, docs int, ids binary, dl binary, term binary, first binary, owner binary, tf binary"
