@@ -39,13 +39,38 @@ def fill(rows: DataFrame, found: DataFrame, key: str, label: str, source: str) -
     return filled.drop("__k", "winner")
 
 
+def majorities(rows: DataFrame, key: str, mode: str = "majority") -> DataFrame:
+    """(key, cve_id, cwe_id): the winners of both labels by the rules of ``majority``, in one aggregation; null where a label has none."""
+    if mode not in ("majority", "unambiguous"):
+        raise ValueError("mode must be 'majority' or 'unambiguous'")
+    values = F.array(*[F.when(~N.is_missing(F.col(x)), F.struct(F.lit(x).alias("label"), N.strip(F.col(x)).alias("v"))) for x in LABELS])
+    usable = rows.where(F.coalesce(F.col(key), F.lit("")) != "").select(key, "sample_id", F.explode(values).alias("x")).where("x IS NOT NULL").select(key, "sample_id", "x.*")
+    counts = usable.groupBy(key, "label", "v").agg(F.count("*").alias("n"), F.min("sample_id").alias("at"))
+    winners = []
+    for x in LABELS:
+        mine = F.col("label") == x
+        best = F.max_by(F.when(mine, F.col("v")), F.when(mine, F.struct("n", -F.col("at"))))
+        winners.append((F.when(F.count_if(mine) == 1, best) if mode == "unambiguous" else best).alias(x))
+    return counts.groupBy(key).agg(*winners)
+
+
+def fill_labels(rows: DataFrame, found: DataFrame, key: str, source: str) -> DataFrame:
+    """Both missing labels from ``found`` (key, cve_id, cwe_id) in one join. Rows with both labels, and those without a key, go round the join."""
+    needs = (F.coalesce(F.col(key), F.lit("")) != "") & (F.col("cve_id").isNull() | F.col("cwe_id").isNull())
+    known = found.select(F.col(key).alias("__k"), *[F.col(x).alias(f"__{x}") for x in LABELS])
+    joined = rows.where(needs).join(known, F.col(key) == F.col("__k"), "left")
+    made = {}
+    for x in LABELS:
+        made[x] = F.coalesce(F.col(x), F.col(f"__{x}"))
+        made[_source(x)] = F.when(F.col(x).isNull() & F.col(f"__{x}").isNotNull(), F.lit(source)).otherwise(F.col(_source(x)))
+    return joined.withColumns(made).select(*rows.columns).unionByName(rows.where(~needs))
+
+
 def same_commit(rows: DataFrame, original: DataFrame | None = None, mode: str = "majority") -> DataFrame:
     """Fills missing labels with the commit's majority; the majority is taken over ``original`` (default: the rows as they come)."""
     base = (rows if original is None else original).withColumn("__link", N.strip(F.col("commit_link")))
     rows = rows.withColumn("__link", N.strip(F.col("commit_link")))
-    for label in LABELS:
-        rows = fill(rows, majority(base, "__link", F.col(label), mode), "__link", label, "same_commit")
-    return rows.drop("__link")
+    return fill_labels(rows, majorities(base, "__link", mode), "__link", "same_commit").drop("__link")
 
 
 def commit_conflicts(rows: DataFrame) -> DataFrame:
@@ -83,10 +108,12 @@ def propagate_same_commit(rows: DataFrame, max_rounds: int = 5, mode: str = "maj
     """
     if max_rounds < 1:
         return rows
-    found = {label: majority(rows, "commit_key", F.col(label), mode) for label in LABELS}
-    for label in LABELS:
-        rows = fill(rows, found[label], "commit_key", label, "same_commit_propagated")
-    return rows
+    return fill_labels(rows, majorities(rows, "commit_key", mode), "commit_key", "same_commit_propagated")
+
+
+def with_any_label(rows: DataFrame) -> DataFrame:
+    """The rows that have a CVE or a CWE."""
+    return rows.where(F.col("cve_id").isNotNull() | F.col("cwe_id").isNotNull())
 
 
 def label_stats(rows: DataFrame, name: str | None = None) -> DataFrame:

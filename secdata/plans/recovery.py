@@ -9,6 +9,7 @@ from secdata.functions import normalize as N
 from secdata.functions import rules
 from secdata.operators import cwe_ladder, evidence, propagate
 from secdata.plans import fixtures as X
+from secdata.sources import sinks
 
 
 def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,12 +171,12 @@ def p4_patch_only(spark, sf_dir):
     return _applied(spark, sf_dir, "nvd", patch_only=True)
 
 
-def _tables(spark, sf_dir):
-    t = X.frame(spark, sf_dir, X.CVE_CWES).withColumn("cwes", F.array("cwe"))
+def _tables(spark, sf_dir, t=None):
+    t = (X.frame(spark, sf_dir, X.CVE_CWES) if t is None else t).withColumn("cwes", F.array("cwe"))
     of = {s: t.where(F.col("source") == s) for s in ("nvd", "cna", "osv", "evaluator")}
     return {
         "nvd_primary": cwe_ladder.last_record(of["nvd"]),
-        "cna_primary": cwe_ladder.last_record(of["cna"].where("ordinal % 2 = 1")),
+        "cna_primary": cwe_ladder.last_record(of["cna"]),
         "nvd_evaluator": cwe_ladder.merge_sets(of["evaluator"]),
         "osv": cwe_ladder.merge_sets(of["osv"]),
         "nvd_all": cwe_ladder.merge_sets(of["nvd"]),
@@ -194,7 +195,7 @@ def j9_u1_cve_to_cwe(spark, sf_dir):
 
 def _ladder(spark, sf_dir):
     t = {k: cwe_ladder.clean_table(v) for k, v in _tables(spark, sf_dir).items()}
-    return {k: t[k] for k in ("nvd_evaluator", "osv", "nvd_all", "cna_all")}, t["nvd_primary"].where("cve LIKE '%1'"), t["cna_primary"].where("cve LIKE '%2'")
+    return {k: t[k] for k in ("nvd_evaluator", "osv", "nvd_all", "cna_all")}, t["nvd_primary"], t["cna_primary"]
 
 
 def j10_final_cwe(spark, sf_dir):
@@ -212,17 +213,29 @@ def p6_gap_rescue(spark, sf_dir):
 
 
 def p1_recover_labels(spark, sf_dir):
-    """Normalise, same commit, message, three sources in turn, twice (CVE -> CWE, propagation), confidence."""
-    rows = propagate.commit_message(propagate.same_commit(samples(spark, sf_dir)))
+    """Normalise, same commit, message, three sources in turn, twice (CVE -> CWE, propagation), confidence. Each method's result is a stage table, so no method is computed twice."""
+    folder = sinks.work_folder(spark)
+
+    def stage(df, name):
+        return sinks.stage_table(df, folder, name)
+
+    rows = stage(samples(spark, sf_dir), "samples")
+    rows = stage(propagate.commit_message(propagate.same_commit(rows)), "commit")
     for source in ("osv", "nvd", "cveorg"):
-        rows = evidence.apply_evidence(rows, evidence.reference_evidence(_flat_refs(spark, sf_dir, source), source), source, with_cwe=source != "osv")
-    tables = _tables(spark, sf_dir)
-    for _ in range(2):
-        rows = propagate.propagate_same_commit(cwe_ladder.cve_to_cwe(rows, tables))
+        refs = stage(evidence.reference_evidence(_flat_refs(spark, sf_dir, source), source), f"evidence_{source}")
+        rows = stage(evidence.apply_evidence(rows, refs, source, with_cwe=source != "osv"), source)
+    tables = _tables(spark, sf_dir, stage(X.frame(spark, sf_dir, X.CVE_CWES), "cve_cwes"))
+    for i in range(2):
+        rows = stage(cwe_ladder.cve_to_cwe(rows, tables), f"cwes_{i}")
+        rows = stage(propagate.propagate_same_commit(rows), f"propagated_{i}")
     conf = {f"{k}_confidence": N.confidence_of(F.col(f"{k}_source")) for k in ("cve", "cwe")}
     return rows.withColumns(conf).select(*LABEL_COLUMNS, "osv_status", "nvd_status", "cveorg_status", "cve_confidence", "cwe_confidence")
 
 
+def u2_any_label(spark, sf_dir):
+    return propagate.with_any_label(samples(spark, sf_dir)).select(*LABEL_COLUMNS)
+
+
 QUERIES = {k: v for k, v in list(globals().items()) if callable(v) and getattr(v, "__module__", "") == __name__ and k[0] in "najpu" and k[1].isdigit()}
 
 # ---------------------------------------------------------------- SQL twins
@@ -299,14 +312,54 @@ _TBL = f"""ct AS ({X.text(X.CVE_CWES)}),
 un AS (SELECT source, cve, list_sort(list_distinct(list(cwe))) AS cwes FROM ct GROUP BY 1, 2),
 tb AS (SELECT c.cve, np.w AS nvd_primary, cp.w AS cna_primary, e.cwes AS nvd_evaluator, o.cwes AS osv, na.cwes AS nvd_all, ca.cwes AS cna_all FROM (SELECT DISTINCT cve FROM ct) c
  LEFT JOIN (SELECT cve, [arg_max(cwe, ordinal)] AS w FROM ct WHERE source = 'nvd' GROUP BY 1) np ON np.cve = c.cve
- LEFT JOIN (SELECT cve, [arg_max(cwe, ordinal)] AS w FROM ct WHERE source = 'cna' AND ordinal % 2 = 1 GROUP BY 1) cp ON cp.cve = c.cve
+ LEFT JOIN (SELECT cve, [arg_max(cwe, ordinal)] AS w FROM ct WHERE source = 'cna' GROUP BY 1) cp ON cp.cve = c.cve
  LEFT JOIN un e ON e.cve = c.cve AND e.source = 'evaluator' LEFT JOIN un o ON o.cve = c.cve AND o.source = 'osv'
  LEFT JOIN un na ON na.cve = c.cve AND na.source = 'nvd' LEFT JOIN un ca ON ca.cve = c.cve AND ca.source = 'cna')"""
+_EVERY = "list_sort(list_distinct(coalesce(nvd_all, []) || coalesce(cna_all, []) || coalesce(osv, []) || coalesce(nvd_evaluator, [])))"
+
+
+def _apply_on(t: str, source: str, with_cwe: bool) -> str:
+    """CTEs, ending with one named after the source: ``t`` after ``apply_evidence``."""
+    p = source
+    rank = "CASE tier " + " ".join(f"WHEN '{x}' THEN {i}" for i, (x, _) in enumerate(evidence.TIERS[source])) + " END"
+    searched = "k.cve_id IS NULL AND (k.commit_sha IS NOT NULL OR k.alt_sha IS NOT NULL)"
+    new_cwe = "k.cwe_id IS NULL AND pick IS NOT NULL AND len(pick.cwes) = 1" if with_cwe else "FALSE"
+    return f"""{p}_tgt AS (SELECT sha AS target, arg_min(s.sample_id, (s.sample_id, pos)) AS first_row, arg_min(pos, (s.sample_id, pos)) AS first_pos FROM shas s JOIN {t} k ON s.sample_id = k.sample_id WHERE k.cve_id IS NULL GROUP BY sha),
+{p}_mt AS (SELECT sha, coalesce(max(target) FILTER (length(target) = 40), arg_min(target, (first_row, first_pos))) AS target FROM (SELECT DISTINCT sha FROM rs) r JOIN {p}_tgt ON starts_with(sha, target) GROUP BY sha),
+{_evidence(source).replace("ev AS", f"{p}_ev AS", 1)},
+{p}_hit AS (SELECT s.sample_id, s.pos, s.is_backport, e.*, {rank} AS rnk FROM shas s JOIN {t} k ON s.sample_id = k.sample_id AND k.cve_id IS NULL JOIN {p}_mt m ON m.target = s.sha JOIN {p}_ev e ON e.sha = m.sha),
+{p}_cell AS (SELECT sample_id, rnk, pos, list_sort(list_distinct(list(cve))) AS cves, list_sort(list_distinct(list(cwe))) AS cwes, min(tier) || CASE WHEN bool_or(is_backport) THEN '_via_backport' ELSE '' END AS src, bool_and(fills) AS fills FROM {p}_hit GROUP BY 1, 2, 3),
+{p}_row AS (SELECT sample_id, arg_min({{'cve': cves[1], 'src': src, 'cwes': cwes}}, (rnk, pos)) FILTER (fills AND len(cves) = 1) AS pick, bool_or(fills) AS any_fills, count(*) AS n FROM {p}_cell GROUP BY 1),
+{p} AS (SELECT k.* EXCLUDE ({_L.replace("sample_id, ", "")}), coalesce(k.cve_id, pick.cve) AS cve_id, CASE WHEN {new_cwe} THEN pick.cwes[1] ELSE k.cwe_id END AS cwe_id, CASE WHEN k.cve_id IS NULL AND pick IS NOT NULL THEN pick.src ELSE k.cve_source END AS cve_source, CASE WHEN {new_cwe} THEN pick.src ELSE k.cwe_source END AS cwe_source,
+ CASE WHEN NOT ({searched}) THEN NULL WHEN pick IS NOT NULL THEN 'single_cve_filled' WHEN any_fills THEN 'multiple_cves_ambiguous' WHEN n > 0 THEN '{evidence.AUDIT_ONLY[source]}' ELSE '{evidence.NO_MATCH[source]}' END AS {source}_status FROM {t} k LEFT JOIN {p}_row r ON r.sample_id = k.sample_id)"""
+
+
+def _cwes_on(name: str, t: str) -> str:
+    """CTEs, ending with ``name``: ``t`` after ``cve_to_cwe``."""
+    picks = " ".join(f"WHEN len({c}) = 1 THEN ['{tag}', {c}[1]]" for c, tag in (("nvd_primary", "nvd_cve_primary"), ("cna_primary", "cveorg_cve_primary"), ("nvd_evaluator", "nvd_evaluator_note"), ("osv", "osv_cve_cwe_ids"), ("every", "cve_cwe_single")))
+    return f"""{name}_j AS (SELECT k.*, tb.* EXCLUDE (cve), {_EVERY} AS every FROM {t} k LEFT JOIN tb ON tb.cve = k.cve_id),
+{name}_p AS (SELECT *, CASE WHEN cwe_id IS NOT NULL OR cve_id IS NULL THEN NULL {picks} WHEN len(every) > 1 THEN ['cve_cwe_ambiguous', every[1]] END AS pick FROM {name}_j),
+{name} AS (SELECT * EXCLUDE (cwe_id, cwe_source, pick, every, nvd_primary, cna_primary, nvd_evaluator, osv, nvd_all, cna_all), coalesce(cwe_id, pick[2]) AS cwe_id, coalesce(pick[1], cwe_source) AS cwe_source FROM {name}_p)"""
+
+
+def _p1_sql() -> str:
+    ctes = [X.LABELLED, _AFTER, _SHAS, _REFS, "rs AS (SELECT *, right(url, 40) AS sha FROM refs)", _TBL]
+    t = "rec"
+    for source in ("osv", "nvd", "cveorg"):
+        ctes.append(_apply_on(t, source, source != "osv"))
+        t = source
+    for i in range(2):
+        ctes += [_cwes_on(f"cw{i}", t), _fill(f"pr{i}", f"cw{i}", "commit_key", "same_commit_propagated")]
+        t = f"pr{i}"
+    known = " ".join(f"WHEN {{c}} = '{k}' THEN '{v}'" for k, v in N.CONFIDENCE.items())
+    conf = ", ".join(f"CASE WHEN {c}_source IS NULL THEN NULL {known.replace('{c}', c + '_source')} ELSE 'medium' END AS {c}_confidence" for c in ("cve", "cwe"))
+    return f"WITH {', '.join(ctes)} SELECT {_L}, osv_status, nvd_status, cveorg_status, {conf} FROM {t}"
+
+
 _RULE_SQL = "CASE " + " ".join(f"WHEN regexp_matches(cve_description, '(?i){p}') THEN '{n}'" for n, p, _, _ in [*rules.DESCRIPTION_RULES, rules.COARSE_RULE]) + " END"
 _RULE_NO_COARSE = "CASE " + " ".join(f"WHEN regexp_matches(cve_description, '(?i){p}') THEN '{n}'" for n, p, _, _ in rules.DESCRIPTION_RULES) + " END"
 _RULE_CWE = "CASE {r} " + " ".join(f"WHEN '{n}' THEN '{w}'" for n, _, w, _ in [*rules.DESCRIPTION_RULES, rules.COARSE_RULE]) + " END"
 _RULE_ACC = "CASE {r} " + " ".join(f"WHEN '{n}' THEN {a}::DOUBLE" for n, _, _, a in [*rules.DESCRIPTION_RULES, rules.COARSE_RULE]) + " END"
-_EVERY = "list_sort(list_distinct(coalesce(nvd_all, []) || coalesce(cna_all, []) || coalesce(osv, []) || coalesce(nvd_evaluator, [])))"
 _FIRST4 = ["nvd_evaluator", "osv", "nvd_all", "cna_all"]
 
 SQL = {
@@ -324,6 +377,8 @@ SQL = {
     "a1_commit_unambiguous": f"{_W} SELECT * FROM ({_majority('keyed', 'link', 'cve_id')}) WHERE n_values = 1",
     "j8_same_commit": f"{_W}, {_SAME} SELECT {_L} FROM same",
     "p2_message_fill": f"{_W}, {_message('rec', 'keyed')} SELECT {_L} FROM rec",
+    "p1_recover_labels": _p1_sql(),
+    "u2_any_label": f"{_W} SELECT {_L} FROM keyed WHERE cve_id IS NOT NULL OR cwe_id IS NOT NULL",
     "a2_propagate": f"{_W}, {_fill('prop', 'keyed', 'commit_key', 'same_commit_propagated')} SELECT {_L}, commit_key FROM prop",
     "a5_label_stats": f"{_W}, {_AFTER} SELECT 'before' AS stage, {_PCT} FROM (SELECT {_STAT} FROM keyed) UNION ALL SELECT 'after', {_PCT} FROM (SELECT {_STAT} FROM rec)",
     "a6_stage_diff": f"{_W}, {_AFTER} SELECT count(*) FILTER (r.cve_id IS NOT NULL AND k.cve_id IS NULL) AS new_cve, count(*) FILTER (r.cwe_id IS NOT NULL AND k.cwe_id IS NULL) AS new_cwe, count(*) FILTER (coalesce(r.cve_id, r.cwe_id) IS NOT NULL AND coalesce(k.cve_id, k.cwe_id) IS NULL) AS rescued, count(*) FILTER (r.cve_id IS NOT NULL AND r.cwe_id IS NOT NULL AND (k.cve_id IS NULL OR k.cwe_id IS NULL)) AS new_complete, count(*) FILTER ((k.cve_id IS NOT NULL AND r.cve_id IS NULL) OR (k.cwe_id IS NOT NULL AND r.cwe_id IS NULL)) AS lost FROM keyed k JOIN rec r ON k.sample_id = r.sample_id",
@@ -343,7 +398,7 @@ SQL = {
 p AS (SELECT *, CASE WHEN cwe_id IS NOT NULL OR cve_id IS NULL THEN NULL WHEN len(nvd_primary) = 1 THEN ['nvd_cve_primary', nvd_primary[1]] WHEN len(cna_primary) = 1 THEN ['cveorg_cve_primary', cna_primary[1]] WHEN len(nvd_evaluator) = 1 THEN ['nvd_evaluator_note', nvd_evaluator[1]] WHEN len(osv) = 1 THEN ['osv_cve_cwe_ids', osv[1]] WHEN len(every) = 1 THEN ['cve_cwe_single', every[1]] WHEN len(every) > 1 THEN ['cve_cwe_ambiguous', every[1]] END AS pick FROM j)
 SELECT sample_id, cve_id, coalesce(cwe_id, pick[2]) AS cwe_id, cve_source, coalesce(pick[1], cwe_source) AS cwe_source, CASE WHEN cve_id IS NULL THEN '' ELSE coalesce(array_to_string(every, ';'), '') END AS cwe_candidates FROM p""",
     "j21_first_hit": f"{_W}, {_TBL} SELECT sample_id, coalesce({', '.join(f'{t}[1]' for t in _FIRST4)}) AS cwe_first, CASE {' '.join(f'WHEN len({t}) > 0 THEN {t!r}' for t in _FIRST4)} END AS cwe_first_source FROM keyed k LEFT JOIN tb ON tb.cve = k.cve_id",
-    "j10_final_cwe": f"""{_W}, {_TBL}, j AS (SELECT k.sample_id, k.cwe_id, {_RULE_NO_COARSE} AS rule, {', '.join(f'coalesce({t}, []) AS {t}' for t in _FIRST4)}, CASE WHEN k.cve_id LIKE '%1' THEN coalesce(nvd_primary, []) ELSE [] END AS ven, CASE WHEN k.cve_id LIKE '%2' THEN coalesce(cna_primary, []) ELSE [] END AS thi FROM keyed k LEFT JOIN tb ON tb.cve = k.cve_id),
+    "j10_final_cwe": f"""{_W}, {_TBL}, j AS (SELECT k.sample_id, k.cwe_id, {_RULE_NO_COARSE} AS rule, {', '.join(f'coalesce({t}, []) AS {t}' for t in _FIRST4)}, coalesce(nvd_primary, []) AS ven, coalesce(cna_primary, []) AS thi FROM keyed k LEFT JOIN tb ON tb.cve = k.cve_id),
 l AS (SELECT *, nvd_evaluator || osv || nvd_all || cna_all AS l0 FROM j), l1 AS (SELECT *, list_filter(l0, lambda x, i: list_position(l0, x) = i) AS loc FROM l),
 t AS (SELECT *, CASE {' '.join(f'WHEN len({t}) = 1 THEN [{t!r}, {t}[1]]' for t in _FIRST4)} WHEN len(loc) = 1 THEN ['all_sources_single', loc[1]] END AS bt FROM l1),
 e AS (SELECT *, CASE WHEN bt IS NOT NULL THEN bt WHEN len(ven) > 0 THEN ['vendor_api', ven[1]] WHEN len(thi) > 0 THEN ['third_party', thi[1]] END AS early FROM t),
@@ -353,6 +408,6 @@ d AS (SELECT *, list_filter(c0, lambda x, i: list_position(c0, x) = i) AS cands
 f AS (SELECT *, CASE WHEN cwe_id IS NOT NULL THEN ['pipeline_cwe_id', cwe_id] WHEN early IS NOT NULL THEN early WHEN ruled THEN ['description_rule', rcwe] WHEN len(cands) > 1 THEN ['multi_source_ambiguous', cands[1]] END AS fin FROM d)
 SELECT sample_id, fin[2] AS cwe_label_final, fin[1] AS cwe_label_final_source, array_to_string(cands, ';') AS cwe_label_final_all, CASE WHEN fin[1] = 'description_rule' THEN rule ELSE '' END AS cwe_label_final_rule, CASE WHEN fin[1] = 'description_rule' THEN racc END AS cwe_label_final_acc,
  CASE WHEN fin IS NULL THEN NULL WHEN fin[1] = 'third_party' THEN 'third_party' WHEN fin[1] IN ('description_rule', 'multi_source_ambiguous') THEN 'medium' ELSE 'high' END AS cwe_label_final_conf, fin IS NOT NULL AS has_cwe_label_final FROM f""",
-    "p6_gap_rescue": f"""{_W}, {_TBL}, j AS (SELECT k.sample_id, {_RULE_SQL} AS rule, CASE WHEN k.cve_id LIKE '%1' THEN nvd_primary[1] END AS ob, CASE WHEN k.cve_id LIKE '%2' THEN cna_primary[1] END AS ve FROM keyed k LEFT JOIN tb ON tb.cve = k.cve_id WHERE k.cve_id IS NOT NULL AND k.cwe_id IS NULL)
+    "p6_gap_rescue": f"""{_W}, {_TBL}, j AS (SELECT k.sample_id, {_RULE_SQL} AS rule, nvd_primary[1] AS ob, cna_primary[1] AS ve FROM keyed k LEFT JOIN tb ON tb.cve = k.cve_id WHERE k.cve_id IS NOT NULL AND k.cwe_id IS NULL)
 SELECT sample_id, coalesce(ob, ve, {_RULE_CWE.format(r='rule')}) AS rescued_cwe, CASE WHEN ob IS NOT NULL THEN 'observed_examples' WHEN ve IS NOT NULL THEN 'vendor_api' WHEN rule = 'buffer_overflow_coarse' THEN 'coarse_rule' WHEN rule IS NOT NULL THEN 'description_rule' END AS rescue_source, CASE WHEN ob IS NOT NULL OR ve IS NOT NULL THEN 'high' WHEN rule = 'buffer_overflow_coarse' THEN 'low' WHEN rule IS NOT NULL THEN 'medium' END AS rescue_conf FROM j""",
 }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +54,14 @@ def stage_table(df: DataFrame, folder: str, name: str, fresh: bool = True) -> Da
     spark: SparkSession = df.sparkSession
     df.write.mode("overwrite" if fresh else "ignore").parquet(f"{folder}/{name}")
     return spark.read.parquet(f"{folder}/{name}")
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see, for stage tables: ``spark.checkpoint.dir``, or the one given to ``setCheckpointDir``. Only a local session may do without."""
+    sc = spark.sparkContext
+    folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not folder and sc.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="stages-")
+    if not folder:
+        raise ValueError("spark.checkpoint.dir is not set: a folder that all executors share is needed")
+    return f"{folder.rstrip('/')}/stages-{uuid.uuid4()}"
