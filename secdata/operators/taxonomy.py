@@ -151,7 +151,7 @@ def classify(cwes: DataFrame, catalog: dict[str, DataFrame], scheme: Scheme, max
 
 
 def cwe_items(value: Column) -> Column:
-    return F.filter(F.transform(F.split(value, r"[;,\s]+"), F.trim), lambda x: F.upper(x).startswith("CWE-"))
+    return F.filter(F.transform(F.split(value, r"[;,\s]+"), lambda t: F.trim(t)), lambda x: F.upper(x).startswith("CWE-"))
 
 
 def classify_many(rows: DataFrame, column: str, dim: DataFrame, prefix: str) -> DataFrame:

@@ -69,3 +69,8 @@ def test_prune(spark):
     rows = spark.createDataFrame([(1, "CWE-119;CWE-787"), (2, "CWE-416;CWE-502"), (3, None)], "i int, cwes string")
     got = {r.i: r.cwe_pruned for r in taxonomy.prune_ancestors(rows, "cwes", curation.tree(spark)["parent"]).collect()}
     assert got == {1: "CWE-787", 2: "CWE-416;CWE-502", 3: ""}
+
+
+def test_items_keep_their_digits(spark):
+    rows = spark.createDataFrame([("CWE-770, CWE-131;CWE-20 x",), ("CWE-20",), (None,)], "v string")
+    assert [r[0] for r in rows.select(taxonomy.cwe_items(F.col("v"))).collect()] == [["CWE-770", "CWE-131", "CWE-20"], ["CWE-20"], None]
