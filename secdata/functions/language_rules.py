@@ -11,10 +11,40 @@ from secdata.functions import normalize as N
 
 # Language of a file extension.
 EXTENSIONS = {
-    "C": "c", "C/C++": "h", "C++": "cc cpp cxx hpp hh hxx c++ h++ ipp tpp inl", "Objective-C": "m", "Objective-C++": "mm", "Java": "java", "Python": "py pyw pyx pxd",
-    "JavaScript": "js jsx mjs cjs", "TypeScript": "ts tsx", "PHP": "php phtml php3 php4 php5 inc", "Go": "go", "Kotlin": "kt kts", "Ruby": "rb rake", "C#": "cs", "Swift": "swift",
-    "Rust": "rs", "Scala": "scala", "Lua": "lua", "Perl": "pl pm pod t", "Shell": "sh bash zsh", "Assembly": "s asm", "Erlang": "erl hrl", "Elixir": "ex exs", "Dart": "dart",
-    "Groovy": "groovy", "Clojure": "clj", "Haskell": "hs", "OCaml": "ml", "R": "r", "Visual Basic": "vb", "Fortran": "f f90", "D": "d", "Nim": "nim", "Zig": "zig",
+    "c": "C",
+    "h": "C/C++",
+    "cc": "C++", "cpp": "C++", "cxx": "C++", "hpp": "C++", "hh": "C++", "hxx": "C++", "c++": "C++", "h++": "C++", "ipp": "C++", "tpp": "C++", "inl": "C++",
+    "m": "Objective-C",
+    "mm": "Objective-C++",
+    "java": "Java",
+    "py": "Python", "pyw": "Python", "pyx": "Python", "pxd": "Python",
+    "js": "JavaScript", "jsx": "JavaScript", "mjs": "JavaScript", "cjs": "JavaScript",
+    "ts": "TypeScript", "tsx": "TypeScript",
+    "php": "PHP", "phtml": "PHP", "php3": "PHP", "php4": "PHP", "php5": "PHP", "inc": "PHP",
+    "go": "Go",
+    "kt": "Kotlin", "kts": "Kotlin",
+    "rb": "Ruby", "rake": "Ruby",
+    "cs": "C#",
+    "swift": "Swift",
+    "rs": "Rust",
+    "scala": "Scala",
+    "lua": "Lua",
+    "pl": "Perl", "pm": "Perl", "pod": "Perl", "t": "Perl",
+    "sh": "Shell", "bash": "Shell", "zsh": "Shell",
+    "s": "Assembly", "asm": "Assembly",
+    "erl": "Erlang", "hrl": "Erlang",
+    "ex": "Elixir", "exs": "Elixir",
+    "dart": "Dart",
+    "groovy": "Groovy",
+    "clj": "Clojure",
+    "hs": "Haskell",
+    "ml": "OCaml",
+    "r": "R",
+    "vb": "Visual Basic",
+    "f": "Fortran", "f90": "Fortran",
+    "d": "D",
+    "nim": "Nim",
+    "zig": "Zig",
 }
 # Margins from which a family's detection confirms, overrides or decides a group.
 CONFIRM = {"C/C++": 0, "Java": 0, "Go": 0, "Python": 3, "Ruby": 3, "C#": 6, "Rust": 6, "JavaScript": 8, "PHP": 26}
@@ -69,7 +99,13 @@ CPP = [
 ]
 OBJC = [(8, r"^\s*[-+]\s*\(\s*\w+\s*\**\s*\)\s*\w+"), (8, r"@(interface|implementation|end|property|synthesize)\b"), (3, r"\[\s*\w+\s+\w+(:|\s*\])"), (6, r"\bNS(String|Array|Dictionary|Object|Error)\b"), (5, r"@\"[^\"]*\""), (2, r"\bnil\b|\bYES\b|\bNO\b")]
 # Words that say nothing about a language.
-STOP_WORDS = "the and for not int char void long float double short unsigned signed const static return sizeof struct union enum typedef else while break continue switch case default goto null true false NULL TRUE FALSE if do new delete this self def end class public private protected function var let value data size len buf buffer result error err ret res tmp temp index count num str string name type flags flag state status code get set add remove init free alloc read write open close start stop next prev first last list item node head tail key val out in off offset ptr pos end_ max min args argv argc".split()
+STOP_WORDS = [
+    "the", "and", "for", "not", "int", "char", "void", "long", "float", "double", "short", "unsigned", "signed", "const", "static", "return", "sizeof", "struct", "union", "enum", "typedef", "else",
+    "while", "break", "continue", "switch", "case", "default", "goto", "null", "true", "false", "NULL", "TRUE", "FALSE", "if", "do", "new", "delete", "this", "self", "def", "end", "class", "public",
+    "private", "protected", "function", "var", "let", "value", "data", "size", "len", "buf", "buffer", "result", "error", "err", "ret", "res", "tmp", "temp", "index", "count", "num", "str", "string",
+    "name", "type", "flags", "flag", "state", "status", "code", "get", "set", "add", "remove", "init", "free", "alloc", "read", "write", "open", "close", "start", "stop", "next", "prev", "first",
+    "last", "list", "item", "node", "head", "tail", "key", "val", "out", "in", "off", "offset", "ptr", "pos", "end_", "max", "min", "args", "argv", "argc",
+]
 MAX_CODE, MIN_CODE, MAX_TOKENS = 20_000, 30, 5_000
 FAMILY = {"C": "C/C++", "C++": "C/C++", "Objective-C": "C/C++", "Objective-C++": "C/C++"}
 
@@ -79,7 +115,7 @@ def _map(values: dict) -> Column:
 
 
 def _extension_map() -> Column:
-    return _map({e: lang for lang, es in EXTENSIONS.items() for e in es.split()})
+    return _map(EXTENSIONS)
 
 
 def language_family(language: Column) -> Column:

@@ -13,12 +13,20 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Parser name of a language, comment signs, gates.
 LANGUAGES = {"c": "c", "c++": "cpp", "cpp": "cpp", "c/c++": "c", "java": "java", "javascript": "javascript", "typescript": "typescript", "python": "python", "php": "php", "ruby": "ruby", "go": "go", "c#": "csharp", "csharp": "csharp", "rust": "rust", "scala": "scala", "kotlin": "kotlin", "perl": "perl", "objective-c": "objc", "objective-c++": "objc", "objectivec": "objc", "objc": "objc", "swift": "swift", "lua": "lua"}
 SLASH = {"c", "cpp", "objc", "java", "javascript", "typescript", "csharp", "go", "rust", "scala", "kotlin", "swift", "php"}
 HASH = {"python", "ruby", "perl"}
 MAX_LINES, MAX_RATIO, MIN_CHANGED, MIN_COVERAGE = 8000, 0.70, 0, 0.20
+# Statuses whose lines can be used, and that of a sample that wasn't labelled because external lines exist.
+USABLE = ["joern_ok", "joern_add_only", "joern_delete_only", "ok_delete_only", "no_pdg_signal"]
+REMOVED_ONLY = ["no_pdg_signal"]
+SKIPPED = "skipped_has_bigvul"
+
+#: Characters of code per table that the alignment hands back.
+PIECE_CHARS = 4_000_000
 
 _STRING = r"""'(?:\\.|[^\\'\n])*'|"(?:\\.|[^\\"\n])*\""""
 _SLASH_COMMENT = re.compile(_STRING + r"|//[^\n]*|/\*.*?\*/", re.S)
@@ -73,15 +81,25 @@ def align_pair(before: str | None, after: str | None, lang: str | None, drop_com
     return [(i, *r, i in sig) for i, r in enumerate(rows, 1)]
 
 
-def align(pairs: DataFrame, drop_comments: bool = True, max_lines: int = 4 * MAX_LINES) -> DataFrame:
-    """pairs (key, before, after, lang) to the long table. A pair with more lines than ``max_lines`` in sum isn't diffed: it would fail the size gate whatever the diff."""
+def align(pairs: DataFrame, drop_comments: bool = True, max_lines: int | None = None) -> DataFrame:
+    """pairs (key, before, after, lang) to the long table, whatever a pair's size.
+
+    ``max_lines`` leaves out pairs with more line ends in sum. Labelling may set it to ``4 * MAX_LINES``: beyond that a pair fails the size gate whatever its diff.
+    """
+    columns = [f.split()[0] for f in LONG.split(", ")]
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            out = []
+            out, held = [], 0
             for key, before, after, lang in zip(f["key"], f["before"], f["after"], f["lang"], strict=True):
-                if (before or "").count("\n") + (after or "").count("\n") <= max_lines:
+                before, after = before or "", after or ""
+                if max_lines is None or before.count("\n") + after.count("\n") <= max_lines:
                     out += [(key, *r) for r in align_pair(before, after, lang, drop_comments)]
-            yield pd.DataFrame(out, columns=["key", "union_line", "before_text", "after_text", "in_before", "in_after", "is_added", "is_removed", "is_sig"])
+                    held += len(before) + len(after)
+                if held > PIECE_CHARS:
+                    yield pd.DataFrame(out, columns=columns)
+                    out, held = [], 0
+            yield pd.DataFrame(out, columns=columns)
 
     return pairs.select("key", "before", "after", "lang").mapInPandas(run, LONG)
 
@@ -208,10 +226,10 @@ def label_text(lines: DataFrame, long: DataFrame) -> DataFrame:
 
 
 def dedupe_reference(reference: DataFrame) -> DataFrame:
-    """One row per ``h`` (norm_hash): rows with lines first, then vul = 1, then file and position."""
-    order = [F.when(F.coalesce(F.trim("lines_before"), F.lit("")) != "", 0).otherwise(1), F.when(F.col("vul") == 1, 0).otherwise(1), "file", "pos"]
-    w = Window.partitionBy("h").orderBy(*order)
-    return reference.where("h IS NOT NULL").withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
+    """One row per ``h`` (norm_hash): rows with lines first, then vul = 1, then file and position. Rows of a frequent function are reduced before the shuffle."""
+    order = F.struct(F.coalesce(F.trim("lines_before"), F.lit("")) == "", F.coalesce(F.col("vul") != 1, F.lit(True)), "file", "pos")
+    row = F.struct(*[f"`{c}`" for c in reference.columns])
+    return reference.where("h IS NOT NULL").groupBy("h").agg(F.min_by(row, order).alias("__row")).select("__row.*")
 
 
 def attach_flaw_lines(rows: DataFrame, reference: DataFrame) -> DataFrame:
@@ -227,7 +245,7 @@ def attach_flaw_lines(rows: DataFrame, reference: DataFrame) -> DataFrame:
 
 def agreement(pairs: DataFrame) -> DataFrame:
     """(relation, n) over rows with arrays ours and theirs: exact, subset, overlap or disjoint sets of trimmed texts."""
-    x, y = (F.array_distinct(F.transform(c, F.trim)) for c in ("ours", "theirs"))
+    x, y = (F.array_distinct(F.transform(c, lambda t: F.trim(t))) for c in ("ours", "theirs"))
     common = F.size(F.array_intersect(x, y))
     rel = F.when((common == F.size(x)) & (common == F.size(y)), F.lit("exact")).when(common == F.size(y), F.lit("subset")).when(common > 0, F.lit("overlap")).otherwise(F.lit("disjoint"))
     return pairs.groupBy(rel.alias("relation")).agg(F.count("*").alias("n"))
@@ -253,6 +271,62 @@ def pending(rows: DataFrame, cache: DataFrame, key: str = "sample_key") -> DataF
 
 
 def keep_last(cache: DataFrame, fresh: DataFrame, key: str = "sample_key", order: str = "load") -> DataFrame:
-    """Cached and fresh results; of equal keys the one loaded last."""
-    w = Window.partitionBy(key).orderBy(F.desc(order))
-    return cache.unionByName(fresh).withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
+    """Cached and fresh results; of equal keys the one loaded last. Copies are reduced before the shuffle."""
+    rows = cache.unionByName(fresh)
+    return rows.groupBy(F.col(key).alias("__key")).agg(F.max_by(F.struct(*[f"`{c}`" for c in rows.columns]), F.struct(order)).alias("__row")).select("__row.*")
+
+
+def to_label(rows: DataFrame, languages: list[str] | None = None, every: bool = False, external: str = "has_bigvul_lines") -> DataFrame:
+    """The samples to label: those in the listed languages (all without a list) that have no external lines, unless ``every``. A null flag counts as none."""
+    kept = rows if languages is None else rows.where(F.col("lang").isin(languages))
+    return kept if every else kept.where(~F.coalesce(F.col(external), F.lit(False)))
+
+
+def merge_results(rows: DataFrame, results: DataFrame, key: str = "key") -> DataFrame:
+    """All samples with the results (key, status, n_vul, ..) of those that were labelled; the others get the status ``skipped_has_bigvul``. Adds derived_ok: usable, with a line at least."""
+    status = F.coalesce("status", F.lit(SKIPPED))
+    ok = status.isin(USABLE) & (F.coalesce("n_vul", F.lit(0)) > 0)
+    return rows.join(results, key, "left").withColumns({"status": status, "derived_ok": ok})
+
+
+def renumbered(long: DataFrame, found: DataFrame, final: DataFrame | None = None) -> DataFrame:
+    """One row a sample: the labelled lines as sorted arrays of numbers in the version that they belong to.
+
+    vul_lines_fb, removed_lines_fb and depadd_lines_fb are numbers of the before version, added_lines_fa of the after version. ``final`` (key, union_line) gives vul_lines_fb; without it all of ``found`` does.
+    """
+    marks = found.select("key", "union_line", "from_removed", "from_depadd")
+    chosen = (found if final is None else final).select("key", "union_line", F.lit(True).alias("__vul"))
+    j = renumber(long).join(marks, ["key", "union_line"], "left").join(chosen, ["key", "union_line"], "left")
+
+    def numbers(condition: str, line: str, name: str) -> Column:
+        return F.array_sort(F.collect_list(F.when(F.expr(condition), F.col(line)))).alias(name)
+
+    return j.groupBy("key").agg(
+        numbers("__vul", "before_line", "vul_lines_fb"), numbers("from_removed", "before_line", "removed_lines_fb"),
+        numbers("from_depadd", "before_line", "depadd_lines_fb"), numbers("is_added", "after_line", "added_lines_fa"),
+    )
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _signature_numbers(code: pd.Series) -> pd.Series:
+    return code.map(lambda t: sorted(signature_lines((t or "").splitlines())))
+
+
+def line_change_labels(samples: DataFrame, edges: DataFrame, sizes: DataFrame, max_ratio: float = 0.80, min_changed: int = 10, long: DataFrame | None = None) -> DataFrame:
+    """Labels samples (key, before, after, lang, deleted) that come with their deleted lines, as in JSON line-change sets.
+
+    The label is the given deleted lines and the dependence lines found here (vul_lines_linevd), less the lines of the function's own signature that weren't deleted (vul_lines_final).
+    One row a sample, with status columns, renumbered lines, derived_ok, label_completeness and has_line_label. ``long`` is the samples' alignment, if it was settled before.
+    """
+    pairs = samples.select("key", "before", "after", "lang")
+    long = align(pairs, max_lines=4 * MAX_LINES) if long is None else long
+    status, found = line_labels(pairs, long, edges, sizes, max_ratio, min_changed)
+    none = F.array().cast("array<int>")
+    given = F.array_distinct(F.coalesce("deleted", none))
+    rows = merge_results(samples.select("key", given.alias("deleted"), _signature_numbers("before").alias("__sig")), status).join(renumbered(long, found), "key", "left")
+    rows = rows.withColumns({c: F.coalesce(c, none) for c in ("vul_lines_fb", "removed_lines_fb", "depadd_lines_fb", "added_lines_fa")})
+    union = F.array_sort(F.array_union("deleted", "depadd_lines_fb"))
+    rows = rows.withColumn("vul_lines_linevd", union)
+    rows = rows.withColumn("vul_lines_final", F.filter("vul_lines_linevd", lambda n: ~F.array_contains("__sig", n) | F.array_contains("deleted", n)))
+    whole = F.when(~F.col("derived_ok"), F.lit("")).when(F.col("status").isin(REMOVED_ONLY), F.lit("removed_only")).otherwise(F.lit("full"))
+    return rows.withColumns({"label_completeness": whole, "has_line_label": F.size("vul_lines_final") > 0}).drop("__sig")

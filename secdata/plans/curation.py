@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,7 +133,9 @@ def a20_gap(spark, sf_dir):
 
 def k3_slices(spark, sf_dir):
     rows = R.j9_u1_cve_to_cwe(spark, sf_dir)
-    return sinks.cwe_conflict(rows).select("sample_id", F.lit("conflict").alias("slice")).unionByName(sinks.missing_both(rows).select("sample_id", F.lit("missing_both").alias("slice")))
+    unclear = sinks.ambiguous(R.j6_j7_apply_nvd(spark, sf_dir), ["status"])
+    slices = {"conflict": sinks.cwe_conflict(rows), "missing_both": sinks.missing_both(rows), "ambiguous": unclear}
+    return functools.reduce(DataFrame.unionByName, [d.select("sample_id", F.lit(k).alias("slice")) for k, d in slices.items()])
 
 
 def k4_slices(spark, sf_dir):
@@ -249,25 +253,33 @@ def j17_manual(spark, sf_dir):
 
 # ------------------------------------------------------------------ line labels
 
-#: Documents with two lines or more, all different: the fixed version lacks line 1 + doc_id % n, or has it replaced.
+#: Documents with two lines or more: the fixed version lacks line 1 + doc_id % n, or has it replaced.
 PAIRS = """
 SELECT doc_id, n, 1 + doc_id % n AS k, doc_id % 3 AS kind, text FROM
  (SELECT doc_id, text, CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS INT) AS n FROM {documents}) d WHERE n >= 2
 """
 
 
-def _pairs(spark, sf_dir):
-    p = X.frame(spark, sf_dir, PAIRS).withColumn("l", F.split("text", "\n")).where("size(array_distinct(l)) = size(l)")
+def _pairs(spark, sf_dir, raw=False):
+    """All documents of PAIRS. A line that occurred before gets its number appended, so that the alignment is what the edit says and SQL can know it; ``raw`` leaves the lines as they are."""
+    p = X.frame(spark, sf_dir, PAIRS).withColumn("l", F.split("text", "\n"))
+    if not raw:
+        p = p.withColumn("l", F.transform("l", lambda t, i: F.when(F.array_position("l", t) == i + 1, t).otherwise(F.concat(t, F.lit(" again "), i + 1))))
     k = F.col("k").cast("int")
     edited = F.transform("l", lambda t, i: F.when(i + 1 == k, F.concat(F.lit("edited "), t)).otherwise(t))
-    after = F.when(F.col("kind") == 0, F.array_join(F.filter("l", lambda t, i: i + 1 != k), "\n")).when(F.col("kind") == 1, F.array_join(edited, "\n")).otherwise(F.col("text"))
-    return p.select(F.col("doc_id").cast("string").alias("key"), "n", "k", "kind", F.col("text").alias("before"), after.alias("after"), F.when(F.col("doc_id") % 19 == 0, F.lit(None)).otherwise(F.lit("lua")).alias("lang"))
+    after = F.when(F.col("kind") == 0, F.array_join(F.filter("l", lambda t, i: i + 1 != k), "\n")).when(F.col("kind") == 1, F.array_join(edited, "\n")).otherwise(F.array_join("l", "\n"))
+    return p.select(F.col("doc_id").cast("string").alias("key"), "n", "k", "kind", F.array_join("l", "\n").alias("before"), after.alias("after"), F.when(F.col("doc_id") % 19 == 0, F.lit(None)).otherwise(F.lit("lua")).alias("lang"))
 
 
 def v1_w3_alignment(spark, sf_dir):
     return lines.renumber(lines.align(_pairs(spark, sf_dir))).select("key", "union_line", "in_before", "in_after", "is_added", "is_removed", "before_line", "after_line")
 
 
+def v1_raw_alignment(spark, sf_dir):
+    """The alignment on the texts as they are, repeated lines included: what the diff pairs there is its own choice, which SQL can't express (tests compare with a plain diff)."""
+    return lines.renumber(lines.align(_pairs(spark, sf_dir, raw=True))).select("key", "union_line", "in_before", "in_after", "is_added", "is_removed", "before_line", "after_line")
+
+
 def v2_gates(spark, sf_dir):
     pairs = _pairs(spark, sf_dir)
     return lines.gates(pairs, lines.align(pairs), 0.4, 2)
@@ -289,9 +301,9 @@ def s10_graph_sizes(spark, sf_dir):
     return lines.graph_edges(_graphs(spark, sf_dir, long))[1].select("key", F.col("n_graph_lines").cast("int").alias("n_graph_lines"), "n_cdg", "n_ddg")
 
 
-def _labels(spark, sf_dir):
-    pairs = _pairs(spark, sf_dir)
-    long = lines.align(pairs)
+def _labels(spark, sf_dir, pairs=None):
+    pairs = _pairs(spark, sf_dir) if pairs is None else pairs
+    long = sinks.stage_table(lines.align(pairs, max_lines=4 * lines.MAX_LINES), sinks.work_folder(spark), "long")
     edges, sizes = lines.graph_edges(_graphs(spark, sf_dir, long))
     return pairs, long, *lines.line_labels(pairs, long, edges, sizes, 0.9, 0)
 
@@ -315,6 +327,70 @@ def v6_v8_final(spark, sf_dir):
     return out.select("key", "status", "label_source", "coord_space", "completeness", "has_line_label", "vul_lines_final", "vul_lines_nosig", "vul_lines_fb", F.md5("vul_text").alias("text_md5"))
 
 
+def v8_renumbered(spark, sf_dir):
+    _, long, _, found = _labels(spark, sf_dir)
+    r = lines.renumbered(long, found)
+    return r.select("key", *[F.array_join(c, ";").alias(c) for c in r.columns if c != "key"], *[F.size(c).alias(f"n_{c}") for c in ("vul_lines_fb", "removed_lines_fb", "depadd_lines_fb")])
+
+
+def j15_u6_merge(spark, sf_dir):
+    """Every fifth sample has external lines already, and only one language is asked for: the others are labelled and merged onto all samples."""
+    rows = _pairs(spark, sf_dir).withColumn("has_bigvul_lines", F.col("key").cast("long") % 5 == 0)
+    _, _, status, _ = _labels(spark, sf_dir, lines.to_label(rows, ["lua"]))
+    return lines.merge_results(rows.select("key", "has_bigvul_lines"), status).select("key", "has_bigvul_lines", "status", "confidence", "n_lines", "n_vul", "derived_ok")
+
+
+def _line_changes(spark, sf_dir):
+    """The pairs as a line-change set: JSON lines with the deleted line's number, parsed by the reader's rules."""
+    p = _pairs(spark, sf_dir)
+    gone = F.when(F.col("kind") < 2, F.array(F.struct(F.col("k").cast("int").alias("line_no"), F.element_at(F.split("before", "\n"), F.col("k").cast("int")).alias("line")))).otherwise(F.array().cast("array<struct<line_no:int,line:string>>"))
+    doc = F.to_json(F.struct(F.concat(F.lit("f"), F.col("key")).alias("func_name"), F.col("before").alias("func_src_before"), F.col("after").alias("func_src_after"), F.when(F.col("lang").isNull(), "a").otherwise("src/a.lua").alias("file_name"), F.lit("cwe-079").alias("vul_type"), F.struct(gone.alias("deleted")).alias("line_changes")))
+    raw = p.select("key", F.concat(F.lit("set/"), F.when(F.col("kind") == 0, "val").otherwise("train"), F.lit("/cwe.jsonl")).alias("path"), doc.alias("json"))
+    rows = readers.line_changes(readers.parse(raw, readers.LINE_CHANGE_SCHEMA))
+    return rows.withColumns({"before": F.col("func_src_before"), "after": F.col("func_src_after"), "lang": lines.resolve(F.col("language"))})
+
+
+def v10_line_changes(spark, sf_dir):
+    rows = _line_changes(spark, sf_dir)
+    long = sinks.stage_table(lines.align(rows, max_lines=4 * lines.MAX_LINES), sinks.work_folder(spark), "long")
+    out = lines.line_change_labels(rows, *lines.graph_edges(_graphs(spark, sf_dir, long)), long=long)
+    kept = ("deleted", "depadd_lines_fb", "vul_lines_linevd", "vul_lines_final")
+    return rows.select("key", "split", "cwe_id").join(out, "key").select("key", "split", "cwe_id", "status", "derived_ok", "label_completeness", "has_line_label", *[F.array_join(c, ";").alias(c) for c in kept])
+
+
+def a15_agreement(spark, sf_dir):
+    """The lines found against every sample's first line and edited line as external ones."""
+    pairs, _, _, found = _labels(spark, sf_dir)
+    ours = found.where("from_removed").groupBy("key").agg(F.collect_list(F.col("union_line").cast("string")).alias("ours"))
+    theirs = F.when(F.col("kind") == 0, F.array(F.lit(" 1 "), F.col("k").cast("string"))).otherwise(F.array(F.col("k").cast("string")))
+    return lines.agreement(pairs.select("key", theirs.alias("theirs")).join(ours, "key"))
+
+
+def a12_coverage(spark, sf_dir):
+    _, _, status, _ = _labels(spark, sf_dir)
+    s = status.withColumn("label_source", F.when(F.col("n_vul") > 0, "derived").otherwise("none"))
+    return reports.coverage(s)
+
+
+def a13_by_language(spark, sf_dir):
+    pairs, _, status, _ = _labels(spark, sf_dir)
+    return reports.by_language(status.join(pairs.select("key", "lang"), "key"))
+
+
+def a17_per_cwe_lines(spark, sf_dir):
+    pairs, _, status, _ = _labels(spark, sf_dir)
+    return reports.per_cwe_lines(status.join(pairs.select("key", F.concat(F.lit("CWE-"), F.col("kind")).alias("cwe")), "key"))
+
+
+def a12_origin_share(spark, sf_dir):
+    return reports.origin_share(_labels(spark, sf_dir)[3])
+
+
+def k5_failures(spark, sf_dir):
+    _, _, status, _ = _labels(spark, sf_dir)
+    return sinks.failures(status.withColumn("has_line_label", F.col("n_vul") > 0)).select("key", "status", "confidence")
+
+
 def a12_a13_status_report(spark, sf_dir):
     return reports.status_counts(_labels(spark, sf_dir)[2])
 
@@ -339,6 +415,22 @@ def w1_j11_flaw_lines(spark, sf_dir):
     return lines.attach_flaw_lines(rows, ref).select("doc_id", "line_count", "matched", "match_level")
 
 
+def _with_flaw_lines(spark, sf_dir):
+    return w1_j11_flaw_lines(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.col("lang").alias("language")), "doc_id")
+
+
+def a11_flaw_line_coverage(spark, sf_dir):
+    return reports.flaw_line_coverage(_with_flaw_lines(spark, sf_dir))
+
+
+def a11_line_count_histogram(spark, sf_dir):
+    return reports.line_count_histogram(w1_j11_flaw_lines(spark, sf_dir))
+
+
+def a11_line_count_stats(spark, sf_dir):
+    return reports.line_count_stats(w1_j11_flaw_lines(spark, sf_dir))
+
+
 def u3_w2_incremental(spark, sf_dir):
     d = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.md5("text").alias("sample_key"), F.col("doc_id").alias("load"))
     cache = d.where("load % 3 = 0")
@@ -399,13 +491,18 @@ _LISTS = f"lists AS ({X.text(LISTS)})"
 _E = _values(_EDGES, "child", "parent")
 _ITEMS = "items AS (SELECT sample_id, cwes, unnest(string_split(cwes, ';')) AS cwe FROM lists)"
 _UP = f"up AS (SELECT DISTINCT replace(cwe, 'CWE-', '') AS root, replace(cwe, 'CWE-', '') AS node, 0 AS depth FROM items UNION SELECT up.root, e.parent, up.depth + 1 FROM up JOIN {_E} e ON e.child = up.node WHERE up.depth < 12), upm AS (SELECT root, node, min(depth) AS depth FROM up WHERE root <> node GROUP BY 1, 2)"
-_PAIR = f"p AS (SELECT *, CAST(doc_id AS VARCHAR) AS key, CASE WHEN doc_id % 19 = 0 THEN NULL ELSE 'lua' END AS lang FROM (SELECT *, string_split(text, chr(10)) AS l FROM ({X.text(PAIRS)})) WHERE len(list_distinct(l)) = len(l))"
+_PAIR = f"p AS (SELECT * EXCLUDE (l0), CAST(doc_id AS VARCHAR) AS key, CASE WHEN doc_id % 19 = 0 THEN NULL ELSE 'lua' END AS lang, list_transform(l0, lambda t, i: CASE WHEN list_position(l0, t) = i THEN t ELSE t || ' again ' || CAST(i AS VARCHAR) END) AS l FROM (SELECT *, string_split(text, chr(10)) AS l0 FROM ({X.text(PAIRS)})))"
 _UNION = f"""{_PAIR}, u0 AS (SELECT key, doc_id, n, k, kind, lang, l, CAST(unnest(range(1, n + 1 + CASE WHEN kind = 1 THEN 1 ELSE 0 END)) AS INT) AS i FROM p),
 u AS (SELECT *, kind = 1 AND i = k + 1 AS is_added, kind < 2 AND i = k AS is_removed, i - CASE WHEN kind = 1 AND i > k THEN 1 ELSE 0 END AS bl, i - CASE WHEN kind < 2 AND i > k THEN 1 ELSE 0 END AS al FROM u0)"""
 _MARK = f"""{_UNION}, m AS (SELECT *, is_removed AS r, kind = 1 AND doc_id % 4 <> 0 AND i - k IN (0, 2, 4, -2) AS d FROM u WHERE lang IS NOT NULL AND kind < 2 AND NOT is_added),
 lab AS (SELECT key, i AS union_line, r AS from_removed, d AS from_depadd FROM m WHERE (r OR d) AND trim(l[bl]) <> ''),
 st AS (SELECT p.key, p.lang, p.kind, n + CASE WHEN kind = 1 THEN 1 ELSE 0 END AS n_lines, CASE WHEN kind < 2 THEN 1 ELSE 0 END AS n_removed, CASE WHEN kind = 1 THEN 1 ELSE 0 END AS n_added, doc_id % 4 <> 0 AS g, coalesce(c, 0) AS n_vul FROM p LEFT JOIN (SELECT key, count(*) AS c FROM lab GROUP BY 1) x ON x.key = p.key),
 status AS (SELECT key, lang, CASE WHEN lang IS NULL THEN 'unsupported_language' WHEN kind = 2 THEN 'no_change' WHEN g AND n_vul > 0 THEN CASE WHEN kind = 0 THEN 'joern_delete_only' ELSE 'joern_ok' END WHEN kind = 0 THEN 'ok_delete_only' ELSE 'no_pdg_signal' END AS status, CASE WHEN lang IS NULL OR kind = 2 THEN 'none' WHEN (g AND n_vul > 0) OR kind = 0 THEN 'high' ELSE 'low' END AS confidence, n_lines, n_removed, n_added, CASE WHEN g THEN n_lines ELSE 0 END AS n_cdg, CASE WHEN g THEN n_lines ELSE 0 END AS n_ddg, n_vul FROM st)"""
+_OK = "({s} IN (" + ", ".join(repr(x) for x in lines.USABLE) + "))"
+_FLAW = """d AS (SELECT *, md5(nullif(trim(regexp_replace(text, '\\s+', ' ', 'g')), '')) AS h FROM documents),
+ref AS (SELECT h, arg_min({'l': CASE WHEN doc_id % 4 = 0 THEN text END, 'c': lang}, (CASE WHEN doc_id % 4 = 0 AND trim(text) <> '' THEN 0 ELSE 1 END, CASE WHEN doc_id % 3 = 1 THEN 0 ELSE 1 END, doc_id)) AS b FROM d WHERE doc_id % 2 = 0 AND h IS NOT NULL GROUP BY 1),
+fl0 AS (SELECT doc_id, lang, coalesce(trim(b.l), '') <> '' AS matched, b.l AS l, coalesce(doc_id % 3 = 0 AND lang = b.c, FALSE) AS same FROM d LEFT JOIN ref ON ref.h = d.h),
+fl AS (SELECT doc_id, lang, matched, CASE WHEN matched THEN CAST(len(list_filter(string_split(l, chr(10)), lambda t: trim(t) <> '')) AS INT) ELSE 0 END AS line_count, CASE WHEN NOT matched THEN NULL WHEN same THEN 'func_commit_cve' ELSE 'func_and_cve' END AS match_level FROM fl0)"""
 _R = f"refs AS ({X.text(X.REFS)})"
 _RAW = f"raw AS ({X.text(X.SAMPLES)}), pk AS (SELECT *, CAST(project % 40 AS VARCHAR) AS pj, sha1(CAST(project AS VARCHAR)) AS sha FROM raw)"
 _PROJECT = "CASE project % 8 WHEN 0 THEN NULL WHEN 3 THEN substr(sha, 1, 12) WHEN 6 THEN sha ELSE 'proj' || pj END"
@@ -442,6 +539,35 @@ SQL |= {
     "j14_u4_vul_lines": f"WITH {_MARK} SELECT * FROM lab",
     "v3_v5_status": f"WITH {_MARK} SELECT * EXCLUDE (lang) FROM status",
     "a12_a13_status_report": f"WITH {_MARK} SELECT status, count(*) AS n, count(*) FILTER (n_vul > 0) AS usable FROM status GROUP BY 1",
+    "v8_renumbered": f"""WITH {_MARK}, g AS (SELECT lab.*, bl FROM lab JOIN u ON u.key = lab.key AND u.i = lab.union_line),
+h AS (SELECT key, list_sort(list(bl)) AS v, list_sort(coalesce(list(bl) FILTER (from_removed), [])) AS r, list_sort(coalesce(list(bl) FILTER (from_depadd), [])) AS d FROM g GROUP BY 1)
+SELECT p.key, coalesce(array_to_string(v, ';'), '') AS vul_lines_fb, coalesce(array_to_string(r, ';'), '') AS removed_lines_fb, coalesce(array_to_string(d, ';'), '') AS depadd_lines_fb, CASE WHEN kind = 1 THEN CAST(k AS VARCHAR) ELSE '' END AS added_lines_fa,
+ CAST(coalesce(len(v), 0) AS INT) AS n_vul_lines_fb, CAST(coalesce(len(r), 0) AS INT) AS n_removed_lines_fb, CAST(coalesce(len(d), 0) AS INT) AS n_depadd_lines_fb FROM p LEFT JOIN h ON h.key = p.key""",
+    "j15_u6_merge": f"WITH {_MARK}, t AS (SELECT p.key, doc_id % 5 = 0 AS e, CASE WHEN p.lang = 'lua' AND doc_id % 5 <> 0 THEN s END AS s FROM p JOIN (SELECT key, status AS s FROM status) x ON x.key = p.key) SELECT t.key, e AS has_bigvul_lines, coalesce(s, 'skipped_has_bigvul') AS status, CASE WHEN s IS NOT NULL THEN confidence END AS confidence, CASE WHEN s IS NOT NULL THEN n_lines END AS n_lines, CASE WHEN s IS NOT NULL THEN n_vul END AS n_vul, coalesce({_OK.format(s='s')} AND n_vul > 0, FALSE) AS derived_ok FROM t JOIN status ON status.key = t.key",
+    "v10_line_changes": f"""WITH {_MARK}, ln AS (SELECT key, n, unnest(l) AS t, unnest(range(1, n + 1)) AS i FROM p),
+f AS (SELECT key, min(i) AS f FROM ln WHERE trim(t) <> '' GROUP BY 1),
+cum AS (SELECT ln.key, n, i, f, sum(2 * length(t) - length(replace(t, '(', '')) - length(replace(t, ')', '')) - 2 * (length(t) - length(replace(t, ')', '')))) OVER (PARTITION BY ln.key ORDER BY i) AS c FROM ln JOIN f ON f.key = ln.key WHERE i BETWEEN f AND f + 7),
+la AS (SELECT key, any_value(f) AS f, coalesce(min(i) FILTER (c <= 0), max(i)) AS last FROM cum GROUP BY 1),
+br AS (SELECT key, min(i) AS i, arg_min(t, i) AS t FROM ln JOIN la USING (key) WHERE i > last AND trim(t) <> '' GROUP BY 1),
+dep AS (SELECT lab.key, list(CAST(bl AS INT)) AS d FROM lab JOIN u ON u.key = lab.key AND u.i = lab.union_line WHERE from_depadd GROUP BY 1),
+x AS (SELECT p.key, kind, s.status, {_OK.format(s='s.status')} AND n_vul > 0 AS ok, CASE WHEN kind < 2 THEN [CAST(k AS INT)] ELSE [] END AS del, list_sort(coalesce(d, [])) AS d, f, last, CASE WHEN trim(br.t) = '{{' THEN br.i END AS brace FROM p JOIN status s ON s.key = p.key LEFT JOIN dep ON dep.key = p.key LEFT JOIN la ON la.key = p.key LEFT JOIN br ON br.key = p.key),
+y AS (SELECT *, list_sort(list_distinct(del || d)) AS v FROM x), z AS (SELECT *, list_filter(v, lambda a: NOT (coalesce(a BETWEEN f AND last, FALSE) OR coalesce(a = brace, FALSE)) OR list_contains(del, a)) AS fin FROM y)
+SELECT key, CASE WHEN kind = 0 THEN 'val' ELSE 'train' END AS split, 'CWE-79' AS cwe_id, status, ok AS derived_ok, CASE WHEN NOT ok THEN '' WHEN status = 'no_pdg_signal' THEN 'removed_only' ELSE 'full' END AS label_completeness, len(fin) > 0 AS has_line_label, array_to_string(del, ';') AS deleted, array_to_string(d, ';') AS depadd_lines_fb, array_to_string(v, ';') AS vul_lines_linevd, array_to_string(fin, ';') AS vul_lines_final FROM z""",
+    "a15_agreement": f"WITH {_MARK} SELECT CASE WHEN kind = 0 AND k <> 1 THEN 'overlap' ELSE 'exact' END AS relation, count(*) AS n FROM lab JOIN p ON p.key = lab.key WHERE from_removed GROUP BY 1",
+    "a16_precision_recall": f"WITH {_MARK}, g AS (SELECT CASE WHEN o.key IS NULL THEN 0 ELSE 1 END AS hit FROM p LEFT JOIN (SELECT key FROM lab WHERE from_removed) o ON o.key = p.key WHERE kind < 2 AND lang IS NOT NULL) SELECT count(*) AS n, CAST(sum(hit) AS BIGINT) AS exact, 1.0::DOUBLE AS precision_, round(sum(hit) / count(*), 6) AS recall_, round(2 * sum(hit) / (count(*) + sum(hit)), 6) AS f1 FROM g",
+    "a12_coverage": f"WITH {_MARK} SELECT CASE WHEN n_vul > 0 THEN 'derived' ELSE 'none' END AS label_source, count(*) AS n, round(sum(n_vul) / sum(n_lines), 6) AS density, round(avg(n_vul), 6) AS mean_lines FROM status GROUP BY 1",
+    "a12_origin_share": f"WITH {_MARK} SELECT count(*) FILTER (from_removed) AS from_removed, count(*) FILTER (from_depadd AND NOT from_removed) AS from_depadd FROM lab",
+    "a13_by_language": f"WITH {_MARK} SELECT lang, count(*) AS n, round(100.0 * avg(CASE WHEN n_vul > 0 THEN 1 ELSE 0 END), 4) AS usable_pct, round(avg(n_lines), 6) AS mean_lines, round(avg(n_cdg), 6) AS mean_cdg, round(avg(n_ddg), 6) AS mean_ddg FROM status GROUP BY 1",
+    "a17_per_cwe_lines": f"WITH {_MARK} SELECT 'CWE-' || kind AS cwe, count(*) AS rows, CAST(sum(n_vul) AS BIGINT) AS lines, CAST(median(n_vul) AS DOUBLE) AS median FROM st GROUP BY 1",
+    "k5_failures": f"WITH {_MARK} SELECT key, status, confidence FROM status WHERE n_vul = 0",
+    "w1_j11_flaw_lines": f"WITH {_FLAW} SELECT doc_id, line_count, matched, match_level FROM fl",
+    "a11_flaw_line_coverage": f"WITH {_FLAW} SELECT lang AS language, count(*) AS n, count(*) FILTER (matched) AS matched, round(100.0 * count(*) FILTER (matched) / count(*), 4) AS pct FROM fl GROUP BY 1",
+    "a11_line_count_histogram": f"WITH {_FLAW} SELECT least(line_count, 11) AS bin, count(*) AS n FROM fl WHERE matched GROUP BY 1",
+    "a11_line_count_stats": f"WITH {_FLAW} SELECT round(avg(line_count), 6) AS mean, CAST(median(line_count) AS DOUBLE) AS median, max(line_count) AS max FROM fl WHERE matched",
+    "w5_top_per_group": f"WITH {X.LABELLED}, pk AS (SELECT *, CAST(project % 40 AS VARCHAR) AS pj, sha1(CAST(project AS VARCHAR)) AS sha FROM keyed), h AS (SELECT {_PROJECT} AS host, cwe_id, count(*) AS rows FROM pk WHERE cwe_id IS NOT NULL GROUP BY 1, 2) SELECT host, cwe_id, rows, CAST(row_number() OVER (PARTITION BY host ORDER BY rows DESC, cwe_id) AS INT) AS rank FROM h WHERE host IS NOT NULL QUALIFY rank <= 3",
+    "k3_slices": f"WITH j AS ({R.SQL['j9_u1_cve_to_cwe']}), v AS ({R.SQL['j6_j7_apply_nvd']}) SELECT sample_id, 'conflict' AS slice FROM j WHERE cwe_id IS NOT NULL AND cwe_candidates <> '' AND NOT list_contains(string_split(cwe_candidates, ';'), cwe_id) UNION ALL SELECT sample_id, 'missing_both' FROM j WHERE cve_id IS NULL AND cwe_id IS NULL UNION ALL SELECT sample_id, 'ambiguous' FROM v WHERE cve_id IS NULL AND status LIKE '%ambiguous%'",
+    "k4_slices": f"WITH j AS ({R.SQL['j10_final_cwe']}), k AS ({R.SQL['n1_n5_labels']}) SELECT j.sample_id, 'trainable' AS slice FROM j WHERE cwe_label_final IS NOT NULL UNION ALL SELECT j.sample_id, 'gap' FROM j JOIN k ON k.sample_id = j.sample_id WHERE cve_id IS NOT NULL AND cwe_label_final IS NULL",
+    "s3_n14_nvd": f"WITH {_R}, e AS (SELECT cve, array_to_string(list_sort(list_distinct(list('CWE-' || CAST(ref_id % 50 AS VARCHAR)))), ';') AS evaluator FROM refs GROUP BY 1) SELECT r.cve, cwe AS cwes, CASE WHEN ref_id % 2 = 0 THEN cwe ELSE '' END AS primary_cwes, url, CASE WHEN kind = 'FIX' THEN 'patch' ELSE 'other' END AS kind, evaluator FROM refs r JOIN e ON e.cve = r.cve",
     "a14_failure_reasons": f"WITH {_MARK} SELECT lang, count(*) FILTER (status = 'unsupported_language') AS unsupported_language, count(*) FILTER (status = 'no_change') AS no_change, count(*) FILTER (status = 'diff_too_large') AS diff_too_large FROM status GROUP BY 1",
     "u3_w2_incremental": "SELECT md5(text) AS sample_key, coalesce(max(doc_id) FILTER (doc_id % 3 = 0), -1) AS load FROM documents GROUP BY 1",
     "s2_n12_n13_osv": f"WITH {_R} SELECT cve, cwe AS cwes, url, kind FROM refs WHERE ref_id % 17 <> 0 AND ref_id % 10 <> 0",

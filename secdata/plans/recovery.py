@@ -356,6 +356,21 @@ def _p1_sql() -> str:
     return f"WITH {', '.join(ctes)} SELECT {_L}, osv_status, nvd_status, cveorg_status, {conf} FROM {t}"
 
 
+def _quick_sql() -> str:
+    def mode(label: str) -> str:
+        return f"m_{label} AS (SELECT link, arg_min({label}, (-n, {label})) AS w FROM (SELECT link, {label}, count(*) AS n FROM keyed WHERE coalesce(link, '') <> '' AND {label} IS NOT NULL GROUP BY 1, 2) GROUP BY 1)"
+
+    def filled(label: str, value: str, source: str) -> str:
+        kind = label[:3]
+        return f"coalesce(k.{label}, {value}) AS {label}, CASE WHEN k.{label} IS NULL AND {value} IS NOT NULL THEN '{source}' ELSE k.{kind}_source END AS {kind}_source"
+
+    return f"""{_W}, {_MSG.replace('{t}', 'raw')}, {mode('cve_id')}, {mode('cwe_id')},
+q1 AS (SELECT k.sample_id, {filled('cve_id', 'a.w', 'commit')}, {filled('cwe_id', 'b.w', 'commit')} FROM keyed k LEFT JOIN m_cve_id a ON a.link = k.link LEFT JOIN m_cwe_id b ON b.link = k.link),
+q2 AS (SELECT k.sample_id, {filled('cve_id', 'mv[1]', 'message')}, k.cwe_id, k.cwe_source FROM q1 k JOIN msg ON msg.sample_id = k.sample_id),
+om AS (SELECT cve_id AS c, arg_min(cwe_id, (-n, cwe_id)) AS w FROM (SELECT cve_id, cwe_id, count(*) AS n FROM q2 WHERE cve_id IS NOT NULL AND cwe_id IS NOT NULL GROUP BY 1, 2) GROUP BY 1)
+SELECT sample_id, k.cve_id, k.cve_source, {filled('cwe_id', 'w', 'cve_map')} FROM q2 k LEFT JOIN om ON om.c = k.cve_id"""
+
+
 _RULE_SQL = "CASE " + " ".join(f"WHEN regexp_matches(cve_description, '(?i){p}') THEN '{n}'" for n, p, _, _ in [*rules.DESCRIPTION_RULES, rules.COARSE_RULE]) + " END"
 _RULE_NO_COARSE = "CASE " + " ".join(f"WHEN regexp_matches(cve_description, '(?i){p}') THEN '{n}'" for n, p, _, _ in rules.DESCRIPTION_RULES) + " END"
 _RULE_CWE = "CASE {r} " + " ".join(f"WHEN '{n}' THEN '{w}'" for n, _, w, _ in [*rules.DESCRIPTION_RULES, rules.COARSE_RULE]) + " END"
@@ -378,6 +393,7 @@ SQL = {
     "j8_same_commit": f"{_W}, {_SAME} SELECT {_L} FROM same",
     "p2_message_fill": f"{_W}, {_message('rec', 'keyed')} SELECT {_L} FROM rec",
     "p1_recover_labels": _p1_sql(),
+    "p5_quick_recovery": _quick_sql(),
     "u2_any_label": f"{_W} SELECT {_L} FROM keyed WHERE cve_id IS NOT NULL OR cwe_id IS NOT NULL",
     "a2_propagate": f"{_W}, {_fill('prop', 'keyed', 'commit_key', 'same_commit_propagated')} SELECT {_L}, commit_key FROM prop",
     "a5_label_stats": f"{_W}, {_AFTER} SELECT 'before' AS stage, {_PCT} FROM (SELECT {_STAT} FROM keyed) UNION ALL SELECT 'after', {_PCT} FROM (SELECT {_STAT} FROM rec)",
