@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from secdata.llm import decontaminate, html_extract, jaccard_join, langid, mixing, quality, sharding, toxicity
+from secdata.llm import decontaminate, html_extract, jaccard_join, langid, mixing, quality, sharding, toxicity, vector_codes
 from secdata.llm.line_dedup import op5_line_dedup
 from secdata.llm.search import op10_topk_search
+from secdata.llm.shared import join_hot, settle
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +62,15 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).drop("text")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    books = vector_codes.fit(vectors)
+    # The key tells a null label from all texts.
+    coded = settle(vector_codes.encode(vectors, books).select("vec_id", "code", "error", F.coalesce(F.concat(F.lit("="), F.col("label").cast("string")), F.lit("")).alias("key")))
+    sums = coded.groupBy("key").agg(F.sum("error").alias("label_error"))
+    return join_hot(coded, sums, "key").select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1_SQL = rf"""
@@ -127,5 +137,23 @@ def _op8_sql(entropy: float = 0.95, repeats: float = 2.0, budget_part: float = 1
     return "WITH " + ",\n".join(ctes) + f"\nSELECT {cols} FROM ep WHERE epoch < whole UNION ALL SELECT {cols} FROM tk WHERE n <= room UNION ALL SELECT {cols} FROM bd WHERE upto <= room"
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_jaccard_join, op3_sharding, op4_language_id, op5_line_dedup, op6_html_extraction, op7_quality, op8_source_mixing, op9_toxicity, op10_topk_search)}
-SQL = {"op1_decontamination": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op8_source_mixing": _op8_sql()}
+def _op11_sql(parts: int = 4, rounds: int = 4, entries: int = 256) -> str:
+    ctes = [
+        "kept AS MATERIALIZED (SELECT vec_id, label, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS z FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        f"pt AS MATERIALIZED (SELECT r, p, z[p * (len(z) // {parts}) + 1 : (p + 1) * (len(z) // {parts})] AS z FROM kept, range({parts}) t(p))",
+        f"start AS (SELECT r, row_number() OVER (ORDER BY vec_id, z) - 1 AS e FROM kept WHERE vec_id IS NOT NULL QUALIFY e < {entries})",
+        "b0 AS MATERIALIZED (SELECT p, e, z FROM pt JOIN start ON pt.r = start.r)",
+    ]
+    for k in range(rounds + 1):
+        near = f"min(CAST(list_dot_product(pt.z, pt.z) - 2 * list_dot_product(pt.z, b.z) + list_dot_product(b.z, b.z) AS BIGINT) * {entries} + e)"
+        ctes.append(f"a{k} AS MATERIALIZED (SELECT r, p, n % {entries} AS e, n // {entries} AS error FROM (SELECT r, pt.p, {near} AS n FROM pt JOIN b{k} b ON pt.p = b.p GROUP BY r, pt.p))")
+        if k < rounds:
+            ctes.append(f"m{k} AS (SELECT p, e, list(x ORDER BY j) AS z FROM (SELECT p, e, j, floor(sum(x) / count(*)) AS x FROM (SELECT a.p, a.e, unnest(pt.z) AS x, unnest(range(len(pt.z))) AS j FROM a{k} a JOIN pt ON a.r = pt.r AND a.p = pt.p) GROUP BY p, e, j) GROUP BY p, e)")
+            ctes.append(f"b{k + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.z, b.z) AS z FROM b{k} b LEFT JOIN m{k} m ON b.p = m.p AND b.e = m.e)")
+    ctes.append(f"whole AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(error) AS BIGINT) AS error FROM a{rounds} GROUP BY r)")
+    ctes.append(f"book AS (SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, j)) AS h FROM (SELECT p, e, unnest(z) AS x, unnest(range(len(z))) AS j FROM b{rounds}))")
+    return "WITH " + ",\n".join(ctes) + "\nSELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM kept JOIN whole ON kept.r = whole.r, book"
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_jaccard_join, op3_sharding, op4_language_id, op5_line_dedup, op6_html_extraction, op7_quality, op8_source_mixing, op9_toxicity, op10_topk_search, op11_vector_codes)}
+SQL = {"op1_decontamination": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op8_source_mixing": _op8_sql(), "op11_vector_codes": _op11_sql()}
