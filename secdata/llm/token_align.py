@@ -18,8 +18,9 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 import re
+from array import array
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -35,7 +36,7 @@ FOLDER, A_FILE, B_FILE = "/opt/tokenizers", "byte_bpe_50k.json", "piece_bpe_32k.
 #: Merged ends in one part of the merge path.
 WORK = 256
 #: Chunks and bytes of chunks in a worker's memo before it starts afresh, and pairs of ids that are expanded together.
-MEMO_CHUNKS, MEMO_BYTES, EXPAND = 1 << 18, 1 << 24, 1 << 20
+MEMO_CHUNKS, MEMO_BYTES, EXPAND = 1 << 19, 1 << 24, 1 << 20
 #: Pairs that are broadcast at most: 12 MB.
 HOT_PAIRS = 1 << 20
 _CUT = re.compile(r" (?=\S)(?<=\S )")
@@ -61,24 +62,31 @@ def vocabulary(files: tuple[str, bytes]) -> int:
     return max(1 + max(ids), sentencepiece.SentencePieceProcessor(model_proto=files[1]).get_piece_size())
 
 
+#: How byte-level vocabularies cut a text into words before merging.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 class Pair:
-    """Both tokenizers in a Python worker, with each id's bytes. a: a byte-level vocabulary (JSON text), b: a piece model (its bytes)."""
+    """Both tokenizers in a Python worker, with each id's bytes. a: a byte-level vocabulary whose ids follow its merges (JSON text), b: a piece model (its bytes)."""
 
     def __init__(self, a: str, b: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        self.a = Tokenizer.from_str(a)
-        self.a.encode_special_tokens = True
+        import tiktoken
+
+        made, byte_of = json.loads(a), _byte_of()
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in made["model"]["vocab"].items() if all(c in byte_of for c in token)}
+        merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in made["model"]["merges"]]
+        if [made["model"]["vocab"][m] for m in merged] != list(range(256, 256 + len(merged))):
+            raise ValueError("ids don't follow the merges")
+        ranks = {x: i for x, i in ranks.items() if i < 256 + len(merged)}
+        self.a = tiktoken.Encoding("a", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
-        vocab, byte_of = self.a.get_vocab(with_added_tokens=True), _byte_of()
-        self.a_bytes = [b""] * (1 + max(vocab.values()))
-        for token, i in vocab.items():
-            self.a_bytes[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+        self.size = vocabulary((a, b))
+        self.a_bytes = [b""] * self.size
+        for token, i in ranks.items():
+            self.a_bytes[i] = token
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
-        self.size = vocabulary((a, b))
         # A piece with a space behind another character could reach over a cut, and so could one of A.
         if any(b" " in x.lstrip(b" ") for i, x in enumerate(self.b_bytes) if not self.b.is_control(i)) or any(re.search(r"\S ", x.decode(errors="replace")) for x in self.a_bytes):
             raise ValueError("a token goes on behind a space: texts can't be cut into chunks")
@@ -90,21 +98,25 @@ class Pair:
     def forget(self) -> None:
         self.place: dict[str, int] = {}
         self.held = 0
-        self.good: list[bool] = []
-        self.ids: list[list[int]] = [[], []]
-        self.many: list[list[int]] = [[], []]
+        self.good = bytearray()
+        self.ids, self.many = ((array("i"), array("i")) for _ in range(2))
 
     def learn(self, chunks: list[str]) -> None:
         """Encodes chunks that the memo doesn't hold. A chunk stands for itself with a space before it."""
-        spaced = [f" {c}" for c in chunks]
-        for c, s, a, b in zip(chunks, spaced, self.a.encode_batch(spaced, add_special_tokens=False), self.b.encode(chunks, num_threads=1), strict=True):
-            whole, a = s.encode(), a.ids
-            self.place[c] = len(self.good)
-            self.good.append(b"".join([self.a_bytes[i] for i in a]) == whole == b"".join([self.b_bytes[i] for i in b]))
-            self.held += len(whole)
-            for side, ids in enumerate((a, b)):
-                self.ids[side].extend(ids)
-                self.many[side].append(len(ids))
+        whole = [f" {c}".encode() for c in chunks]
+        sizes = np.fromiter(map(len, whole), np.int64, len(whole))
+        good = np.ones(len(chunks), bool)
+        for side, ids in enumerate(([self.a(f" {c}") for c in chunks], self.b.encode(chunks, num_threads=1))):
+            flat, many = list(chain.from_iterable(ids)), list(map(len, ids))
+            table = (self.a_bytes, self.b_bytes)[side]
+            end = np.concatenate(([0], np.cumsum((self.a_len, self.b_len)[side][np.array(flat, np.int64)])))[np.cumsum(many)]
+            if not np.array_equal(end, np.cumsum(sizes)) or b"".join([table[i] for i in flat]) != b"".join(whole):
+                good &= np.fromiter((b"".join([table[i] for i in x]) == w for x, w in zip(ids, whole, strict=True)), bool, len(ids))
+            self.ids[side].extend(flat)
+            self.many[side].extend(many)
+        self.place.update(zip(chunks, range(len(self.good), len(self.good) + len(chunks)), strict=True))
+        self.good.extend(good.tobytes())
+        self.held += int(sizes.sum())
 
     def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """For A and B: the ids of all texts in a row, and how many each text has. Texts without tokens by definition have none."""
