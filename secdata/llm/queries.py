@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from secdata.llm import decontaminate, html_extract, jaccard_join, langid, mixing, quality, sharding, token_align, toxicity, vector_codes
+from secdata.llm import decontaminate, html_extract, jaccard_join, langid, license_scan, mixing, quality, sharding, token_align, toxicity, vector_codes
 from secdata.llm.line_dedup import op5_line_dedup
 from secdata.llm.search import op10_topk_search
 from secdata.llm.shared import join_hot, settle
@@ -75,6 +75,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_align.digest(table(spark, sf_dir, "documents"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scanned.select("doc_id", *license_scan.digest(scanned))
+
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1_SQL = rf"""
@@ -159,5 +164,5 @@ def _op11_sql(parts: int = 4, rounds: int = 4, entries: int = 256) -> str:
     return "WITH " + ",\n".join(ctes) + "\nSELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM kept JOIN whole ON kept.r = whole.r, book"
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_jaccard_join, op3_sharding, op4_language_id, op5_line_dedup, op6_html_extraction, op7_quality, op8_source_mixing, op9_toxicity, op10_topk_search, op11_vector_codes, op12_token_alignment)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_jaccard_join, op3_sharding, op4_language_id, op5_line_dedup, op6_html_extraction, op7_quality, op8_source_mixing, op9_toxicity, op10_topk_search, op11_vector_codes, op12_token_alignment, op13_license_scan)}
 SQL = {"op1_decontamination": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op8_source_mixing": _op8_sql(), "op11_vector_codes": _op11_sql()}
