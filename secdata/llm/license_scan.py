@@ -111,7 +111,9 @@ class Scanner:
 
 
 def _by_row(rows: np.ndarray, values: np.ndarray):
-    edges = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1]))) if len(rows) else np.zeros(0, np.int64)
+    if not len(rows):
+        return
+    edges = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
     for a, b in zip(edges, [*edges[1:], len(rows)], strict=True):
         yield int(rows[a]), values[a:b]
 

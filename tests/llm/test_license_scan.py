@@ -89,6 +89,11 @@ def test_query(spark, tmp_path):
     assert scan(spark.createDataFrame([], "text string, detections string")).count() == 0
 
 
+def test_texts_without_any_keyword(spark):
+    rows = scan(spark.createDataFrame([("plain words only",), (None,)], "text string")).collect()
+    assert [(r["n_words"], r["detections"], r["license_score"]) for r in rows] in ([(3, [], 0.0), (0, [], 0.0)], [(0, [], 0.0), (3, [], 0.0)])
+
+
 def test_ties_and_priority():
     table = [Rule("base", BASE, "c", "b c"), Rule("low", GENERAL, "a", "a b c d"), Rule("first", NAME, "b", "b c"), Rule("second", NAME, "b", "b c"), Rule("inside", NAME, "c", "c")]
     scanner = Scanner(table)
