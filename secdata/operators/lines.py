@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from secdata.functions.normalize import strip
+
 # Parser name of a language, comment signs, gates.
 LANGUAGES = {"c": "c", "c++": "cpp", "cpp": "cpp", "c/c++": "c", "java": "java", "javascript": "javascript", "typescript": "typescript", "python": "python", "php": "php", "ruby": "ruby", "go": "go", "c#": "csharp", "csharp": "csharp", "rust": "rust", "scala": "scala", "kotlin": "kotlin", "perl": "perl", "objective-c": "objc", "objective-c++": "objc", "objectivec": "objc", "objc": "objc", "swift": "swift", "lua": "lua"}
 SLASH = {"c", "cpp", "objc", "java", "javascript", "typescript", "csharp", "go", "rust", "scala", "kotlin", "swift", "php"}
@@ -37,7 +39,7 @@ LONG = "key string, union_line int, before_text string, after_text string, in_be
 
 def resolve(language: Column) -> Column:
     """The parser name of a language, null if unsupported."""
-    return F.try_element_at(F.create_map(*[F.lit(x) for kv in LANGUAGES.items() for x in kv]), F.lower(F.trim(language)))
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in LANGUAGES.items() for x in kv]), F.lower(strip(language)))
 
 
 def strip_comments(code: str, lang: str) -> str:
@@ -134,7 +136,7 @@ def gates(pairs: DataFrame, long: DataFrame, max_ratio: float = MAX_RATIO, min_c
     changed = F.col("n_removed") + F.col("n_added")
     gate = (
         F.when(F.col("lang").isNull(), F.lit("unsupported_language"))
-        .when(F.col("before").isNull() | F.col("after").isNull() | (F.trim("before") == ""), F.lit("missing_code"))
+        .when(F.col("before").isNull() | F.col("after").isNull() | (strip(F.col("before")) == ""), F.lit("missing_code"))
         .when((F.col("n_lines") > MAX_LINES) | (size > 4 * MAX_LINES), F.lit("too_large"))
         .when(F.col("n_lines") == 0, F.lit("missing_code"))
         .when(changed == 0, F.lit("no_change"))
@@ -162,7 +164,7 @@ def line_labels(pairs: DataFrame, long: DataFrame, edges: DataFrame, sizes: Data
     dep = depadd(long, edges, before).join(open_.where("graph_ok AND gate IS NULL").select("key"), "key", "left_semi")
     marked = long.where("is_removed").select("key", "union_line", F.lit(True).alias("r"), F.lit(False).alias("d")).unionByName(dep.select("key", "union_line", F.lit(False).alias("r"), F.lit(True).alias("d")))
     lines = marked.groupBy("key", "union_line").agg(F.max("r").alias("from_removed"), F.max("d").alias("from_depadd")).join(open_.where("gate IS NULL").select("key"), "key", "left_semi")
-    filled = long.where(F.trim("before_text") != "").select("key", "union_line")
+    filled = long.where(strip(F.col("before_text")) != "").select("key", "union_line")
     lines = lines.join(filled, ["key", "union_line"], "left_semi")
     n = lines.groupBy("key").agg(F.count("*").alias("n_vul"))
     s = open_.join(n, "key", "left").withColumn("n_vul", F.coalesce("n_vul", F.lit(0)))
@@ -186,8 +188,8 @@ def renumber(long: DataFrame) -> DataFrame:
 
 def external_lines(long: DataFrame, flaws: DataFrame) -> DataFrame:
     """(key, union_line) of lines whose trimmed text is among a sample's external flaw lines (key, text)."""
-    texts = flaws.select("key", F.trim("text").alias("t")).where("t <> ''").distinct()
-    return long.select("key", "union_line", F.trim("before_text").alias("t")).join(texts, ["key", "t"], "left_semi").select("key", "union_line")
+    texts = flaws.select("key", strip(F.col("text")).alias("t")).where("t <> ''").distinct()
+    return long.select("key", "union_line", strip(F.col("before_text")).alias("t")).join(texts, ["key", "t"], "left_semi").select("key", "union_line")
 
 
 def fuse(status: DataFrame, derived: DataFrame, external: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -227,7 +229,7 @@ def label_text(lines: DataFrame, long: DataFrame) -> DataFrame:
 
 def dedupe_reference(reference: DataFrame) -> DataFrame:
     """One row per ``h`` (norm_hash): rows with lines first, then vul = 1, then file and position. Rows of a frequent function are reduced before the shuffle."""
-    order = F.struct(F.coalesce(F.trim("lines_before"), F.lit("")) == "", F.coalesce(F.col("vul") != 1, F.lit(True)), "file", "pos")
+    order = F.struct(F.coalesce(strip(F.col("lines_before")), F.lit("")) == "", F.coalesce(F.col("vul") != 1, F.lit(True)), "file", "pos")
     row = F.struct(*[f"`{c}`" for c in reference.columns])
     return reference.where("h IS NOT NULL").groupBy("h").agg(F.min_by(row, order).alias("__row")).select("__row.*")
 
@@ -236,16 +238,16 @@ def attach_flaw_lines(rows: DataFrame, reference: DataFrame) -> DataFrame:
     """Joins external lines by the hash of the before version; adds flaw_lines, line_count, matched and match_level (what besides the function agrees)."""
     best = dedupe_reference(reference).select("h", "lines_before", F.col("cve").alias("__cve"), F.col("commit").alias("__commit"))
     j = rows.join(best, "h", "left")
-    kept = F.filter(F.split("lines_before", "\n"), lambda t: F.trim(t) != "")
+    kept = F.filter(F.split("lines_before", "\n"), lambda t: strip(t) != "")
     cve, commit = F.coalesce(F.col("cve_id") == F.col("__cve"), F.lit(False)), F.coalesce(F.col("commit_sha") == F.col("__commit"), F.lit(False))
-    matched = F.coalesce(F.trim("lines_before"), F.lit("")) != ""
+    matched = F.coalesce(strip(F.col("lines_before")), F.lit("")) != ""
     level = F.when(~matched, F.lit(None)).when(cve & commit, F.lit("func_commit_cve")).when(commit, F.lit("func_and_commit")).when(cve, F.lit("func_and_cve")).otherwise(F.lit("func_only"))
     return j.withColumns({"flaw_lines": F.when(matched, kept), "line_count": F.when(matched, F.size(kept)).otherwise(0), "matched": matched, "match_level": level}).drop("lines_before", "__cve", "__commit")
 
 
 def agreement(pairs: DataFrame) -> DataFrame:
     """(relation, n) over rows with arrays ours and theirs: exact, subset, overlap or disjoint sets of trimmed texts."""
-    x, y = (F.array_distinct(F.transform(c, lambda t: F.trim(t))) for c in ("ours", "theirs"))
+    x, y = (F.array_distinct(F.transform(c, lambda t: strip(t))) for c in ("ours", "theirs"))
     common = F.size(F.array_intersect(x, y))
     rel = F.when((common == F.size(x)) & (common == F.size(y)), F.lit("exact")).when(common == F.size(y), F.lit("subset")).when(common > 0, F.lit("overlap")).otherwise(F.lit("disjoint"))
     return pairs.groupBy(rel.alias("relation")).agg(F.count("*").alias("n"))

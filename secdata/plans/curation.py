@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from secdata.functions import language_rules as L
 from secdata.functions import normalize as N
 from secdata.functions import rules
-from secdata.operators import language, lines, propagate, reports, taxonomy
+from secdata.operators import incremental, language, lines, propagate, reports, taxonomy
 from secdata.plans import fixtures as X
 from secdata.plans import recovery as R
 from secdata.sources import readers, sinks
@@ -438,6 +438,28 @@ def u3_w2_incremental(spark, sf_dir):
     return lines.keep_last(cache, todo)
 
 
+def _content_graphs(pairs, second):
+    """Line graphs by content: three of four have one, as in ``_graphs``; in the ``second`` round every fourth of these lost its data dependences."""
+    key = N.joern_key(F.col("before"), F.col("after"), F.col("lang"))
+    one = pairs.select(key.alias("key"), (F.col("n") + (F.col("kind") == 1).cast("int")).cast("int").alias("m")).distinct().where("substring(key, 1, 1) >= '4'")
+    seq = F.sequence(F.lit(1), F.col("m"))
+
+    def edges(step):
+        return F.to_json(F.transform(seq, lambda i: F.array(i + 1, i + 1 + step)))
+
+    rd = F.when(F.substring("key", 2, 1) < "4", F.lit("[]")).otherwise(edges(3)) if second else edges(3)
+    return one.select("key", F.lit("lua").alias("lang"), F.lit(1).alias("offset"), F.to_json(F.transform(seq, lambda i: i + 1)).alias("lines"), edges(1).alias("cdg"), rd.alias("rd"))
+
+
+def u3_w2_n25_rounds(spark, sf_dir):
+    """Two rounds over one store of results: some graphs change before the second, which labels only their samples again."""
+    pairs = _pairs(spark, sf_dir)
+    store = incremental.label_store(spark, f"{sinks.work_folder(spark)}/results", digits=1, files=1)
+    incremental.label_increment(pairs, _content_graphs(pairs, False), store, 0.9, 0)
+    out = incremental.label_increment(pairs, _content_graphs(pairs, True), store, 0.9, 0)
+    return out.select("key", "load", "status", "confidence", "n_lines", "n_removed", "n_added", "n_cdg", "n_ddg", "n_vul", *[F.array_join(c, ";").alias(c) for c in ("vul_lines", "vul_lines_fb")])
+
+
 # ------------------------------------------------------------------ nested sources, from the flat references
 
 
@@ -524,7 +546,20 @@ c2 AS (SELECT *, decision LIKE '%agree%' AND decision NOT LIKE 'disagree%' AS ag
 c3 AS (SELECT *, CASE WHEN decision = 'no_prediction' THEN 0.0 WHEN agree THEN (bs + s2) / 2 WHEN decision IN ('after_only', 'disagree_choose_after') THEN s2 ELSE bs END AS sc, CASE WHEN decision = 'no_prediction' THEN 0.0 WHEN agree THEN (bm + m2) / 2 WHEN decision IN ('after_only', 'disagree_choose_after') THEN m2 ELSE bm END AS ma FROM c2),
 c4 AS (SELECT *, CASE WHEN agree THEN {_conf('sc', 'ma', True)} WHEN decision LIKE 'disagree%' AND {_conf('sc', 'ma', False)} = 'high' THEN 'medium' ELSE {_conf('sc', 'ma', False)} END AS confidence FROM c3)"""
 
+def _rounds_sql() -> str:
+    """_MARK with graphs by content, the second round's; ``c``: the graph changed between the rounds."""
+    after = "CASE kind WHEN 0 THEN array_to_string(list_filter(l, lambda t, i: i <> k), chr(10)) WHEN 1 THEN array_to_string(list_transform(l, lambda t, i: CASE WHEN i = k THEN 'edited ' || t ELSE t END), chr(10)) ELSE array_to_string(l, chr(10)) END"
+    key = f"sha1(array_to_string(l, chr(10)) || chr(0) || {after} || chr(0) || coalesce(lang, 'None') || chr(0))"
+    mark = _MARK.replace("p AS (", "p0 AS (", 1).replace(", u0 AS (", f", p1 AS (SELECT *, {key} AS jk FROM p0), p AS (SELECT *, substr(jk, 1, 1) >= '4' AS g, substr(jk, 1, 1) >= '4' AND substr(jk, 2, 1) < '4' AS c FROM p1), u0 AS (", 1)
+    mark = mark.replace("SELECT key, doc_id, n, k, kind, lang, l, CAST", "SELECT key, doc_id, n, k, kind, lang, l, g, c, CAST", 1)
+    mark = mark.replace("doc_id % 4 <> 0 AND i - k IN (0, 2, 4, -2)", "g AND (i - k IN (0, 2) OR (NOT c AND i - k IN (4, -2)))", 1).replace("doc_id % 4 <> 0 AS g, coalesce(c, 0) AS n_vul", "p.g, p.c, coalesce(x.c, 0) AS n_vul", 1)
+    mark = mark.replace("CASE WHEN g THEN n_lines ELSE 0 END AS n_ddg", "CASE WHEN g AND NOT c THEN n_lines ELSE 0 END AS n_ddg, CASE WHEN c THEN 2 ELSE 1 END AS load", 1)
+    lists = "v AS (SELECT lab.key, array_to_string(list_sort(list(union_line)), ';') AS vul_lines, array_to_string(list_sort(list(bl)), ';') AS vul_lines_fb FROM lab JOIN u ON u.key = lab.key AND u.i = lab.union_line GROUP BY 1)"
+    return f"WITH {mark}, {lists} SELECT s.key, load, status, confidence, n_lines, n_removed, n_added, n_cdg, n_ddg, n_vul, coalesce(vul_lines, '') AS vul_lines, coalesce(vul_lines_fb, '') AS vul_lines_fb FROM status s LEFT JOIN v ON v.key = s.key"
+
+
 SQL |= {
+    "u3_w2_n25_rounds": _rounds_sql(),
     "g1_ancestors": f"WITH RECURSIVE {_LISTS}, {_ITEMS}, {_UP} SELECT * FROM upm",
     "g2_pruned": f"WITH RECURSIVE {_LISTS}, {_ITEMS}, {_UP}, keep AS (SELECT i.sample_id, string_agg(i.cwe, ';' ORDER BY list_position(string_split(i.cwes, ';'), i.cwe)) AS k FROM items i WHERE NOT EXISTS (SELECT 1 FROM items o JOIN upm ON upm.root = replace(o.cwe, 'CWE-', '') WHERE o.sample_id = i.sample_id AND upm.node = replace(i.cwe, 'CWE-', '')) GROUP BY 1) SELECT l.sample_id, coalesce(k, '') AS cwe_pruned FROM lists l LEFT JOIN keep ON keep.sample_id = l.sample_id",
     "n28_n30_repo_keys": f"WITH {_RAW} SELECT sample_id, CASE project % 8 WHEN 0 THEN NULL WHEN 2 THEN 'git.example.org/cgit/proj' || pj WHEN 3 THEN 'android.googlesource.com/platform/proj' || pj || '/+/' || substr(sha, 1, 12) WHEN 4 THEN 'git.example.net/proj' || pj || '.git' WHEN 6 THEN 'example.com/archive/' || sha WHEN 7 THEN 'gitlab.com/org' || pj || '/proj' || pj ELSE 'github.com/org' || pj || '/proj' || pj END AS repo_key, {_PROJECT} AS project_key, CASE project % 8 WHEN 0 THEN NULL WHEN 4 THEN NULL WHEN 2 THEN 'cgit/proj' || pj || '.git' WHEN 3 THEN 'platform/proj' || pj WHEN 6 THEN 'archive/' || sha ELSE 'org' || pj || '/proj' || pj END AS owner_repo FROM pk",

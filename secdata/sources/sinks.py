@@ -56,6 +56,24 @@ def stage_table(df: DataFrame, folder: str, name: str, fresh: bool = True) -> Da
     return spark.read.parquet(f"{folder}/{name}")
 
 
+def _at(spark: SparkSession, path: str):
+    """A path and its file system, as Spark sees them."""
+    sc = spark.sparkContext
+    place = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, files = _at(spark, path)
+    return files.exists(place)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, if it is there. What was made from its tables must have been written before."""
+    place, files = _at(spark, path)
+    files.delete(place, True)
+
+
 def work_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors see, for stage tables: ``spark.checkpoint.dir``, or the one given to ``setCheckpointDir``. Only a local session may do without."""
     sc = spark.sparkContext
