@@ -61,7 +61,9 @@ def label_increment(samples: DataFrame, graphs: DataFrame, store: ResultStore, r
     """
     edges, sizes = lines.graph_edges(graphs)
     rows = keyed(samples, sizes, ratio, least, logic)
-    todo = store.pending(rows)
+    folder = sinks.work_folder(samples.sparkSession)
+    todo = sinks.stage_table(store.pending(rows).select("sample_key", "graph_key", "before", "after", "lang"), folder, "todo")
     if not todo.isEmpty():
-        store.put(label_pending(todo.select("sample_key", "graph_key", "before", "after", "lang"), edges, sizes, ratio, least))
+        store.put(label_pending(todo, edges, sizes, ratio, least))
+    sinks.delete(samples.sparkSession, folder)
     return store.attach(rows)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from secdata.functions import rules
+from secdata.sources import sinks
 
 # Class of a CWE-699 category, of a level-2 node, of a CWE-1000 pillar; overrides, catch-all categories, ids that tell nothing.
 CATEGORY_TO_CLASS = {"1218": "BND", "189": "BND", "399": "LFC", "465": "LFC", "452": "LFC", "411": "LFC", "557": "LFC", "387": "LFC", "137": "NTR", "133": "NTR", "1215": "NTR", "1219": "NTR", "1211": "PRT", "1212": "PRT", "1210": "PRT", "255": "PRT", "417": "PRT", "310": "PRT", "320": "PRT", "1216": "PRT", "275": "PRT", "265": "PRT", "355": "PRT", "1217": "PRT", "199": "PRT", "1213": "PRT", "389": "PRT", "429": "PRT", "1228": "PRT", "1214": "PRT", "136": "BND", "569": "BND", "1227": "PRT", "19": "BND", "438": "NTR", "840": "PRT", "371": "LFC", "1006": "PRT", "1226": "BND", "1225": "PRT"}
@@ -63,13 +64,25 @@ def closure(roots: DataFrame, edges: DataFrame, start: str, end: str, depth: int
 
 
 def reached(roots: DataFrame, step: DataFrame, depth: int) -> DataFrame:
-    """(root, node, depth) along step (node, next, open), where a node that isn't open is passed only by its own root."""
-    walk = f"""
-        WITH RECURSIVE walk(root, node, depth) AS (
-          SELECT root, root, 0 FROM {{roots}}
-          UNION ALL SELECT walk.root, s.next, walk.depth + 1 FROM walk JOIN {{step}} s ON walk.node = s.node WHERE walk.depth < {depth} AND (walk.depth = 0 OR s.open))
-        SELECT root, node, min(depth) AS depth FROM walk WHERE root <> node GROUP BY root, node"""
-    return roots.sparkSession.sql(walk, roots=roots.select("root").distinct(), step=step)
+    """(root, node, depth) along step (node, next, open), where a node that isn't open is passed only by its own root. The root itself isn't among its nodes.
+
+    A breadth-first walk from all roots at once: each round steps on from the nodes that the round before reached first, and drops those that were reached already. So a node is
+    passed once per root, however many paths lead to it, and circles end. Rounds are tables in the shared folder; they end with the longest shortest path.
+    """
+    spark = roots.sparkSession
+    folder = sinks.work_folder(spark)
+    step = sinks.stage_table(step.select("node", "next", "open").distinct(), folder, "step")
+    front = roots.select("root").distinct().select("root", F.col("root").alias("node"), F.lit(0).alias("depth"))
+    # Roots that lead anywhere; the first round starts from the roots, closed or not.
+    front = seen = sinks.stage_table(front.join(step.select("node").distinct(), "node", "left_semi").select("root", "node", "depth"), folder, "0")
+    for d in range(1, depth + 1):
+        ways = step if d == 1 else step.where("open")
+        new = front.join(ways, "node").select("root", F.col("next").alias("node"), F.lit(d).alias("depth")).distinct()
+        front = sinks.stage_table(new.join(seen.select("root", "node"), ["root", "node"], "left_anti"), folder, str(d))
+        if front.isEmpty():
+            break
+        seen = seen.unionByName(front)
+    return seen.where("depth > 0").select("root", "node", "depth")
 
 
 def ancestors(cwes: DataFrame, parent: DataFrame, depth: int = 12) -> DataFrame:
@@ -213,14 +226,28 @@ def add_groups(rows: DataFrame, code: str = "func_before", lines: str = "vul_lin
     return out.withColumns({"cwe_group_all": F.array_join(every, ";"), "n_cwe_groups": F.size(every), "cwe_multi_label": F.size(every) > 1}).drop("groups", "major")
 
 
+def hierarchy(catalog: dict[str, DataFrame]) -> DataFrame:
+    """(child, parent, kind): ChildOf of weaknesses and, where the catalog has them, MemberOf of categories; only parents that have a name, so that views and lost entries end no path."""
+    edges = catalog["parent"].select("child", "parent", F.lit("ChildOf").alias("kind"))
+    if "member_of" in catalog:
+        edges = edges.unionByName(catalog["member_of"].select("child", "parent", F.lit("MemberOf").alias("kind")))
+    return edges.distinct().join(catalog["node"].select(F.col("id").alias("parent")).distinct(), "parent", "left_semi").select("child", "parent", "kind")
+
+
 def top_ancestors(cwes: DataFrame, catalog: dict[str, DataFrame], depth: int = 12) -> DataFrame:
-    """(cwe, tops, depth, multi_parent): parentless named nodes above a CWE by depth and id, the least depth (-1 for an unknown CWE), and whether any node on the way has several parents."""
-    names = catalog["node"].select("id")
-    named = catalog["parent"].join(names.withColumnRenamed("id", "parent"), "parent", "left_semi").select("child", "parent").distinct()
+    """(cwe, tops, depth, multi_parent, kinds): parentless named nodes above a CWE over ``hierarchy`` by depth and id, the least depth (-1 for an unknown CWE), whether any node on
+    the way has several parents, and the kinds of edges above it (sorted, joined by ';'). Ids that no catalog entry has are unknown, whatever their form."""
+    named = hierarchy(catalog)
+    names = catalog["node"].select(F.col("id").alias("node")).distinct()
     roots = cwes.select("cwe").distinct().withColumn("root", F.replace(F.upper(F.trim("cwe")), F.lit("CWE-"), F.lit("")))
-    up = closure(roots.select("root").distinct(), named, "child", "parent", depth).unionByName(roots.select("root", F.col("root").alias("node"), F.lit(0).alias("depth")).distinct())
-    n_parents = named.groupBy(F.col("child").alias("node")).agg(F.count("*").alias("k"))
-    known = up.join(names.withColumnRenamed("id", "node"), "node", "left_semi").join(n_parents, "node", "left")
-    per = known.groupBy("root").agg(F.array_sort(F.collect_list(F.when(F.col("k").isNull(), F.struct("depth", "node")))).alias("t"), F.max(F.coalesce("k", F.lit(0)) > 1).alias("multi_parent"))
+    asked = roots.select("root").distinct()
+    up = closure(asked, named, "child", "parent", depth).unionByName(asked.select("root", F.col("root").alias("node"), F.lit(0).alias("depth")))
+    over = named.groupBy(F.col("child").alias("node")).agg(F.countDistinct("parent").alias("k"), F.collect_set("kind").alias("kinds"))
+    # Edges tell whether a node has parents: a node on the way may have no name only if it is the root.
+    known = up.join(names.withColumn("named", F.lit(True)), "node", "left").join(over, "node", "left").where("named OR depth = 0")
+    per = known.groupBy("root").agg(
+        F.array_sort(F.collect_list(F.when(F.col("k").isNull() & F.col("named"), F.struct("depth", "node")))).alias("t"),
+        F.max(F.coalesce("k", F.lit(0)) > 1).alias("multi_parent"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("kinds")))), ";").alias("kinds"),
+    )
     out = roots.join(per, "root", "left")
-    return out.select("cwe", F.coalesce(F.array_join(F.transform("t", lambda s: s["node"]), ";"), F.lit("")).alias("tops"), F.coalesce(F.get("t", F.lit(0))["depth"], F.lit(-1)).alias("depth"), F.coalesce("multi_parent", F.lit(False)).alias("multi_parent"))
+    return out.select("cwe", F.coalesce(F.array_join(F.transform("t", lambda s: s["node"]), ";"), F.lit("")).alias("tops"), F.coalesce(F.get("t", F.lit(0))["depth"], F.lit(-1)).alias("depth"), F.coalesce("multi_parent", F.lit(False)).alias("multi_parent"), F.coalesce("kinds", F.lit("")).alias("kinds"))

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from secdata.functions import language_rules as L
 from secdata.functions import normalize as N
 from secdata.functions import rules
-from secdata.operators import incremental, language, lines, propagate, reports, taxonomy
+from secdata.operators import cwe_ladder, incremental, language, lines, propagate, reports, taxonomy
 from secdata.plans import fixtures as X
 from secdata.plans import recovery as R
-from secdata.sources import readers, sinks
+from secdata.sources import feeds, readers, sinks
 
 # ------------------------------------------------------------------ fixtures
 
@@ -86,6 +86,21 @@ def g6_top_ancestors(spark, sf_dir):
     return taxonomy.top_ancestors(each, tree(spark))
 
 
+#: A hierarchy from the tables: parts are weaknesses under two others each, suppliers are categories under categories, the first of these under weaknesses, and all under a view without a name.
+_TREE = {
+    "node": "SELECT CAST(p_partkey AS STRING) AS id, 'w' AS name FROM {part} UNION ALL SELECT CAST(1000000 + s_suppkey AS STRING), 'c' FROM {supplier}",
+    "parent": "SELECT CAST(p_partkey AS STRING) AS child, CAST(CAST(floor(p_partkey / d) AS BIGINT) AS STRING) AS parent FROM {part}, (SELECT 4 AS d UNION ALL SELECT 7) x WHERE p_partkey >= d",
+    "member_of": "SELECT CAST(1000000 + s_suppkey AS STRING) AS child, CAST(CASE WHEN s_suppkey >= 10 THEN 1000000 + CAST(floor(s_suppkey / 10) AS BIGINT) ELSE 20 + s_suppkey END AS STRING) AS parent FROM {supplier} UNION ALL SELECT CAST(1000000 + s_suppkey AS STRING), '9999999' FROM {supplier}",
+}
+_ASKED = "SELECT 'CWE-' || id AS cwe FROM ({node}) n UNION ALL SELECT ' cwe-' || CAST(5000000 + s_suppkey AS STRING) FROM {supplier}"
+
+
+def g6_hierarchy(spark, sf_dir):
+    """The parentless nodes above every weakness and category of a hierarchy as large as the tables; unknown ids have none."""
+    tables = {k: X.frame(spark, sf_dir, v) for k, v in _TREE.items()}
+    return taxonomy.top_ancestors(X.frame(spark, sf_dir, _ASKED.replace("{node}", _TREE["node"])), tables)
+
+
 def _grouped(spark, sf_dir):
     return taxonomy.add_groups(taxonomy.prune_ancestors(lists(spark, sf_dir), "cwes", tree(spark)["parent"]))
 
@@ -453,10 +468,12 @@ def _content_graphs(pairs, second):
 
 def u3_w2_n25_rounds(spark, sf_dir):
     """Two rounds over one store of results: some graphs change before the second, which labels only their samples again."""
-    pairs = _pairs(spark, sf_dir)
-    store = incremental.label_store(spark, f"{sinks.work_folder(spark)}/results", digits=1, files=1)
-    incremental.label_increment(pairs, _content_graphs(pairs, False), store, 0.9, 0)
-    out = incremental.label_increment(pairs, _content_graphs(pairs, True), store, 0.9, 0)
+    folder = sinks.work_folder(spark)
+    pairs = sinks.stage_table(_pairs(spark, sf_dir), folder, "pairs")
+    first, second = (sinks.stage_table(_content_graphs(pairs, late), folder, f"graphs_{late}") for late in (False, True))
+    store = incremental.label_store(spark, f"{folder}/results", digits=1, files=1)
+    incremental.label_increment(pairs, first, store, 0.9, 0)
+    out = incremental.label_increment(pairs, second, store, 0.9, 0)
     return out.select("key", "load", "status", "confidence", "n_lines", "n_removed", "n_added", "n_cdg", "n_ddg", "n_vul", *[F.array_join(c, ";").alias(c) for c in ("vul_lines", "vul_lines_fb")])
 
 
@@ -483,6 +500,16 @@ def s3_n14_nvd(spark, sf_dir):
     return readers.nvd_references(r).join(r.select("cve", "evaluator_cwes").groupBy("cve").agg(F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("evaluator_cwes")))), ";").alias("evaluator")), "cve").select("cve", F.array_join("cwes", ";").alias("cwes"), F.array_join("primary_cwes", ";").alias("primary_cwes"), "url", "kind", "evaluator")
 
 
+def s3_a3_feeds(spark, sf_dir):
+    """Records of three feeds as the feed source hands them over; of each CVE the last record of the last feed wins."""
+    refs = X.frame(spark, sf_dir, X.REFS)
+    item = F.struct(F.struct(F.lower("cve").alias("id"), F.array(F.struct(F.lit("Primary").alias("type"), F.array(F.struct(F.lit("en").alias("lang"), F.col("cwe").alias("value"))).alias("description"))).alias("weaknesses")).alias("cve"))
+    records = refs.select((F.col("ref_id") % 3).cast("int").alias("file_rank"), F.col("ref_id").cast("long").alias("position"), F.to_json(item).alias("json"))
+    rows = readers.nvd_items(readers.parse(records, readers.NVD_ITEM).select(feeds.ordinal().alias("ordinal"), "cve"))
+    last = cwe_ladder.last_record(rows).join(rows.groupBy("cve").agg(F.max("ordinal").alias("o")), "cve")
+    return last.select("cve", F.array_join("cwes", ";").alias("cwes"), "o.file_rank", "o.position")
+
+
 def s4_s5_n16_cvelist(spark, sf_dir):
     refs = X.frame(spark, sf_dir, X.REFS)
     cna = F.struct(F.array(F.struct(F.array(F.struct(F.col("cwe").alias("cweId"), F.lit("also CWE-5").alias("description"))).alias("descriptions"))).alias("problemTypes"), F.array(F.struct("url", F.array(F.when(F.col("kind") == "FIX", "x_refsource_PATCH").otherwise("vdb")).alias("tags"))).alias("references"))
@@ -558,7 +585,22 @@ def _rounds_sql() -> str:
     return f"WITH {mark}, {lists} SELECT s.key, load, status, confidence, n_lines, n_removed, n_added, n_cdg, n_ddg, n_vul, coalesce(vul_lines, '') AS vul_lines, coalesce(vul_lines_fb, '') AS vul_lines_fb FROM status s LEFT JOIN v ON v.key = s.key"
 
 
+def _tops_sql(asked: str, node: str, parent: str, member_of: str = "") -> str:
+    """``top_ancestors`` over the given tables."""
+    edges = f"SELECT child, parent, 'ChildOf' AS kind FROM ({parent})" + (f" UNION ALL SELECT child, parent, 'MemberOf' FROM ({member_of})" if member_of else "")
+    return f"""WITH RECURSIVE nd AS (SELECT DISTINCT id FROM ({node})), ed AS (SELECT DISTINCT * FROM ({edges}) WHERE parent IN (SELECT id FROM nd)),
+ask AS (SELECT DISTINCT cwe, replace(upper(trim(cwe)), 'CWE-', '') AS root FROM ({asked})),
+up AS (SELECT DISTINCT root, root AS node, 0 AS depth FROM ask UNION SELECT up.root, ed.parent, up.depth + 1 FROM up JOIN ed ON ed.child = up.node WHERE up.depth < 12),
+um AS (SELECT root, node, min(depth) AS depth FROM up GROUP BY 1, 2), pc AS (SELECT child, count(DISTINCT parent) AS k FROM ed GROUP BY 1),
+tp AS (SELECT root, string_agg(node, ';' ORDER BY um.depth, node) AS tops, min(um.depth) AS depth FROM um JOIN nd ON nd.id = um.node WHERE node NOT IN (SELECT child FROM ed) GROUP BY 1),
+mu AS (SELECT root, max(k) > 1 AS m FROM um JOIN pc ON pc.child = um.node GROUP BY 1), ki AS (SELECT root, string_agg(DISTINCT kind, ';' ORDER BY kind) AS kinds FROM um JOIN ed ON ed.child = um.node GROUP BY 1)
+SELECT cwe, coalesce(tops, '') AS tops, CAST(coalesce(depth, -1) AS INT) AS depth, coalesce(m, FALSE) AS multi_parent, coalesce(kinds, '') AS kinds FROM ask LEFT JOIN tp USING (root) LEFT JOIN mu USING (root) LEFT JOIN ki USING (root)"""
+
+
 SQL |= {
+    "g6_top_ancestors": _tops_sql(f"WITH {_LISTS}, {_ITEMS} SELECT cwe FROM items", f"SELECT id FROM {_values([(n,) for n in _NODES], 'id')}", f"SELECT * FROM {_E}"),
+    "g6_hierarchy": _tops_sql(*[X.text(x.replace("STRING", "VARCHAR")) for x in (_ASKED.replace("{node}", _TREE["node"]), _TREE["node"], _TREE["parent"], _TREE["member_of"])]),
+    "s3_a3_feeds": f"WITH {_R} SELECT cve, arg_max(cwe, (ref_id % 3, ref_id)) AS cwes, max(ref_id % 3) AS file_rank, arg_max(ref_id, (ref_id % 3, ref_id)) AS position FROM refs GROUP BY 1",
     "u3_w2_n25_rounds": _rounds_sql(),
     "g1_ancestors": f"WITH RECURSIVE {_LISTS}, {_ITEMS}, {_UP} SELECT * FROM upm",
     "g2_pruned": f"WITH RECURSIVE {_LISTS}, {_ITEMS}, {_UP}, keep AS (SELECT i.sample_id, string_agg(i.cwe, ';' ORDER BY list_position(string_split(i.cwes, ';'), i.cwe)) AS k FROM items i WHERE NOT EXISTS (SELECT 1 FROM items o JOIN upm ON upm.root = replace(o.cwe, 'CWE-', '') WHERE o.sample_id = i.sample_id AND upm.node = replace(i.cwe, 'CWE-', '')) GROUP BY 1) SELECT l.sample_id, coalesce(k, '') AS cwe_pruned FROM lists l LEFT JOIN keep ON keep.sample_id = l.sample_id",

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from secdata.functions import language_rules as L
 from secdata.functions import normalize as N
+from secdata.sources import feeds, sinks
 
 _CWE_HOLDER = "struct<cwe_ids:array<string>,cweIds:array<string>,cwes:array<string>,CWE:struct<id:string>>"
 OSV_SCHEMA = f"id string, aliases array<string>, withdrawn string, references array<struct<type:string,url:string>>, affected array<struct<ranges:array<struct<type:string,repo:string,events:array<map<string,string>>>>,database_specific:{_CWE_HOLDER}>>, database_specific {_CWE_HOLDER}"
 _WEAKNESS = "array<struct<type:string,description:array<struct<lang:string,value:string>>>>"
 _REFS = "array<struct<url:string,tags:array<string>>>"
-NVD_SCHEMA = f"vulnerabilities array<struct<cve:struct<id:string,weaknesses:{_WEAKNESS},references:{_REFS},evaluatorComment:string,evaluatorImpact:string,evaluatorSolution:string>>>"
+NVD_ITEM = f"cve struct<id:string,weaknesses:{_WEAKNESS},references:{_REFS},evaluatorComment:string,evaluatorImpact:string,evaluatorSolution:string>"
+NVD_SCHEMA = f"vulnerabilities array<struct<{NVD_ITEM.replace('cve struct', 'cve:struct', 1)}>>"
 _CONTAINER = f"struct<problemTypes:array<struct<descriptions:array<struct<cweId:string,description:string>>>>,references:{_REFS}>"
 CVELIST_SCHEMA = f"cveMetadata struct<cveId:string,state:string>, containers struct<cna:{_CONTAINER},adp:array<{_CONTAINER}>>"
 FLAW_COLUMNS = ["func_before", "func_after", "lines_before", "lines_after", "vul", "vul_func_with_fix", "commit_id", "CVE ID", "CWE ID", "codeLink", "project"]
@@ -32,13 +34,24 @@ def read_samples(spark: SparkSession, path: str, order: list[str] | None = None)
     return number_rows(df, order)
 
 
-def number_rows(df: DataFrame, order: list[str], runs: int = 64) -> DataFrame:
-    """Adds sample_id 0, 1 .. in the given order: rows are ranged, ranges counted, and numbered within their range."""
-    ranged = df.repartitionByRange(runs, *order).withColumn("__r", F.spark_partition_id())
-    ranged = ranged.withColumn("__n", F.row_number().over(Window.partitionBy("__r").orderBy(*order)))
-    before = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+#: Rows that are numbered together, and ranges at most.
+RANGE_ROWS, MOST_RANGES = 1_000_000, 20_000
+
+
+def number_rows(df: DataFrame, order: list[str], range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Adds sample_id 0, 1 .. in the given order; rows that tie in it go by a hash of all their columns.
+
+    The rows are parted by ranges of the order once, with as many ranges as the number of rows asks for, and written with their range. Both the counts of the ranges and the numbers
+    within them are taken from that table, so they agree whatever bounds were sampled. The hash is part of the range key: a tie of very many rows is spread over ranges.
+    """
+    folder, rank = sinks.work_folder(df.sparkSession), [*order, "__h"]
+    hashed = df.withColumn("__h", F.xxhash64(*[f"`{c}`" for c in df.columns]))
+    runs = max(1, min(MOST_RANGES, -(-hashed.count() // range_rows)))
+    ranged = sinks.stage_table(hashed.repartitionByRange(runs, *rank).withColumn("__r", F.spark_partition_id()), folder, "ranged")
+    before = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)  # one row a range, MOST_RANGES at most
     starts = ranged.groupBy("__r").agg(F.count("*").alias("c")).select("__r", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("__s"))
-    return ranged.join(F.broadcast(starts), "__r").withColumn("sample_id", F.col("__s") + F.col("__n") - 1).drop("__r", "__n", "__s")
+    numbered = ranged.withColumn("__n", F.row_number().over(Window.partitionBy("__r").orderBy(*rank)))
+    return numbered.join(F.broadcast(starts), "__r").withColumn("sample_id", F.col("__s") + F.col("__n") - 1).drop("__r", "__n", "__s", "__h")
 
 
 def _json(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -82,12 +95,21 @@ def osv_events(records: DataFrame) -> DataFrame:
 
 
 def read_nvd(spark: SparkSession, path: str) -> DataFrame:
-    return nvd_records(_json(spark, path, NVD_SCHEMA))
+    """The records of all feeds below ``path``. Files are ranked by name, so over yearly feeds the last record of a CVE is the one in the latest year's file."""
+    items = parse(feeds.read_feed(spark, path, "vulnerabilities"), NVD_ITEM)
+    return nvd_items(items.select(feeds.ordinal().alias("ordinal"), "cve"))
+
 
+def nvd_records(whole: DataFrame) -> DataFrame:
+    """As ``nvd_items``, of feeds that stand whole in rows: column vulnerabilities, and file_rank where there are several feeds (else each row is taken as the only one)."""
+    rank = F.col("file_rank") if "file_rank" in whole.columns else F.lit(0)
+    each = whole.select(rank.cast("int").alias("file_rank"), F.posexplode("vulnerabilities").alias("position", "v"))
+    return nvd_items(each.select(F.struct("file_rank", F.col("position").cast("long").alias("position")).alias("ordinal"), F.col("v.cve").alias("cve")))
 
-def nvd_records(feeds: DataFrame) -> DataFrame:
-    """(cve, cwes, primary_cwes, evaluator_cwes, references, ordinal) for valid CVE ids, upper case."""
-    v = feeds.select(F.posexplode("vulnerabilities").alias("ordinal", "v")).select("ordinal", "v.cve.*").where(F.col("id").rlike(r"(?i)^CVE-\d{4}-\d{4,}$"))
+
+def nvd_items(items: DataFrame) -> DataFrame:
+    """(cve, cwes, primary_cwes, evaluator_cwes, references, ordinal) of records (ordinal, cve) with valid CVE ids, upper case."""
+    v = items.select("ordinal", "cve.*").where(F.col("id").rlike(r"(?i)^CVE-\d{4}-\d{4,}$"))
 
     def texts(kind: str | None) -> Column:
         w = F.col("weaknesses") if kind is None else F.filter("weaknesses", lambda x: x["type"] == kind)
@@ -146,7 +168,8 @@ def line_changes(df: DataFrame) -> DataFrame:
 
 
 _WEAKNESS_XML = "_ID string, _Name string, _Abstraction string, Description string, Related_Weaknesses struct<Related_Weakness:array<struct<_Nature:string,_CWE_ID:string,_View_ID:string>>>"
-_CATEGORY_XML = "_ID string, _Name string, Summary string, Relationships struct<Has_Member:array<struct<_CWE_ID:string,_View_ID:string>>,Member_Of:array<struct<_CWE_ID:string,_View_ID:string>>>"
+_MEMBER = "struct<_Nature:string,_CWE_ID:string,_View_ID:string>"
+_CATEGORY_XML = f"_ID string, _Name string, Summary string, Relationships struct<Has_Member:array<{_MEMBER}>,Member_Of:array<{_MEMBER}>,Relationship:array<{_MEMBER}>>"
 
 
 def read_cwe_catalog(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -155,14 +178,22 @@ def read_cwe_catalog(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return catalog(w, c)
 
 
+def read_cwe_hierarchy(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """What the pillars need: node (id, name, kind, abstraction), parent (ChildOf) and member_of (a category's MemberOf). A catalog for ``taxonomy.top_ancestors``."""
+    whole = read_cwe_catalog(spark, path)
+    return {"node": whole["node"].drop("text"), "parent": whole["parent"], "member_of": whole["member_of"]}
+
+
 def catalog(weaknesses: DataFrame, categories: DataFrame) -> dict[str, DataFrame]:
-    """node, parent (ChildOf in view 1000 or without a view; categories' MemberOf), child (reversed, plus category members), cat699."""
+    """node, parent (ChildOf in view 1000 or without a view), child (reversed, plus category members), cat699, member_of (categories' MemberOf)."""
     node = weaknesses.select(F.col("_ID").alias("id"), F.col("_Name").alias("name"), F.col("Description").alias("text"), F.lit("weakness").alias("kind"), F.col("_Abstraction").alias("abstraction"))
     node = node.unionByName(categories.select(F.col("_ID").alias("id"), F.col("_Name").alias("name"), F.col("Summary").alias("text"), F.lit("category").alias("kind"), F.lit(None).cast("string").alias("abstraction")))
     rel = weaknesses.select(F.col("_ID").alias("child"), F.explode("Related_Weaknesses.Related_Weakness").alias("r"))
     parent = rel.where("r._Nature = 'ChildOf' AND coalesce(r._View_ID, '1000') = '1000'").select("child", F.col("r._CWE_ID").alias("parent")).distinct()
     member = categories.select(F.col("_ID").alias("category"), F.explode("Relationships.Has_Member").alias("m")).select(F.col("m._CWE_ID").alias("member"), "category", F.col("m._View_ID").alias("view"))
-    member_of = categories.select(F.col("_ID").alias("child"), F.explode("Relationships.Member_Of").alias("m")).select("child", F.col("m._CWE_ID").alias("parent"))
+    # A membership is an element of that name, or one of another name whose nature says so.
+    kept = [F.coalesce(F.col("Relationships.Member_Of"), F.array()), *[F.coalesce(F.filter(f"Relationships.{x}", lambda m: m["_Nature"] == "MemberOf"), F.array()) for x in ("Has_Member", "Relationship")]]
+    member_of = categories.select(F.col("_ID").alias("child"), F.explode(F.concat(*kept)).alias("m")).select("child", F.col("m._CWE_ID").alias("parent")).distinct()
     child = parent.select("parent", "child").unionByName(member.select(F.col("category").alias("parent"), F.col("member").alias("child"))).distinct()
     return {"node": node, "parent": parent, "child": child, "cat699": member.where("view = '699'").select("member", "category").distinct(), "member_of": member_of}
 

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from secdata.operators import taxonomy
@@ -25,6 +26,22 @@ def test_samples_are_numbered_over_the_declared_order(spark, tmp_path):
     assert readers.read_samples(spark, str(tmp_path / "t")).columns == ["sample_id"]
 
 
+def test_numbering_of_many_ties_is_row_number(spark, monkeypatch):
+    rows = spark.range(100_000).select((F.col("id") % 7).alias("x"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("y"), F.lit("same").alias("z"), (F.col("id") % 50).alias("w"))
+    made = []
+    real = sinks.stage_table
+    monkeypatch.setattr(sinks, "stage_table", lambda df, *a, **k: made.append(real(df, *a, **k)) or made[-1])
+    numbered = readers.number_rows(rows, ["z", "y"], range_rows=5000)
+    got = numbered.collect()
+    assert len(made) == 1 and made[0].select("__r").distinct().count() > 10  # one evaluation of the bounds
+    assert made[0].groupBy("__r").count().agg(F.max("count")).first()[0] < 20_000  # 33 334 rows tie
+    want = rows.withColumn("h", F.xxhash64("x", "y", "z", "w")).withColumn("sample_id", F.row_number().over(Window.orderBy("z", "y", "h")) - 1).collect()
+    assert sorted((r.sample_id, r.y) for r in got) == sorted((r.sample_id, r.y) for r in want)
+    assert sorted(r.sample_id for r in got) == list(range(100_000))
+    # Rows that differ get the same numbers again; only rows that are alike in all columns may swap theirs.
+    assert sorted((r.sample_id, r.x, r.w) for r in got) == sorted((r.sample_id, r.x, r.w) for r in want)
+
+
 def test_advisory_files(spark, tmp_path):
     osv = {"id": "GHSA-1", "aliases": ["CVE-2020-1234"], "references": [{"type": "FIX", "url": "u"}], "affected": [{"ranges": [{"type": "GIT", "repo": "r", "events": [{"introduced": "0"}, {"fixed": "ab"}]}], "database_specific": {"CWE": {"id": "CWE-079"}}}]}
     _write(tmp_path, "osv/a.json", json.dumps(osv))
@@ -63,6 +80,30 @@ def test_catalog_feeds_the_taxonomy(spark, tmp_path):
     assert (got.classes, got.rule) == (["BND"], "2_category_699")
 
 
+def test_categories_reach_their_pillar(spark, tmp_path):
+    xml = """<Catalog><Weaknesses>
+<Weakness ID="664" Name="Pillar" Abstraction="Pillar"><Description>d</Description></Weakness>
+<Weakness ID="118" Name="Class" Abstraction="Class"><Description>d</Description><Related_Weaknesses><Related_Weakness Nature="ChildOf" CWE_ID="664"/><Related_Weakness Nature="PeerOf" CWE_ID="1"/></Related_Weaknesses></Weakness></Weaknesses>
+<Categories><Category ID="19" Name="Data"><Summary>s</Summary><Relationships><Member_Of CWE_ID="118"/><Member_Of CWE_ID="699"/></Relationships></Category>
+<Category ID="20" Name="More"><Summary>s</Summary><Relationships><Has_Member CWE_ID="118" View_ID="699"/><Relationship Nature="MemberOf" CWE_ID="19"/></Relationships></Category></Categories></Catalog>"""
+    _write(tmp_path, "cwe.xml", xml)
+    tree = readers.read_cwe_hierarchy(spark, str(tmp_path / "cwe.xml"))
+    assert {(r.id, r.abstraction) for r in tree["node"].collect()} == {("664", "Pillar"), ("118", "Class"), ("19", None), ("20", None)}
+    asked = spark.createDataFrame([("CWE-20",), ("CWE-19",), ("118",), ("CWE-699",), ("CWE-664",)], "cwe string")
+    got = {r.cwe: (r.tops, r.depth, r.multi_parent, r.kinds) for r in taxonomy.top_ancestors(asked, tree).collect()}
+    assert got == {"CWE-20": ("664", 3, False, "ChildOf;MemberOf"), "CWE-19": ("664", 2, False, "ChildOf;MemberOf"), "118": ("664", 1, False, "ChildOf"), "CWE-699": ("", -1, False, ""), "CWE-664": ("664", 0, False, "")}
+
+
+def test_a_walk_passes_each_node_once(spark):
+    """A ladder of 24 rungs with two ways each has 2 ** 24 paths; a circle closes it."""
+    edges = [(f"{i}{s}", f"{i + 1}{t}") for i in range(24) for s in "ab" for t in "ab"] + [("24a", "0a")]
+    roots = spark.createDataFrame([("0a",), ("alone",)], "root string")
+    got = {(r.root, r.node): r.depth for r in taxonomy.closure(roots, spark.createDataFrame(edges, "child string, parent string"), "child", "parent", 30).collect()}
+    assert len(got) == 48 and got["0a", "24b"] == 24 and ("0a", "0a") not in got
+    step = spark.createDataFrame([("r", "s", True), ("s", "t", False), ("u", "v", False)], "node string, next string, open boolean")
+    assert {(r.root, r.node) for r in taxonomy.reached(spark.createDataFrame([("r",), ("u",)], "root string"), step, 5).collect()} == {("r", "s"), ("u", "v")}
+
+
 def test_line_sets(spark, tmp_path):
     row = {"func_name": "f", "func_src_before": "a", "func_src_after": "b", "file_name": "x.py", "vul_type": "cwe-089", "line_changes": {"deleted": [{"line_no": 3, "line": "z"}, {"line_no": 1, "line": "a"}], "added": []}}
     _write(tmp_path, "set/val/cwe-089.jsonl", json.dumps(row) + "\n")
