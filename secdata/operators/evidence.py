@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from secdata.functions import normalize as N
+from secdata.operators.joins import join_hot
 
 # Tiers of each source, best first; the last element tells whether the tier fills.
 TIERS = {
@@ -78,7 +79,7 @@ def apply_evidence(rows: DataFrame, evidence: DataFrame, source: str, with_cwe:
     todo = rows.where(F.col("cve_id").isNull()).select("sample_id", "commit_link", F.posexplode(N.row_shas(F.col("commit_sha"), F.col("alt_shas"))).alias("pos", "s")).select("sample_id", "commit_link", "pos", F.col("s.sha").alias("target"), "s.is_backport")
     matched = match_targets(evidence, build_targets(rows))
     named = evidence.join(matched, "sha").withColumn("rank", F.element_at(order, F.col("tier")))
-    hits = todo.join(named, "target")
+    hits = join_hot(todo, named, "target", "inner")
     if strict_repo:
         hits = hits.where(N.repo_matches(F.col("commit_link"), F.col("url")))
     cells = hits.groupBy("sample_id", "rank", "pos").agg(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from secdata.functions.normalize import strip
+from secdata.operators.joins import join_hot
 
 # Parser name of a language, comment signs, gates.
 LANGUAGES = {"c": "c", "c++": "cpp", "cpp": "cpp", "c/c++": "c", "java": "java", "javascript": "javascript", "typescript": "typescript", "python": "python", "php": "php", "ruby": "ruby", "go": "go", "c#": "csharp", "csharp": "csharp", "rust": "rust", "scala": "scala", "kotlin": "kotlin", "perl": "perl", "objective-c": "objc", "objective-c++": "objc", "objectivec": "objc", "objc": "objc", "swift": "swift", "lua": "lua"}
@@ -237,7 +238,7 @@ def dedupe_reference(reference: DataFrame) -> DataFrame:
 def attach_flaw_lines(rows: DataFrame, reference: DataFrame) -> DataFrame:
     """Joins external lines by the hash of the before version; adds flaw_lines, line_count, matched and match_level (what besides the function agrees)."""
     best = dedupe_reference(reference).select("h", "lines_before", F.col("cve").alias("__cve"), F.col("commit").alias("__commit"))
-    j = rows.join(best, "h", "left")
+    j = join_hot(rows, best, "h")
     kept = F.filter(F.split("lines_before", "\n"), lambda t: strip(t) != "")
     cve, commit = F.coalesce(F.col("cve_id") == F.col("__cve"), F.lit(False)), F.coalesce(F.col("commit_sha") == F.col("__commit"), F.lit(False))
     matched = F.coalesce(strip(F.col("lines_before")), F.lit("")) != ""

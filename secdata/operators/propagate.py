@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from secdata.functions import normalize as N
+from secdata.operators.joins import join_hot
 
 LABELS = ("cve_id", "cwe_id")
 
@@ -33,7 +34,7 @@ def majority(rows: DataFrame, key: str, value: Column, mode: str = "majority") -
 
 def fill(rows: DataFrame, found: DataFrame, key: str, label: str, source: str) -> DataFrame:
     """Missing labels from ``found`` (key, winner); the source column tells where they come from."""
-    joined = rows.join(found.select(F.col(key).alias("__k"), "winner"), rows[key] == F.col("__k"), "left")
+    joined = join_hot(rows.withColumn("__k", F.col(key)), found.select(F.col(key).alias("__k"), "winner"), "__k")
     take = F.col(label).isNull() & F.col("winner").isNotNull()
     filled = joined.withColumns({_source(label): F.when(take, F.lit(source)).otherwise(F.col(_source(label))), label: F.coalesce(F.col(label), F.col("winner"))})
     return filled.drop("__k", "winner")
@@ -55,15 +56,15 @@ def majorities(rows: DataFrame, key: str, mode: str = "majority") -> DataFrame:
 
 
 def fill_labels(rows: DataFrame, found: DataFrame, key: str, source: str) -> DataFrame:
-    """Both missing labels from ``found`` (key, cve_id, cwe_id) in one join. Rows with both labels, and those without a key, go round the join."""
+    """Both missing labels from ``found`` (key, cve_id, cwe_id) in one join. Rows with both labels, and those without a key, match nothing and are spread; so are the rows of a commit with very many."""
     needs = (F.coalesce(F.col(key), F.lit("")) != "") & (F.col("cve_id").isNull() | F.col("cwe_id").isNull())
     known = found.select(F.col(key).alias("__k"), *[F.col(x).alias(f"__{x}") for x in LABELS])
-    joined = rows.where(needs).join(known, F.col(key) == F.col("__k"), "left")
+    joined = join_hot(rows.withColumn("__k", F.when(needs, F.col(key))), known, "__k")
     made = {}
     for x in LABELS:
         made[x] = F.coalesce(F.col(x), F.col(f"__{x}"))
         made[_source(x)] = F.when(F.col(x).isNull() & F.col(f"__{x}").isNotNull(), F.lit(source)).otherwise(F.col(_source(x)))
-    return joined.withColumns(made).select(*rows.columns).unionByName(rows.where(~needs))
+    return joined.withColumns(made).select(*rows.columns)
 
 
 def same_commit(rows: DataFrame, original: DataFrame | None = None, mode: str = "majority") -> DataFrame:

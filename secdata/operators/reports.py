@@ -13,7 +13,7 @@ def top(df: DataFrame, order: list, n: int) -> DataFrame:
 def per_cwe_audit(rows: DataFrame, dim: DataFrame, column: str = "cwe_label_final") -> DataFrame:
     """(cwe, n, classes, rule) for each final CWE."""
     counts = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("cwe")).agg(F.count("*").alias("n"))
-    return counts.join(F.broadcast(dim), "cwe", "left").select("cwe", "n", F.array_join("classes", ";").alias("classes"), "rule")
+    return counts.join(dim, "cwe", "left").select("cwe", "n", F.array_join("classes", ";").alias("classes"), "rule")
 
 
 def class_report(rows: DataFrame, prefix: str) -> DataFrame:
@@ -45,7 +45,7 @@ def gap_by(rows: DataFrame, key: str) -> DataFrame:
 def pillar_report(rows: DataFrame, tops: DataFrame, cwe: str = "cwe_id") -> DataFrame:
     """(pillar, n_rows, n_cwes) by the nearest parentless ancestor."""
     named = tops.select("cwe", F.get(F.split("tops", ";"), F.lit(0)).alias("pillar"))
-    return rows.where(F.col(cwe).isNotNull()).join(F.broadcast(named), F.col(cwe) == F.col("cwe")).groupBy("pillar").agg(F.count("*").alias("n_rows"), F.countDistinct("cwe").alias("n_cwes"))
+    return rows.where(F.col(cwe).isNotNull()).join(named, F.col(cwe) == F.col("cwe")).groupBy("pillar").agg(F.count("*").alias("n_rows"), F.countDistinct("cwe").alias("n_cwes"))
 
 
 def top_per_group(rows: DataFrame, group: str, value: str, n: int = 3) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from secdata.functions import rules
+from secdata.operators.joins import join_hot
 from secdata.sources import sinks
 
 # Class of a CWE-699 category, of a level-2 node, of a CWE-1000 pillar; overrides, catch-all categories, ids that tell nothing.
@@ -173,9 +174,9 @@ def classify_many(rows: DataFrame, column: str, dim: DataFrame, prefix: str) ->
     The dimension joins the distinct values of the column, not the rows, and those join back by the value.
     """
     values = rows.select(column).distinct()
-    each = values.select(column, F.posexplode(cwe_items(F.col(column))).alias("pos", "cwe")).join(F.broadcast(dim), "cwe").where(F.size("classes") > 0)
+    each = values.select(column, F.posexplode(cwe_items(F.col(column))).alias("pos", "cwe")).join(dim, "cwe").where(F.size("classes") > 0)
     found = each.groupBy(column).agg(F.min_by(F.struct(F.array_min("classes").alias("first"), "rule"), "pos").alias("p"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("classes")))).alias("every"))
-    out = rows.join(found.withColumnRenamed(column, "__v"), rows[column] == F.col("__v"), "left")
+    out = join_hot(rows.withColumn("__v", F.col(column)), found.withColumnRenamed(column, "__v"), "__v")
     return out.withColumns({prefix: F.col("p.first"), f"{prefix}_all": F.coalesce(F.array_join("every", ";"), F.lit("")), f"{prefix}_rule": F.coalesce(F.col("p.rule"), F.lit(NONE)), f"n_{prefix}": F.coalesce(F.size("every"), F.lit(0))}).drop("__v", "p", "every")
 
 
@@ -184,9 +185,9 @@ def prune_ancestors(rows: DataFrame, column: str, parent: DataFrame) -> DataFram
     lists = rows.select(F.col(column).alias("__list")).distinct()
     items = lists.select("__list", F.posexplode(rules.split_cwes(F.col("__list"))).alias("pos", "cwe")).withColumn("id", F.replace("cwe", F.lit("CWE-"), F.lit("")))
     up = ancestors(items.select(F.col("id").alias("root")).distinct(), parent)
-    covered = items.select("__list", F.col("id").alias("root")).join(F.broadcast(up), "root").select("__list", F.col("node").alias("id")).distinct()
+    covered = items.select("__list", F.col("id").alias("root")).join(up, "root").select("__list", F.col("node").alias("id")).distinct()
     kept = items.join(covered, ["__list", "id"], "left_anti").groupBy("__list").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "cwe"))), lambda s: s["cwe"]), ";").alias("cwe_pruned"))
-    return rows.join(kept, rows[column] == F.col("__list"), "left").drop("__list").withColumn("cwe_pruned", F.coalesce("cwe_pruned", F.lit("")))
+    return join_hot(rows.withColumn("__list", F.col(column)), kept, "__list").drop("__list").withColumn("cwe_pruned", F.coalesce("cwe_pruned", F.lit("")))
 
 
 def assign_group(rows: DataFrame, code: str = "func_before", lines: str = "vul_lines_text") -> DataFrame:

@@ -45,6 +45,15 @@ SELECT p_partkey AS ref_id, 'CVE-2021-' || lpad(CAST(p_partkey % 90 AS STRING),
 FROM {part}
 """
 
+#: Git events of advisories: some fix, some introduce; the repository is a sample's own (in two spellings) or another one.
+EVENTS = """
+SELECT 'CVE-2022-' || lpad(CAST(p_partkey % 60 AS STRING), 5, '0') AS cve, 'CWE-' || CAST(20 + p_size AS STRING) AS cwe,
+ CASE p_size % 4 WHEN 0 THEN 'introduced' WHEN 1 THEN 'limit' ELSE 'fixed' END AS event,
+ CASE p_size % 3 WHEN 0 THEN 'https://github.com/org' || c || '/proj' || c || '.git' WHEN 1 THEN 'git@github.com:Org' || c || '/proj' || c ELSE 'https://github.com/other/fork' END AS repo,
+ CASE p_size % 10 WHEN 9 THEN '0' ELSE sha1(CAST(p_partkey % 200 AS STRING)) END AS sha
+FROM (SELECT p_partkey, p_size, CAST(p_partkey % 200 % 40 AS STRING) AS c FROM {part}) e
+"""
+
 #: CVE -> CWE rows of several sources: (source, cve, ordinal, cwe).
 CVE_CWES = """
 SELECT CASE p_partkey % 4 WHEN 0 THEN 'nvd' WHEN 1 THEN 'cna' WHEN 2 THEN 'osv' ELSE 'evaluator' END AS source,

@@ -9,7 +9,7 @@ from secdata.functions import normalize as N
 from secdata.functions import rules
 from secdata.operators import cwe_ladder, evidence, propagate
 from secdata.plans import fixtures as X
-from secdata.sources import sinks
+from secdata.sources import runs, sinks
 
 
 def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,24 +212,66 @@ def p6_gap_rescue(spark, sf_dir):
     return cwe_ladder.rescue_gap(samples(spark, sf_dir), observed, vendor).select("sample_id", "rescued_cwe", "rescue_source", "rescue_conf")
 
 
-def p1_recover_labels(spark, sf_dir):
-    """Normalise, same commit, message, three sources in turn, twice (CVE -> CWE, propagation), confidence. Each method's result is a stage table, so no method is computed twice."""
-    folder = sinks.work_folder(spark)
+def _events(spark, sf_dir):
+    return X.frame(spark, sf_dir, X.EVENTS).withColumn("cwes", F.array("cwe"))
 
-    def stage(df, name):
-        return sinks.stage_table(df, folder, name)
 
-    rows = stage(samples(spark, sf_dir), "samples")
-    rows = stage(propagate.commit_message(propagate.same_commit(rows)), "commit")
-    for source in ("osv", "nvd", "cveorg"):
-        refs = stage(evidence.reference_evidence(_flat_refs(spark, sf_dir, source), source), f"evidence_{source}")
-        rows = stage(evidence.apply_evidence(rows, refs, source, with_cwe=source != "osv"), source)
-    tables = _tables(spark, sf_dir, stage(X.frame(spark, sf_dir, X.CVE_CWES), "cve_cwes"))
+def j3_j20_fixed_events(spark, sf_dir):
+    """The best OSV tier alone: fixed-commit events, of repositories that are the row's own."""
+    out = evidence.apply_evidence(samples(spark, sf_dir), evidence.event_evidence(_events(spark, sf_dir)), "osv", strict_repo=True)
+    return out.select(*LABEL_COLUMNS, F.col("osv_status").alias("status"), F.col("osv_candidates").alias("candidates"))
+
+
+SOURCES = ("osv", "nvd", "cveorg")
+
+
+def recovery_stages(start, references: dict, events, tables, strict_repo: bool = False) -> list[runs.Stage]:
+    """The stages of label recovery: normalise, same commit and message, three sources in turn, twice (CVE -> CWE, propagation), confidence.
+
+    start() gives samples with labels and commit ids, references[source]() a source's flat references, events() the OSV git events, tables(df) the CVE -> CWE tables of
+    a settled table of records that ``tables.records()`` gives. strict_repo: OSV evidence counts only for rows of its own repository.
+    """
+    def evident(source):
+        made = evidence.reference_evidence(references[source](), source)
+        return made.unionByName(evidence.event_evidence(events())) if source == "osv" else made
+
+    stages = [runs.Stage("samples", (), start), runs.Stage("commit", ("samples",), lambda s: propagate.commit_message(propagate.same_commit(s))), runs.Stage("cve_cwes", (), tables.records)]
+    before = "commit"
+    for source in SOURCES:
+        stages.append(runs.Stage(f"evidence_{source}", (), lambda source=source: evident(source)))
+        stages.append(runs.Stage(source, (before, f"evidence_{source}"), lambda rows, found, source=source: evidence.apply_evidence(rows, found, source, with_cwe=source != "osv", strict_repo=strict_repo and source == "osv")))
+        before = source
     for i in range(2):
-        rows = stage(cwe_ladder.cve_to_cwe(rows, tables), f"cwes_{i}")
-        rows = stage(propagate.propagate_same_commit(rows), f"propagated_{i}")
+        stages.append(runs.Stage(f"cwes_{i}", (before, "cve_cwes"), lambda rows, records: cwe_ladder.cve_to_cwe(rows, tables(records))))
+        stages.append(runs.Stage(f"propagated_{i}", (f"cwes_{i}",), propagate.propagate_same_commit))
+        before = f"propagated_{i}"
     conf = {f"{k}_confidence": N.confidence_of(F.col(f"{k}_source")) for k in ("cve", "cwe")}
-    return rows.withColumns(conf).select(*LABEL_COLUMNS, "osv_status", "nvd_status", "cveorg_status", "cve_confidence", "cwe_confidence")
+    return [*stages, runs.Stage("recovered", (before,), lambda rows: rows.withColumns(conf))]
+
+
+class _Records:
+    """The CVE -> CWE records of the fixtures, and the tables made of them."""
+
+    def __init__(self, spark, sf_dir):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def records(self):
+        return X.frame(self.spark, self.sf_dir, X.CVE_CWES)
+
+    def __call__(self, settled):
+        return _tables(self.spark, self.sf_dir, settled)
+
+
+def stages_of(spark, sf_dir):
+    references = {s: (lambda s=s: _flat_refs(spark, sf_dir, s)) for s in SOURCES}
+    return recovery_stages(lambda: samples(spark, sf_dir), references, lambda: _events(spark, sf_dir), _Records(spark, sf_dir))
+
+
+def p1_recover_labels(spark, sf_dir):
+    """All stages of label recovery over the supplied tables. A run that breaks can go on in the same folder; here each query is a run of its own."""
+    run = runs.Run(spark, sinks.work_folder(spark), sf_dir)
+    out = run.result(stages_of(spark, sf_dir))
+    return out.select(*LABEL_COLUMNS, "osv_status", "nvd_status", "cveorg_status", "cve_confidence", "cwe_confidence")
 
 
 def u2_any_label(spark, sf_dir):
@@ -290,6 +332,24 @@ def _evidence(source: str) -> str:
     return f"ev AS (SELECT DISTINCT sha, cve, cwe, tier, tier <> 'other' AS fills FROM (SELECT *, {tier} AS tier FROM rs) WHERE tier IS NOT NULL)"
 
 
+#: Events as evidence: ev_e (sha, cve, cwe, tier, fills, repo).
+_EVENTS = f"""ev_e AS (SELECT DISTINCT sha, cve, cwe, CASE WHEN event = 'fixed' THEN 'osv_fixed_commit_exact' ELSE 'weak' END AS tier, event = 'fixed' AS fills, repo FROM ({X.text(X.EVENTS)}) WHERE length(sha) = 40)"""
+#: Does a sample's link (of keyed k) name the event's repository (e.repo)?
+_SAME_REPO = "(k.project % 8 IN (1, 5) AND lower(replace(replace(replace(e.repo, 'git@github.com:', 'github.com/'), 'https://', ''), '.git', '')) = 'github.com/org' || CAST(k.project % 40 AS VARCHAR) || '/proj' || CAST(k.project % 40 AS VARCHAR))"
+
+
+def _strict_events() -> str:
+    return f"""{_W}, {_TARGETS}, {_EVENTS},
+mt AS (SELECT sha, coalesce(max(target) FILTER (length(target) = 40), arg_min(target, (first_row, first_pos))) AS target FROM (SELECT DISTINCT sha FROM ev_e) r JOIN tgt ON starts_with(sha, target) GROUP BY sha),
+hit AS (SELECT s.sample_id, s.pos, s.is_backport, e.*, CASE tier WHEN 'weak' THEN 3 ELSE 0 END AS rnk FROM shas s JOIN keyed k ON s.sample_id = k.sample_id AND k.cve_id IS NULL JOIN mt ON mt.target = s.sha JOIN ev_e e ON e.sha = mt.sha WHERE {_SAME_REPO}),
+cell AS (SELECT sample_id, rnk, pos, list_sort(list_distinct(list(cve))) AS cves, min(tier) || CASE WHEN bool_or(is_backport) THEN '_via_backport' ELSE '' END AS src, bool_and(fills) AS fills FROM hit GROUP BY 1, 2, 3),
+row_ AS (SELECT sample_id, arg_min({{'cve': cves[1], 'src': src}}, (rnk, pos)) FILTER (fills AND len(cves) = 1) AS pick, list_sort(list_distinct(flatten(list(cves) FILTER (fills)))) AS cands, list_sort(list_distinct(flatten(list(cves) FILTER (NOT fills)))) AS audit FROM cell GROUP BY 1)
+SELECT k.sample_id, coalesce(k.cve_id, pick.cve) AS cve_id, k.cwe_id, CASE WHEN k.cve_id IS NULL AND pick IS NOT NULL THEN pick.src ELSE k.cve_source END AS cve_source, k.cwe_source,
+ CASE WHEN k.cve_id IS NOT NULL OR (k.commit_sha IS NULL AND k.alt_sha IS NULL) THEN NULL WHEN pick IS NOT NULL THEN 'single_cve_filled' WHEN len(cands) > 0 THEN 'multiple_cves_ambiguous' WHEN len(audit) > 0 THEN 'weak_event_only' ELSE 'no_match' END AS status,
+ CASE WHEN k.cve_id IS NOT NULL OR (k.commit_sha IS NULL AND k.alt_sha IS NULL) THEN '' WHEN len(cands) > 0 THEN array_to_string(cands, ';') ELSE coalesce(array_to_string(audit, ';'), '') END AS candidates
+FROM keyed k LEFT JOIN row_ r ON r.sample_id = k.sample_id"""
+
+
 def _apply(source: str, with_cwe: bool = False, patch_only: bool = False) -> str:
     order = {t: i for i, (t, _) in enumerate(evidence.TIERS[source])}
     rank = "CASE tier " + " ".join(f"WHEN '{t}' THEN {i}" for t, i in order.items()) + " END"
@@ -325,8 +385,8 @@ def _apply_on(t: str, source: str, with_cwe: bool) -> str:
     searched = "k.cve_id IS NULL AND (k.commit_sha IS NOT NULL OR k.alt_sha IS NOT NULL)"
     new_cwe = "k.cwe_id IS NULL AND pick IS NOT NULL AND len(pick.cwes) = 1" if with_cwe else "FALSE"
     return f"""{p}_tgt AS (SELECT sha AS target, arg_min(s.sample_id, (s.sample_id, pos)) AS first_row, arg_min(pos, (s.sample_id, pos)) AS first_pos FROM shas s JOIN {t} k ON s.sample_id = k.sample_id WHERE k.cve_id IS NULL GROUP BY sha),
-{p}_mt AS (SELECT sha, coalesce(max(target) FILTER (length(target) = 40), arg_min(target, (first_row, first_pos))) AS target FROM (SELECT DISTINCT sha FROM rs) r JOIN {p}_tgt ON starts_with(sha, target) GROUP BY sha),
-{_evidence(source).replace("ev AS", f"{p}_ev AS", 1)},
+{p}_mt AS (SELECT sha, coalesce(max(target) FILTER (length(target) = 40), arg_min(target, (first_row, first_pos))) AS target FROM (SELECT DISTINCT sha FROM rs UNION SELECT sha FROM ev_e) r JOIN {p}_tgt ON starts_with(sha, target) GROUP BY sha),
+{_evidence(source).replace("ev AS", f"{p}_ev0 AS", 1)}, {p}_ev AS (SELECT * FROM {p}_ev0{" UNION SELECT sha, cve, cwe, tier, fills FROM ev_e" if source == "osv" else ""}),
 {p}_hit AS (SELECT s.sample_id, s.pos, s.is_backport, e.*, {rank} AS rnk FROM shas s JOIN {t} k ON s.sample_id = k.sample_id AND k.cve_id IS NULL JOIN {p}_mt m ON m.target = s.sha JOIN {p}_ev e ON e.sha = m.sha),
 {p}_cell AS (SELECT sample_id, rnk, pos, list_sort(list_distinct(list(cve))) AS cves, list_sort(list_distinct(list(cwe))) AS cwes, min(tier) || CASE WHEN bool_or(is_backport) THEN '_via_backport' ELSE '' END AS src, bool_and(fills) AS fills FROM {p}_hit GROUP BY 1, 2, 3),
 {p}_row AS (SELECT sample_id, arg_min({{'cve': cves[1], 'src': src, 'cwes': cwes}}, (rnk, pos)) FILTER (fills AND len(cves) = 1) AS pick, bool_or(fills) AS any_fills, count(*) AS n FROM {p}_cell GROUP BY 1),
@@ -343,7 +403,7 @@ def _cwes_on(name: str, t: str) -> str:
 
 
 def _p1_sql() -> str:
-    ctes = [X.LABELLED, _AFTER, _SHAS, _REFS, "rs AS (SELECT *, right(url, 40) AS sha FROM refs)", _TBL]
+    ctes = [X.LABELLED, _AFTER, _SHAS, _REFS, _EVENTS, "rs AS (SELECT *, right(url, 40) AS sha FROM refs)", _TBL]
     t = "rec"
     for source in ("osv", "nvd", "cveorg"):
         ctes.append(_apply_on(t, source, source != "osv"))
@@ -393,6 +453,7 @@ SQL = {
     "j8_same_commit": f"{_W}, {_SAME} SELECT {_L} FROM same",
     "p2_message_fill": f"{_W}, {_message('rec', 'keyed')} SELECT {_L} FROM rec",
     "p1_recover_labels": _p1_sql(),
+    "j3_j20_fixed_events": _strict_events(),
     "p5_quick_recovery": _quick_sql(),
     "u2_any_label": f"{_W} SELECT {_L} FROM keyed WHERE cve_id IS NOT NULL OR cwe_id IS NOT NULL",
     "a2_propagate": f"{_W}, {_fill('prop', 'keyed', 'commit_key', 'same_commit_propagated')} SELECT {_L}, commit_key FROM prop",

@@ -74,6 +74,31 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, null if there is none."""
+    place, files = _at(spark, path)
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, put in its place whole."""
+    place, files = _at(spark, path)
+    draft, _ = _at(spark, f"{path}.draft")
+    stream = files.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    files.delete(place, False)
+    files.rename(draft, place)
+
+
 def work_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors see, for stage tables: ``spark.checkpoint.dir``, or the one given to ``setCheckpointDir``. Only a local session may do without."""
     sc = spark.sparkContext
