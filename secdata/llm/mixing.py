@@ -91,43 +91,48 @@ def largest_scale(weighed: DataFrame, repeats: float) -> float:
     return max(border(lambda scale, g: g >= (1 - SHORT) * scale * z * (1 - 1e-9))[0], border(lambda _, g: g < enough)[1])
 
 
-def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", entropy: float = 0.95, repeats: float = 2.0, budget_part: float | None = 1.0, seed: str = "mix") -> DataFrame:
-    """The mixed rows, all columns of ``docs`` plus tokens, epoch (0, 1 ..) and block; columns of these names are replaced.
+def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", entropy: float = 0.95, repeats: float = 2.0, budget_part: float | None = 1.0, seed: str = "mix", names: tuple[str, str, str] = ("tokens", "epoch", "block")) -> DataFrame:
+    """The mixed rows, all columns of ``docs`` plus tokens, epoch (0, 1 ..) and block; columns of these names are replaced (``names`` gives others). Other columns may have any names
+    but those that begin with ``__mix_``.
 
     budget_part is the budget as a part of all tokens (at most ``repeats``). None: sources smaller than their share are used up, ``repeats`` times, and the budget is
     as large as ``largest_scale`` says, so no small source sets it. Sources whose share the limit doesn't touch get floor(weight * budget) tokens, missed by less than the last row that doesn't fit. Rows without tokens or id are left
     out; a null source is a source of its own. Ties in the permutation go by id. An empty table gives an empty result.
     """
-    docs = docs.drop("tokens", "epoch", "block")
-    rows = docs.withColumn("tokens", token_count(F.col(text_col))).where((F.col("tokens") > 0) & F.col(id_col).isNotNull()).withColumn("__s", F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("null")))
-    sources = settle(rows.groupBy("__s").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("rows"), F.max("tokens").alias("widest")))
+    docs = docs.drop(*names)
+    tokens, epoch, block = (F.col(f"__mix_{x}") for x in ("tokens", "epoch", "block"))
+    rows = docs.withColumn("__mix_tokens", token_count(F.col(text_col))).where((tokens > 0) & F.col(id_col).isNotNull()).withColumn("__mix_s", F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("null")))
+    sources = settle(rows.groupBy("__mix_s").agg(F.sum(tokens).alias("tokens"), F.count("*").alias("rows"), F.max(tokens).alias("widest")))
     total = sources.agg(F.sum("tokens")).first()[0] or 0
     a = exponent(sources, entropy, repeats, None if budget_part is None else float(total) * budget_part)
     weighed = sources.withColumn("m", F.pow(F.col("tokens") / F.lit(max(1, total)), F.lit(a)))
     z = weighed.agg(F.sum("m")).first()[0]
     budget = total * budget_part if budget_part is not None else largest_scale(weighed, repeats) * (z or 0)
     plan = weighed.select(
-        "__s",
+        "__mix_s",
         F.least(F.floor(F.col("m") / F.lit(z or 1.0) * F.lit(float(budget)) + F.lit(1e-6)).cast("long"), F.floor(F.col("tokens") * F.lit(repeats)).cast("long")).alias("goal"),
         F.col("tokens").alias("all"),
         F.least(F.lit(MOST_BLOCKS), F.ceil(F.col("rows") / BLOCK_ROWS)).cast("int").alias("blocks"),
-    ).select("__s", F.expr("goal div all").cast("int").alias("whole"), F.expr("goal % all").alias("rest"), "blocks")
+    ).select("__mix_s", F.expr("goal div all").cast("int").alias("__mix_whole"), F.expr("goal % all").alias("__mix_rest"), F.col("blocks").alias("__mix_blocks"))
 
     # A join by source would bring a large source's rows to one task. So the plan is broadcast, or, of very many sources, the plan of those with more than a thousandth of the rows.
-    n_sources, n_rows, n_blocks = sources.join(plan.select("__s", "blocks"), "__s").agg(F.count("*"), F.sum("rows"), F.sum("blocks")).first()
+    n_sources, n_rows, n_blocks = sources.join(plan.select("__mix_s", "__mix_blocks"), "__mix_s").agg(F.count("*"), F.sum("rows"), F.sum("__mix_blocks")).first()
     if n_sources <= BROADCAST_ROWS:
-        epochs = rows.join(F.broadcast(plan), "__s")
+        epochs = rows.join(F.broadcast(plan), "__mix_s")
     else:
-        large = F.broadcast(plan.join(sources.where(F.col("rows") > n_rows // 1000).select("__s"), "__s", "left_semi"))
-        epochs = rows.join(large, "__s").unionByName(rows.join(large.select("__s"), "__s", "left_anti").join(plan, "__s"))
-    epochs = epochs.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole"))))
-    epochs = epochs.where("epoch < whole OR rest > 0").withColumn("block", F.pmod(dealt(F.lit(seed), F.col(id_col), F.col("epoch")), F.col("blocks")).cast("int"))
-    last = F.col("epoch") == F.col("whole")
-    sums = epochs.where(last).groupBy("__s", "block").agg(F.sum("tokens").alias("n"), F.first("rest").alias("rest"))
-    order = Window.partitionBy("__s").orderBy(dealt(F.lit(seed), F.lit("block"), F.col("block")), "block")  # at most MOST_BLOCKS rows a source
-    sums = sums.withColumn("end", F.sum("n").over(order)).where("end - n < rest").select("__s", "block", (F.col("rest") - F.col("end") + F.col("n")).alias("room"), F.col("n").alias("__n"))
-    taken = epochs.where(last).drop("rest", "whole", "blocks").join(F.broadcast(sums) if (n_blocks or 0) <= BROADCAST_ROWS else sums, ["__s", "block"])
-    inside = Window.partitionBy("__s", "block").orderBy(dealt(F.lit(seed), F.lit("row"), F.col(id_col)), id_col).rowsBetween(Window.unboundedPreceding, 0)
-    names = [*docs.columns, "tokens", "epoch", "block"]
-    border = taken.where("__n > room").withColumn("__end", F.sum("tokens").over(inside)).where("__end <= room").select(*names)
-    return epochs.where(~last).select(*names).unionByName(taken.where("__n <= room").select(*names)).unionByName(border)
+        large = F.broadcast(plan.join(sources.where(F.col("rows") > n_rows // 1000).select("__mix_s"), "__mix_s", "left_semi"))
+        epochs = rows.join(large, "__mix_s").unionByName(rows.join(large.select("__mix_s"), "__mix_s", "left_anti").join(plan, "__mix_s"))
+    whole, rest = F.col("__mix_whole"), F.col("__mix_rest")
+    epochs = epochs.withColumn("__mix_epoch", F.explode(F.sequence(F.lit(0), whole)))
+    epochs = epochs.where((epoch < whole) | (rest > 0)).withColumn("__mix_block", F.pmod(dealt(F.lit(seed), F.col(id_col), epoch), F.col("__mix_blocks")).cast("int"))
+    last = epoch == whole
+    by_block = ["__mix_s", "__mix_block"]
+    sums = epochs.where(last).groupBy(*by_block).agg(F.sum(tokens).alias("n"), F.first(rest).alias("rest"))
+    order = Window.partitionBy("__mix_s").orderBy(dealt(F.lit(seed), F.lit("block"), block), "__mix_block")  # at most MOST_BLOCKS rows a source
+    sums = sums.withColumn("end", F.sum("n").over(order)).where("end - n < rest").select(*by_block, (F.col("rest") - F.col("end") + F.col("n")).alias("__mix_room"), F.col("n").alias("__mix_n"))
+    taken = epochs.where(last).drop("__mix_rest", "__mix_whole", "__mix_blocks").join(F.broadcast(sums) if (n_blocks or 0) <= BROADCAST_ROWS else sums, by_block)
+    inside = Window.partitionBy(*by_block).orderBy(dealt(F.lit(seed), F.lit("row"), F.col(id_col)), id_col).rowsBetween(Window.unboundedPreceding, 0)
+    out = [*[F.col(f"`{c}`") for c in docs.columns], *[c.alias(n) for c, n in zip((tokens, epoch, block), names, strict=True)]]
+    room = F.col("__mix_room")
+    border = taken.where(F.col("__mix_n") > room).withColumn("__mix_end", F.sum(tokens).over(inside)).where(F.col("__mix_end") <= room).select(*out)
+    return epochs.where(~last).select(*out).unionByName(taken.where(F.col("__mix_n") <= room).select(*out)).unionByName(border)

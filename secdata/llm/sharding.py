@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from secdata.llm.shared import settle
 
-DIMS = ("b", "t", "r")
+DIMS = ("__b", "__t", "__r")
 
 
 def place(units: list[tuple[str, int, int, int]], shards: int, room: float = 1.0005) -> dict[str, int]:
@@ -37,7 +37,8 @@ def place(units: list[tuple[str, int, int, int]], shards: int, room: float = 1.0
 
 
 def assign(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", bundles: int = 4096, rows_per_run: int = 1024) -> DataFrame:
-    """All rows and columns of ``docs`` plus size, shard (0 .. shards - 1) and slot (0, 1 .. within the shard); columns of these names are replaced.
+    """All rows and columns of ``docs`` plus size, shard (0 .. shards - 1) and slot (0, 1 .. within the shard); columns of these names are replaced, others may have any
+    names but those of the helpers (``__b __t __r __key __cut __unit __run __rank __start __n``).
 
     A row's size is its text's UTF-8 bytes plus 1. Rows without text belong to no group. Rows with equal ids are told apart by their text; slots of
     fully equal rows are interchangeable. An empty table gives an empty result.
@@ -52,7 +53,7 @@ def assign(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: s
     )
     blanks = F.length(text) - F.length(F.replace(F.replace(text, F.lit(" "), F.lit("")), F.lit("\n"), F.lit("")))
     tokens = F.when(text.isNull() | (text == ""), 0).otherwise(blanks + 1)
-    groups = settle(with_key.groupBy(key).agg(F.sum("size").alias("b"), F.sum(tokens).cast("long").alias("t"), F.count("*").alias("r")))
+    groups = settle(with_key.groupBy(key).agg(F.sum("size").alias("__b"), F.sum(tokens).cast("long").alias("__t"), F.count("*").alias("__r")))
     total = groups.agg(*[F.coalesce(F.sum(d), F.lit(0)).alias(d) for d in DIMS]).first()
 
     def above(part: float) -> F.Column:
@@ -66,16 +67,16 @@ def assign(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: s
     whole = groups.join(F.broadcast(cuts.where("__cut = 1 OR __cut IS NULL")), "__key", "left").join(F.broadcast(cuts.where("__cut > 1").select("__key")), "__key", "left_anti")
     units = whole.select(F.when(F.col("__cut").isNull(), F.concat(F.lit("b"), F.pmod(key, F.lit(bundles)))).otherwise(F.concat(key, F.lit("_0"))).alias("u"), *DIMS)
     if any(r[1] > 1 for r in lone):
-        cut = with_key.join(F.broadcast(cuts.where("__cut > 1")), "__key").join(F.broadcast(large.where("cut > 1").select("__key", *[(F.col(d) / F.col("r")).alias(d) for d in DIMS])), "__key")
+        cut = with_key.join(F.broadcast(cuts.where("__cut > 1")), "__key").join(F.broadcast(large.where("cut > 1").select("__key", *[(F.col(d) / F.col("__r")).alias(d) for d in DIMS])), "__key")
         units = units.unionByName(cut.groupBy(unit.alias("u")).agg(*[F.sum(d).cast("long").alias(d) for d in DIMS]))
     sums = units.groupBy("u").agg(*[F.sum(d).alias(d) for d in DIMS]).collect()  # bundles, and the lone groups' pieces
     where = spark.createDataFrame(list(place([tuple(r) for r in sums], shards).items()), "__unit string, shard int")
     placed = with_key.join(F.broadcast(cuts), "__key", "left").withColumn("__unit", unit).join(F.broadcast(where), "__unit")
 
-    runs = max(1, -(-total["r"] // (shards * rows_per_run)))
+    runs = max(1, -(-total["__r"] // (shards * rows_per_run)))
     placed = placed.withColumn("__run", F.pmod(F.xxhash64(ident, F.lit("run")), F.lit(runs)))
     before = Window.partitionBy("shard").orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy("shard", "__run").agg(F.count("*").alias("n")).select("shard", "__run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    starts = placed.groupBy("shard", "__run").agg(F.count("*").alias("__n")).select("shard", "__run", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     within = Window.partitionBy("shard", "__run").orderBy(id_col, "__key")
     ranked = placed.withColumn("__rank", F.row_number().over(within)).join(starts, ["shard", "__run"])
-    return ranked.select(*docs.columns, "size", "shard", (F.col("__start") + F.col("__rank") - 1).cast("long").alias("slot"))
+    return ranked.select(*[F.col(f"`{c}`") for c in docs.columns], "size", "shard", (F.col("__start") + F.col("__rank") - 1).cast("long").alias("slot"))
