@@ -51,9 +51,10 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Flattens the sources to nine tenths of the largest entropy, or leaves them if they are flatter. No document is repeated: smaller sources are used up whole, and up to a tenth of the mix comes from others instead.
 
     Rows without text or id have no tokens and go; a null source is one of its own; a very long text that doesn't fit what is left of its source's part goes. Ties in the permutation go by id. An empty table stays
-    empty; columns named tokens, epoch or block are replaced inside the stage and would be lost.
+    empty; columns come back as they are, whatever their names, but for those that begin with ``__mix_``.
     """
-    return mixing.mix(docs, entropy=0.9, repeats=1.0, budget_part=None).select(*docs.columns)
+    mixed = mixing.mix(docs, entropy=0.9, repeats=1.0, budget_part=None, names=("__mix_out_tokens", "__mix_out_epoch", "__mix_out_block"))
+    return mixed.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +70,7 @@ STAGES = [
     ("sharding", shard),
 ]
 
-#: SQL can't express the stages; tests/llm holds each against a brute-force version.
+#: SQL can't express the stages.
 ORACLE_SQL = None
 
 
