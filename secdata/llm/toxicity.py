@@ -6,7 +6,8 @@ decide together. Features are the most frequent buckets of a labelled sample wha
 those that lean most to a label (by a z score); the others are 0.
 
 Fitting reads a bounded sample (``per_label`` rows for each label). Counts of terms are summed by Spark; the sample's features, a few hundred
-numbers a row, are collected and the machine is fitted with Adam on the driver. A toxic row weighs ``weight`` times a clean one.
+numbers a row, are collected and the machine is fitted with Adam on the driver. How many features there are is decided on a part of the sample that the trial isn't fitted on. A
+toxic row weighs ``weight`` times a clean one.
 """
 
 from __future__ import annotations
@@ -86,8 +87,33 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_label: int = 4000, n_terms: int = 8192, least_z: float = 3.0, epochs: int = 40) -> Machine:
-    """``n_terms`` bounds the features: half of them at most by lean (``least_z`` or more), the others by frequency. Without labelled rows of both kinds the machine is constant: 0.5, or near the only label."""
+#: Numbers of features that are tried, passes for a trial, and the part of the sample that judges it.
+SIZES, TRIAL_EPOCHS, JUDGES = (128, 512, 2048), 12, 5
+
+
+def _chosen(rows: list[np.ndarray], labels: np.ndarray, order: list[np.ndarray], weight: float = 3.0) -> int:
+    """Which of ``order`` (features by number, nested or not) has the least loss on every ``JUDGES``-th row, fitted on the others. The more features the fewer rows each has to learn from."""
+    judge = np.arange(len(rows)) % JUDGES == 0
+    if not len(order) > 1 or len(set(labels[judge])) < 2 or len(set(labels[~judge])) < 2:
+        return 0
+    losses = []
+    for features in order:
+        machine = Machine(features)
+        mine = [machine.number[r][machine.number[r] >= 0] for r in rows]
+        machine.fit([mine[i] for i in np.flatnonzero(~judge)], labels[~judge], TRIAL_EPOCHS, weight)
+        held = [mine[i] for i in np.flatnonzero(judge)]
+        owner, term = np.repeat(np.arange(len(held)), [len(h) for h in held]), np.concatenate(held).astype(np.int64)
+        z = np.clip(machine.margin(owner, term, len(held))[0], -30, 30)
+        y = labels[judge]
+        losses.append(float((np.where(y > 0, weight, 1.0) * np.log1p(np.exp(np.where(y > 0, -z, z)))).sum()))
+    return int(np.argmin(losses))
+
+
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_label: int = 4000, sizes: tuple[int, ...] = SIZES, least_z: float = 4.0, epochs: int = 40) -> Machine:
+    """The number of features is one of ``sizes``, chosen by the loss on a part of the sample; half of them at most are chosen by lean (``least_z`` or more), the others by frequency.
+
+    Labels other than 0 and 1 are skipped; repeated rows, and an id with both labels, count as they stand. Without labelled rows of both kinds the machine is constant: 0.5, or near the only label.
+    """
     rows = sample(docs, labels, label_col, per_label, id_col, text_col).select("text", "label")
 
     def count(batches):
@@ -97,17 +123,20 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
             both, n = np.unique(bucket * 2 + label, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(both >> 1), pa.array(np.where(both & 1, n, 0)), pa.array(np.where(both & 1, 0, n))], names=["bucket", "bad", "good"])
 
-    sizes = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
-    p, q = max(1, sizes.get(1, 0)), max(1, sizes.get(0, 0))
+    found = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
+    p, q = max(1, found.get(1, 0)), max(1, found.get(0, 0))
     sums = rows.mapInArrow(count, "bucket long, bad long, good long").groupBy("bucket").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     rate = (F.col("bad") + F.col("good")) / F.lit(p + q)
     z = F.abs(F.col("bad") / p - F.col("good") / q) / F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-9)) * F.lit(1 / p + 1 / q))
     seen = sums.where("bad + good >= 3").select("bucket", z.alias("z"), (F.col("bad") / p + F.col("good") / q).alias("often"))
-    leaning = {r[0] for r in seen.where(F.col("z") >= least_z).orderBy(F.desc("z"), "bucket").limit(n_terms // 2).collect()}
-    frequent = [r[0] for r in seen.orderBy(F.desc("often"), "bucket").limit(n_terms).collect()]
-    chosen = leaning | set([b for b in frequent if b not in leaning][: n_terms - len(leaning)])
-    machine = Machine(np.array(sorted(chosen), np.int64))
-    shared = docs.sparkSession.sparkContext.broadcast(machine.number)
+    leaning = [r[0] for r in seen.where(F.col("z") >= least_z).orderBy(F.desc("z"), "bucket").limit(max(sizes) // 2).collect()]
+    frequent = [r[0] for r in seen.orderBy(F.desc("often"), "bucket").limit(max(sizes)).collect()]
+    order = []
+    for size in sizes:
+        first = dict.fromkeys(leaning[: size // 2])
+        order.append(np.array(sorted([*first, *[b for b in frequent if b not in first][: size - len(first)]]), np.int64))
+    every = np.array(sorted(set().union(*order)), np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(Machine(every).number)
 
     def number(batches):
         for piece in pieces(batches, "text"):
@@ -116,6 +145,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
             yield pa.RecordBatch.from_arrays([pa.array([x.astype(np.int32).tobytes() for x in np.split(term, ends[:-1])], pa.binary()), piece.column("label")], names=["terms", "label"])
 
     got = rows.mapInArrow(number, "terms binary, label int").toArrow().sort_by([("terms", "ascending"), ("label", "ascending")])
-    if got.num_rows:
-        machine.fit([np.frombuffer(t, np.int32) for t in got["terms"].to_pylist()], got["label"].to_numpy().astype(float), epochs)
+    if not got.num_rows:
+        return Machine(order[0])
+    known = [every[np.frombuffer(t, np.int32)] for t in got["terms"].to_pylist()]
+    target = got["label"].to_numpy().astype(float)
+    machine = Machine(order[_chosen(known, target, order)])
+    machine.fit([machine.number[k][machine.number[k] >= 0] for k in known], target, epochs)
     return machine
