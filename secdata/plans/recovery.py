@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -246,7 +248,19 @@ def recovery_stages(start, references: dict, events, tables, strict_repo: bool =
         stages.append(runs.Stage(f"propagated_{i}", (f"cwes_{i}",), propagate.propagate_same_commit))
         before = f"propagated_{i}"
     conf = {f"{k}_confidence": N.confidence_of(F.col(f"{k}_source")) for k in ("cve", "cwe")}
-    return [*stages, runs.Stage("recovered", (before,), lambda rows: rows.withColumns(conf))]
+    stages.append(runs.Stage("recovered", (before,), lambda rows: rows.withColumns(conf)))
+    # Label statistics of every method come with its table.
+    of_rows = {s.name for s in stages if not s.name.startswith("evidence_")} - {"cve_cwes"}
+    return [replace(s, counts=sinks.label_counts()) if s.name in of_rows else s for s in stages]
+
+
+def a5_stage_counters(spark, sf_dir):
+    """Label statistics before and after every method of P1, counted while its table was written; what each method added is the difference to the row before."""
+    run, stages = runs.Run(spark, sinks.work_folder(spark), sf_dir), stages_of(spark, sf_dir)
+    run.result(stages)
+    told = [(i, s.name, *[run.counters(s.name)[k] for k in ("rows", "cve", "cwe", "any_label", "both", "missing_both")]) for i, s in enumerate(s for s in stages if s.counts)]
+    run.close()
+    return spark.createDataFrame(told, "step int, stage string, n_rows long, cve long, cwe long, any_label long, both long, missing_both long")
 
 
 class _Records:
@@ -402,7 +416,15 @@ def _cwes_on(name: str, t: str) -> str:
 {name} AS (SELECT * EXCLUDE (cwe_id, cwe_source, pick, every, nvd_primary, cna_primary, nvd_evaluator, osv, nvd_all, cna_all), coalesce(cwe_id, pick[2]) AS cwe_id, coalesce(pick[1], cwe_source) AS cwe_source FROM {name}_p)"""
 
 
-def _p1_sql() -> str:
+def _counters_sql() -> str:
+    """The label statistics of each of P1's tables."""
+    ctes, t = _p1_ctes()
+    names = {"samples": "keyed", "commit": "rec", **{x: x for x in SOURCES}, **{f"{k}_{i}": f"{c}{i}" for i in range(2) for k, c in (("cwes", "cw"), ("propagated", "pr"))}, "recovered": t}
+    each = " UNION ALL ".join(f"SELECT {i} AS step, '{k}' AS stage, n_rows, cve, cwe, any_label, both_ AS both, missing_both FROM (SELECT {_STAT} FROM {v})" for i, (k, v) in enumerate(names.items()))
+    return f"WITH {', '.join(ctes)} {each}"
+
+
+def _p1_ctes() -> tuple[list[str], str]:
     ctes = [X.LABELLED, _AFTER, _SHAS, _REFS, _EVENTS, "rs AS (SELECT *, right(url, 40) AS sha FROM refs)", _TBL]
     t = "rec"
     for source in ("osv", "nvd", "cveorg"):
@@ -411,6 +433,11 @@ def _p1_sql() -> str:
     for i in range(2):
         ctes += [_cwes_on(f"cw{i}", t), _fill(f"pr{i}", f"cw{i}", "commit_key", "same_commit_propagated")]
         t = f"pr{i}"
+    return ctes, t
+
+
+def _p1_sql() -> str:
+    ctes, t = _p1_ctes()
     known = " ".join(f"WHEN {{c}} = '{k}' THEN '{v}'" for k, v in N.CONFIDENCE.items())
     conf = ", ".join(f"CASE WHEN {c}_source IS NULL THEN NULL {known.replace('{c}', c + '_source')} ELSE 'medium' END AS {c}_confidence" for c in ("cve", "cwe"))
     return f"WITH {', '.join(ctes)} SELECT {_L}, osv_status, nvd_status, cveorg_status, {conf} FROM {t}"
@@ -453,6 +480,7 @@ SQL = {
     "j8_same_commit": f"{_W}, {_SAME} SELECT {_L} FROM same",
     "p2_message_fill": f"{_W}, {_message('rec', 'keyed')} SELECT {_L} FROM rec",
     "p1_recover_labels": _p1_sql(),
+    "a5_stage_counters": _counters_sql(),
     "j3_j20_fixed_events": _strict_events(),
     "p5_quick_recovery": _quick_sql(),
     "u2_any_label": f"{_W} SELECT {_L} FROM keyed WHERE cve_id IS NOT NULL OR cwe_id IS NOT NULL",

@@ -7,7 +7,7 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from secdata.sources import sinks
@@ -24,11 +24,12 @@ def fingerprint(spark: SparkSession, *paths: str) -> str:
 
 @dataclass(frozen=True)
 class Stage:
-    """What a stage is called, the stages whose tables it takes, and the function of these tables."""
+    """What a stage is called, the stages whose tables it takes, and the function of these tables; counts: conditions whose rows are counted while it is written."""
 
     name: str
     needs: tuple[str, ...]
     make: Callable[..., DataFrame]
+    counts: dict[str, Column] | None = None
 
 
 class Run:
@@ -47,7 +48,11 @@ class Run:
 
     def marked(self, name: str) -> bool:
         text = sinks.read_text(self.spark, self._mark(name))
-        return text is not None and json.loads(text) == {"stage": name, "inputs": self.inputs}
+        return text is not None and json.loads(text)["inputs"] == self.inputs
+
+    def counters(self, name: str) -> dict[str, int]:
+        """What was counted while the stage was written, also by an earlier, broken run; ``rows`` among it."""
+        return json.loads(sinks.read_text(self.spark, self._mark(name)))["counts"]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}")
@@ -60,8 +65,8 @@ class Run:
         def asked(name: str) -> DataFrame:
             if not (self.marked(name) and sinks.exists(self.spark, f"{self.folder}/{name}/_SUCCESS")):
                 stage = by_name[name]
-                sinks.stage_table(stage.make(*[asked(n) for n in stage.needs]), self.folder, name)
-                sinks.write_text(self.spark, self._mark(name), json.dumps({"stage": name, "inputs": self.inputs}))
+                _, counts = sinks.counted_table(stage.make(*[asked(n) for n in stage.needs]), self.folder, name, stage.counts or {})
+                sinks.write_text(self.spark, self._mark(name), json.dumps({"stage": name, "inputs": self.inputs, "counts": counts}))
                 self.made.append(name)
                 for need in stage.needs:
                     if all(self.marked(s.name) for s in stages if need in s.needs):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -56,6 +56,56 @@ def stage_table(df: DataFrame, folder: str, name: str, fresh: bool = True) -> Da
     return spark.read.parquet(f"{folder}/{name}")
 
 
+def counted_table(df: DataFrame, folder: str, name: str, counts: dict[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """As ``stage_table``, and how many rows meet each condition, counted while the rows are written: no second pass. Null is not met; ``rows`` counts all."""
+    seen = Observation(name)
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(k) for k, c in counts.items()])
+    made = stage_table(watched, folder, name)
+    return made, {k: int(v or 0) for k, v in seen.get.items()}
+
+
+def write_slices(df: DataFrame, slices: dict[str, Column], path: str, csv: list[str] | None = None) -> dict[str, int]:
+    """All rows, and each slice's rows, in one job: Parquet parted by ``slice`` ("all" and the names given); returns the rows of each. A row is written once for "all" and once for each slice that it is in.
+
+    csv: the columns of an audit list, written as CSV from the same table; those that the rows have, in the list's order, arrays joined by ';'.
+    """
+    if "all" in slices or "slice" in df.columns:
+        raise ValueError("'all' is every row's slice, and slice the name of its column")
+    held = F.filter(F.array(F.lit("all"), *[F.when(c, F.lit(k)) for k, c in slices.items()]), lambda x: x.isNotNull())
+    seen = Observation("slices")
+    each = df.withColumn("slice", F.explode(held)).observe(seen, *[F.count_if(F.col("slice") == k).alias(k) for k in ("all", *slices)])
+    each.write.mode("overwrite").partitionBy("slice").parquet(path)
+    if csv is not None:
+        rows = read_slice(df.sparkSession, path, "all")
+        flat = audit(rows, csv)
+        flat.select(*[F.array_join(f.name, ";").alias(f.name) if f.dataType.typeName() == "array" else F.col(f"`{f.name}`") for f in flat.schema.fields]).write.mode("overwrite").option("header", True).csv(f"{path}.csv")
+    return {k: int(v or 0) for k, v in seen.get.items()}
+
+
+def read_slice(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One slice's rows; the other slices' files aren't read."""
+    return spark.read.parquet(path).where(F.col("slice") == name).drop("slice")
+
+
+def label_counts() -> dict[str, Column]:
+    """The conditions of label statistics, for tables with cve_id and cwe_id."""
+    cve, cwe = F.col("cve_id").isNotNull(), F.col("cwe_id").isNotNull()
+    return {"cve": cve, "cwe": cwe, "any_label": cve | cwe, "both": cve & cwe, "missing_both": ~cve & ~cwe}
+
+
+def review_slices(statuses: list[str]) -> dict[str, Column]:
+    """The review slices of recovered labels that the columns ``statuses``, cwe_candidates and cwe_label_final decide; see the functions of the same names."""
+    some = F.greatest(*[F.coalesce(F.col(s).contains("ambiguous"), F.lit(False)) for s in statuses], F.lit(False))
+    known = F.filter(F.split(F.coalesce(F.col("cwe_candidates"), F.lit("")), ";"), lambda x: x != "")
+    return {
+        "missing_both": F.col("cve_id").isNull() & F.col("cwe_id").isNull(),
+        "ambiguous": F.col("cve_id").isNull() & some,
+        "cwe_conflict": F.col("cwe_id").isNotNull() & (F.size(known) > 0) & ~F.array_contains(known, F.col("cwe_id")),
+        "trainable": F.col("cwe_label_final").isNotNull(),
+        "gap": F.col("cve_id").isNotNull() & F.col("cwe_label_final").isNull(),
+    }
+
+
 def _at(spark: SparkSession, path: str):
     """A path and its file system, as Spark sees them."""
     sc = spark.sparkContext

@@ -122,3 +122,29 @@ def test_writers(spark, tmp_path):
     assert sinks.audit(df, ["cve_id", "gone", "i"]).columns == ["cve_id", "i"]
     first = sinks.stage_table(df, str(tmp_path), "stage")
     assert sinks.stage_table(first.limit(0), str(tmp_path), "stage", fresh=False).count() == 1
+
+
+def test_slices_are_written_by_one_job(spark, tmp_path):
+    """K1 to K5: all rows, the audit list and every slice."""
+    rows = [(i, None if i % 2 else "CVE-1", None if i % 3 else "CWE-2", "multiple_cves_ambiguous" if i % 5 == 0 else None, "CWE-3;CWE-4" if i % 7 == 0 else ("CWE-2" if i % 7 == 1 else ""), None if i % 4 else "CWE-2", ["a", "b"]) for i in range(200)]
+    df = spark.createDataFrame(rows, "sample_id long, cve_id string, cwe_id string, osv_status string, cwe_candidates string, cwe_label_final string, more array<string>")
+    path, group = str(tmp_path / "out"), "one write"
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        counts = sinks.write_slices(df, sinks.review_slices(["osv_status"]), path)
+        jobs = len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs == 1
+    plain = {"all": df, "missing_both": sinks.missing_both(df), "ambiguous": sinks.ambiguous(df, ["osv_status"]), "cwe_conflict": sinks.cwe_conflict(df), "trainable": sinks.trainable(df), "gap": sinks.gap(df)}
+    for name, want in plain.items():
+        got = sinks.read_slice(spark, path, name)
+        assert sorted(r.sample_id for r in got.collect()) == sorted(r.sample_id for r in want.collect()), name
+        assert counts[name] == want.count() > 0
+    sinks.write_slices(df, {}, path, csv=["cwe_id", "gone", "more"])
+    back = spark.read.option("header", True).csv(f"{path}.csv")
+    assert back.columns == ["cwe_id", "more"] and back.count() == 200 and back.first().more == "a;b"
+    made, counted = sinks.counted_table(df, str(tmp_path), "stage", sinks.label_counts())
+    assert (counted["rows"], counted["cve"], counted["cwe"]) == (200, 100, 67)
+    assert counted["any_label"] == 100 + 67 - counted["both"] and counted["missing_both"] == 200 - counted["any_label"] and made.count() == 200
