@@ -7,15 +7,17 @@ Only ``align`` runs in Python, once per sample; all that follows are joins, wind
 from __future__ import annotations
 
 import difflib
+import itertools
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from secdata.functions.normalize import strip
+from secdata.functions.normalize import joern_key, strip
 from secdata.operators.joins import join_hot
 
 # Parser name of a language, comment signs, gates.
@@ -69,12 +71,34 @@ def signature_lines(lines: list[str]) -> set[int]:
     return set(range(filled[0], last + 1)) | brace
 
 
+def opcodes(a: list[str], b: list[str]) -> Iterator[tuple[str, int, int, int, int]]:
+    """The standard matcher's opcodes, without its work on the common lines at either end, if each of these occurs once in either version.
+
+    Such a line can only be matched with its one partner, and the common lines up to the first difference form a block that no other block holds a line of. The matcher takes that
+    block sooner or later, and finds in the rest what it finds without it. If a single line of the block occurs again, other blocks compete with it, and nothing is cut.
+    """
+    once = {t for t, n in Counter(a).items() if n == 1} & {t for t, n in Counter(b).items() if n == 1}
+
+    def common(x: Iterable[str], y: Iterable[str]) -> int:
+        same = list(itertools.takewhile(lambda p: p[0] == p[1], zip(x, y)))  # noqa: B905  up to the end of the shorter one
+        return len(same) if all(t in once for t, _ in same) else 0
+
+    head = common(a, b)
+    tail = common(reversed(a[head:]), reversed(b[head:]))
+    if head:
+        yield "equal", 0, head, 0, head
+    for tag, i1, i2, j1, j2 in difflib.SequenceMatcher(None, a[head : len(a) - tail], b[head : len(b) - tail], autojunk=False).get_opcodes():
+        yield tag, i1 + head, i2 + head, j1 + head, j2 + head
+    if tail:
+        yield "equal", len(a) - tail, len(a), len(b) - tail, len(b)
+
+
 def align_pair(before: str | None, after: str | None, lang: str | None, drop_comments: bool) -> list[tuple]:
     """The union lines of two versions, as in LONG without the key. A line of one version stands in the other's view behind a comment sign."""
     mark = "#" if lang in HASH else "//"
     a, b = ([] if x is None else (strip_comments(x, lang) if drop_comments else x).splitlines() for x in (before, after))
     rows: list[tuple] = []
-    for tag, i1, i2, j1, j2 in difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
+    for tag, i1, i2, j1, j2 in opcodes(a, b):
         if tag == "equal":
             rows += [(t, t, True, True, False, False) for t in a[i1:i2]]
         else:
@@ -107,6 +131,25 @@ def align(pairs: DataFrame, drop_comments: bool = True, max_lines: int | None =
     return pairs.select("key", "before", "after", "lang").mapInPandas(run, LONG)
 
 
+#: Line pairs that a task should have to look at; so many tasks at most.
+TASK_COST, MOST_TASKS = 50_000_000, 100_000
+
+
+def align_distinct(pairs: DataFrame, drop_comments: bool = True, max_lines: int | None = None, task_cost: int = TASK_COST) -> DataFrame:
+    """As ``align``, but each distinct content (before, after, lang) is aligned once, however many keys have it, and the pairs are dealt by what they cost.
+
+    The cost of a pair is the product of its numbers of lines, as the matcher's worst case has it; there are as many tasks as the sum asks for, and long pairs spread over them by their hash.
+    """
+    c = pairs.select("key", joern_key(F.col("before"), F.col("after"), F.col("lang")).alias("__content"), "before", "after", "lang")
+    once = c.groupBy("__content").agg(*[F.first(x).alias(x) for x in ("before", "after", "lang")])
+    size = [F.regexp_count(F.coalesce(x, F.lit("")), F.lit("\n")).cast("double") + 1 for x in ("before", "after")]
+    total = c.agg(F.sum(size[0] * size[1])).first()[0] or 0
+    tasks = int(min(MOST_TASKS, max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // task_cost)))
+    dealt = once.withColumnRenamed("__content", "key").repartition(tasks, "key")
+    long = align(dealt, drop_comments, max_lines).withColumnRenamed("key", "__content")
+    return join_hot(c.select("key", "__content"), long, "__content", "inner").select([f.split()[0] for f in LONG.split(", ")])
+
+
 def graph_edges(graphs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """From (key, lang, offset, lines, cdg, rd) with JSON lists: edges (key, a, b, kind), both directions, and sizes (key, n_graph_lines, n_cdg, n_ddg).
 

@@ -292,7 +292,7 @@ def v1_w3_alignment(spark, sf_dir):
 
 def v1_raw_alignment(spark, sf_dir):
     """The alignment on the texts as they are, repeated lines included: what the diff pairs there is its own choice, which SQL can't express (tests compare with a plain diff)."""
-    return lines.renumber(lines.align(_pairs(spark, sf_dir, raw=True))).select("key", "union_line", "in_before", "in_after", "is_added", "is_removed", "before_line", "after_line")
+    return lines.renumber(lines.align_distinct(_pairs(spark, sf_dir, raw=True))).select("key", "union_line", "in_before", "in_after", "is_added", "is_removed", "before_line", "after_line")
 
 
 def v2_gates(spark, sf_dir):
@@ -453,6 +453,16 @@ def u3_w2_incremental(spark, sf_dir):
     return lines.keep_last(cache, todo)
 
 
+def k1_k5_one_write(spark, sf_dir):
+    """Every slice of the recovered labels, written by one job and read back."""
+    j = R.j9_u1_cve_to_cwe(spark, sf_dir).select("sample_id", "cve_id", "cwe_id", "cwe_candidates")
+    v = R.j6_j7_apply_nvd(spark, sf_dir).select("sample_id", F.col("status").alias("nvd_status"))
+    f = R.j10_final_cwe(spark, sf_dir).select("sample_id", "cwe_label_final")
+    path = f"{sinks.work_folder(spark)}/slices"
+    sinks.write_slices(j.join(v, "sample_id").join(f, "sample_id"), sinks.review_slices(["nvd_status"]), path)
+    return spark.read.parquet(path).select("sample_id", "slice", "cve_id", "cwe_id", "cwe_label_final")
+
+
 def _content_graphs(pairs, second):
     """Line graphs by content: three of four have one, as in ``_graphs``; in the ``second`` round every fourth of these lost its data dependences."""
     key = N.joern_key(F.col("before"), F.col("after"), F.col("lang"))
@@ -643,6 +653,9 @@ SELECT key, CASE WHEN kind = 0 THEN 'val' ELSE 'train' END AS split, 'CWE-79' AS
     "a11_line_count_stats": f"WITH {_FLAW} SELECT round(avg(line_count), 6) AS mean, CAST(median(line_count) AS DOUBLE) AS median, max(line_count) AS max FROM fl WHERE matched",
     "w5_top_per_group": f"WITH {X.LABELLED}, pk AS (SELECT *, CAST(project % 40 AS VARCHAR) AS pj, sha1(CAST(project AS VARCHAR)) AS sha FROM keyed), h AS (SELECT {_PROJECT} AS host, cwe_id, count(*) AS rows FROM pk WHERE cwe_id IS NOT NULL GROUP BY 1, 2) SELECT host, cwe_id, rows, CAST(row_number() OVER (PARTITION BY host ORDER BY rows DESC, cwe_id) AS INT) AS rank FROM h WHERE host IS NOT NULL QUALIFY rank <= 3",
     "k3_slices": f"WITH j AS ({R.SQL['j9_u1_cve_to_cwe']}), v AS ({R.SQL['j6_j7_apply_nvd']}) SELECT sample_id, 'conflict' AS slice FROM j WHERE cwe_id IS NOT NULL AND cwe_candidates <> '' AND NOT list_contains(string_split(cwe_candidates, ';'), cwe_id) UNION ALL SELECT sample_id, 'missing_both' FROM j WHERE cve_id IS NULL AND cwe_id IS NULL UNION ALL SELECT sample_id, 'ambiguous' FROM v WHERE cve_id IS NULL AND status LIKE '%ambiguous%'",
+    "k1_k5_one_write": f"WITH j AS ({R.SQL['j9_u1_cve_to_cwe']}), v AS ({R.SQL['j6_j7_apply_nvd']}), f AS ({R.SQL['j10_final_cwe']}), r AS (SELECT j.*, v.status, f.cwe_label_final FROM j JOIN v ON v.sample_id = j.sample_id JOIN f ON f.sample_id = j.sample_id), "
+    "s AS (SELECT *, unnest(list_filter(['all', CASE WHEN cve_id IS NULL AND cwe_id IS NULL THEN 'missing_both' END, CASE WHEN cve_id IS NULL AND status LIKE '%ambiguous%' THEN 'ambiguous' END, CASE WHEN cwe_id IS NOT NULL AND cwe_candidates <> '' AND NOT list_contains(string_split(cwe_candidates, ';'), cwe_id) THEN 'cwe_conflict' END, "
+    "CASE WHEN cwe_label_final IS NOT NULL THEN 'trainable' END, CASE WHEN cve_id IS NOT NULL AND cwe_label_final IS NULL THEN 'gap' END], lambda x: x IS NOT NULL)) AS slice FROM r) SELECT sample_id, slice, cve_id, cwe_id, cwe_label_final FROM s",
     "k4_slices": f"WITH j AS ({R.SQL['j10_final_cwe']}), k AS ({R.SQL['n1_n5_labels']}) SELECT j.sample_id, 'trainable' AS slice FROM j WHERE cwe_label_final IS NOT NULL UNION ALL SELECT j.sample_id, 'gap' FROM j JOIN k ON k.sample_id = j.sample_id WHERE cve_id IS NOT NULL AND cwe_label_final IS NULL",
     "s3_n14_nvd": f"WITH {_R}, e AS (SELECT cve, array_to_string(list_sort(list_distinct(list('CWE-' || CAST(ref_id % 50 AS VARCHAR)))), ';') AS evaluator FROM refs GROUP BY 1) SELECT r.cve, cwe AS cwes, CASE WHEN ref_id % 2 = 0 THEN cwe ELSE '' END AS primary_cwes, url, CASE WHEN kind = 'FIX' THEN 'patch' ELSE 'other' END AS kind, evaluator FROM refs r JOIN e ON e.cve = r.cve",
     "a14_failure_reasons": f"WITH {_MARK} SELECT lang, count(*) FILTER (status = 'unsupported_language') AS unsupported_language, count(*) FILTER (status = 'no_change') AS no_change, count(*) FILTER (status = 'diff_too_large') AS diff_too_large FROM status GROUP BY 1",

@@ -1,6 +1,11 @@
 """Line jobs against plain versions, on small hand-made pairs."""
 
 import difflib
+import time
+
+from conftest import SF
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from secdata.operators import lines, reports
 from secdata.plans import curation
@@ -29,6 +34,60 @@ def test_alignment_with_repeated_lines_is_the_plain_diff(spark, monkeypatch):
         assert [r.before_text for r in mine if r.in_before] == before.splitlines()
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from("abcdefgh"), max_size=14), st.lists(st.sampled_from("abcdefgh"), max_size=14), st.lists(st.sampled_from("klmno"), max_size=6), st.lists(st.sampled_from("pqrst"), max_size=6))
+def test_cutting_common_ends_changes_nothing(a, b, head, tail):
+    a, b = head + a + tail, head + b + tail
+    want = difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes()
+
+    def kept(codes):
+        return [(i, j) for t, i1, i2, j1, _ in codes if t == "equal" for i, j in zip(range(i1, i2), range(j1, j1 + i2 - i1), strict=True)]
+
+    got = list(lines.opcodes(a, b))
+    assert kept(got) == kept(want)
+    assert sum(i2 - i1 for _, i1, i2, _, _ in got) == len(a) and sum(j2 - j1 for _, _, _, j1, j2 in got) == len(b)
+
+
+def test_each_content_is_aligned_once_and_equals_the_plain_diff(spark, monkeypatch):
+    """All documents, repeated lines and all, with copies, against the plain diff."""
+    raw = curation._pairs(spark, SF, raw=True).select("key", "before", "after", "lang")
+    copies = raw.where("cast(key AS long) % 3 = 0").selectExpr("'copy ' || key AS key", "before", "after", "lang")
+    asked = []
+    real = lines.align
+    monkeypatch.setattr(lines, "align", lambda p, *a: asked.append(p.count()) or real(p, *a))
+    pairs = raw.unionByName(copies)
+    got = {}
+    for r in lines.renumber(lines.align_distinct(pairs)).orderBy("key", "union_line").collect():
+        got.setdefault(r.key, []).append(r)
+    assert asked == [pairs.select("before", "after", "lang").distinct().count()]
+    for p in pairs.collect():
+        removed, added, kept = _plain(p.before, p.after)
+        mine = got.get(p.key, [])
+        assert (sum(r.is_removed for r in mine), sum(r.is_added for r in mine)) == (removed, added)
+        assert [(r.before_line, r.after_line) for r in mine if r.in_before and r.in_after] == kept
+
+
+def test_a_pair_of_100000_lines():
+    a = [f"line {i}" for i in range(100_000)]
+    b = [*a[:50_000], "new", *a[50_001:]]
+    began = time.process_time()
+    assert [c for c in lines.opcodes(a, b) if c[0] != "equal"] == [("replace", 50_000, 50_001, 50_000, 50_001)]
+    assert time.process_time() - began < 2
+
+
+def test_tabs_are_blanks(spark):
+    long = lines.align(spark.createDataFrame([("k", "f()\n\tfoo();\n\t\nx", "f()\nx", "lua")], PAIRS))
+    flaws = spark.createDataFrame([("k", "foo();"), ("k", "  \t")], "key string, text string")
+    assert [r.union_line for r in lines.external_lines(long, flaws).collect()] == [2]
+    none = spark.createDataFrame([], "key string, a int, b int, kind string"), spark.createDataFrame([], "key string, n_graph_lines int, n_cdg long, n_ddg long")
+    _, found = lines.line_labels(spark.createDataFrame([("k", "f()\n\tfoo();\n\t\nx", "f()\nx", "lua")], PAIRS), long, *none)
+    assert [r.union_line for r in found.collect()] == [2]  # the line of a tab alone is no label
+    blank = spark.createDataFrame([("k", "\t\n", "x", "lua")], PAIRS)
+    assert lines.gates(blank, lines.align(blank)).first().gate == "missing_code"
+    rows = spark.createDataFrame([(["\ta"], ["a"])], "ours array<string>, theirs array<string>")
+    assert lines.agreement(rows).first().relation == "exact"
+
+
 def test_only_a_limit_leaves_pairs_out(spark):
     pairs = spark.createDataFrame([("k", "a\n" * 50, "a\n" * 50 + "b", "lua")], PAIRS)
     assert lines.align(pairs).count() == 51
