@@ -19,9 +19,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 NAME = "json_feed"
 SCHEMA = "file string, file_rank int, position long, json string"
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: Rows and bytes of a batch at most, one row at least.
-BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 1 << 20
 
 # A string (group 1 if it is closed; else it goes to the end of what is there) or a bracket.
 _PART = re.compile(rb'"(?:[^"\\]|\\.)*(?:(")|\\?\Z)|[{}\[\]]', re.S)
