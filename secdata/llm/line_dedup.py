@@ -9,6 +9,9 @@ in a whole block however long they are; with votes on all bits the distance woul
 Pairs that agree in a block are tested. Features are the distinct words of at least ``WORD_BYTES``, or the distinct three-byte windows in lines of fewer than eight words; B grows with the number of words
 (``LEVELS``), and a line just above the border of a level signs for the level below as well. Blocks with too little in them to be selective don't sign.
 
+Lines so short that one edit is all that ``least`` allows (9 to 19 bytes at 0.9) have too few windows for that: one edit reaches most blocks. They sign with themselves and with each
+of their texts less one byte; two lines one edit apart always share one of these, so none is lost there. Still shorter lines can't be similar without being equal.
+
 Counts of letters refute most candidates that aren't similar, without loss: an edit changes two counts at most. The candidates' texts then decide exactly. Pairs whose edits reach all blocks are lost; the recall, against all pairs of lines, is measured in tests/llm.
 """
 
@@ -29,8 +32,8 @@ from secdata.llm.text import Words, byte_table, mix, pieces, ranges
 LEVELS = ((0, 6), (8, 3), (16, 4), (32, 6), (64, 8))
 #: The part by which a line may exceed a level's border and still sign for the level below.
 OVERLAP = 0.15
-#: A block signs if its words have so many bytes, or if it has so many windows. Shorter lines can't be similar without being equal.
-WORD_BYTES, BLOCK_BYTES, BLOCK_WINDOWS, LEAST_LENGTH = 4, 12, 3, 10
+#: A block signs if its words have so many bytes, or if it has so many windows.
+WORD_BYTES, BLOCK_BYTES, BLOCK_WINDOWS = 4, 12, 3
 #: Classes that a task remembers, so that it signs for a class once.
 REMEMBERED = 1 << 21
 _SIGNS = byte_table(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
@@ -70,15 +73,75 @@ def _votes(line: np.ndarray, feature: np.ndarray, size: np.ndarray, level: np.nd
     return (key[first] >> 8)[good], sig[good]
 
 
-def signatures(words: Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(line, signature), by line, of the chosen lines (a mask): their blocks that sign."""
+def edit_lengths(least: float) -> tuple[int, int, int]:
+    """The least length of a line that may have a similar one, and the least lengths of the longer line at which two and three edits are allowed."""
+    one, two, three = (int(np.ceil(edits / max(1 - least, 1e-6) - 1e-6)) for edits in (1, 2, 3))
+    return max(1, one - 1), two, three
+
+
+def _bytes(words: Words, lines: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The normalised texts of the given lines as rows, filled up with zeros."""
+    pick = np.isin(words.owners(), lines)
+    size = (words.end - words.begin)[pick] + 1  # a word with the blank after it; a line's last blank is cut below
+    data = words.data[ranges(words.begin[pick], size)].astype(np.uint64)
+    n = length[lines]
+    begin = np.cumsum(n + 1) - (n + 1)
+    place = np.arange(int(n.max()))
+    return np.where(place < n[:, None], data[np.minimum(begin[:, None] + place, len(data) - 1)], np.uint64(0))
+
+
+def _text_hash(rows: np.ndarray, tag: int | np.ndarray) -> np.ndarray:
+    powers = np.cumprod(np.full(rows.shape[1], 0x9E3779B97F4A7C15, np.uint64))
+    return mix((rows * powers).sum(1, dtype=np.uint64) + np.asarray(tag).astype(np.uint64))
+
+
+def _halves(words: Words, chosen: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, signature) of the chosen lines' halves from either end, of half the length and of one byte less, since the other line may be shorter."""
+    lines = np.flatnonzero(chosen)
+    if not len(lines):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    text, n = _bytes(words, lines, length), length[lines]
+    place = np.arange(text.shape[1])
+    found = []
+    for less in (0, 1):
+        half = n // 2 - less
+        head = np.where(place < half[:, None], text, np.uint64(0))
+        tail = np.where(place < half[:, None], text[np.arange(len(lines))[:, None], np.minimum((n - half)[:, None] + place, text.shape[1] - 1)], np.uint64(0))
+        found += [(lines, _text_hash(head, (half << 8) + 1)), (lines, _text_hash(tail, (half << 8) + 2))]
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _shortened(words: Words, chosen: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(line, signature) of the chosen lines themselves and of their texts less one byte each."""
+    lines = np.flatnonzero(chosen)
+    if not len(lines):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    text, n = _bytes(words, lines, length), length[lines]
+    found = [(lines, _text_hash(text, n))]
+    for gone in range(text.shape[1]):
+        has = n > gone
+        found.append((lines[has], _text_hash(np.delete(text[has], gone, axis=1), n[has] - 1)))
+    line, sig = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((sig, line))
+    line, sig = line[order], sig[order]
+    once = np.concatenate(([True], (line[1:] != line[:-1]) | (sig[1:] != sig[:-1])))
+    return line[once], sig[once]
+
+
+def signatures(words: Words, chosen: np.ndarray, length: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(line, signature), by line, of the chosen lines (a mask): their blocks that sign, and the shortened texts of short lines. ``length`` is that of the normalised lines."""
+    shortest, two, three = edit_lengths(least)
+    short = _shortened(words, chosen & (length >= shortest) & (length < two), length)
+    halves = _halves(words, chosen & (length >= max(4, two - 2)) & (length < three), length)
+    # A line may differ from one of ``two`` bytes by two in length.
+    chosen = chosen & (length >= two - 2)
     borders = np.array([w for w, _ in LEVELS])
     counts = words.counts
     level = np.searchsorted(borders, counts, "right") - 1
     below = chosen & (level > 0) & (counts < borders[level] * (1 + OVERLAP) + 1)
     hashes, owner = words.hashes(), words.owners()
     size = (words.end - words.begin).astype(np.int64)
-    found = []
+    found = [short, halves]
     for lines, at in ((chosen & (level > 0), level), (below & (level > 1), level - 1)):
         pick = lines[owner] & (size >= WORD_BYTES)
         found.append(_votes(owner[pick], hashes[pick], size[pick], at[owner[pick]], BLOCK_BYTES))
@@ -120,7 +183,7 @@ def _letters_apart(x: str, y: str) -> F.Column:
     return total
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     """(doc, text) to one row per line that has a word; the task's first line of each class has the class's signatures."""
     seen = np.zeros(0, np.uint64)
     for piece in pieces(batches, "text"):
@@ -140,9 +203,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = ~np.isin(fresh, seen)
         chosen = np.zeros(len(has), bool)
         chosen[once[fresh]] = True
-        chosen &= has & (length >= LEAST_LENGTH)
+        chosen &= has & (length >= edit_lengths(least)[0])
         seen = np.concatenate((seen if len(seen) < REMEMBERED else seen[:0], kind[chosen]))
-        line, sig = signatures(words, chosen)
+        line, sig = signatures(words, chosen, length, least)
         ends = np.searchsorted(line, np.flatnonzero(has), "right")
         offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))
         sigs = pa.ListArray.from_arrays(offsets, pa.array(sig.view(np.int64)))
@@ -284,7 +347,7 @@ def _linked(source: DataFrame, lines: DataFrame, least: float) -> DataFrame:
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.9) -> DataFrame:
     """(doc, line, class, root): every line with a word, and the smallest class that links reach from its own."""
     source = _source(docs, id_col, text_col)
-    lines = settle(source.mapInArrow(_scan, _LINES))
+    lines = settle(source.mapInArrow(lambda batches: _scan(batches, least), _LINES))
     rooted = lines.select("class").distinct().join(_linked(source, lines, least).withColumnRenamed("node", "class"), "class")
     return join_hot(lines.select("doc", "line", "class"), rooted, "class", "left").select("doc", "line", "class", F.coalesce("root", "class").alias("root"))
 
@@ -297,7 +360,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     give an empty result. Other columns aren't read, whatever their names. Ids must be numbers.
     """
     source = _source(docs, id_col, text_col)
-    lines = settle(source.mapInArrow(_scan, _LINES))
+    lines = settle(source.mapInArrow(lambda batches: _scan(batches, least), _LINES))
     linked = _linked(source, lines, least)
     # A class is one row from here on, however many lines it has.
     firsts = lines.groupBy("class").agg(F.min(F.struct("doc", "line")).alias("at"), F.count("*").alias("n"))

@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from secdata.llm import line_dedup
 
@@ -106,6 +107,69 @@ def test_recall(spark):
     assert all(n >= 60 and share >= 0.9 for n, share in measured.values()), measured
 
 
+@pytest.mark.parametrize("least", [0.9, 0.8])
+def test_short_lines_lose_no_link(spark, least):
+    """Lines for which ``least`` allows one edit: every similar pair of them is in one group, whatever the edit and its place; dissimilar lines are only there by chains."""
+    r = random.Random(5)
+    shortest, two, _ = line_dedup.edit_lengths(least)
+    kinds = set()
+    for n in range(max(2, shortest - 2), two + 2):
+        for _ in range(16):
+            a = r.choice("abcdefgh") + "".join(r.choices("abcdefgh ", k=n - 2)) + r.choice("abcdefgh")
+            k = r.randrange(n)
+            for b in (a, a[:k] + r.choice("abcé") + a[k + 1 :], a[:k] + a[k + 1 :], a[:k] + r.choice("xyz ") + a[k:], a[1:], a + "q"):
+                kinds.add(line_dedup.normalised(b))
+    kinds = sorted(t for t in kinds if t)
+    whole = [t.encode("latin-1").decode("utf-8") for t in kinds]
+    df = spark.createDataFrame(list(enumerate(whole)), "doc_id long, text string")
+    root = {kinds[x.doc]: x.root for x in line_dedup.line_classes(df, least=least).collect()}
+    parent = {t: t for t in kinds}
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    n = 0
+    for i, a in enumerate(kinds):
+        for b in kinds[i + 1 :]:
+            most = int(np.floor((1 - least) * max(len(a), len(b)) + 1e-9))
+            if max(len(a), len(b)) < two and abs(len(a) - len(b)) <= most and edits(a, b, most) <= most:
+                n += 1
+                assert root[a] == root[b], (a, b)
+                parent[find(a)] = find(b)
+    assert n > 250
+    short = [t for t in kinds if len(t) < two - 2]  # these have no links that the loop left out
+    groups = defaultdict(set)
+    for t in short:
+        groups[root[t]].add(find(t))
+    linked_up = {root[t] for t in kinds if len(t) >= two - 2}
+    assert all(len(g) == 1 for k, g in groups.items() if k not in linked_up)
+
+
+def test_recall_by_length(spark):
+    """One changed letter, by the length of the line: none is lost below 20 bytes, nine tenths are found above."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    kinds = sorted({t for _, _, t in lines_of([(r.doc_id, r.text) for r in docs.collect()]) if t.isascii()})
+    r, cut = random.Random(3), random.Random(4)
+    bands, pairs = ((10, 14), (15, 19), (20, 40), (41, 300), (301, 5000)), defaultdict(list)
+    for low, high in bands:
+        some = [t for t in kinds if low <= len(t) <= high]
+        # Beginnings of longer lines where the tables have few lines so short.
+        some += [x for t in cut.sample([t for t in kinds if len(t) > high], 300) if (x := t[: cut.randint(low, high)].strip()) and low <= len(x)] if len(some) < 300 else []
+        for t in r.sample(some, 300):
+            b = list(t)
+            b[r.choice([k for k, c in enumerate(t) if c != " "])] = r.choice("abcdefghijklmnopqrstuvwxyz")
+            if "".join(b) != t:
+                pairs[low].append((t, "".join(b)))
+    whole = sorted({x for p in pairs.values() for ab in p for x in ab})
+    df = spark.createDataFrame(list(enumerate(whole)), "doc_id long, text string")
+    root = {whole[x.doc]: x.root for x in line_dedup.line_classes(df).collect()}
+    measured = {low: (len(p), sum(root[a] == root[b] for a, b in p) / len(p)) for low, p in pairs.items()}
+    print(measured)
+    assert all(n >= 100 and share >= (1 if low < 20 else 0.9) for low, (n, share) in measured.items()), measured
+
+
 def test_bounded_edits():
     r = random.Random(1)
     for n in [*(r.randint(0, 40) for _ in range(1500)), *([300] * 20)]:
