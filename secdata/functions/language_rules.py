@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from secdata.functions import normalize as N
+from secdata.functions.binding import let, meets
 
 # Language of a file extension.
 EXTENSIONS = {
@@ -130,13 +131,11 @@ def family_of(language: Column) -> Column:
 
 def normalize_extension(ext: Column) -> Column:
     last = F.element_at(F.split(F.lower(N.strip(N.present(ext))), "/"), -1)
-    bare = N.strip(F.element_at(F.split(F.regexp_replace(last, r"^\.+", ""), r"\."), -1))
-    return F.when(bare != "", bare)
+    return F.nullif(N.strip(F.element_at(F.split(F.regexp_replace(last, r"^\.+", ""), r"\."), -1)), F.lit(""))
 
 
 def extension_from_filename(name: Column) -> Column:
-    base = F.element_at(F.split(N.strip(name), "/"), -1)
-    return F.when(base.contains("."), normalize_extension(F.element_at(F.split(base, r"\."), -1)))
+    return let(F.element_at(F.split(N.strip(name), "/"), -1), lambda base: F.when(base.contains("."), normalize_extension(F.element_at(F.split(base, r"\."), -1))))
 
 
 def language_from_extension(ext: Column) -> Column:
@@ -157,8 +156,8 @@ def language_from_commit_link(link: Column) -> Column:
 def family_from_commit_message(message: Column) -> Column:
     """The family of the files that a message mentions, null unless it is one."""
     names = F.regexp_extract_all(message, F.lit(r"[\w][\w/\-\.]*\.[A-Za-z0-9\+]{1,6}\b"), F.lit(0))
-    families = F.array_distinct(F.filter(F.transform(names, lambda n: language_family(language_from_path(n))), lambda f: f.isNotNull()))
-    return F.when(F.size(families) == 1, families[0])
+    families = F.array_distinct(F.filter(F.transform(names, lambda n: let(language_from_path(n), language_family)), lambda f: f.isNotNull()))
+    return let(families, lambda f: F.when(F.size(f) == 1, f[0]))
 
 
 def _url(link: Column) -> tuple[Column, Column, Column]:
@@ -195,19 +194,22 @@ def project_key_ownerrepo(link: Column) -> Column:
 
 
 def _score(code: Column, signs: list[tuple[int, str]]) -> Column:
-    return reduce(lambda a, b: a + b, [F.when(code.rlike(f"(?md){p}"), F.lit(w)).otherwise(F.lit(0)) for w, p in signs])
+    return reduce(lambda a, b: a + b, [F.when(meets(code, p, "md"), F.lit(w)).otherwise(F.lit(0)) for w, p in signs])
 
 
 def detect_language(code: Column) -> Column:
     """struct<language, family, score, margin, runner_up> of the family whose signs weigh most (ties: the order of FAMILIES); null for short or unknown code."""
-    text = F.substring(N.strip(code), 1, MAX_CODE)
-    scored = F.array(*[F.struct(_score(text, signs).alias("score"), F.lit(-i).alias("order"), F.lit(f).alias("family")) for i, (f, signs) in enumerate(FAMILIES.items())])
-    ranked = F.reverse(F.array_sort(scored))
-    best, second = ranked[0], ranked[1]
-    objc, cpp = _score(text, OBJC), _score(text, CPP)
-    language = F.when(best["family"] != "C/C++", best["family"]).when((objc >= 8) & (objc > cpp), F.lit("Objective-C")).when(cpp >= 8, F.lit("C++")).otherwise(F.lit("C"))
-    made = F.struct(language.alias("language"), best["family"].alias("family"), best["score"].alias("score"), (best["score"] - second["score"]).alias("margin"), F.when(second["score"] > 0, second["family"]).alias("runner_up"))
-    return F.when((F.length(N.strip(code)) >= MIN_CODE) & (best["score"] > 0), made)
+    def scored(text: Column) -> Column:
+        each = F.array(*[F.struct(_score(text, signs).alias("score"), F.lit(-i).alias("order"), F.lit(f).alias("family")) for i, (f, signs) in enumerate(FAMILIES.items())])
+        return let(F.reverse(F.array_sort(each)), lambda ranked: chosen(text, ranked[0], ranked[1]))
+
+    def chosen(text: Column, best: Column, second: Column) -> Column:
+        in_c = let(F.struct(_score(text, OBJC).alias("objc"), _score(text, CPP).alias("cpp")), lambda s: F.when((s["objc"] >= 8) & (s["objc"] > s["cpp"]), F.lit("Objective-C")).when(s["cpp"] >= 8, F.lit("C++")).otherwise(F.lit("C")))
+        language = F.when(best["family"] != "C/C++", best["family"]).otherwise(in_c)
+        made = F.struct(language.alias("language"), best["family"].alias("family"), best["score"].alias("score"), (best["score"] - second["score"]).alias("margin"), F.when(second["score"] > 0, second["family"]).alias("runner_up"))
+        return F.when(best["score"] > 0, made)
+
+    return let(N.strip(code), lambda whole: F.when(F.length(whole) >= MIN_CODE, let(F.substring(whole, 1, MAX_CODE), scored)))
 
 
 def detect_with_agreement(before: Column, after: Column) -> Column:
@@ -235,6 +237,10 @@ def get_confidence(score: Column, margin: Column, agreement: bool) -> Column:
 
 def combine_predictions(before: Column, after: Column) -> Column:
     """struct<language, language_family, score, margin, confidence, agree, exact_agree, decision, review> from two predictions struct<language, score, margin>, either of which may be null."""
+    return let(F.struct(before.alias("before"), after.alias("after")), lambda both: _combined(both["before"], both["after"]))
+
+
+def _combined(before: Column, after: Column) -> Column:
     def made(p: Column, score, margin, confidence, agree: bool, exact: bool, decision: str) -> Column:
         review = F.lit(decision.startswith("disagree_")) | (confidence == "low") | (p["language"] == "Unknown")
         return F.struct(p["language"].alias("language"), language_family(p["language"]).alias("language_family"), score.alias("score"), margin.alias("margin"), confidence.alias("confidence"), F.lit(agree).alias("agree"), F.lit(exact).alias("exact_agree"), F.lit(decision).alias("decision"), review.alias("review"))

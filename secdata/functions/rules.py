@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from secdata.functions.binding import let, meets
+
 # Fixed values: (rule, pattern, CWE, accuracy in percent); the first that matches wins.
 DESCRIPTION_RULES = [
     ("null_deref", r"null\s*(?:pointer\s*)?(?:dereference|deref)", "CWE-476", 76.8),
@@ -92,7 +94,11 @@ def predict_from_description(text: Column, coarse: bool = False) -> Column:
 
 
 def first_match(patterns: list[tuple[str, str]], text: Column) -> Column:
-    return F.coalesce(*[F.when(text.rlike(f"(?i){p}"), F.lit(g)) for p, g in patterns])
+    """The value of the first pattern that the text meets, in any case, else null."""
+    def found(t: Column) -> Column:
+        return F.coalesce(*[F.when(meets(t["text"], p, "i", t["lower"]), F.lit(g)) for p, g in patterns])
+
+    return let(F.struct(text.alias("text"), F.lower(text).alias("lower")), found)
 
 
 def cwe_number(cwe: Column) -> Column:

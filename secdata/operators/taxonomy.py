@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from secdata.functions import rules
+from secdata.functions.binding import let
 from secdata.operators.joins import join_hot
 from secdata.sources import sinks
 
@@ -190,6 +191,10 @@ def prune_ancestors(rows: DataFrame, column: str, parent: DataFrame) -> DataFram
     return join_hot(rows.withColumn("__list", F.col(column)), kept, "__list").drop("__list").withColumn("cwe_pruned", F.coalesce("cwe_pruned", F.lit("")))
 
 
+def _tier(name: str):
+    return lambda g: F.when(g.isNotNull(), F.struct(g.alias("g"), F.lit(name).alias("t")))
+
+
 def assign_group(rows: DataFrame, code: str = "func_before", lines: str = "vul_lines_text") -> DataFrame:
     """Adds cwe_group, cwe_group_src (the deciding tier) and groups (all) from cwe_pruned, message, description and code.
 
@@ -208,7 +213,7 @@ def assign_group(rows: DataFrame, code: str = "func_before", lines: str = "vul_l
     ]
     steps[0] = F.when(F.size(F.filter(told, rules.is_precise)) > 0, steps[0])
     steps[2] = F.when(F.size(told) > 0, steps[2])
-    pick = F.coalesce(*[F.when(s.isNotNull(), F.struct(s.alias("g"), F.lit(t).alias("t"))) for s, t in zip(steps, TIERS, strict=False)])
+    pick = F.coalesce(*[let(s, _tier(t)) for s, t in zip(steps, TIERS, strict=False)])
     out = rows.withColumn("__p", pick)
     groups = F.array_sort(F.array_distinct(F.concat(F.filter(F.transform(told, rules.group_of), lambda g: g != "other"), F.when(F.col("__p").isNotNull(), F.array("__p.g")).otherwise(F.array().cast("array<string>")))))
     return out.withColumns({"cwe_group": F.col("__p.g"), "cwe_group_src": F.coalesce(F.col("__p.t"), F.lit(TIERS[6])), "groups": groups}).drop("__p")
