@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from secdata.plans import curation, recovery, twins
+from secdata.plans import curation, recovery, taxonomy_twins, twins
 
 _PARTS = (recovery, curation)
 
 QUERIES = {k: v for p in _PARTS for k, v in p.QUERIES.items()}
-SQL = {k: v for p in (*_PARTS, twins) for k, v in p.SQL.items()}
+SQL = {k: v for p in (*_PARTS, twins, taxonomy_twins) for k, v in p.SQL.items()}
 
 flagship = recovery.a5_label_stats
