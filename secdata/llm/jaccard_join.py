@@ -9,7 +9,8 @@ Steps (``link_classes``), none of which gathers a group or emits all pairs of on
 2. Each range keeps the signatures that two different classes share. These rows (signature, class) are few.
 3. Every signature names a leader, its smallest upper class; the leader is compared with the other classes of the signature.
 4. Components of the links found so far are formed. Only pairs of one signature that lie in *different* components can still matter.
-   They are tested too (all classes against those outside the signature's largest component), so no link is lost.
+   Some rounds test a few of them a class and form the components again; then all that still matter are tested (all classes
+   against those outside the signature's largest component), so no link is lost.
 
 Before sets are compared exactly, a parity sketch refutes most pairs without loss: the sketches of two sets differ in
 no more bits than the sets differ in features. Texts are read again only for classes

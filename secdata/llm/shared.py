@@ -99,6 +99,10 @@ def connected(edges: DataFrame) -> DataFrame:
     return roots
 
 
+#: Rounds, at most, and classes in a block of one signature (``star_links``).
+ROUNDS, BLOCK = 3, 8
+
+
 def star_links(posts: DataFrame, known: DataFrame, traits: list[str], near: Callable[[str, str], F.Column], tests: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]) -> DataFrame:
     """Pairs (a, b) of classes that connect what all similar pairs with a shared signature connect: each class with the root of its first component, and further links.
 
@@ -106,8 +110,9 @@ def star_links(posts: DataFrame, known: DataFrame, traits: list[str], near: Call
     up; for c = 2 the row of the leader may be left out. known: (class, *traits, ...) of all classes in posts; near(x, y): a condition on the
     traits of two aliased rows that holds for all similar pairs; tests(classes) prepares an exact test pairs -> similar pairs for those classes.
 
-    The leader of a signature is compared with its other classes. Then pairs of one signature whose classes are still in different components are compared: all
-    against those outside the signature's largest component. A group of n similar classes costs n comparisons and is never expanded into its pairs.
+    The leader of a signature is compared with its other classes. Then, in rounds, the classes of each signature are dealt to blocks of about ``BLOCK`` by a hash, and pairs of a block
+    in different components are compared, until most such pairs aren't similar: a group of similar classes grows together at a few comparisons a class, and isn't expanded into its pairs.
+    What is left, all pairs of one signature in *different* components, is compared at last: all against those outside the signature's largest component. So no link is lost.
     """
     known = known.select("class", *traits)
     all_stars = settle(posts.where("class <> leader").select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")).distinct())
@@ -125,16 +130,40 @@ def star_links(posts: DataFrame, known: DataFrame, traits: list[str], near: Call
     links = settle(similar(stars))
     roots = connected(links)
     release(links)
-    placed = wide.join(needed, "class", "left_semi").join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    placed = settle(placed)
+    placed = settle(wide.join(needed, "class", "left_semi"))
     release(wide)
-    sizes = placed.groupBy("sig", "root").agg(F.count("*").alias("c"))
-    split = sizes.groupBy("sig").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    open_ = settle(placed.join(split.select("sig", "main"), "sig"))
-    condition = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.up") | F.col("y.up")) & near("x", "y")
-    rest = open_.alias("x").join(open_.where("root <> main").alias("y"), condition).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
-    rest = settle(rest.join(stars, ["a", "b"], "left_anti"))
-    release(placed, open_, stars)
+
+    def opened() -> DataFrame:
+        """The classes of the signatures that still join several components, with their root, the largest component there (main) and the number of classes (c)."""
+        rooted = placed.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+        sizes = rooted.groupBy("sig", "root").agg(F.count("*").alias("c"))
+        split = sizes.groupBy("sig").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("c"), F.count("*").alias("roots")).where("roots > 1")
+        return settle(rooted.join(split.select("sig", "main", "c"), "sig"))
+
+    def pairs_of(x: DataFrame, y: DataFrame, tested: DataFrame, *by: str) -> DataFrame:
+        condition = (F.col("x.root") != F.col("y.root")) & (F.col("x.up") | F.col("y.up")) & near("x", "y")
+        for c in ("sig", *by):
+            condition = (F.col(f"x.{c}") == F.col(f"y.{c}")) & condition
+        made = x.alias("x").join(y.alias("y"), condition).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
+        return settle(made.join(tested, ["a", "b"], "left_anti"))
+
+    held, tested = [stars], stars
+    for turn in range(ROUNDS):
+        open_ = opened()
+        blocks = open_.withColumn("block", F.pmod(F.xxhash64("class", F.lit(turn)), F.greatest(F.lit(1), F.floor(F.col("c") / BLOCK))))
+        some = pairs_of(blocks, blocks, tested, "block")
+        found = settle(similar(some))
+        held.append(some)
+        tested = tested.union(some)
+        before, roots = roots, connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
+        few = found.count() * 10 <= some.count()
+        release(open_, found, before)
+        if few:
+            break
+
+    open_ = opened()
+    rest = pairs_of(open_, open_.where("root <> main"), tested)
+    release(placed, open_, *held)
     more = settle(similar(rest))
     release(rest, needed)
     return roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
