@@ -284,8 +284,10 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def tests(needed: DataFrame):
         wanted = settle(documents.join(needed, "class").select("class", F.col("doc").alias("id")))
-        texts = wanted.join(only_ids(source, "id", wanted), "id")
-        texts = settle(texts.select("class", "text").mapInArrow(_sketcher(words), "class long, text string, n long, wide binary"))
+        # Two Python steps in one stage would keep two workers a core; what stands between them is settled.
+        chosen = settle(wanted.join(only_ids(source, "id", wanted), "id").select("class", "text"))
+        texts = settle(chosen.mapInArrow(_sketcher(words), "class long, text string, n long, wide binary"))
+        release(chosen)
         held.extend((wanted, texts))
 
         def both(pairs: DataFrame, table: DataFrame, of: dict[str, str]) -> DataFrame:
@@ -296,8 +298,10 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             left = both(pairs, texts, {"wide": "", "n": "n"}).select("a", "b", "x", "y", "xn", "yn").mapInArrow(_refuter(num, den), "a long, b long")
             left = settle(left)
             used = left.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-            sets = texts.select("class", "text").join(used, "class").mapInArrow(_setter(words), "class long, features binary")
-            return both(left, sets, {"features": ""}).select("a", "b", "x", "y").mapInArrow(_tester(num, den), "a long, b long")
+            sets = settle(texts.select("class", "text").join(used, "class").mapInArrow(_setter(words), "class long, features binary"))
+            good = settle(both(left, sets, {"features": ""}).select("a", "b", "x", "y").mapInArrow(_tester(num, den), "a long, b long"))
+            release(left, sets)
+            return good
 
         return similar
 

@@ -30,3 +30,24 @@ def test_a_chained_group_costs_few_tests_a_class(spark):
     # The groups' ends are near each other without being similar: these pairs alone have to be tested one by one.
     ends = sum(1 for a in range(N - 2 * REACH, N + 1) for b in range(N + 1, N + 2 * REACH + 1) if b + REACH - a <= 2 * REACH)
     assert sum(asked) <= ends + 12 * 2 * N, (asked, ends)
+
+
+def test_one_python_step_a_stage(spark, monkeypatch):
+    """Two Python steps without a shuffle or table between keep two workers a core, whose memory adds up."""
+    from secdata.llm import jaccard_join
+
+    plans = []
+
+    def settle(df, *by):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return whole(df, *by)
+
+    whole = shared.settle
+    monkeypatch.setattr(jaccard_join, "settle", settle)
+    monkeypatch.setattr(shared, "settle", settle)
+    text = " ".join(f"w{k}" for k in range(60))
+    docs = spark.createDataFrame([(1, text), (2, text + " x"), (3, "y " + text), (4, "other words")], "doc_id long, text string")
+    _, links = jaccard_join.link_classes(docs)
+    assert links.count() >= 2
+    steps = [part.count("MapInArrow") for plan in plans for part in plan.split("Repartition")]
+    assert max(steps) == 1, steps
