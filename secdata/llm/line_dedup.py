@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from secdata.llm.shared import connected, join_hot, only_ids, release, settle, star_links
-from secdata.llm.text import Words, byte_table, mix, pieces, ranges
+from secdata.llm.text import Words, byte_table, flat_bytes, mix, pieces, ranges
 
 #: (fewest words, blocks) of each level. The first level's features are byte windows.
 LEVELS = ((0, 6), (8, 3), (16, 4), (32, 6), (64, 8))
@@ -38,6 +38,8 @@ WORD_BYTES, BLOCK_BYTES, BLOCK_WINDOWS = 4, 12, 3
 REMEMBERED = 1 << 21
 _SIGNS = byte_table(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
 _SIGNS[48:58] = 48
+#: A byte's bits as eight counters.
+_EIGHT = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
 #: Letters are counted in buckets of seven bits, seven to a number.
 PACKED, PER_PACK = 4, 7
 _LETTERS = [f"l{i}" for i in range(PACKED)]
@@ -49,6 +51,32 @@ def normalised(text: str) -> str:
     return " ".join(_SIGNS[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("latin-1").replace("\0", " ").split())
 
 
+def normalised_bytes(lines: pa.Array) -> pa.Array:
+    """``normalised`` of many lines, as bytes."""
+    words = Words(lines, _SIGNS)
+    size = words.end - words.begin + 1  # a word with the blank after it
+    total = np.concatenate(([0], np.cumsum(size)))[words.first]
+    keep = np.ones(int(size.sum()), bool)
+    keep[total[1:][words.counts > 0] - 1] = False
+    data = words.data[ranges(words.begin, size)]
+    data = np.where(data == 0, np.uint8(32), data)[keep]
+    ends = np.concatenate(([0], np.cumsum(np.maximum(0, np.diff(total) - (words.counts > 0)))))
+    return pa.Array.from_buffers(pa.large_binary(), len(lines), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def _grouped(key: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """An order in which equal keys, and equal values of ``spread`` within them, stand together."""
+    left = np.uint64(64 - int(key.max()).bit_length())
+    if left >= 24:
+        # One number to sort by: the key, and as much of the other value as fits.
+        both = (key.astype(np.uint64) << left) | (spread & ((np.uint64(1) << left) - np.uint64(1)))
+        order = np.argsort(both)
+        both, other = both[order], spread[order]
+        if not ((both[1:] == both[:-1]) & (other[1:] != other[:-1])).any():
+            return order
+    return np.lexsort((spread, key))
+
+
 def _votes(line: np.ndarray, feature: np.ndarray, size: np.ndarray, level: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """(line, signature) of the blocks that hold at least ``least``, from features with their line, size and level. A tie in a bit goes to the smallest feature."""
     if not len(line):
@@ -56,13 +84,18 @@ def _votes(line: np.ndarray, feature: np.ndarray, size: np.ndarray, level: np.nd
     blocks = np.array([b for _, b in LEVELS], np.uint64)[level]
     spread = mix(feature + (level.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
     key = (line << 8) | (level << 5) | ((spread >> np.uint64(32)) * blocks >> np.uint64(32)).astype(np.int64)
-    order = np.lexsort((spread, key))
+    order = _grouped(key, spread)
     order = order[np.concatenate(([True], (key[order][1:] != key[order][:-1]) | (spread[order][1:] != spread[order][:-1])))]
     key, size, spread = key[order], size[order], spread[order]
     first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     count = np.diff(np.append(first, len(key)))
-    bits = np.unpackbits((spread & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.uint8).reshape(-1, 4), axis=1)
-    on = 2 * np.add.reduceat(bits, first, axis=0, dtype=np.int32)
+    values = (spread & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.uint8).reshape(-1, 4)
+    on = np.empty((len(first), 32), np.int32)
+    for i in range(4):
+        on[:, 8 * i : 8 * i + 8] = np.add.reduceat(_EIGHT[values[:, i]], first).view(np.uint8).reshape(-1, 8)
+    for k in np.flatnonzero(count > 255):  # more than a counter holds
+        on[k] = np.unpackbits(values[first[k] : first[k] + count[k]], axis=1).sum(0, dtype=np.int32)
+    on *= 2
     low = np.minimum.reduceat(spread & np.uint64(0xFFFFFFFF), first)
     tie = np.unpackbits(low.astype(np.uint32).view(np.uint8).reshape(-1, 4), axis=1)
     made = np.where(on == count[:, None], tie, on > count[:, None]).astype(np.uint8)
@@ -170,16 +203,12 @@ def letter_counts(words: Words) -> np.ndarray:
 
 
 def _letters_apart(x: str, y: str) -> F.Column:
-    """The sum of the differences of two lines' letter counts, seven to an operation: 128 + a - b in each byte doesn't borrow from the next."""
-    high, low = F.lit(0x80808080808080), F.lit(0x00FF00FF00FF00FF)
+    """The sum of the differences of two lines' letter counts. Each pack is taken as not null and is written out a few times only: code of more than 8000 bytes would be interpreted, not compiled, by the JVM."""
     total = F.lit(0)
     for c in _LETTERS:
-        t = F.col(f"{x}.{c}").bitwiseOR(high) - F.col(f"{y}.{c}")
-        negative = F.shiftrightunsigned(t.bitwiseAND(high).bitwiseXOR(high), 7)
-        apart = t.bitwiseXOR(high).bitwiseXOR(F.shiftleft(negative, 8) - negative) + negative
-        pairs = apart.bitwiseAND(low) + F.shiftrightunsigned(apart, 8).bitwiseAND(low)
-        pairs = pairs + F.shiftrightunsigned(pairs, 32)
-        total = total + (pairs + F.shiftrightunsigned(pairs, 16)).bitwiseAND(F.lit(0xFFFF))
+        p, q = (F.coalesce(F.col(f"{z}.{c}"), F.lit(0).cast("long")) for z in (x, y))
+        for k in range(PER_PACK):
+            total = total + F.abs(F.shiftright(p, 8 * k).bitwiseAND(F.lit(127)) - F.shiftright(q, 8 * k).bitwiseAND(F.lit(127)))
     return total
 
 
@@ -274,21 +303,157 @@ def bounded_edits(x: bytes, y: bytes, most: int) -> int:
     return score
 
 
+#: Pairs of one table of ``within``, the most bytes of their lines, the columns after which hopeless pairs leave, and the edits that are looked for first.
+TOGETHER, LONGEST, LEAVE, FEW = 1024, 4096, 64, 24
+
+
+def _rows(data: np.ndarray, begin: np.ndarray, size: np.ndarray, fill: int, right: bool = False) -> np.ndarray:
+    """Stretches of flat bytes as the rows of a matrix, at its left or right, filled up."""
+    width = int(size.max(initial=0))
+    made = np.full((len(size), width), fill, np.uint8)
+    place = np.arange(width) >= (width - size)[:, None] if right else np.arange(width) < size[:, None]
+    made[place] = data[ranges(begin, size)]
+    return made
+
+
+def _same(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For each row, the columns before the first one that differs."""
+    width = min(x.shape[1], y.shape[1])
+    apart = x[:, :width] != y[:, :width]
+    return np.where(apart.any(1), apart.argmax(1), width) if width else np.zeros(len(x), np.int64)
+
+
+def _ends(x: tuple, y: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes that two lines of each pair have in common at their beginnings, and then at their ends. A line is (data, begin, size)."""
+    head = np.minimum(_same(_rows(*x, 0), _rows(*y, 1)), np.minimum(x[2], y[2]))
+    backwards = (_rows(*z, fill, right=True)[:, ::-1] for z, fill in ((x, 0), (y, 1)))
+    tail = np.minimum(_same(*backwards), np.minimum(x[2], y[2]) - head)
+    return head, tail
+
+
+def _table(x: tuple, y: tuple, most: np.ndarray) -> np.ndarray:
+    """Whether the edit distance of each pair is at most ``most``: the distance table of all pairs at once, 64 rows of a column to a number (Myers 1999, Hyyrö 2003).
+
+    Only the numbers that the widest pair's diagonals 0 to ``most`` reach are computed; those outside count as one more for each step, never as less than they are,
+    and a path of ``most`` edits doesn't go there. Every ``LEAVE`` columns the pairs leave that can't come down to ``most`` any more. Pairs are sorted by the size of y, largest first.
+    """
+    one, ones, top = np.uint64(1), np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(63)
+    left, right = _rows(*x, 0), _rows(*y, 0)
+    m, n, most = x[2].astype(np.int64), y[2].astype(np.int64), most.astype(np.int64)
+    code = np.zeros(256, np.int64)
+    used = np.flatnonzero(np.bincount(left.ravel(), minlength=256) + np.bincount(right.ravel(), minlength=256))
+    code[used] = np.arange(len(used))
+    deep = max(1, -(-left.shape[1] // 64))
+    places = np.zeros((deep, len(m), len(used)), np.uint64)
+    inside = np.arange(left.shape[1]) < m[:, None]
+    for k, c in enumerate(used):
+        bits = np.zeros((len(m), deep * 8), np.uint8)
+        packed = np.packbits((left == c) & inside, axis=1, bitorder="little")
+        bits[:, : packed.shape[1]] = packed
+        places[:, :, k] = bits.view(np.uint64).T
+    right = code[right].T.copy()
+    good, who, base = np.zeros(len(m), bool), np.arange(len(m)), np.arange(len(m)) * len(used)
+    up, down = np.full((deep, len(m)), ones), np.zeros((deep, len(m)), np.uint64)
+    reach = int(most.max())
+    last = min(deep - 1, reach // 64)
+    score = np.full(len(m), 64 * (last + 1), np.int64)
+    for j in range(right.shape[0]):
+        live = int(np.searchsorted(-n, -j, "left"))  # pairs with a column j
+        if not live:
+            break
+        if j and j % LEAVE == 0:
+            # The table's column: the last number's lowest row is known, the others by the steps between.
+            first = max(0, (j - 1 - reach) // 64)
+            steps = [(np.unpackbits(v[first : last + 1, :live].T.copy().view(np.uint8), axis=1, bitorder="little")).astype(np.int16) for v in (up, down)]
+            steps = steps[0] - steps[1]
+            value = score[:live, None] - (steps.sum(1, dtype=np.int64)[:, None] - np.cumsum(steps, axis=1, dtype=np.int16))
+            row = 64 * first + 1 + np.arange(value.shape[1])
+            least = value + np.abs((m[:live, None] - row) - (n[:live, None] - j))
+            least[row > m[:live, None]] = 1 << 30
+            stay = least.min(1) <= most[:live]
+            if first == 0:
+                stay |= j + np.abs(m[:live] - (n[:live] - j)) <= most[:live]  # row 0
+            if stay.sum() <= 0.8 * live:
+                keep = np.flatnonzero(stay)
+                m, n, most, who, score, up, down = m[keep], n[keep], most[keep], who[keep], score[keep], up[:, keep], down[:, keep]
+                places, right, live = places[:, keep], right[:, keep], len(keep)
+                if not live:
+                    break
+                reach = int(most.max())
+        first, end = max(0, (j - reach) // 64), min(deep - 1, (j + reach) // 64)
+        while last < end:
+            last += 1
+            score += 64
+        at = base[:live] + right[j, :live]
+        more, less = np.ones(live, np.uint64), np.zeros(live, np.uint64)  # the step along the row above
+        for w in range(first, last + 1):
+            u, d = up[w, :live], down[w, :live]
+            same = places[w].ravel().take(at)
+            vertical = same | d
+            same |= less
+            across = (((same & u) + u) ^ u) | same
+            plus, minus = d | ~(across | u), u & across
+            out = plus >> top, minus >> top
+            plus, minus = plus << one | more, minus << one | less
+            up[w, :live], down[w, :live] = minus | ~(vertical | plus), plus & vertical
+            more, less = out
+        score[:live] += more.astype(np.int64) - less.astype(np.int64)
+        done = np.flatnonzero(n[:live] == j + 1)
+        if len(done):
+            beyond = np.minimum(64, np.maximum(0, 64 * (np.arange(deep)[:, None] + 1) - m[done]))  # rows below the last one of x
+            mask = np.where(beyond == 0, np.uint64(0), ones << np.minimum(63, 64 - beyond).astype(np.uint64))
+            mask[last + 1 :] = 0
+            steps = np.bitwise_count(up[:, done] & mask).astype(np.int64) - np.bitwise_count(down[:, done] & mask)
+            good[who[done]] = score[done] - steps.sum(0) <= most[done]
+    return good
+
+
+def within(x: tuple, y: tuple, most: np.ndarray) -> np.ndarray:
+    """Whether the edit distance of x and y, flat bytes as (data, begin, size), is at most ``most`` for each pair. A common head and tail doesn't change the distance.
+
+    Lines of up to ``LONGEST`` bytes are compared many pairs at a time, longer ones and few pairs one by one.
+    """
+    good, short = np.zeros(len(most), bool), np.zeros(len(most), bool)
+    x, y = ((z[0], np.array(z[1]), np.array(z[2])) for z in (x, y))
+    larger = np.maximum(x[2], y[2])
+    near = np.abs(x[2] - y[2]) <= most
+    order = np.flatnonzero(near & (larger <= LONGEST))
+    if len(order) >= 32:
+        order = order[np.argsort(larger[order], kind="stable")]
+        for some in np.array_split(order, -(-len(order) // TOGETHER)):
+            head, tail = _ends(*((z[0], z[1][some], z[2][some]) for z in (x, y)))
+            for z in (x, y):
+                z[1][some] += head
+                z[2][some] -= head + tail
+        short[order] = True
+    for k in np.flatnonzero(near & ~short):
+        p, q = (z[0][z[1][k] : z[1][k] + z[2][k]].tobytes() for z in (x, y))
+        head = _slide(p, q, 0, 0)
+        p, q = p[head:], q[head:]
+        tail = _slide(p[::-1], q[::-1], 0, 0)
+        p, q = p[: len(p) - tail], q[: len(q) - tail]
+        good[k] = max(len(p), len(q)) <= most[k] or bounded_edits(p, q, int(most[k])) <= most[k]
+    good |= short & (np.maximum(x[2], y[2]) <= most)
+    for limit in (np.minimum(most, FEW), most):
+        # Few edits need few diagonals.
+        order = np.flatnonzero(short & ~good & (np.abs(x[2] - y[2]) <= limit) & ((most > FEW) | (limit is not most)))
+        order = order[np.argsort(-y[2][order], kind="stable")]
+        for some in np.array_split(order, -(-len(order) // TOGETHER)) if len(order) else ():
+            good[some] = _table(*((z[0], z[1][some], z[2][some]) for z in (x, y)), limit[some])
+    return good
+
+
 def _tester(least: float):
-    """(a, b, x, y) to the pairs (a, b) whose lines x and y are similar. A common head and tail doesn't change the edit distance."""
+    """(a, b, x, y) to the pairs (a, b) whose lines x and y, as bytes, are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                p, q = x.as_py().encode("latin-1"), y.as_py().encode("latin-1")
-                most = int(np.floor((1 - least) * max(len(p), len(q)) + 1e-9))
-                head = _slide(p, q, 0, 0)
-                p, q = p[head:], q[head:]
-                tail = _slide(p[::-1], q[::-1], 0, 0)
-                p, q = p[: len(p) - tail], q[: len(q) - tail]
-                good.append(max(len(p), len(q)) <= most or bounded_edits(p, q, most) <= most)
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            sides = []
+            for name in ("x", "y"):
+                data, starts = flat_bytes(batch.column(name))
+                sides.append((data, starts[:-1], np.diff(starts)))
+            most = np.floor((1 - least) * np.maximum(sides[0][2], sides[1][2]) + 1e-9).astype(np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(within(*sides, most), pa.bool_()))
 
     return run
 
@@ -326,10 +491,10 @@ def _linked(source: DataFrame, lines: DataFrame, least: float) -> DataFrame:
                     for r in rows:
                         if r["line"] < len(parts):
                             kinds.append(r["class"])
-                            texts.append(normalised(parts[r["line"]]))
-                yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int64()), pa.array(texts, pa.string())], names=["class", "norm"])
+                            texts.append(parts[r["line"]])
+                yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int64()), normalised_bytes(pa.array(texts, pa.large_string()))], names=["class", "norm"])
 
-        texts = settle(only_ids(source, "doc", wanted).join(wanted, "doc").mapInArrow(pick, "class long, norm string").groupBy("class").agg(F.first("norm").alias("norm")))
+        texts = settle(only_ids(source, "doc", wanted).join(wanted, "doc").mapInArrow(pick, "class long, norm binary").groupBy("class").agg(F.first("norm").alias("norm")))
         held.extend((wanted, texts))
 
         def similar(candidates: DataFrame) -> DataFrame:

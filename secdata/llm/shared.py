@@ -140,18 +140,20 @@ def star_links(posts: DataFrame, known: DataFrame, traits: list[str], near: Call
         split = sizes.groupBy("sig").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("c"), F.count("*").alias("roots")).where("roots > 1")
         return settle(rooted.join(split.select("sig", "main", "c"), "sig"))
 
-    def pairs_of(x: DataFrame, y: DataFrame, tested: DataFrame, *by: str) -> DataFrame:
-        condition = (F.col("x.root") != F.col("y.root")) & (F.col("x.up") | F.col("y.up")) & near("x", "y")
+    def pairs_of(x: DataFrame, y: DataFrame, tested: DataFrame, once: F.Column, *by: str) -> DataFrame:
+        """``once``: holds for one of the two orders of a pair."""
+        condition = once & (F.col("x.root") != F.col("y.root")) & (F.col("x.up") | F.col("y.up")) & near("x", "y")
         for c in ("sig", *by):
             condition = (F.col(f"x.{c}") == F.col(f"y.{c}")) & condition
         made = x.alias("x").join(y.alias("y"), condition).select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
         return settle(made.join(tested, ["a", "b"], "left_anti"))
 
+    ordered = F.col("x.class") < F.col("y.class")
     held, tested = [stars], stars
     for turn in range(ROUNDS):
         open_ = opened()
         blocks = open_.withColumn("block", F.pmod(F.xxhash64("class", F.lit(turn)), F.greatest(F.lit(1), F.floor(F.col("c") / BLOCK))))
-        some = pairs_of(blocks, blocks, tested, "block")
+        some = pairs_of(blocks, blocks, tested, ordered, "block")
         found = settle(similar(some))
         held.append(some)
         tested = tested.union(some)
@@ -162,7 +164,7 @@ def star_links(posts: DataFrame, known: DataFrame, traits: list[str], near: Call
             break
 
     open_ = opened()
-    rest = pairs_of(open_, open_.where("root <> main"), tested)
+    rest = pairs_of(open_, open_.where("root <> main"), tested, (F.col("x.root") == F.col("x.main")) | ordered)
     release(placed, open_, *held)
     more = settle(similar(rest))
     release(rest, needed)

@@ -39,6 +39,13 @@ def flat(column: pa.Array, end: str = " ") -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[: starts[-1]], starts
 
 
+def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all values of a binary column without nulls, and the n + 1 offsets of the values."""
+    _, offsets, data = column.cast(pa.large_binary()).buffers()
+    starts = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    return np.frombuffer(data or b"", np.uint8), starts
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values."""
     h = h ^ (h >> np.uint64(32))
@@ -76,6 +83,7 @@ class Words:
         self.begin, self.end = edge[0::2], edge[1::2]
         self.inside = inside
         self.first = np.searchsorted(self.begin, self.starts)
+        self._hashes: np.ndarray | None = None
 
     def __len__(self) -> int:
         return len(self.begin)
@@ -89,6 +97,11 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
     def hashes(self) -> np.ndarray:
+        if self._hashes is None:
+            self._hashes = self._made()
+        return self._hashes
+
+    def _made(self) -> np.ndarray:
         n = len(self.data)
         total = np.empty(n + 1, np.uint64)
         total[0] = 0

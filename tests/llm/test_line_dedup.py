@@ -202,3 +202,52 @@ def test_letter_counts_bound_the_edit_distance(spark):
     for row in df.select("i", "j", line_dedup._letters_apart("x", "y").alias("apart")).collect():
         counts = [np.bincount((np.frombuffer(line_dedup.normalised(lines[k]).replace(" ", "").encode("latin-1"), np.uint8) & 31) % 28, minlength=28) for k in (row.i, row.j)]
         assert row.apart == np.abs(np.minimum(counts[0], 127) - np.minimum(counts[1], 127)).sum()
+
+
+def test_many_pairs_are_decided_as_one_by_one():
+    import pyarrow as pa
+
+    from secdata.llm.text import flat_bytes
+
+    r = random.Random(3)
+    xs, ys, most = [], [], []
+    for _ in range(3000):
+        n = r.choice([0, 1, 5, 20, 63, 64, 65, 100, 127, 128, 129, 200, 300, 450, 700])
+        a = bytes(r.choices(b"abcd ", k=n))
+        b = bytearray(a)
+        for _ in range(r.randint(0, 3 + n // 5)):
+            k = r.randint(0, len(b))
+            b[k : k + r.randint(0, 1)] = bytes(r.choices(b"abcde", k=r.randint(0, 1)))
+        xs.append(a)
+        ys.append(bytes(b))
+        most.append(max(0, line_dedup.bounded_edits(a, bytes(b), 10**6) + r.choice([-30, -2, -1, 0, 1, 5, 50])))
+    xs.append(b"word " * 2000)
+    ys.append(b"word " * 1999 + b"wort ")
+    most.append(1)
+    sides = [(data, starts[:-1], np.diff(starts)) for data, starts in (flat_bytes(pa.array(v, pa.binary())) for v in (xs, ys))]
+    expected = [line_dedup.bounded_edits(a, b, m) <= m for a, b, m in zip(xs, ys, most, strict=True)]
+    assert line_dedup.within(*sides, np.array(most)).tolist() == expected
+    assert [line_dedup.within(*((d, s[i : i + 1], n[i : i + 1]) for d, s, n in sides), np.array(most[i : i + 1]))[0] for i in range(0, 3000, 100)] == expected[:3000:100]
+
+
+def test_normalised_bytes():
+    import pyarrow as pa
+
+    lines = ["", " ", "A b--C 17", "é Ü!", "end.", "...", "x"]
+    assert line_dedup.normalised_bytes(pa.array(lines)).to_pylist() == [line_dedup.normalised(t).encode("latin-1") for t in lines]
+    assert line_dedup.normalised_bytes(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_the_bound_on_letters_is_compiled(spark):
+    """The JVM interprets methods of 8000 bytes and more."""
+    from pyspark.sql import functions as F
+
+    t = spark.range(100).select(F.col("id").alias("sig"), *[F.when(F.col("id") > 1, F.col("id")).alias(c) for c in line_dedup._LETTERS])
+    joined = t.alias("x").hint("merge").join(t.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (line_dedup._letters_apart("x", "y") <= 5))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        made = joined._jdf.queryExecution().debug().codegenToSeq()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [made.apply(i)._3().maxMethodCodeSize() for i in range(made.size())]
+    assert sizes and max(sizes) < 8000, sizes
