@@ -1,7 +1,8 @@
 """Line-level labels: alignment of two versions of a function, gates, dependences, fusion with external labels, renumbering.
 
 The long table has one row per union line of a sample: (key, union_line, before_text, after_text, in_before, in_after, is_added, is_removed, is_sig).
-Only ``align`` runs in Python, once per sample; all that follows are joins, windows and aggregations by (key, union_line).
+Only ``align`` runs in Python, once per sample; all that follows are joins, windows and aggregations by (key, union_line). Where the lines' texts aren't asked for, the alignment is one
+row a sample (COMPACT), which meets the sample's graph in one join; no line is a row then, and no text crosses the network.
 """
 
 from __future__ import annotations
@@ -10,14 +11,15 @@ import difflib
 import itertools
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from secdata.functions.normalize import joern_key, strip
+from secdata.functions.normalize import BLANK, joern_key, strip
 from secdata.operators.joins import join_hot
 
 # Parser name of a language, comment signs, gates.
@@ -38,6 +40,9 @@ _SLASH_COMMENT = re.compile(_STRING + r"|//[^\n]*|/\*.*?\*/", re.S)
 _HASH_COMMENT = re.compile(_STRING + r"|#[^\n]*", re.S)
 
 LONG = "key string, union_line int, before_text string, after_text string, in_before boolean, in_after boolean, is_added boolean, is_removed boolean, is_sig boolean"
+#: The alignment as one row a sample, without texts (``align`` with compact): line ends in both versions, whether code is missing, the number of union lines, the union lines that were removed, that were
+#: added, and that stand in the before version without text; for each union line its number in the before version (0: added), the added lines' numbers in the after version, and the before version's signature.
+COMPACT = "n_breaks long, no_code boolean, n_lines int, removed array<int>, added array<int>, blank array<int>, before_line array<int>, added_fa array<int>, own_sig array<int>"
 
 
 def resolve(language: Column) -> Column:
@@ -108,11 +113,56 @@ def align_pair(before: str | None, after: str | None, lang: str | None, drop_com
     return [(i, *r, i in sig) for i, r in enumerate(rows, 1)]
 
 
-def align(pairs: DataFrame, drop_comments: bool = True, max_lines: int | None = None) -> DataFrame:
+def compact_pair(before: str | None, after: str | None, lang: str | None, drop_comments: bool, max_lines: int | None) -> tuple:
+    """The values of COMPACT for two versions; without lines if they have more line ends than ``max_lines``."""
+    no_code = before is None or after is None or not before.strip(BLANK)
+    before, after = before or "", after or ""
+    breaks = before.count("\n") + after.count("\n")
+    if max_lines is not None and breaks > max_lines:
+        return breaks, no_code, 0, [], [], [], [], [], sorted(signature_lines(before.splitlines()))
+    a, b = ((strip_comments(x, lang) if drop_comments else x).splitlines() for x in (before, after))
+    removed, added, numbers, added_fa = [], [], [], []
+    for tag, i1, i2, j1, j2 in opcodes(a, b):
+        if tag != "equal":
+            removed += range(len(numbers) + 1, len(numbers) + 1 + i2 - i1)
+        numbers += range(i1 + 1, i2 + 1)
+        if tag != "equal":
+            added += range(len(numbers) + 1, len(numbers) + 1 + j2 - j1)
+            added_fa += range(j1 + 1, j2 + 1)
+            numbers += [0] * (j2 - j1)
+    blank = [u for u, k in enumerate(numbers, 1) if k and not a[k - 1].strip(BLANK)]
+    return breaks, no_code, len(numbers), removed, added, blank, numbers, added_fa, sorted(signature_lines(before.splitlines()))
+
+
+def _compact(pairs: DataFrame, drop_comments: bool, max_lines: int | None) -> DataFrame:
+    made = T.StructType.fromDDL(COMPACT)
+    rest = [c for c in pairs.columns if c not in ("before", "after")]
+    kinds = [pa.int64(), pa.bool_(), pa.int32(), *[pa.list_(pa.int32())] * 6]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, texts = batch.select(rest), [batch.column(c) for c in ("before", "after", "lang")]
+            first, held, out = 0, 0, []
+            for at in range(batch.num_rows):
+                before, after, lang = (t[at].as_py() for t in texts)
+                out.append(compact_pair(before, after, lang, drop_comments, max_lines))
+                held += len(before or "") + len(after or "")
+                if held > PIECE_CHARS or at + 1 == batch.num_rows:
+                    values = [pa.array(v, k) for v, k in zip(zip(*out, strict=True), kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*kept.slice(first, at + 1 - first).columns, *values], names=[*rest, *made.names])
+                    first, held, out = at + 1, 0, []
+
+    return pairs.mapInArrow(run, T.StructType([*pairs.select(*[F.col(f"`{c}`") for c in rest]).schema.fields, *made.fields]))
+
+
+def align(pairs: DataFrame, drop_comments: bool = True, max_lines: int | None = None, compact: bool = False) -> DataFrame:
     """pairs (key, before, after, lang) to the long table, whatever a pair's size.
 
     ``max_lines`` leaves out pairs with more line ends in sum. Labelling may set it to ``4 * MAX_LINES``: beyond that a pair fails the size gate whatever its diff.
+    ``compact``: one row a pair instead, COMPACT and the pair's columns other than before and after; pairs beyond ``max_lines`` stay, as rows without lines. Columns named like COMPACT's clash.
     """
+    if compact:
+        return _compact(pairs, drop_comments, max_lines)
     columns = [f.split()[0] for f in LONG.split(", ")]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -167,6 +217,23 @@ def graph_edges(graphs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return once.unionByName(once.select("key", F.col("b").alias("a"), F.col("a").alias("b"), "kind")), sizes
 
 
+def graph_rows(graphs: DataFrame) -> DataFrame:
+    """What ``graph_edges`` finds, as one row a graph, without a shuffle: (key, n_graph_lines, n_cdg, n_ddg, edges). An edge is a number: its smaller line times 2^32, and its larger line."""
+    off = F.col("offset")
+
+    def edges(c: str) -> Column:
+        def one(e: Column) -> Column:
+            x, y = F.get(e, F.lit(0)) - off, F.get(e, F.lit(1)) - off
+            return F.when((F.least(x, y) >= 1) & (x != y), F.shiftleft(F.least(x, y).cast("long"), 32) + F.greatest(x, y))
+
+        found = F.filter(F.transform(F.from_json(c, "array<array<int>>"), one), lambda e: e.isNotNull())
+        return F.coalesce(F.array_distinct(found), F.array().cast("array<bigint>"))
+
+    known = F.size(F.filter(F.array_distinct(F.transform(F.from_json("lines", "array<int>"), lambda x: x - off)), lambda x: x >= 1))
+    g = graphs.select("key", known.alias("n_graph_lines"), edges("cdg").alias("__c"), edges("rd").alias("__d"))
+    return g.select("key", "n_graph_lines", F.size("__c").cast("long").alias("n_cdg"), F.size("__d").cast("long").alias("n_ddg"), F.array_union("__c", "__d").alias("edges"))
+
+
 def graph_lines(graphs: DataFrame) -> DataFrame:
     """(key, union_line) of the lines that a graph knows."""
     return graphs.select("key", F.explode(F.from_json("lines", "array<int>")).alias("l"), "offset").select("key", (F.col("l") - F.col("offset")).alias("union_line")).where("union_line >= 1").distinct()
@@ -178,14 +245,8 @@ def gates(pairs: DataFrame, long: DataFrame, max_ratio: float = MAX_RATIO, min_c
     j = pairs.select("key", "lang", "before", "after").join(per, "key", "left").fillna(0, ["n_lines", "n_removed", "n_added"])
     size = F.regexp_count(F.coalesce("before", F.lit("")), F.lit("\n")) + F.regexp_count(F.coalesce("after", F.lit("")), F.lit("\n"))
     changed = F.col("n_removed") + F.col("n_added")
-    gate = (
-        F.when(F.col("lang").isNull(), F.lit("unsupported_language"))
-        .when(F.col("before").isNull() | F.col("after").isNull() | (strip(F.col("before")) == ""), F.lit("missing_code"))
-        .when((F.col("n_lines") > MAX_LINES) | (size > 4 * MAX_LINES), F.lit("too_large"))
-        .when(F.col("n_lines") == 0, F.lit("missing_code"))
-        .when(changed == 0, F.lit("no_change"))
-        .when((F.try_divide(changed, F.col("n_lines")) > max_ratio) & (changed >= min_changed), F.lit("diff_too_large"))
-    )
+    no_code = F.col("before").isNull() | F.col("after").isNull() | (strip(F.col("before")) == "")
+    gate = _gate(F.col("lang"), no_code, F.col("n_lines"), size, changed, max_ratio, min_changed)
     return j.select("key", gate.alias("gate"), "n_lines", "n_removed", "n_added")
 
 
@@ -203,8 +264,7 @@ def line_labels(pairs: DataFrame, long: DataFrame, edges: DataFrame, sizes: Data
     A graph counts only with an edge and lines for a fifth of the union view. Without one, or if it leaves no line, removed lines alone are labelled.
     """
     gate = gates(pairs, long, max_ratio, min_changed).join(sizes, "key", "left")
-    usable = F.coalesce((F.col("n_cdg") + F.col("n_ddg") > 0) & (F.col("n_graph_lines") >= MIN_COVERAGE * F.col("n_lines")), F.lit(False))
-    open_ = gate.withColumn("graph_ok", usable)
+    open_ = gate.withColumn("graph_ok", _graph_ok())
     dep = depadd(long, edges, before).join(open_.where("graph_ok AND gate IS NULL").select("key"), "key", "left_semi")
     marked = long.where("is_removed").select("key", "union_line", F.lit(True).alias("r"), F.lit(False).alias("d")).unionByName(dep.select("key", "union_line", F.lit(False).alias("r"), F.lit(True).alias("d")))
     lines = marked.groupBy("key", "union_line").agg(F.max("r").alias("from_removed"), F.max("d").alias("from_depadd")).join(open_.where("gate IS NULL").select("key"), "key", "left_semi")
@@ -212,15 +272,70 @@ def line_labels(pairs: DataFrame, long: DataFrame, edges: DataFrame, sizes: Data
     lines = lines.join(filled, ["key", "union_line"], "left_semi")
     n = lines.groupBy("key").agg(F.count("*").alias("n_vul"))
     s = open_.join(n, "key", "left").withColumn("n_vul", F.coalesce("n_vul", F.lit(0)))
-    some = F.col("graph_ok") & (F.col("n_vul") > 0)
-    by_graph = F.when(F.col("n_added") == 0, F.lit("joern_delete_only")).when(F.col("n_removed") == 0, F.lit("joern_add_only")).otherwise(F.lit("joern_ok"))
-    alone = F.when(F.col("n_added") == 0, F.lit("ok_delete_only")).when(F.col("graph_ok") & (F.col("n_removed") == 0), F.lit("add_only_no_dep")).otherwise(F.lit("no_pdg_signal"))
-    status = F.when(F.col("gate").isNotNull(), F.col("gate")).when(some, by_graph).otherwise(alone)
-    conf = F.when(F.col("gate").isNotNull(), F.lit("none")).when(some | (F.col("n_added") == 0), F.lit("high")).otherwise(F.lit("low"))
+    status, conf = _verdict(F.col("gate"), F.col("graph_ok"), F.col("n_removed"), F.col("n_added"), F.col("n_vul"))
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_cdg", "n_ddg")]
     return s.select("key", status.alias("status"), conf.alias("confidence"), "n_lines", "n_removed", "n_added", *zero, "n_vul"), lines
 
 
+def _gate(lang: Column, no_code: Column, n_lines: Column, n_breaks: Column, changed: Column, max_ratio: float, min_changed: int) -> Column:
+    return (
+        F.when(lang.isNull(), F.lit("unsupported_language"))
+        .when(no_code, F.lit("missing_code"))
+        .when((n_lines > MAX_LINES) | (n_breaks > 4 * MAX_LINES), F.lit("too_large"))
+        .when(n_lines == 0, F.lit("missing_code"))
+        .when(changed == 0, F.lit("no_change"))
+        .when((F.try_divide(changed, n_lines) > max_ratio) & (changed >= min_changed), F.lit("diff_too_large"))
+    )
+
+
+def _verdict(gate: Column, graph_ok: Column, n_removed: Column, n_added: Column, n_vul: Column) -> tuple[Column, Column]:
+    """Status and confidence."""
+    some = graph_ok & (n_vul > 0)
+    by_graph = F.when(n_added == 0, F.lit("joern_delete_only")).when(n_removed == 0, F.lit("joern_add_only")).otherwise(F.lit("joern_ok"))
+    alone = F.when(n_added == 0, F.lit("ok_delete_only")).when(graph_ok & (n_removed == 0), F.lit("add_only_no_dep")).otherwise(F.lit("no_pdg_signal"))
+    status = F.when(gate.isNotNull(), gate).when(some, by_graph).otherwise(alone)
+    return status, F.when(gate.isNotNull(), F.lit("none")).when(some | (n_added == 0), F.lit("high")).otherwise(F.lit("low"))
+
+
+def _graph_ok() -> Column:
+    return F.coalesce((F.col("n_cdg") + F.col("n_ddg") > 0) & (F.col("n_graph_lines") >= MIN_COVERAGE * F.col("n_lines")), F.lit(False))
+
+
+def sample_labels(rows: DataFrame, graphs: DataFrame, max_ratio: float = MAX_RATIO, min_changed: int = MIN_CHANGED, by: str = "key") -> DataFrame:
+    """What ``line_labels`` and ``renumbered`` find, as one row a sample: ``rows`` (lang and others, COMPACT) with status, confidence, n_removed, n_added, n_cdg, n_ddg, n_vul, vul_lines (of the union view),
+    vul_lines_fb, removed_lines_fb, depadd_lines_fb, added_lines_fa, and without COMPACT's columns but n_lines and own_sig. graphs: ``graph_rows``, one row a key, found by the column ``by``."""
+    j = rows.join(graphs.select(F.col("key").alias(by), "n_graph_lines", "n_cdg", "n_ddg", "edges"), by, "left")
+    none = F.array().cast("array<int>")
+    n_removed, n_added = (F.size(c).cast("long") for c in ("removed", "added"))
+    j = j.withColumns({"n_removed": n_removed, "n_added": n_added, "__ok": _graph_ok()})
+    j = j.withColumn("__gate", _gate(F.col("lang"), F.col("no_code"), F.col("n_lines"), F.col("n_breaks"), F.col("n_removed") + F.col("n_added"), max_ratio, min_changed))
+
+    def low(e: Column) -> Column:
+        return F.shiftright(e, 32).cast("int")
+
+    def high(e: Column) -> Column:
+        return e.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).cast("int")
+
+    def number(u: Column) -> Column:
+        """0 for an added line, null outside the view."""
+        return F.get("before_line", u - 1)
+
+    def beside(x: Callable[[Column], Column], y: Callable[[Column], Column]) -> Column:
+        """The ends y, in the before version, of edges from an added line x."""
+        return F.transform(F.filter("edges", lambda e: (number(x(e)) == 0) & (number(y(e)) > 0)), y)
+
+    near = F.concat(beside(low, high), beside(high, low))
+    dep = F.when(F.col("__gate").isNull() & F.col("__ok"), F.array_sort(F.array_except(near, "blank")))
+    j = j.withColumns({"__removed": F.when(F.col("__gate").isNull(), F.array_except("removed", "blank")).otherwise(none), "__dep": F.coalesce(dep, none)})
+    j = j.withColumn("vul_lines", F.array_sort(F.array_union("__removed", "__dep"))).withColumn("n_vul", F.size("vul_lines").cast("long"))
+    status, confidence = _verdict(F.col("__gate"), F.col("__ok"), F.col("n_removed"), F.col("n_added"), F.col("n_vul"))
+    named = {"vul_lines_fb": "vul_lines", "removed_lines_fb": "__removed", "depadd_lines_fb": "__dep"}
+    kept = [F.col(f"`{c}`") for c in rows.columns if c not in T.StructType.fromDDL(COMPACT).names]
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_cdg", "n_ddg")]
+    numbers = [F.transform(c, number).alias(k) for k, c in named.items()]
+    return j.select(*kept, status.alias("status"), confidence.alias("confidence"), F.col("n_lines").cast("long").alias("n_lines"), "n_removed", "n_added", *zero, "n_vul", "vul_lines", *numbers, F.col("added_fa").alias("added_lines_fa"), "own_sig")
+
+
 def renumber(long: DataFrame) -> DataFrame:
     """Adds before_line and after_line: a union line's number in either version, null where it isn't part of it."""
     w = Window.partitionBy("key").orderBy("union_line")  # the lines of one function
@@ -353,26 +468,22 @@ def renumbered(long: DataFrame, found: DataFrame, final: DataFrame | None = None
     )
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _signature_numbers(code: pd.Series) -> pd.Series:
-    return code.map(lambda t: sorted(signature_lines((t or "").splitlines())))
-
-
-def line_change_labels(samples: DataFrame, edges: DataFrame, sizes: DataFrame, max_ratio: float = 0.80, min_changed: int = 10, long: DataFrame | None = None) -> DataFrame:
-    """Labels samples (key, before, after, lang, deleted) that come with their deleted lines, as in JSON line-change sets.
+def change_labels(rows: DataFrame, graphs: DataFrame, max_ratio: float = 0.80, min_changed: int = 10) -> DataFrame:
+    """Labels aligned samples (key, lang, deleted and others, COMPACT) that come with their deleted lines, as in JSON line-change sets. graphs: ``graph_rows`` by key.
 
     The label is the given deleted lines and the dependence lines found here (vul_lines_linevd), less the lines of the function's own signature that weren't deleted (vul_lines_final).
-    One row a sample, with status columns, renumbered lines, derived_ok, label_completeness and has_line_label. ``long`` is the samples' alignment, if it was settled before.
+    One row a sample, with status columns, renumbered lines, derived_ok, label_completeness and has_line_label.
     """
-    pairs = samples.select("key", "before", "after", "lang")
-    long = align(pairs, max_lines=4 * MAX_LINES) if long is None else long
-    status, found = line_labels(pairs, long, edges, sizes, max_ratio, min_changed)
-    none = F.array().cast("array<int>")
-    given = F.array_distinct(F.coalesce("deleted", none))
-    rows = merge_results(samples.select("key", given.alias("deleted"), _signature_numbers("before").alias("__sig")), status).join(renumbered(long, found), "key", "left")
-    rows = rows.withColumns({c: F.coalesce(c, none) for c in ("vul_lines_fb", "removed_lines_fb", "depadd_lines_fb", "added_lines_fa")})
-    union = F.array_sort(F.array_union("deleted", "depadd_lines_fb"))
-    rows = rows.withColumn("vul_lines_linevd", union)
-    rows = rows.withColumn("vul_lines_final", F.filter("vul_lines_linevd", lambda n: ~F.array_contains("__sig", n) | F.array_contains("deleted", n)))
+    j = sample_labels(rows.withColumn("deleted", F.array_distinct(F.coalesce("deleted", F.array().cast("array<int>")))), graphs, max_ratio, min_changed)
+    j = j.withColumn("derived_ok", F.col("status").isin(USABLE) & (F.col("n_vul") > 0)).withColumn("vul_lines_linevd", F.array_sort(F.array_union("deleted", "depadd_lines_fb")))
+    j = j.withColumn("vul_lines_final", F.filter("vul_lines_linevd", lambda n: ~F.array_contains("own_sig", n) | F.array_contains("deleted", n)))
     whole = F.when(~F.col("derived_ok"), F.lit("")).when(F.col("status").isin(REMOVED_ONLY), F.lit("removed_only")).otherwise(F.lit("full"))
-    return rows.withColumns({"label_completeness": whole, "has_line_label": F.size("vul_lines_final") > 0}).drop("__sig")
+    return j.withColumns({"label_completeness": whole, "has_line_label": F.size("vul_lines_final") > 0}).drop("own_sig", "vul_lines", "lang")
+
+
+def line_change_labels(samples: DataFrame, edges: DataFrame, sizes: DataFrame, max_ratio: float = 0.80, min_changed: int = 10) -> DataFrame:
+    """``change_labels`` of samples (key, before, after, lang, deleted) that aren't aligned yet, with the graphs as ``graph_edges`` gives them."""
+    code = F.shiftleft(F.least("a", "b").cast("long"), 32) + F.greatest("a", "b")
+    by_key = edges.where("a >= 1 AND b >= 1").groupBy("key").agg(F.collect_set(code).alias("edges"))  # the edges of one function
+    graphs = sizes.select("key", "n_graph_lines", "n_cdg", "n_ddg").join(by_key, "key", "left")
+    return change_labels(align(samples.select("key", "before", "after", "lang", "deleted"), max_lines=4 * MAX_LINES, compact=True), graphs, max_ratio, min_changed)

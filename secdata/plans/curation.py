@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from secdata.functions import language_rules as L
 from secdata.functions import normalize as N
 from secdata.functions import rules
+from secdata.functions.binding import let
 from secdata.operators import cwe_ladder, incremental, language, lines, propagate, reports, taxonomy
 from secdata.plans import fixtures as X
 from secdata.plans import recovery as R
@@ -277,13 +278,23 @@ SELECT doc_id, n, 1 + doc_id % n AS k, doc_id % 3 AS kind, text FROM
 
 def _pairs(spark, sf_dir, raw=False):
     """All documents of PAIRS. A line that occurred before gets its number appended, so that the alignment is what the edit says and SQL can know it; ``raw`` leaves the lines as they are."""
-    p = X.frame(spark, sf_dir, PAIRS).withColumn("l", F.split("text", "\n"))
-    if not raw:
-        p = p.withColumn("l", F.transform("l", lambda t, i: F.when(F.array_position("l", t) == i + 1, t).otherwise(F.concat(t, F.lit(" again "), i + 1))))
+    p = X.frame(spark, sf_dir, PAIRS)
     k = F.col("k").cast("int")
-    edited = F.transform("l", lambda t, i: F.when(i + 1 == k, F.concat(F.lit("edited "), t)).otherwise(t))
-    after = F.when(F.col("kind") == 0, F.array_join(F.filter("l", lambda t, i: i + 1 != k), "\n")).when(F.col("kind") == 1, F.array_join(edited, "\n")).otherwise(F.array_join("l", "\n"))
-    return p.select(F.col("doc_id").cast("string").alias("key"), "n", "k", "kind", F.array_join("l", "\n").alias("before"), after.alias("after"), F.when(F.col("doc_id") % 19 == 0, F.lit(None)).otherwise(F.lit("lua")).alias("lang"))
+
+    def numbered(lines):
+        again = F.transform(lines, lambda t, i: F.when(F.array_position(lines, t) == i + 1, t).otherwise(F.concat(t, F.lit(" again "), i + 1)))
+        return F.when(F.size(F.array_distinct(lines)) == F.size(lines), lines).otherwise(again)
+
+    def versions(lines):
+        edited = F.transform(lines, lambda t, i: F.when(i + 1 == k, F.concat(F.lit("edited "), t)).otherwise(t))
+        after = F.when(F.col("kind") == 0, F.filter(lines, lambda t, i: i + 1 != k)).when(F.col("kind") == 1, edited).otherwise(lines)
+        return F.struct(F.array_join(lines, "\n").alias("before"), F.array_join(after, "\n").alias("after"))
+
+    whole = F.split("text", "\n")
+    both = let(whole, versions) if raw else let(whole, lambda x: let(numbered(x), versions))
+    # A generator's columns are computed once a row; an expression would be repeated in each use of theirs, and by each filter.
+    made = p.select("doc_id", "n", "k", "kind", F.inline(F.array(both)))
+    return made.select(F.col("doc_id").cast("string").alias("key"), "n", "k", "kind", "before", "after", F.when(F.col("doc_id") % 19 == 0, F.lit(None)).otherwise(F.lit("lua")).alias("lang"))
 
 
 def v1_w3_alignment(spark, sf_dir):
@@ -302,7 +313,12 @@ def v2_gates(spark, sf_dir):
 
 def _graphs(spark, sf_dir, long):
     """A line graph with edges (i, i + 1) as control and (i, i + 3) as data dependence over the union lines, encoded as in files, offset 1."""
-    n = long.groupBy("key").agg(F.max("union_line").alias("m")).where("cast(key AS long) % 4 <> 0")
+    return _line_graphs(long.groupBy("key").agg(F.max("union_line").alias("m")))
+
+
+def _line_graphs(sizes):
+    """The graphs of ``_graphs`` for samples (key, m union lines)."""
+    n = sizes.where("cast(key AS long) % 4 <> 0")
     seq = F.sequence(F.lit(1), F.col("m"))
 
     def edges(step):
@@ -367,10 +383,12 @@ def _line_changes(spark, sf_dir):
 
 def v10_line_changes(spark, sf_dir):
     rows = _line_changes(spark, sf_dir)
-    long = sinks.stage_table(lines.align(rows, max_lines=4 * lines.MAX_LINES), sinks.work_folder(spark), "long")
-    out = lines.line_change_labels(rows, *lines.graph_edges(_graphs(spark, sf_dir, long)), long=long)
+    aligned = lines.align(rows.select("key", "split", "cwe_id", "before", "after", "lang", "deleted"), max_lines=4 * lines.MAX_LINES, compact=True)
+    aligned = sinks.stage_table(aligned, sinks.work_folder(spark), "aligned")
+    graphs = lines.graph_rows(_line_graphs(aligned.where("n_lines > 0").select("key", F.col("n_lines").alias("m"))))
+    out = lines.change_labels(aligned, graphs)
     kept = ("deleted", "depadd_lines_fb", "vul_lines_linevd", "vul_lines_final")
-    return rows.select("key", "split", "cwe_id").join(out, "key").select("key", "split", "cwe_id", "status", "derived_ok", "label_completeness", "has_line_label", *[F.array_join(c, ";").alias(c) for c in kept])
+    return out.select("key", "split", "cwe_id", "status", "derived_ok", "label_completeness", "has_line_label", *[F.array_join(c, ";").alias(c) for c in kept])
 
 
 def a15_agreement(spark, sf_dir):

@@ -63,9 +63,9 @@ def _json(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def parse(docs: DataFrame, schema: str) -> DataFrame:
     """Column json to the schema's columns; other columns stay."""
     rest = [c for c in docs.columns if c != "json"]
-    good = docs.where(F.trim("json").startswith("{"))
-    parsed = good.withColumn("__d", F.from_json("json", f"{schema}, __bad string", {"columnNameOfCorruptRecord": "__bad", "mode": "PERMISSIVE"})).where("__d IS NOT NULL AND __d.__bad IS NULL")
-    return parsed.select(*rest, "__d.*").drop("__bad")
+    read = F.transform(F.array("json"), lambda j: F.when(F.trim(j).startswith("{"), F.from_json(j, f"{schema}, __bad string", {"columnNameOfCorruptRecord": "__bad", "mode": "PERMISSIVE"})))
+    # A filter on a parsed column would be moved below the parsing, with the parsing in it; a generator parses each record once.
+    return docs.select(*[F.col(f"`{c}`") for c in rest], F.inline(F.filter(read, lambda d: d.isNotNull() & d["__bad"].isNull()))).drop("__bad")
 
 
 def read_osv(spark: SparkSession, path: str) -> DataFrame:

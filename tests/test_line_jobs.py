@@ -114,6 +114,57 @@ def test_given_lines_and_dependences_less_the_signature(spark):
     assert (got["n"].status, got["n"].has_line_label, got["n"].label_completeness) == ("unsupported_language", False, "")
 
 
+def test_one_row_a_sample_finds_what_the_long_table_does(spark):
+    """All documents, repeated and blank lines and all, with random graphs, against joins by line; and pairs without code, or too long."""
+    from pyspark.sql import functions as F
+
+    pairs = curation._pairs(spark, SF, raw=True).select("key", F.regexp_replace("before", r"(?m)^(.{7}).*$", "$1").alias("before"), F.regexp_replace("after", r"(?m)^(.{7}).*$", "$1").alias("after"), "lang")
+    pairs = pairs.withColumn("after", F.when(F.col("key").cast("long") % 5 == 0, F.regexp_replace("after", "[aeiou]", "y")).otherwise(F.col("after")))
+    odd = [("-1", None, "x", "lua"), ("-2", "x\n" * 20_000, "x\n" * 20_000, "lua"), ("-3", " \t\n", "x", "lua"), ("-4", "x\n\t\ny", None, "lua"), ("-5", "x\n\t\nz\nq", "x\nz", "lua"), ("-6", "", "", None)]
+    pairs = pairs.unionByName(spark.createDataFrame(odd, PAIRS)).localCheckpoint()
+    seq = F.sequence(F.lit(0), F.lit(40))
+
+    def edges(salt):
+        return F.to_json(F.transform(seq, lambda i: F.array(F.pmod(F.hash("key", i, F.lit(salt)), F.lit(30)), F.pmod(F.hash("key", i, F.lit(salt + 1)), F.lit(30)))))
+
+    graphs = pairs.where("cast(key AS long) % 4 <> 0").select("key", "lang", F.lit(2).alias("offset"), F.to_json(F.sequence(F.lit(0), F.lit(14))).alias("lines"), edges(1).alias("cdg"), F.when(F.col("key").cast("long") % 3 > 0, edges(7)).alias("rd"))
+    graphs = graphs.localCheckpoint()
+    long = lines.align(pairs, max_lines=4 * lines.MAX_LINES).localCheckpoint()
+    status, found = lines.line_labels(pairs, long, *lines.graph_edges(graphs), 0.6, 1)
+    numbers = {r.key: tuple(sorted(x or []) for x in r[1:]) for r in lines.renumbered(long, found).collect()}
+    want = {r.key: (*r[1:], *numbers.get(r.key, ([],) * 4)) for r in status.collect()}
+    names = (*status.columns[1:], "vul_lines_fb", "removed_lines_fb", "depadd_lines_fb", "added_lines_fa")
+    rows = lines.align(pairs, max_lines=4 * lines.MAX_LINES, compact=True)
+    got = {r.key: tuple(r[c] for c in names) for r in lines.sample_labels(rows, lines.graph_rows(graphs), 0.6, 1).collect()}
+    assert got == want
+    assert {"missing_code", "too_large", "diff_too_large", "no_change", "joern_ok", "ok_delete_only", "unsupported_language"} <= {v[0] for v in want.values()}
+    assert sum(len(v[-2]) for v in want.values()) > 30
+    sizes = {r.key: r for r in lines.graph_edges(graphs)[1].collect()}
+    assert {r.key: r for r in lines.graph_rows(graphs).drop("edges").collect()} == sizes
+
+
+def test_a_change_set_is_read_and_parsed_once(spark, monkeypatch):
+    """Each document is asked for once: not again by each filter, column and join that needs a part of it."""
+    from secdata.plans import fixtures
+
+    asked = spark.sparkContext.accumulator(0)
+    real = fixtures.frame
+
+    def frame(*args):
+        def count(batches):
+            for b in batches:
+                asked.add(b.num_rows)
+                yield b
+
+        made = real(*args)
+        return made.mapInArrow(count, made.schema)
+
+    pairs = curation._pairs(spark, SF).count()
+    monkeypatch.setattr(fixtures, "frame", frame)
+    assert curation.v10_line_changes(spark, SF).count() == pairs
+    assert asked.value == pairs
+
+
 def test_merge_keeps_all_samples(spark):
     rows = spark.createDataFrame([("a", "c", True), ("b", "c", None), ("d", "go", False)], "key string, lang string, has_bigvul_lines boolean")
     assert {r.key for r in lines.to_label(rows).collect()} == {"b", "d"}
