@@ -240,8 +240,8 @@ def joern_key(before: Column, after: Column, lang: Column) -> Column:
     return F.sha1(F.concat(*parts))
 
 
-def sample_key(before: Column, after: Column, lang: Column, ratio: float, least: int, n_lines: Column, n_cdg: Column, n_ddg: Column, logic: str) -> Column:
-    """Changes whenever an input, a gate, the graph or the version of the labelling logic does."""
+def sample_key(content: Column, ratio: float, least: int, n_lines: Column, n_cdg: Column, n_ddg: Column, logic: str) -> Column:
+    """Changes whenever an input (``content``: joern_key of before, after and language), a gate, the graph or the version of the labelling logic does."""
     graph = F.when(n_lines.isNull(), F.lit("-")).otherwise(F.concat_ws(":", n_lines, n_cdg, n_ddg))
-    parts = [x for c in (before, after, lang, F.lit(str(ratio)), F.lit(str(least)), graph, F.lit(logic)) for x in (F.coalesce(c, F.lit("None")), F.lit("\0"))]
+    parts = [x for c in (content, F.lit(str(ratio)), F.lit(str(least)), graph, F.lit(logic)) for x in (F.coalesce(c, F.lit("None")), F.lit("\0"))]
     return F.sha1(F.concat(*parts))

@@ -20,50 +20,42 @@ def label_store(spark: SparkSession, path: str, digits: int = 2, files: int = 4)
     return ResultStore(spark, path, LABELS, digits=digits, files=files)
 
 
+def contents(samples: DataFrame) -> DataFrame:
+    return samples.withColumn("graph_key", N.joern_key(F.col("before"), F.col("after"), F.col("lang")))
+
+
 def keyed(samples: DataFrame, sizes: DataFrame, ratio: float = lines.MAX_RATIO, least: int = lines.MIN_CHANGED, logic: str = LOGIC) -> DataFrame:
     """Adds graph_key (of before, after and language; graphs are found by it) and sample_key (also of the gates, the graph's size signature and the logic) to samples (before, after, lang).
 
     sizes (key, n_graph_lines, n_cdg, n_ddg): graphs by graph_key, one row a key.
     """
-    s = samples.withColumn("graph_key", N.joern_key(F.col("before"), F.col("after"), F.col("lang")))
+    s = contents(samples)
     g = sizes.select(F.col("key").alias("graph_key"), *[F.col(c).alias(f"__{c}") for c in ("n_graph_lines", "n_cdg", "n_ddg")])
     j = s.join(g, "graph_key", "left")
-    key = N.sample_key(F.col("before"), F.col("after"), F.col("lang"), ratio, least, F.col("__n_graph_lines"), F.col("__n_cdg"), F.col("__n_ddg"), logic)
+    # Of the content its hash: a join that the texts had to pass before the key is known would shuffle them.
+    key = N.sample_key(F.col("graph_key"), ratio, least, F.col("__n_graph_lines"), F.col("__n_cdg"), F.col("__n_ddg"), logic)
     return j.withColumn("sample_key", key).select(*samples.columns, "graph_key", "sample_key")
 
 
-def label_pending(todo: DataFrame, edges: DataFrame, sizes: DataFrame, ratio: float = lines.MAX_RATIO, least: int = lines.MIN_CHANGED, align=lines.align) -> DataFrame:
-    """The labels of samples (sample_key, graph_key, before, after, lang), one row a sample_key, as the store takes them. Edges and sizes are by graph_key (column key)."""
-    folder = sinks.work_folder(todo.sparkSession)
-    pairs = todo.select(F.col("sample_key").alias("key"), "graph_key", "before", "after", "lang")
-    long = sinks.stage_table(align(pairs, max_lines=4 * lines.MAX_LINES), folder, "long")
-    names = pairs.select("graph_key", "key")
-
-    def renamed(t: DataFrame) -> DataFrame:
-        return t.withColumnRenamed("key", "graph_key").join(names, "graph_key").drop("graph_key")
-
-    status, found = lines.line_labels(pairs, long, renamed(edges), renamed(sizes), ratio, least)
-    found = sinks.stage_table(found, folder, "found")
-    union = found.groupBy("key").agg(F.array_sort(F.collect_list("union_line")).alias("vul_lines"))
-    numbers = lines.renumbered(long, found).select("key", "vul_lines_fb")
-    none = F.array().cast("array<int>")
-    out = status.join(union, "key", "left").join(numbers, "key", "left").withColumns({c: F.coalesce(c, none) for c in ("vul_lines", "vul_lines_fb")})
-    made = sinks.stage_table(out.withColumnRenamed("key", "sample_key").select(*[F.col(f.name).cast(f.dataType) for f in T.StructType.fromDDL(LABELS)]), folder, "labels")
-    for name in ("long", "found"):
-        sinks.delete(todo.sparkSession, f"{folder}/{name}")
-    return made
+def label_pending(todo: DataFrame, graphs: DataFrame, ratio: float = lines.MAX_RATIO, least: int = lines.MIN_CHANGED, align=lines.align) -> DataFrame:
+    """The labels of samples (sample_key, graph_key, before, after, lang), one row a sample_key, as the store takes them. graphs: ``lines.graph_rows`` by graph_key (column key)."""
+    rows = align(todo.select("sample_key", "graph_key", "before", "after", "lang"), max_lines=4 * lines.MAX_LINES, compact=True)
+    found = lines.sample_labels(rows, graphs, ratio, least, by="graph_key")
+    return found.select(*[F.col(f.name).cast(f.dataType) for f in T.StructType.fromDDL(LABELS)])
 
 
 def label_increment(samples: DataFrame, graphs: DataFrame, store: ResultStore, ratio: float = lines.MAX_RATIO, least: int = lines.MIN_CHANGED, logic: str = LOGIC) -> DataFrame:
     """All samples (before, after, lang and others) with sample_key and their labels. Labels of known sample_keys come from the store; the others are computed, once for each key, and put there.
 
-    graphs: line graphs (key, lang, offset, lines, cdg, rd) by graph_key. ``load`` tells in which put a sample's labels were computed. Columns named like the labels clash.
+    graphs: line graphs (key, lang, offset, lines, cdg, rd) by graph_key, one row a key. ``load`` tells in which put a sample's labels were computed. Columns named like the labels clash.
+    The samples are read for their keys, and once more for their texts if any has no result: a round shuffles the texts once at most, and writes none.
     """
-    edges, sizes = lines.graph_edges(graphs)
-    rows = keyed(samples, sizes, ratio, least, logic)
+    g = lines.graph_rows(graphs)
+    rows = keyed(samples, g, ratio, least, logic)
     folder = sinks.work_folder(samples.sparkSession)
-    todo = sinks.stage_table(store.pending(rows).select("sample_key", "graph_key", "before", "after", "lang"), folder, "todo")
+    todo = sinks.stage_table(store.pending(rows.select("graph_key", "sample_key")), folder, "todo")
     if not todo.isEmpty():
-        store.put(label_pending(todo, edges, sizes, ratio, least))
+        texts = contents(samples).select("graph_key", "before", "after", "lang").join(todo, "graph_key").dropDuplicates(["graph_key", "sample_key"])
+        store.put(label_pending(texts, g, ratio, least))
     sinks.delete(samples.sparkSession, folder)
     return store.attach(rows)

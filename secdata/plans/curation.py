@@ -481,10 +481,14 @@ def k1_k5_one_write(spark, sf_dir):
     return spark.read.parquet(path).select("sample_id", "slice", "cve_id", "cwe_id", "cwe_label_final")
 
 
-def _content_graphs(pairs, second):
-    """Line graphs by content: three of four have one, as in ``_graphs``; in the ``second`` round every fourth of these lost its data dependences."""
+def _sized_contents(pairs):
+    """Contents that have a graph, and how many union lines they have."""
     key = N.joern_key(F.col("before"), F.col("after"), F.col("lang"))
-    one = pairs.select(key.alias("key"), (F.col("n") + (F.col("kind") == 1).cast("int")).cast("int").alias("m")).distinct().where("substring(key, 1, 1) >= '4'")
+    return pairs.select(key.alias("key"), (F.col("n") + (F.col("kind") == 1).cast("int")).cast("int").alias("m")).where("substring(key, 1, 1) >= '4'").distinct()
+
+
+def _content_graphs(one, second):
+    """Line graphs by content: three of four have one, as in ``_graphs``; in the ``second`` round every fourth of these lost its data dependences."""
     seq = F.sequence(F.lit(1), F.col("m"))
 
     def edges(step):
@@ -497,8 +501,9 @@ def _content_graphs(pairs, second):
 def u3_w2_n25_rounds(spark, sf_dir):
     """Two rounds over one store of results: some graphs change before the second, which labels only their samples again."""
     folder = sinks.work_folder(spark)
-    pairs = sinks.stage_table(_pairs(spark, sf_dir), folder, "pairs")
-    first, second = (sinks.stage_table(_content_graphs(pairs, late), folder, f"graphs_{late}") for late in (False, True))
+    pairs = _pairs(spark, sf_dir)
+    sized = sinks.stage_table(_sized_contents(pairs), folder, "contents")
+    first, second = (_content_graphs(sized, late) for late in (False, True))
     store = incremental.label_store(spark, f"{folder}/results", digits=1, files=1)
     incremental.label_increment(pairs, first, store, 0.9, 0)
     out = incremental.label_increment(pairs, second, store, 0.9, 0)

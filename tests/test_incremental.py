@@ -67,3 +67,18 @@ def test_only_changed_samples_are_aligned_again(spark, tmp_path, monkeypatch):
     # The graph goes away again: the first result is still there.
     assert run()["a"] == ("no_pdg_signal", [], 1) and asked == [3, 1]
     assert run(logic="2")["b"] == ("ok_delete_only", [2], 3) and asked == [3, 1, 3]
+
+
+def test_no_text_is_written(spark, monkeypatch):
+    """Texts, larger than all results, are in no stage table: neither the samples' nor those of their lines."""
+    from conftest import SF
+
+    from secdata.plans import curation
+    from secdata.sources import sinks
+
+    written = []
+    real = sinks.stage_table
+    monkeypatch.setattr(sinks, "stage_table", lambda df, folder, name, *a: written.append(df.columns) or real(df, folder, name, *a))
+    rows = curation.u3_w2_n25_rounds(spark, SF).collect()
+    assert {r.load for r in rows} == {1, 2} and len({r.key for r in rows}) == len(rows)
+    assert written and not {c for columns in written for c in columns} & {"before", "after", "before_text", "after_text", "text"}
