@@ -204,6 +204,38 @@ def test_letter_counts_bound_the_edit_distance(spark):
         assert row.apart == np.abs(np.minimum(counts[0], 127) - np.minimum(counts[1], 127)).sum()
 
 
+def _compiled_sizes(spark, condition):
+    from pyspark.sql import functions as F
+
+    t = spark.range(100).select(F.col("id").alias("sig"), *[F.when(F.col("id") > 1, F.col("id")).alias(c) for c in line_dedup._LETTERS])
+    joined = t.alias("x").hint("merge").join(t.alias("y"), (F.col("x.sig") == F.col("y.sig")) & condition)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        made = joined._jdf.queryExecution().debug().codegenToSeq()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    return max(made.apply(i)._3().maxMethodCodeSize() for i in range(made.size()))
+
+
+def test_the_counts_of_a_pack_are_compared_at_once(spark):
+    """The largest and smallest counts in every place, and no more code than a few steps a pack."""
+    from pyspark.sql import functions as F
+
+    r = random.Random(4)
+    rows = []
+    for _ in range(400):
+        a, b = ([r.choice([0, 1, 63, 64, 126, 127, r.randint(0, 127)]) for _ in range(28)] for _ in range(2))
+        packs = [[sum(v << (8 * k) for k, v in enumerate(z[7 * i : 7 * i + 7])) for i in range(4)] for z in (a, b)]
+        rows.append((*packs[0], *packs[1], sum(abs(p - q) for p, q in zip(a, b, strict=True))))
+    rows += [(*[sum(127 << (8 * k) for k in range(7))] * 4, *[0] * 4, 28 * 127), (*[0] * 4, *[sum(127 << (8 * k) for k in range(7))] * 4, 28 * 127)]
+    names = line_dedup._LETTERS
+    df = spark.createDataFrame(rows, ", ".join([*[f"x{c} long" for c in names], *[f"y{c} long" for c in names], "want long"]))
+    df = df.select("want", *[F.struct(*[F.col(f"{z}{c}").alias(c) for c in names]).alias(z) for z in "xy"])
+    assert df.where(line_dedup._letters_apart("x", "y") != F.col("want")).count() == 0
+    size = _compiled_sizes(spark, line_dedup._letters_apart("x", "y") <= 5)
+    assert size < 7000, size
+
+
 def test_many_pairs_are_decided_as_one_by_one():
     import pyarrow as pa
 
